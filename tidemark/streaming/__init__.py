@@ -1,0 +1 @@
+"""The library has no streaming operator: its work is batch, re-run by key range (see sources.tables.replace_rows)."""
