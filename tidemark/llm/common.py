@@ -87,3 +87,12 @@ def as_rows(columns: dict[str, Iterable], schema) -> "pyarrow.RecordBatch":
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no more than it needs to tell."""
     return df.limit(rows + 1).count() <= rows
+
+
+#: Rows of a few numbers up to which a table of keys is broadcast: some 20 MB. Beyond, the join is shuffled.
+KEY_ROWS = 500_000
+
+
+def keys_hint(keys: DataFrame) -> DataFrame:
+    """A written table of keys, marked to be broadcast if it is proven to be small."""
+    return F.broadcast(keys) if is_small(keys, KEY_ROWS) else keys

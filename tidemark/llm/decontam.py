@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_small, stage
+from .common import is_small, keys_hint, stage
 
 #: Tokens of a window; literal words that a window needs; tokens that an item needs; share of an item's windows.
 WIDTH, MIN_LITERAL, MIN_TOKENS, MIN_COVER = 8, 3, 4, 0.3
@@ -84,7 +84,8 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
         hits = wide.join(hint(bench.filter(F.col("width") == width).select("hash", "item", "at")), "hash").drop("hash")
         found = hits if found is None else found.unionByName(hits)
     found = stage(found.distinct(), "hits")
-    texts = with_templates(rows.join(found.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), F.col("text")).select("k1", "k2", "tokens")
+    holders = keys_hint(stage(found.select("k1", "k2").distinct(), "holders"))
+    texts = with_templates(rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), F.col("text")).select("k1", "k2", "tokens")
     runs = found.groupBy("k1", "k2", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(F.collect_list(F.struct("pos", "at")).alias("hits"))
     slim = runs.join(texts, ["k1", "k2"]).select("k1", "k2", "item", "shift", F.explode("hits").alias("h"), "tokens")
     slim = slim.select("k1", "k2", "item", "shift", F.col("h.at").alias("at"), F.slice("tokens", F.col("h.pos") + 1, F.lit(WIDTH)).alias("theirs"))
