@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, stage
 
 #: Suffixes of two labels under which names are registered; other suffixes are the last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz", "co.za")
@@ -79,6 +79,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     joined = pages.join(one, "id", "left")
     hosts = joined.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
     hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host")), "root": F.lit(1)})
+    hosts = stage(hosts, "hosts")  # every level reads it
     domains = hosts.groupBy("domain", "suffix", "root").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix", "root").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     top = suffixes.groupBy("root").agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("mean"))
