@@ -17,9 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, stage
+from .common import as_rows, keys_hint, stage
 from .hashing import STEP, mix
-from .setjoin import FEATURES_DDL, POSTINGS_DDL, Combiner, feature_rows, link
+from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link
 
 WIDTH, BANDS, ROWS = 8, 14, 4
 BINS = BANDS * ROWS
@@ -129,31 +129,50 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield nodes, lines
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Combiner()
+        out = Combiner(buckets)
         for nodes, lines in distinct_lines(batches):
             for node, keys in zip(nodes, band_keys(lines), strict=True):
                 out.add(node, keys)
             yield from out.batches()
         yield from out.batches(last=True)
 
+    def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
+        h, begin = char_shingles(lines)
+        return [np.unique(x) for x in np.split(h, begin[1:])]
+
+    def bitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+        for nodes, lines in wanted_lines(batches):
+            sets = shingle_sets(lines)
+            yield as_rows({"node": nodes, "n": [len(x) for x in sets], "bits": [bitmap(x) for x in sets]}, schema)
+
+    def itemised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, lines in wanted_lines(batches):
+            yield item_rows(nodes, shingle_sets(lines))
+
+    def wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
+        for t in batches:
+            if t.num_rows:
+                yield t.column("node").to_pylist(), t.column("line").to_pylist()
+
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, lines in distinct_lines(batches):
             yield as_rows({"node": nodes, "line": lines}, pa.schema([("node", pa.int64()), ("line", pa.binary())]))
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            lines = t.column("line").to_pylist()
-            if lines:
-                h, begin = char_shingles(lines)
-                yield feature_rows(t.column("node").to_pylist(), [np.unique(x) for x in np.split(h, begin[1:])])
+    held: list[DataFrame] = []
+
+    def bits_of(nodes: DataFrame) -> DataFrame:
+        found = rows.select("text").mapInArrow(texts, "node long, line binary").join(keys_hint(nodes), "node", "left_semi")
+        held.append(stage(found.groupBy("node").agg(F.first("line").alias("line")), "held"))
+        return stage(held[0].mapInArrow(bitted, "node long, n long, bits binary"), "bits")
 
     def fetch(nodes: DataFrame) -> DataFrame:
-        found = rows.select("text").mapInArrow(texts, "node long, line binary").join(nodes, "node", "left_semi")
-        return found.groupBy("node").agg(F.first("line").alias("line")).mapInArrow(featured, FEATURES_DDL)
+        return held[0].join(keys_hint(nodes), "node", "left_semi").mapInArrow(itemised, ITEMS_DDL)
 
     ddl = f"id {id_type.simpleString()}, row long, n_lines long, line_bytes array<long>, nodes array<long>"
     at = stage(rows.mapInArrow(occurring, ddl), "lines")
-    roots = link(rows.select("text").mapInArrow(posted, POSTINGS_DDL), fetch, percent)
+    buckets = buckets_for(BANDS * (at.agg(F.sum(F.size("nodes")).alias("n")).first().n or 0))
+    roots = link(rows.select("text").mapInArrow(posted, POSTINGS_DDL), bits_of, fetch, percent)
     lines = at.select("id", "row", F.posexplode("nodes").alias("line", "node")).filter("node is not null")
     lines = lines.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "line")

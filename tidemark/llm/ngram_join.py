@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, stage
+from .common import as_rows, keys_hint, stage
 from .hashing import STEP, WordHashes, fingerprint, mix, word_shingles
-from .setjoin import FEATURES_DDL, POSTINGS_DDL, Combiner, feature_rows, link
+from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link
 
 #: Empty parts that a tile allows for, besides a tenth of its parts.
 SPARE = 3
@@ -76,10 +76,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ignored, whatever their names. An empty table gives an empty table. Length of a text is bounded by memory of one
     task alone.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    sized_schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
+    sized_schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -87,10 +86,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
             ids = t.column("id")
             alive = [len(s) > 0 and i is not None for s, i in zip(sets, ids.to_pylist(), strict=True)]
-            yield as_rows({"id": ids, "n_shingles": [len(s) for s in sets], "node": [fingerprint(s) if a else None for s, a in zip(sets, alive, strict=True)]}, sized_schema)
+            both = list(zip(sets, alive, strict=True))
+            yield as_rows({"id": ids, "n_shingles": [len(s) for s in sets], "node": [fingerprint(s) if a else None for s, a in both], "bits": [bitmap(s) if a else None for s, a in both]}, sized_schema)
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, out = WordHashes(), set(), Combiner()
+        cache, seen, out = WordHashes(), set(), Combiner(buckets)
         for t in batches:
             for text in t.column("text").to_pylist():
                 s = word_shingles(text, width, cache)
@@ -100,25 +100,27 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     yield from out.batches()
         yield from out.batches(last=True)
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def itemised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for t in batches:
             sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
-            yield feature_rows([fingerprint(s) for s in sets], sets)
+            yield item_rows([fingerprint(s) for s in sets], sets)
 
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError(f"{id_col} must be an integer, not {kind}")
     rows = rows.withColumn("id", F.col("id").cast("long"))
-    sizes = stage(rows.mapInArrow(sized, "id long, n_shingles long, node long"), "sizes")
-    first = sizes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    sizes = stage(rows.mapInArrow(sized, "id long, n_shingles long, node long, bits binary"), "sizes")
+    known = sizes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    known = stage(known, "nodes")
+    first = known.select("node", "id")
+    buckets = buckets_for((known.agg(F.sum("n").alias("n")).first().n or 0) // 2)
 
     def fetch(nodes: DataFrame) -> DataFrame:
-        wanted = first.join(nodes, "node", "left_semi").select("id").distinct()
-        found = rows.join(wanted, "id", "left_semi").select("text").mapInArrow(featured, FEATURES_DDL)
-        return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        wanted = keys_hint(stage(first.join(nodes, "node", "left_semi").select("id").distinct(), "wanted"))
+        return rows.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]).select("text").mapInArrow(itemised, ITEMS_DDL)
 
     live = rows.filter("id is not null").select("text")
-    roots = link(live.mapInArrow(posted, POSTINGS_DDL), fetch, percent)
+    roots = link(live.mapInArrow(posted, POSTINGS_DDL), lambda nodes: known.select("node", "n", "bits"), fetch, percent)
     rooted = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     by_node = rooted.join(least, "root").select("node", "component_id")

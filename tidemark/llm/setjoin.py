@@ -2,18 +2,22 @@
 
 A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyond their first. A caller gives
 
-* postings (key, node, lead): nodes that share a key are to be compared. lead is the node itself, or the first node that
-  had the key in the same chunk of input (a map-side combine, so that a key that a third of all rows hold reaches the
-  shuffle once per chunk);
-* fetch(nodes): for a table of nodes, their features (node, n, bits, items): size, hashed bitmap, sorted distinct hashes.
+* postings (bucket, kind, data): packed arrays of (key, node), made by `Combiner`. Nodes that share a key are to be
+  compared. A key that several nodes of one chunk hold is posted once; its other nodes go along as followers of the first
+  and are dealt out by their own hash, so a key that a third of all rows hold reaches its bucket once per chunk;
+* bits_of(nodes): (node, n, bits) for a written table of nodes, more nodes do no harm: each one's size and hashed bitmap,
+  a few bits for every item;
+* fetch(nodes): (node, items) for a written table of nodes: their sorted distinct hashes.
 
 `link` then finds the components of the graph whose edges are all similar pairs that share a key:
 
-1. Every node is compared with the lead of each of its keys. That is linear in the postings, whatever the group sizes.
+1. Every node is compared with the lead of each of its keys, by bitmaps and then exactly. That is linear in the postings,
+   whatever the group sizes.
 2. Components of these links. A key whose members all lie in one component needs nothing more.
 3. The other keys' members are compared pair by pair across components in tiles: the members are dealt into blocks of
-   bounded size, each pair of blocks is one task's group, and inside it numpy bounds each pair by its bitmaps before the
-   exact intersection. So no pair that shares a key is lost, and no group is gathered whole.
+   bounded size, each pair of blocks is one task's group, and inside it numpy bounds each pair by its bitmaps. Only the
+   members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
+   that shares a key is lost, and no group is gathered whole.
 
 A pair is first bounded from above: a bit that is set for one set only stands for at least one item of it alone, so
 overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly.
@@ -26,18 +30,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_rows, stage, unstage
 from .graph import connected_components
+from .hashing import mix
 
-FEATURES = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("items", pa.binary())])
-FEATURES_DDL = "node long, n long, bits binary, items binary"
-POSTINGS = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("lead", pa.int64())])
-POSTINGS_DDL = "key long, node long, lead long"
+ITEMS = pa.schema([("node", pa.int64()), ("items", pa.binary())])
+ITEMS_DDL = "node long, items binary"
+POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
+POSTINGS_DDL = "bucket int, kind int, data binary"
+LED_DDL = "key long, node long, lead long"
 #: Postings that one chunk combines at once, and items (8 bytes each) that one block of a tile holds at most.
 CHUNK, BLOCK_ITEMS = 1_000_000, 500_000
+#: Postings that a bucket holds on average (12 bytes each).
+BUCKET = 500_000
 
 
 def bitmap(items: np.ndarray) -> bytes:
@@ -75,66 +83,122 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
-def feature_rows(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-    return as_rows({"node": nodes, "n": [len(x) for x in sets], "bits": [bitmap(x) for x in sets], "items": [x.tobytes() for x in sets]}, FEATURES)
+def item_rows(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    return as_rows({"node": nodes, "items": [x.tobytes() for x in sets]}, ITEMS)
+
+
+def buckets_for(postings: int) -> int:
+    return max(8, -(-postings // BUCKET))
 
 
 class Combiner:
-    """Collects postings of a task and gives them out in chunks, each key's later nodes with its first as lead."""
+    """Collects postings of a task and gives them out in chunks, packed by bucket.
 
-    def __init__(self) -> None:
-        self.keys: list[np.ndarray] = []
-        self.nodes: list[np.ndarray] = []
-        self.held = 0
+    Kind 0 holds the last 32 bits of keys and their nodes; the bucket stands for the first bits, and keys that differ in
+    the others are compared in vain at worst. Kind 1 holds followers: whole keys, nodes, and their leads.
+    """
+
+    def __init__(self, buckets: int) -> None:
+        self.buckets, self.keys, self.nodes, self.held = buckets, [], [], 0
 
     def add(self, node: int, keys: np.ndarray) -> None:
-        self.keys.append(keys.view(np.int64))
+        self.keys.append(keys)
         self.nodes.append(np.full(len(keys), node, np.int64))
         self.held += len(keys)
 
+    def _bucket(self, hashed: np.ndarray) -> np.ndarray:
+        return ((hashed >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+
     def batches(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        if self.held and (last or self.held >= CHUNK):
-            keys, nodes = np.concatenate(self.keys), np.concatenate(self.nodes)
-            self.__init__()
-            order = np.argsort(keys, kind="stable")
-            keys, nodes = keys[order], nodes[order]
-            first = np.r_[True, keys[1:] != keys[:-1]]
-            lead = nodes[np.flatnonzero(first)[np.cumsum(first) - 1]]
-            use = first | (nodes != lead)  # a node may have a key twice
-            yield as_rows({"key": keys[use], "node": nodes[use], "lead": lead[use]}, POSTINGS)
-
-
-def _similar(percent: int) -> Callable:
+        if not self.held or not last and self.held < CHUNK:
+            return
+        keys, nodes = np.concatenate(self.keys), np.concatenate(self.nodes)
+        self.keys, self.nodes, self.held = [], [], 0
+        bucket = self._bucket(keys)
+        keys = (bucket << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+        order = np.argsort(keys, kind="stable")  # by bucket as well
+        keys, nodes, bucket = keys[order], nodes[order], bucket[order]
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        lead = nodes[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        follow = ~first & (nodes != lead)  # a node may have a key twice
+        rows: list[tuple[int, int, bytes]] = []
+        k, v, b = keys[first].astype(np.uint32), nodes[first], bucket[first]
+        for lo, hi in self._runs(b):
+            rows.append((int(b[lo]), 0, k[lo:hi].tobytes() + v[lo:hi].tobytes()))
+        if follow.any():
+            own = self._bucket(mix(nodes[follow].view(np.uint64)))
+            order = np.argsort(own, kind="stable")
+            own, parts = own[order], [x[follow][order] for x in (keys.view(np.int64), nodes, lead)]
+            for lo, hi in self._runs(own):
+                rows.append((int(own[lo]), 1, b"".join(x[lo:hi].tobytes() for x in parts)))
+        yield as_rows(dict(zip(POSTINGS.names, zip(*rows, strict=True), strict=True)), POSTINGS)
+
+    @staticmethod
+    def _runs(of: np.ndarray) -> Iterator[tuple[int, int]]:
+        edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+        return zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
+
+
+def _led(rows: pd.DataFrame) -> pd.DataFrame:
+    """One bucket: every node of a shared key with the key's least node as lead, and the followers as they are."""
+    keys, nodes, done = [], [], []
+    for bucket, kind, data in zip(rows["bucket"], rows["kind"], rows["data"], strict=True):
+        if kind:
+            done.append(np.frombuffer(data, np.int64).reshape(3, -1))
+        else:
+            n = len(data) // 12
+            keys.append(np.frombuffer(data, np.uint32, n).astype(np.int64) | (int(bucket) << 32))
+            nodes.append(np.frombuffer(data, np.int64, n, 4 * n))
+    if keys:
+        k, v = np.concatenate(keys), np.concatenate(nodes)
+        order = np.lexsort((v, k))
+        k, v = k[order], v[order]
+        first = np.r_[True, k[1:] != k[:-1]]
+        lead = v[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        use = v != lead
+        done.append(np.stack([k[use], v[use], lead[use]]))
+    return pd.DataFrame(np.concatenate(done, axis=1).T, columns=["key", "node", "lead"])
+
+
+def _pairs_that(passes: Callable[[dict, int, int], bool], percent: int) -> Callable:
+    """A function of Arrow batches that keeps the pairs (a, b, n_a, n_b, ..) that pass; it is given the least overlap."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        schema = pa.schema([(k, pa.int64()) for k in ("a", "b", "n_a", "n_b")])
         for t in batches:
-            found = []
             c = {k: t.column(k).to_pylist() for k in t.schema.names}
+            found = []
             for i in range(t.num_rows):
-                n_a, n_b = c["n_a"][i], c["n_b"][i]
-                least = need(n_a, n_b, percent)
-                if least > min(n_a, n_b) or bound(np.frombuffer(c["bits_a"][i], np.uint8), n_a, np.frombuffer(c["bits_b"][i], np.uint8), n_b) < least:
-                    continue
-                if overlap(np.frombuffer(c["items_a"][i], np.uint64), np.frombuffer(c["items_b"][i], np.uint64)) >= least:
+                least = need(c["n_a"][i], c["n_b"][i], percent)
+                if least <= min(c["n_a"][i], c["n_b"][i]) and passes(c, i, least):
                     found.append(i)
-            yield as_rows({k: [c[k][i] for i in found] for k in "ab"}, schema)
+            yield as_rows({k: [c[k][i] for i in found] for k in schema.names}, schema)
 
     return run
 
 
-def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links across components between the two blocks of one tile (side 0 and 1; a diagonal tile has side 0 alone).
+def _by_bits(c: dict, i: int, least: int) -> bool:
+    return bound(np.frombuffer(c["bits_a"][i], np.uint8), c["n_a"][i], np.frombuffer(c["bits_b"][i], np.uint8), c["n_b"][i]) >= least
+
+
+def _by_items(c: dict, i: int, least: int) -> bool:
+    return overlap(np.frombuffer(c["items_a"][i], np.uint64), np.frombuffer(c["items_b"][i], np.uint64)) >= least
+
+
+def tile_links(rows: pd.DataFrame, percent: int) -> tuple[list[tuple[int, int]], set[int]]:
+    """Links across components between the two blocks of one tile (side 0 and 1; a diagonal tile has side 0 alone), and
+    the nodes with a pair that the bitmaps let pass. Without items, there are no links.
 
     Bitmaps bound a whole row of pairs at a time. Links found here join components at once, so that a pair that is
     connected already is not intersected again.
     """
     rows = rows.sort_values(["side", "n", "node"], ignore_index=True)
-    n, root = rows["n"].to_numpy(), rows["root"].to_numpy()
+    n, root, node = (rows[c].to_numpy() for c in ("n", "root", "node"))
     raw = [np.frombuffer(x, np.uint8) for x in rows["bits"]]
     size = min(map(len, raw))
     bits = np.stack([folded(x, size) for x in raw]).view(np.uint64)
     ones = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-    sets = [np.frombuffer(x, np.uint64) for x in rows["items"]]
+    sets = [np.frombuffer(x, np.uint64) for x in rows["items"]] if "items" in rows else None
     one_block = rows["side"].iloc[-1] == rows["side"].iloc[0]
     other = int((rows["side"] == 0).sum())
     parent: dict[int, int] = {}
@@ -145,7 +209,7 @@ def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
             x = up
         return x
 
-    links = []
+    links, near = [], set()
     for i in range(len(rows) if one_block else other):
         lo = i + 1 if one_block else other
         if lo >= len(rows):
@@ -153,44 +217,62 @@ def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         least = need(n[i], n[lo:], percent)
         both = np.bitwise_count(bits[lo:] & bits[i]).sum(axis=1).astype(np.int64)
         fits = (np.minimum(n[i] - ones[i], n[lo:] - ones[lo:]) + both >= least) & (least <= np.minimum(n[i], n[lo:])) & (root[lo:] != root[i])
-        for j in np.flatnonzero(fits) + lo:
+        at = np.flatnonzero(fits) + lo
+        if sets is None:
+            if len(at):
+                near.update(node[at].tolist(), [int(node[i])])
+            continue
+        for j in at:
             a, b = find(int(root[i])), find(int(root[j]))
             if a != b and overlap(sets[i], sets[j]) >= least[j - lo]:
                 parent[max(a, b)] = min(a, b)
-                links.append((int(rows["node"].iat[i]), int(rows["node"].iat[j])))
-    return links
+                links.append((int(node[i]), int(node[j])))
+    return links, near
+
+
+def _tiled(members: DataFrame) -> DataFrame:
+    """members (key, node, root, n, ..) dealt into blocks, each with every block of its key: columns tile and side."""
+    blocks = members.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "key").withColumn("block", F.expr("pmod(xxhash64(node, 7), blocks)").cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    tile = F.struct(F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
+    side = F.when(F.col("tile.p") == F.col("tile.q"), 0).otherwise((F.col("block") == F.col("tile.q")).cast("int"))
+    return dealt.withColumn("tile", tile).withColumn("side", side).drop("blocks", "block", "with")
 
 
-def _across(members: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def _across(members: DataFrame, bits: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links between members (key, node, root) of the same key and different components."""
-    features = stage(fetch(members.select("node").distinct()), "features")
-    sized = stage(members.join(features.select("node", "n"), "node"), "members")
-    blocks = sized.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
-    dealt = sized.join(blocks, "key").withColumn("block", F.expr("pmod(xxhash64(node, 7), blocks)").cast("int"))
-    pair = F.struct(F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
-    tiles = dealt.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("tile", pair).withColumn("side", F.when(F.col("tile.p") == F.col("tile.q"), 0).otherwise((F.col("block") == F.col("tile.q")).cast("int")))
-    tiles = tiles.select("key", "tile", "side", "node", "root").join(features, "node")
+
+    def near(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(rows["key"].iloc[0], x) for x in tile_links(rows, percent)[1]], columns=["key", "node"]).astype("int64")
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(tile_links(rows, percent), columns=["a", "b"]).astype("int64")
+        return pd.DataFrame(tile_links(rows, percent)[0], columns=["a", "b"]).astype("int64")
 
-    return tiles.groupBy("key", "tile").applyInPandas(links, "a long, b long").distinct()
+    sized = stage(members.join(bits, "node"), "members")
+    passed = stage(_tiled(sized).groupBy("key", "tile").applyInPandas(near, "key long, node long").distinct(), "passed")
+    items = stage(fetch(stage(passed.select("node").distinct(), "nodes")), "items")
+    rest = _tiled(sized.join(passed, ["key", "node"], "left_semi")).join(items, "node")
+    return rest.groupBy("key", "tile").applyInPandas(links, "a long, b long").distinct()
 
 
-def link(postings: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(node, root) for every node that is similar to another, as the module's head tells. Empty postings: no rows."""
-    salted = postings.withColumn("salt", F.when(F.col("node") == F.col("lead"), F.lit(0)).otherwise(F.col("node")))
-    least = F.min("node").over(Window.partitionBy("key", "salt"))
-    led = salted.withColumn("lead", F.when(F.col("node") == F.col("lead"), least).otherwise(F.col("lead"))).filter("node <> lead").select(*POSTINGS.names)
-    led = stage(led, "led")
-    pairs = led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-    pairs = stage(pairs, "pairs")
-    features = stage(fetch(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "features")
-    joined = pairs
-    for side in "ab":
-        joined = joined.join(features.toDF(side, f"n_{side}", f"bits_{side}", f"items_{side}"), side)
-    edges = stage(joined.mapInArrow(_similar(percent), "a long, b long"), "links")
-    unstage(features)
+    led = stage(postings.groupBy("bucket").applyInPandas(_led, LED_DDL), "led")
+    pairs = stage(led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "pairs")
+
+    bits = bits_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes"))
+
+    def with_both(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+        for side in "ab":
+            df = df.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        return df
+
+    ddl = "a long, b long, n_a long, n_b long"
+    passed = stage(with_both(pairs, bits, ["n", "bits"]).mapInArrow(_pairs_that(_by_bits, percent), ddl), "passed")
+    items = stage(fetch(stage(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")), "items")
+    edges = stage(with_both(passed, items, ["items"]).mapInArrow(_pairs_that(_by_items, percent), ddl).select("a", "b").distinct(), "links")
+    unstage(items, passed)
     found = stage(connected_components(edges), "components")
 
     def rooted(df: DataFrame, name: str, root: str) -> DataFrame:
@@ -206,7 +288,7 @@ def link(postings: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent:
     members = stage(members.join(many, "key", "left_semi"), "unsettled")
     if members.isEmpty():
         return found
-    more = stage(_across(members, fetch, percent), "links")
+    more = stage(_across(members, bits, fetch, percent), "links")
     out = stage(connected_components(edges.unionByName(more)), "components")
     unstage(led, pairs, found, members)
     return out
