@@ -14,7 +14,9 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
 1. Every node is compared with the lead of each of its keys, by bitmaps and then exactly. That is linear in the postings,
    whatever the group sizes.
 2. Components of these links. A key whose members all lie in one component needs nothing more.
-3. The other keys' members are compared pair by pair across components in tiles: the members are dealt into blocks of
+3. Of the other keys, those of at most FEW members list their pairs across components, a bounded number for each member;
+   a pair that many keys share, or that was compared before, is compared once. The members of larger keys are compared
+   across components in tiles: they are dealt into blocks of
    bounded size, each pair of blocks is one task's group, and inside it numpy bounds each pair by its bitmaps. Only the
    members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
    that shares a key is lost, and no group is gathered whole.
@@ -44,6 +46,8 @@ POSTINGS_DDL = "bucket int, kind int, data binary"
 LED_DDL = "key long, node long, lead long"
 #: Postings that one chunk combines at once, and items (8 bytes each) that one block of a tile holds at most.
 CHUNK, BLOCK_ITEMS = 1_000_000, 500_000
+#: Members of a key up to which their pairs are listed: a few for each member. Larger keys go to tiles.
+FEW = 16
 #: Postings that a bucket holds on average (12 bytes each).
 BUCKET = 500_000
 
@@ -268,11 +272,16 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
             df = df.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return df
 
-    ddl = "a long, b long, n_a long, n_b long"
-    passed = stage(with_both(pairs, bits, ["n", "bits"]).mapInArrow(_pairs_that(_by_bits, percent), ddl), "passed")
-    items = stage(fetch(stage(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")), "items")
-    edges = stage(with_both(passed, items, ["items"]).mapInArrow(_pairs_that(_by_items, percent), ddl).select("a", "b").distinct(), "links")
-    unstage(items, passed)
+    def similar(candidates: DataFrame) -> DataFrame:
+        """The pairs (a, b) of candidates that are similar: by bitmaps, then exactly."""
+        ddl = "a long, b long, n_a long, n_b long"
+        passed = stage(with_both(candidates, bits, ["n", "bits"]).mapInArrow(_pairs_that(_by_bits, percent), ddl), "passed")
+        items = stage(fetch(stage(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")), "items")
+        out = stage(with_both(passed, items, ["items"]).mapInArrow(_pairs_that(_by_items, percent), ddl).select("a", "b").distinct(), "links")
+        unstage(items, passed)
+        return out
+
+    edges = similar(pairs)
     found = stage(connected_components(edges), "components")
 
     def rooted(df: DataFrame, name: str, root: str) -> DataFrame:
@@ -283,12 +292,14 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
     keys = one.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     members = one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct()
     members = stage(rooted(members, "node", "root").select("key", "node", "root"), "unsettled")
-    # with two members, the pair has been compared
-    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 2").select("key")
-    members = stage(members.join(many, "key", "left_semi"), "unsettled")
-    if members.isEmpty():
-        return found
-    more = stage(_across(members, bits, fetch, percent), "links")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))  # with two members, the pair has been compared
+    few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key", "left_semi")
+    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key", "left_semi"), "many")
+    one, two = (few.select("key", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = similar(listed)
+    if not many.isEmpty():
+        more = more.unionByName(stage(_across(many, bits, fetch, percent), "links"))
     out = stage(connected_components(edges.unionByName(more)), "components")
-    unstage(led, pairs, found, members)
+    unstage(led, pairs, found, members, many)
     return out
