@@ -43,10 +43,12 @@ def pre_tokens(text: str) -> Iterator[str]:
 
 
 def count_pieces(sp, tokens: list[str]) -> list[int]:
-    """Pieces of each pre-token. The library adds a blank in front, which stands for a pre-token's own first one;
-    where there is none, a line feed holds the added blank off, and both are taken away again."""
-    ids = sp.encode([t[1:] if t[0] == " " else "\n" + t for t in tokens], num_threads=1)
-    off = [0 if t[0] == " " else len(sp.encode("\n")) for t in tokens]
+    """Pieces of each pre-token. The library adds a blank in front, which stands for a pre-token's own first one; where
+    there is none, or nothing else (the library gives an empty text no piece), a line feed holds the added blank off,
+    and both are taken away again."""
+    held_off = [t[0] != " " or t == " " for t in tokens]
+    ids = sp.encode(["\n" + t if h else t[1:] for t, h in zip(tokens, held_off, strict=True)], num_threads=1)
+    off = [len(sp.encode("\n")) if h else 0 for h in held_off]
     return [len(x) - o for x, o in zip(ids, off, strict=True)]
 
 
