@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 BUCKETS, DIM, WINDOW, GRAMS = 1 << 17, 8, 12, (3, 4, 5, 6)
 #: Bounds of the training sample: clean and toxic rows, and bytes of a text (longer ones are scored, not learnt from).
 PER_CLASS, SAMPLE_BYTES = (4_000, 1_500), 20_000
-#: Passes over the sample (more over a small one, for STEPS batches in all), step sizes and seed.
-EPOCHS, STEPS, RATE, VECTOR_RATE, DECAY, SEED = 25, 300, 0.5, 8.0, 0.003, 7
+#: Passes over the sample (more over a small one, for STEPS batches in all), step size and seed.
+EPOCHS, STEPS, RATE, SEED = 15, 300, 0.2, 7
 #: Characters that are scored at once, and the logit of a text without words, before the bias.
 BLOCK, EMPTY = 200_000, -4.0
 #: Words are runs of letters and digits, which is what str.isalnum and these patterns agree on.
@@ -119,6 +119,7 @@ class Model:
         share = {k: (len(keep) / (2 * sum(labels[i] == k for i in keep))) ** 0.5 for k in (0, 1)}
         epochs = max(EPOCHS, STEPS * 64 // len(keep))
         rng = np.random.default_rng(SEED)
+        past = {id(x): np.zeros_like(x) for x in (self.E, self.W, self.b)}
         for epoch in range(epochs):
             step = rate * (1 - epoch / epochs)
             scalar = self.E @ (self.W[:, 1] - self.W[:, 0])  # a bucket's part of the logit
@@ -139,10 +140,13 @@ class Model:
                 p[np.arange(len(y)), y] -= 1
                 grad = (p * np.where(y == 1, share[1], share[0])[:, None]).astype(np.float32)
                 back = grad @ self.W.T
-                self.W -= step * vectors.T @ grad / 8
-                self.b -= step * grad.sum(axis=0) / 8
-                np.subtract.at(self.E, at, step * VECTOR_RATE * back[per] * weight)
-                self.E *= 1 - DECAY * step
+                touched, back_at = np.unique(at, return_inverse=True)
+                slope = np.zeros((len(touched), DIM), np.float32)
+                np.add.at(slope, back_at, back[per] * weight)
+                for values, rows, g in ((self.E, touched, slope), (self.W, slice(None), vectors.T @ grad), (self.b, slice(None), grad.sum(axis=0))):
+                    seen = past[id(values)]  # each value's step shrinks with the slopes that it has seen
+                    seen[rows] += g * g
+                    values[rows] -= step * g / np.sqrt(seen[rows] + 1e-8)
         return self
 
     def scorer(self) -> "Scorer":
