@@ -11,8 +11,9 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
 
 `link` then finds the components of the graph whose edges are all similar pairs that share a key:
 
-1. Every node is compared with the lead of each of its keys, by bitmaps and then exactly. That is linear in the postings,
-   whatever the group sizes.
+1. Every node is compared with the lead it shares most keys with, by bitmaps and then exactly: one pair for each node.
+   Then the pairs of nodes and leads that lie in different components of these links are compared. Both are linear in
+   the postings, whatever the group sizes.
 2. Components of these links. A key whose members all lie in one component needs nothing more.
 3. Of the other keys, those of at most FEW members list their pairs across components, a bounded number for each member;
    a pair that many keys share, or that was compared before, is compared once. The members of larger keys are compared
@@ -263,7 +264,8 @@ def _across(members: DataFrame, bits: DataFrame, fetch: Callable[[DataFrame], Da
 def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """(node, root) for every node that is similar to another, as the module's head tells. Empty postings: no rows."""
     led = stage(postings.groupBy("bucket").applyInPandas(_led, LED_DDL), "led")
-    pairs = stage(led.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "pairs")
+    ends = [F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")]
+    pairs = stage(led.select("node", *ends).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("node").alias("node")), "pairs")
 
     bits = bits_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes"))
 
@@ -281,14 +283,25 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
         unstage(items, passed)
         return out
 
-    edges = similar(pairs)
+    def across(df: DataFrame, components: DataFrame) -> DataFrame:
+        """The pairs (a, b) of df that lie in different components."""
+        for side in "ab":
+            df = df.join(components.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+        return df.filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+
+    likeliest = pairs.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    edges = similar(likeliest)
+    found = stage(connected_components(edges), "components")
+    tried = stage(across(pairs, found).join(likeliest, ["a", "b"], "left_anti"), "tried")
+    edges = edges.unionByName(similar(tried))
+    unstage(found, tried)
     found = stage(connected_components(edges), "components")
 
     def rooted(df: DataFrame, name: str, root: str) -> DataFrame:
         return df.join(found.select(F.col("node").alias(name), F.col("root").alias(root)), name, "left").withColumn(root, F.coalesce(root, name))
 
-    open_pairs = rooted(rooted(pairs.join(edges, ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").filter("ra <> rb").select("a", "b")
-    one = led.select("key", "node", "lead", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+    open_pairs = across(pairs, found)
+    one = led.select("key", "node", "lead", *ends)
     keys = one.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     members = one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct()
     members = stage(rooted(members, "node", "root").select("key", "node", "root"), "unsettled")
@@ -296,7 +309,7 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
     few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key", "left_semi")
     many = stage(members.join(sizes.filter(F.col("c") > FEW), "key", "left_semi"), "many")
     one, two = (few.select("key", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     more = similar(listed)
     if not many.isEmpty():
         more = more.unionByName(stage(_across(many, bits, fetch, percent), "links"))
