@@ -17,10 +17,10 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
 2. Components of these links. A key whose members all lie in one component needs nothing more.
 3. Of the other keys, those of at most FEW members list their pairs across components, a bounded number for each member;
    a pair that many keys share, or that was compared before, is compared once. The members of larger keys are compared
-   across components in tiles: they are dealt into blocks of
-   bounded size, each pair of blocks is one task's group, and inside it numpy bounds each pair by its bitmaps. Only the
-   members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
-   that shares a key is lost, and no group is gathered whole.
+   across components in tiles: they are dealt into blocks of bounded size, each pair of blocks is one task's group, and
+   inside it numpy bounds each pair by its bitmaps. Two rounds intersect the likeliest partner of each member and join
+   the components found. Of what is left, the members with a pair that passes get their items, and are dealt into tiles
+   again for the exact intersection. So no pair that shares a key is lost, and no group is gathered whole.
 
 A pair is first bounded from above: a bit that is set for one set only stands for at least one item of it alone, so
 overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly.
@@ -49,6 +49,8 @@ LED_DDL = "key long, node long, lead long"
 CHUNK, BLOCK_ITEMS = 1_000_000, 500_000
 #: Members of a key up to which their pairs are listed: a few for each member. Larger keys go to tiles.
 FEW = 16
+#: Rounds in which each member of a larger key is compared with its likeliest partner, before whole tiles get items.
+ROUNDS = 2
 #: Postings that a bucket holds on average (12 bytes each).
 BUCKET = 500_000
 
@@ -190,22 +192,59 @@ def _by_items(c: dict, i: int, least: int) -> bool:
     return overlap(np.frombuffer(c["items_a"][i], np.uint64), np.frombuffer(c["items_b"][i], np.uint64)) >= least
 
 
-def tile_links(rows: pd.DataFrame, percent: int) -> tuple[list[tuple[int, int]], set[int]]:
-    """Links across components between the two blocks of one tile (side 0 and 1; a diagonal tile has side 0 alone), and
-    the nodes with a pair that the bitmaps let pass. Without items, there are no links.
+def _passing(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The pairs of a tile that lie in different components and that the bitmaps let pass: a row's place, those of its
+    partners, and for each the bound of the overlap as a share of both sizes.
 
-    Bitmaps bound a whole row of pairs at a time. Links found here join components at once, so that a pair that is
-    connected already is not intersected again.
+    A tile's rows are of two blocks (side 0 and 1, in this order), which are compared with each other; a diagonal tile
+    has one side alone, which is compared with itself. A whole row of pairs is bounded at a time.
     """
-    rows = rows.sort_values(["side", "n", "node"], ignore_index=True)
-    n, root, node = (rows[c].to_numpy() for c in ("n", "root", "node"))
-    raw = [np.frombuffer(x, np.uint8) for x in rows["bits"]]
+    n, root, raw = rows["n"].to_numpy(), rows["root"].to_numpy(), [np.frombuffer(x, np.uint8) for x in rows["bits"]]
     size = min(map(len, raw))
     bits = np.stack([folded(x, size) for x in raw]).view(np.uint64)
     ones = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-    sets = [np.frombuffer(x, np.uint64) for x in rows["items"]] if "items" in rows else None
     one_block = rows["side"].iloc[-1] == rows["side"].iloc[0]
     other = int((rows["side"] == 0).sum())
+    for i in range(len(rows) if one_block else other):
+        lo = i + 1 if one_block else other
+        if lo >= len(rows):
+            break
+        least = need(n[i], n[lo:], percent)
+        upper = np.minimum(n[i] - ones[i], n[lo:] - ones[lo:]) + np.bitwise_count(bits[lo:] & bits[i]).sum(axis=1).astype(np.int64)
+        at = np.flatnonzero((upper >= least) & (least <= np.minimum(n[i], n[lo:])) & (root[lo:] != root[i]))
+        if len(at):
+            yield i, at + lo, upper[at] / (n[i] + n[lo:][at])
+
+
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.sort_values(["side", "n", "node"], ignore_index=True)
+
+
+def tile_nearest(rows: pd.DataFrame, percent: int) -> set[tuple[int, int]]:
+    """For each node of a tile with a passing pair, the pair of the highest bound: a few pairs for each node at most."""
+    rows = _in_order(rows)
+    node, best, mate = rows["node"].to_numpy(), np.zeros(len(rows)), np.full(len(rows), -1)
+    for i, at, share in _passing(rows, percent):
+        if (top := share.max()) > best[i]:
+            best[i], mate[i] = top, at[share.argmax()]
+        better = share > best[at]
+        best[at[better]], mate[at[better]] = share[better], i
+    return {(min(x, y), max(x, y)) for i, j in enumerate(mate) if j >= 0 for x, y in [(int(node[i]), int(node[j]))]}
+
+
+def tile_near(rows: pd.DataFrame, percent: int) -> set[int]:
+    """The nodes of a tile with a passing pair."""
+    rows = _in_order(rows)
+    node = rows["node"].to_numpy()
+    return {int(node[x]) for i, at, _ in _passing(rows, percent) for x in (i, *at)}
+
+
+def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between the components of a tile whose rows have items. A link joins components at once, so that a pair
+    that is connected already is not intersected again."""
+    rows = _in_order(rows)
+    n, root, node = (rows[c].to_numpy() for c in ("n", "root", "node"))
+    sets = [np.frombuffer(x, np.uint64) for x in rows["items"]]
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -214,25 +253,14 @@ def tile_links(rows: pd.DataFrame, percent: int) -> tuple[list[tuple[int, int]],
             x = up
         return x
 
-    links, near = [], set()
-    for i in range(len(rows) if one_block else other):
-        lo = i + 1 if one_block else other
-        if lo >= len(rows):
-            break
-        least = need(n[i], n[lo:], percent)
-        both = np.bitwise_count(bits[lo:] & bits[i]).sum(axis=1).astype(np.int64)
-        fits = (np.minimum(n[i] - ones[i], n[lo:] - ones[lo:]) + both >= least) & (least <= np.minimum(n[i], n[lo:])) & (root[lo:] != root[i])
-        at = np.flatnonzero(fits) + lo
-        if sets is None:
-            if len(at):
-                near.update(node[at].tolist(), [int(node[i])])
-            continue
+    links = []
+    for i, at, _ in _passing(rows, percent):
         for j in at:
             a, b = find(int(root[i])), find(int(root[j]))
-            if a != b and overlap(sets[i], sets[j]) >= least[j - lo]:
+            if a != b and overlap(sets[i], sets[j]) >= need(n[i], n[j], percent):
                 parent[max(a, b)] = min(a, b)
                 links.append((int(node[i]), int(node[j])))
-    return links, near
+    return links
 
 
 def _tiled(members: DataFrame) -> DataFrame:
@@ -245,16 +273,24 @@ def _tiled(members: DataFrame) -> DataFrame:
     return dealt.withColumn("tile", tile).withColumn("side", side).drop("blocks", "block", "with")
 
 
-def _across(members: DataFrame, bits: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links between members (key, node, root) of the same key and different components."""
+def _nearest(sized: DataFrame, percent: int) -> DataFrame:
+    """For each node, its likeliest partner in another component, under each of its keys and tiles."""
+
+    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(list(tile_nearest(rows, percent)), columns=["a", "b"]).astype("int64")
+
+    return _tiled(sized).groupBy("key", "tile").applyInPandas(pairs, "a long, b long").distinct()
+
+
+def _across(sized: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links between members (key, node, root, n, bits) of the same key and different components."""
 
     def near(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(rows["key"].iloc[0], x) for x in tile_links(rows, percent)[1]], columns=["key", "node"]).astype("int64")
+        return pd.DataFrame([(rows["key"].iloc[0], x) for x in tile_near(rows, percent)], columns=["key", "node"]).astype("int64")
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(tile_links(rows, percent)[0], columns=["a", "b"]).astype("int64")
+        return pd.DataFrame(tile_links(rows, percent), columns=["a", "b"]).astype("int64")
 
-    sized = stage(members.join(bits, "node"), "members")
     passed = stage(_tiled(sized).groupBy("key", "tile").applyInPandas(near, "key long, node long").distinct(), "passed")
     items = stage(fetch(stage(passed.select("node").distinct(), "nodes")), "items")
     rest = _tiled(sized.join(passed, ["key", "node"], "left_semi")).join(items, "node")
@@ -307,12 +343,30 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
     members = stage(rooted(members, "node", "root").select("key", "node", "root"), "unsettled")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))  # with two members, the pair has been compared
     few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key", "left_semi")
-    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key", "left_semi"), "many")
+    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key", "left_semi").select("key", "node"), "many")
     one, two = (few.select("key", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
     listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more = similar(listed)
-    if not many.isEmpty():
-        more = more.unionByName(stage(_across(many, bits, fetch, percent), "links"))
-    out = stage(connected_components(edges.unionByName(more)), "components")
-    unstage(led, pairs, found, members, many)
-    return out
+    edges = edges.unionByName(similar(listed))
+
+    def unsettled() -> DataFrame:
+        """Members of large keys whose members lie in several components, with their roots, sizes and bitmaps."""
+        now = many.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        keys = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+        return stage(now.join(keys, "key", "left_semi").join(bits, "node"), "members")
+
+    tried = listed.limit(0)
+    for left in range(ROUNDS, -1, -1):
+        found = stage(connected_components(edges), "components")
+        sized = unsettled()
+        if sized.isEmpty():
+            break
+        if left:
+            fresh = stage(_nearest(sized, percent).join(tried, ["a", "b"], "left_anti"), "nearest")
+            tried = tried.unionByName(fresh)
+            edges = edges.unionByName(similar(fresh))
+        else:
+            edges = edges.unionByName(stage(_across(sized, fetch, percent), "links"))
+            found = stage(connected_components(edges), "components")
+        unstage(sized)
+    unstage(led, pairs, members, many)
+    return found
