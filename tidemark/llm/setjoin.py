@@ -16,11 +16,12 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
    the postings, whatever the group sizes.
 2. Components of these links. A key whose members all lie in one component needs nothing more.
 3. Of the other keys, those of at most FEW members list their pairs across components, a bounded number for each member;
-   a pair that many keys share, or that was compared before, is compared once. The members of larger keys are compared
-   across components in tiles: they are dealt into blocks of bounded size, each pair of blocks is one task's group, and
-   inside it numpy bounds each pair by its bitmaps. Two rounds intersect the likeliest partner of each member and join
-   the components found. Of what is left, the members with a pair that passes get their items, and are dealt into tiles
-   again for the exact intersection. So no pair that shares a key is lost, and no group is gathered whole.
+   a pair that many keys share, or that was compared before, is compared once. Larger keys that have the same least node
+   are one group, so that a pair that shares hundreds of keys is compared once for each such node, not for each key. A
+   group is dealt into bands of sizes that grow by the similarity, of which only neighbours can match, a band into
+   blocks of bounded size; each pair of blocks is one tile, and inside it numpy bounds each pair across components by
+   its bitmaps. The members with a pair that passes get their items, and are dealt into tiles again for the exact
+   intersection. So no pair that shares a key is lost, and no group is gathered whole.
 
 A pair is first bounded from above: a bit that is set for one set only stands for at least one item of it alone, so
 overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly.
@@ -49,8 +50,6 @@ LED_DDL = "key long, node long, lead long"
 CHUNK, BLOCK_ITEMS = 1_000_000, 500_000
 #: Members of a key up to which their pairs are listed: a few for each member. Larger keys go to tiles.
 FEW = 16
-#: Rounds in which each member of a larger key is compared with its likeliest partner, before whole tiles get items.
-ROUNDS = 2
 #: Postings that a bucket holds on average (12 bytes each).
 BUCKET = 500_000
 
@@ -192,51 +191,47 @@ def _by_items(c: dict, i: int, least: int) -> bool:
     return overlap(np.frombuffer(c["items_a"][i], np.uint64), np.frombuffer(c["items_b"][i], np.uint64)) >= least
 
 
-def _passing(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The pairs of a tile that lie in different components and that the bitmaps let pass: a row's place, those of its
-    partners, and for each the bound of the overlap as a share of both sizes.
+def _passing(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The pairs of a tile that lie in different components and that the bitmaps let pass: a row's place and those of
+    its partners.
 
-    A tile's rows are of two blocks (side 0 and 1, in this order), which are compared with each other; a diagonal tile
-    has one side alone, which is compared with itself. A whole row of pairs is bounded at a time.
+    A tile's rows are of two blocks (side 0 and 1), which are compared with each other; a diagonal tile has one side
+    alone, which is compared with itself. A whole row of pairs is bounded at a time. Rows of the tile's largest
+    component, which come last within their side, are not compared with each other.
     """
     n, root, raw = rows["n"].to_numpy(), rows["root"].to_numpy(), [np.frombuffer(x, np.uint8) for x in rows["bits"]]
     size = min(map(len, raw))
     bits = np.stack([folded(x, size) for x in raw]).view(np.uint64)
-    ones = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    alone = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
     one_block = rows["side"].iloc[-1] == rows["side"].iloc[0]
     other = int((rows["side"] == 0).sum())
-    for i in range(len(rows) if one_block else other):
-        lo = i + 1 if one_block else other
-        if lo >= len(rows):
-            break
-        least = need(n[i], n[lo:], percent)
-        upper = np.minimum(n[i] - ones[i], n[lo:] - ones[lo:]) + np.bitwise_count(bits[lo:] & bits[i]).sum(axis=1).astype(np.int64)
-        at = np.flatnonzero((upper >= least) & (least <= np.minimum(n[i], n[lo:])) & (root[lo:] != root[i]))
+    largest = rows["largest"].to_numpy()
+    stop = int(np.flatnonzero(~largest)[-1]) + 1 if not largest.all() else 0  # after it, all are of the largest
+    for i in range(stop if one_block else other):
+        lo, hi = (i + 1 if one_block else other), (stop if largest[i] else len(rows))
+        if lo >= hi:
+            continue
+        least = need(n[i], n[lo:hi], percent)
+        at = np.flatnonzero((least <= np.minimum(n[i], n[lo:hi])) & (root[lo:hi] != root[i])) + lo
+        if not len(at):
+            continue
+        upper = np.minimum(alone[i], alone[at]) + np.bitwise_count(bits[at] & bits[i]).sum(axis=1).astype(np.int64)
+        at = at[upper >= least[at - lo]]
         if len(at):
-            yield i, at + lo, upper[at] / (n[i] + n[lo:][at])
+            yield i, at
 
 
 def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.sort_values(["side", "n", "node"], ignore_index=True)
-
-
-def tile_nearest(rows: pd.DataFrame, percent: int) -> set[tuple[int, int]]:
-    """For each node of a tile with a passing pair, the pair of the highest bound: a few pairs for each node at most."""
-    rows = _in_order(rows)
-    node, best, mate = rows["node"].to_numpy(), np.zeros(len(rows)), np.full(len(rows), -1)
-    for i, at, share in _passing(rows, percent):
-        if (top := share.max()) > best[i]:
-            best[i], mate[i] = top, at[share.argmax()]
-        better = share > best[at]
-        best[at[better]], mate[at[better]] = share[better], i
-    return {(min(x, y), max(x, y)) for i, j in enumerate(mate) if j >= 0 for x, y in [(int(node[i]), int(node[j]))]}
+    """By side; within it, the rows of the tile's largest component last."""
+    rows = rows.assign(largest=rows["root"] == rows["root"].value_counts().index[0])
+    return rows.sort_values(["side", "largest", "n", "node"], ignore_index=True)
 
 
 def tile_near(rows: pd.DataFrame, percent: int) -> set[int]:
     """The nodes of a tile with a passing pair."""
     rows = _in_order(rows)
     node = rows["node"].to_numpy()
-    return {int(node[x]) for i, at, _ in _passing(rows, percent) for x in (i, *at)}
+    return {int(node[x]) for i, at in _passing(rows, percent) for x in (i, *at)}
 
 
 def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
@@ -254,7 +249,7 @@ def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         return x
 
     links = []
-    for i, at, _ in _passing(rows, percent):
+    for i, at in _passing(rows, percent):
         for j in at:
             a, b = find(int(root[i])), find(int(root[j]))
             if a != b and overlap(sets[i], sets[j]) >= need(n[i], n[j], percent):
@@ -263,38 +258,41 @@ def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _tiled(members: DataFrame) -> DataFrame:
-    """members (key, node, root, n, ..) dealt into blocks, each with every block of its key: columns tile and side."""
-    blocks = members.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "key").withColumn("block", F.expr("pmod(xxhash64(node, 7), blocks)").cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
-    tile = F.struct(F.least("block", "with").alias("p"), F.greatest("block", "with").alias("q"))
-    side = F.when(F.col("tile.p") == F.col("tile.q"), 0).otherwise((F.col("block") == F.col("tile.q")).cast("int"))
-    return dealt.withColumn("tile", tile).withColumn("side", side).drop("blocks", "block", "with")
-
-
-def _nearest(sized: DataFrame, percent: int) -> DataFrame:
-    """For each node, its likeliest partner in another component, under each of its keys and tiles."""
-
-    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(tile_nearest(rows, percent)), columns=["a", "b"]).astype("int64")
-
-    return _tiled(sized).groupBy("key", "tile").applyInPandas(pairs, "a long, b long").distinct()
+def _tiled(members: DataFrame, percent: int) -> DataFrame:
+    """members (lead, node, root, n, ..) of groups by lead, dealt into bands of sizes and these into blocks, each with
+    every block of its own band and of the next: columns tile and side. The sizes of two similar sets differ at most by
+    a factor of 100 / percent, which is a band's width, so they lie in the same band or in neighbouring ones."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)) * (1 + 1e-9))).cast("int")  # a bit wider
+    members = members.withColumn("band", band)
+    blocks = members.groupBy("lead", "band").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
+    after = blocks.select("lead", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
+    before = blocks.select("lead", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
+    counts = blocks.join(after, ["lead", "band"], "left").join(before, ["lead", "band"], "left").na.fill(0)
+    dealt = members.join(counts, ["lead", "band"]).withColumn("block", F.expr("pmod(xxhash64(node, 7), blocks)").cast("int"))
+    own = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda q: F.struct(F.col("band").alias("band"), F.least("block", q).alias("p"), F.greatest("block", q).alias("q"), F.lit(0).alias("next"), F.when(F.col("block") > q, 1).otherwise(0).alias("side")))
+    up = F.transform(F.sequence(F.lit(1), F.col("above")), lambda q: F.struct(F.col("band").alias("band"), F.col("block").alias("p"), (q - 1).alias("q"), F.lit(1).alias("next"), F.lit(0).alias("side")))
+    down = F.transform(F.sequence(F.lit(1), F.col("below")), lambda p: F.struct((F.col("band") - 1).alias("band"), (p - 1).alias("p"), F.col("block").alias("q"), F.lit(1).alias("next"), F.lit(1).alias("side")))
+    none = F.array().cast("array<struct<band:int,p:int,q:int,next:int,side:int>>")
+    tiles = F.concat(own, F.when(F.col("above") > 0, up).otherwise(none), F.when(F.col("below") > 0, down).otherwise(none))
+    out = dealt.withColumn("t", F.explode(tiles)).withColumn("tile", F.struct("t.band", "t.p", "t.q", "t.next")).withColumn("side", F.col("t.side"))
+    return out.drop("band", "blocks", "above", "below", "block", "t")
 
 
 def _across(sized: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links between members (key, node, root, n, bits) of the same key and different components."""
+    """Links between members (lead, node, root, n, bits) of the same group and different components."""
 
     def near(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(rows["key"].iloc[0], x) for x in tile_near(rows, percent)], columns=["key", "node"]).astype("int64")
+        return pd.DataFrame([(rows["lead"].iloc[0], x) for x in tile_near(rows, percent)], columns=["lead", "node"]).astype("int64")
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(tile_links(rows, percent), columns=["a", "b"]).astype("int64")
 
-    passed = stage(_tiled(sized).groupBy("key", "tile").applyInPandas(near, "key long, node long").distinct(), "passed")
+    passed = stage(_tiled(sized, percent).groupBy("lead", "tile").applyInPandas(near, "lead long, node long").distinct(), "passed")
     items = stage(fetch(stage(passed.select("node").distinct(), "nodes")), "items")
-    rest = _tiled(sized.join(passed, ["key", "node"], "left_semi")).join(items, "node")
-    return rest.groupBy("key", "tile").applyInPandas(links, "a long, b long").distinct()
+    rest = _tiled(sized.join(passed, ["lead", "node"], "left_semi"), percent).join(items, "node")
+    out = stage(rest.groupBy("lead", "tile").applyInPandas(links, "a long, b long").distinct(), "links")
+    unstage(passed, items)
+    return out
 
 
 def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
@@ -341,32 +339,17 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch:
     keys = one.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
     members = one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct()
     members = stage(rooted(members, "node", "root").select("key", "node", "root"), "unsettled")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))  # with two members, the pair has been compared
-    few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key", "left_semi")
-    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key", "left_semi").select("key", "node"), "many")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("lead"))
+    few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key").drop("lead")  # with two members, the pair has been compared
+    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key").select("lead", "node").distinct(), "many")
     one, two = (few.select("key", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
     listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     edges = edges.unionByName(similar(listed))
 
-    def unsettled() -> DataFrame:
-        """Members of large keys whose members lie in several components, with their roots, sizes and bitmaps."""
-        now = many.join(found, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        keys = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-        return stage(now.join(keys, "key", "left_semi").join(bits, "node"), "members")
-
-    tried = listed.limit(0)
-    for left in range(ROUNDS, -1, -1):
-        found = stage(connected_components(edges), "components")
-        sized = unsettled()
-        if sized.isEmpty():
-            break
-        if left:
-            fresh = stage(_nearest(sized, percent).join(tried, ["a", "b"], "left_anti"), "nearest")
-            tried = tried.unionByName(fresh)
-            edges = edges.unionByName(similar(fresh))
-        else:
-            edges = edges.unionByName(stage(_across(sized, fetch, percent), "links"))
-            found = stage(connected_components(edges), "components")
-        unstage(sized)
-    unstage(led, pairs, members, many)
-    return found
+    now = many.join(found, "node", "left").select("lead", "node", F.coalesce("root", "node").alias("root"))
+    groups = now.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("lead")
+    sized = stage(now.join(groups, "lead", "left_semi").join(bits, "node"), "members")
+    if not sized.isEmpty():
+        edges = edges.unionByName(_across(sized, fetch, percent))
+    unstage(led, pairs, members, many, sized)
+    return stage(connected_components(edges), "components")
