@@ -16,6 +16,7 @@ from .mixing import mix_sources, n_words, taken
 from .ngram_join import jaccard_groups
 from .quality_rules import quality_rules
 from .sharding import shard
+from .sql import SQL  # noqa: F401  (the driver entry reads it here)
 from .token_count import token_counts
 from .toxicity import held_out, toxicity, train
 from .url_filter import url_filter
