@@ -133,6 +133,17 @@ def test_contaminated(spark):
     assert contaminated(docs, bench.limit(0)).count() == 0 == contaminated(docs.limit(0), bench).count()
 
 
+def test_contaminated_in_any_case(spark):
+    q = "Then Maria Straße and Petra Lindt met Karl Ebert in Bonn , and Otto Kern gave Maria 12 apples for the Long Walk Home"
+    numbers = "4 8 15 16 23 42 108 316 1000 2000"
+    shout = "THE WHOLE ITEM STANDS IN CAPITALS FROM ITS FIRST WORD TO THE LAST ONE"
+    rows = [q, q.upper(), q.lower(), q.replace("12", "31").upper(), numbers, shout, shout.lower(), numbers.replace("15", "17"), "NOTHING OF ALL THAT STANDS IN THIS ROW , NOT A LINE OF IT AT ALL"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, q), (8, numbers), (9, shout)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.coverage, r.verbatim) for r in contaminated(docs, bench).collect()}
+    assert got == {(0, 7): (1.0, True), (1, 7): (1.0, True), (2, 7): (1.0, True), (3, 7): (1.0, False), (4, 8): (1.0, True), (5, 9): (1.0, True), (6, 9): (1.0, True)}
+
+
 def test_license_scan(spark):
     rows = [(1, "x y z Released under the MIT License. more"), (2, "All rights reserved"), (3, "the license of the work"), (4, None), (None, "word " * 50 + "licensed under cc by-nc 4.0")]
     got = {(r.doc_id, r.license) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

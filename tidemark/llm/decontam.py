@@ -3,7 +3,9 @@
 A text becomes tokens (numbers with their decimals, runs of letters). A number, a capitalised word (a name, or the start
 of a sentence) and a unit after a number become typed placeholders; other words are lower-cased. Windows of WIDTH such
 tokens are hashed and joined with the benchmark's windows, so a question with other numbers, names or units still
-matches. Matches of one alignment are then held together: the slots' values must correspond one to one (the same name
+matches. As the placeholder of a name depends on the text's case, each window is hashed in two more forms without case:
+with placeholders for numbers and units alone, and word for word. So a copy in capitals or in lower case matches as well,
+but for those of its windows in which a name was changed too. Matches of one alignment are then held together: the slots' values must correspond one to one (the same name
 always became the same other name), which separates a re-parameterised question from a mere likeness of form. An item is
 found in a text if consistent matches cover MIN_COVER of its windows.
 """
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import is_small, keys_hint, stage
 
-#: Tokens of a window; literal words that a window needs; tokens that an item needs; share of an item's windows.
+#: Tokens of a window; literal words that a window needs outside the literal form; tokens that an item needs; share of an item's windows.
 WIDTH, MIN_LITERAL, MIN_TOKENS, MIN_COVER = 8, 3, 4, 0.3
 #: Benchmark windows (some 50 bytes each) up to which they are broadcast; beyond, the join is shuffled.
 BROADCAST_ROWS = 500_000
@@ -25,6 +27,8 @@ UNITS = (
     "kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour "
     "hours day days week weeks month months year years k c f degree degrees percent dollar dollars euro euros cent cents mph kmh watt watts volt volts"
 ).split()
+#: What a window is hashed by: with placeholders; with those for numbers and units alone; by its words and numbers.
+FORMS = ("template", "caseless", "literal")
 TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+"
 
 
@@ -36,38 +40,57 @@ def is_number(token: Column) -> Column:
     return token < ":"  # tokens start with a digit or a letter
 
 
-def template_of(token: Column, before: Column) -> Column:
-    """The placeholder of a token, or the word itself in lower case. before: the token ahead, or null."""
-    low = F.lower(token)
-    unit = low.isin(*UNITS) & F.coalesce(is_number(before), F.lit(False))
-    return F.when(is_number(token), "#number").when(unit, "#unit").when(low != token, "#name").otherwise(low)
+def fold(token: Column) -> Column:
+    """A token without its case; by way of upper case, which joins letters (ß and ss, final sigma) that lower case parts.
+    Spark would take lower(upper(x)) for lower(x), hence the concat."""
+    return F.lower(F.concat(F.upper(token), F.lit("")))
 
 
-def with_templates(df: DataFrame, text: Column) -> DataFrame:
-    """df with tokens array<string> and shapes array<long>, the hashes of their templates."""
+def with_shapes(df: DataFrame, text: Column) -> DataFrame:
+    """df with tokens array<string>, told (for each token: number, unit after a number, name, hash of the word) and one
+    array<long> of hashes for each form."""
     df = df.withColumn("tokens", tokens_of(text))
-    return df.withColumn("shapes", F.transform("tokens", lambda t, i: F.xxhash64(template_of(t, F.get("tokens", i - 1)))))
+    unit = lambda t, i: fold(t).isin(*UNITS) & F.coalesce(is_number(F.get("tokens", i - 1)), F.lit(False))
+    df = df.withColumn("told", F.transform("tokens", lambda t, i: F.struct(is_number(t).alias("number"), unit(t, i).alias("unit"), (F.lower(t) != t).alias("name"), F.xxhash64(fold(t)).alias("word"))))
+    fixed = lambda x: F.when(x["number"], F.xxhash64(F.lit("#number"))).when(x["unit"], F.xxhash64(F.lit("#unit")))
+    return df.withColumns({
+        "template": F.transform("told", lambda x: fixed(x).when(x["name"], F.xxhash64(F.lit("#name"))).otherwise(x["word"])),
+        "caseless": F.transform("told", lambda x: fixed(x).otherwise(x["word"])),
+        "literal": F.transform("told", lambda x: x["word"]),
+    })
+
+
+def with_fours(df: DataFrame) -> DataFrame:
+    """df with each form's hashes of single tokens made into hashes of four; the last three of a text stand for fewer."""
+    for span in (1, 2):
+        df = df.withColumns({f: F.zip_with(f, F.slice(f, span + 1, F.size(f)), lambda a, b: F.xxhash64(a, b)) for f in FORMS})
+    return df
 
 
 def windows_of(width: int) -> Column:
-    """Hashes of all windows of `width` shapes."""
-    one = lambda i: F.xxhash64(*[F.get("shapes", i + k) for k in range(width)], F.lit(width))
-    return F.when(F.size("shapes") >= width, F.transform(F.sequence(F.lit(0), F.size("shapes") - width), one)).otherwise(F.array().cast("array<bigint>"))
+    """For each window of `width` tokens (MIN_TOKENS = 4 to 8): its hash in each form, made of those of its first and last four."""
+    count = F.greatest(F.size("tokens") - width + 1, F.lit(0))
+    one = lambda f: F.slice(F.zip_with(f, F.slice(f, width - 3, F.size(f)), lambda a, b: F.xxhash64(a, b, F.lit(width))), F.lit(1), count).alias(f)
+    return F.arrays_zip(*[one(f) for f in FORMS])
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item, of, width, at, hash, words): every usable window of every item, with its tokens and how many the item has."""
-    items = with_templates(benchmark.select(F.col(id_col).alias("item"), F.col(text_col).alias("text")), F.col("text"))
+    """(item, of, of_template, width, at, hash, words, slots, plain): every window of every item by the hash of each form
+    that it is usable in, with its words, how many windows the item has, and how many usable templates (plain)."""
+    items = with_fours(with_shapes(benchmark.select(F.col(id_col).alias("item"), F.col(text_col).alias("text")), F.col("text")))
     items = items.filter((F.size("tokens") >= MIN_TOKENS) & F.col("item").isNotNull()).withColumn("width", F.least(F.size("tokens"), F.lit(WIDTH)))
-    by_width = F.lit(None).cast("array<bigint>")
-    for width in range(MIN_TOKENS, WIDTH + 1):
-        by_width = F.when(F.col("width") == width, windows_of(width)).otherwise(by_width)
-    out = items.select("item", "width", "tokens", F.posexplode_outer(by_width).alias("at", "hash")).filter("hash is not null")
-    out = out.withColumn("words", F.expr("slice(tokens, at + 1, width)")).withColumn("ahead", F.get("tokens", F.col("at") - 1)).drop("tokens")
-    kinds = F.transform("words", lambda t, i: template_of(t, F.when(i == 0, F.col("ahead")).otherwise(F.get("words", i - 1))))
-    out = out.withColumn("slots", F.transform(kinds, lambda k: k.startswith("#"))).filter(F.size(F.filter("slots", lambda s: ~s)) >= F.least(F.lit(MIN_LITERAL), F.col("width") - 1))
-    n = out.groupBy("item").agg(F.count_distinct("at").alias("of"))
-    return out.drop("ahead").join(n, "item")
+    by_width = F.when(F.col("width") == WIDTH, windows_of(WIDTH))
+    for width in range(MIN_TOKENS, WIDTH):
+        by_width = by_width.when(F.col("width") == width, windows_of(width))
+    out = items.select("item", "width", "tokens", "told", F.posexplode(by_width).alias("at", "form"))
+    out = out.withColumn("words", F.transform(F.expr("slice(tokens, at + 1, width)"), fold)).withColumn("told", F.expr("slice(told, at + 1, width)"))
+    out = out.withColumn("slots", F.transform("told", lambda x: x["number"] | x["unit"] | x["name"]))
+    enough = lambda slot: F.size(F.filter("told", lambda x: ~slot(x))) >= F.least(F.lit(MIN_LITERAL), F.col("width") - 1)
+    out = out.withColumn("plain", enough(lambda x: x["number"] | x["unit"] | x["name"]))
+    usable = F.array(F.when(F.col("plain"), F.col("form.template")), F.when(enough(lambda x: x["number"] | x["unit"]), F.col("form.caseless")), F.col("form.literal"))
+    n = out.groupBy("item").agg(F.count_distinct("at").alias("of"), F.count_distinct(F.when(F.col("plain"), F.col("at"))).alias("of_template"))
+    out = out.withColumn("hash", F.explode(F.array_distinct(F.array_compact(usable))))
+    return out.drop("tokens", "told", "form").distinct().join(n, "item")
 
 
 def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
@@ -76,27 +99,32 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
     small = is_small(bench, BROADCAST_ROWS)
     hint = F.broadcast if small else (lambda df: df)
     widths = sorted(r.width for r in bench.select("width").distinct().collect())  # MIN_TOKENS to WIDTH at most
-    shaped = with_templates(rows.filter("text is not null").select("k1", "k2", "text"), F.col("text"))
+    shaped = with_fours(with_shapes(rows.filter("text is not null").select("k1", "k2", "text"), F.col("text"))).select("k1", "k2", "tokens", *FORMS)
     found = None
+    x, y, z = (F.col(f"form.{f}") for f in FORMS)  # equal ones once
+    differing = F.when((x == y) & (y == z), F.array(x)).when(x == y, F.array(x, z)).when(y == z, F.array(x, y)).otherwise(F.array(x, y, z))
     for width in widths or [WIDTH]:
         # outer, since a filter on the array would be pushed down, and there compute the shapes anew for each window
-        wide = shaped.select("k1", "k2", F.posexplode_outer(windows_of(width)).alias("pos", "hash"))
-        hits = wide.join(hint(bench.filter(F.col("width") == width).select("hash", "item", "at")), "hash").drop("hash")
+        wide = shaped.select("k1", "k2", F.posexplode_outer(windows_of(width)).alias("pos", "form"))
+        wide = wide.select("k1", "k2", "pos", F.explode(differing).alias("hash"))
+        hits = wide.join(hint(bench.filter(F.col("width") == width).select("hash", "item", "at").distinct()), "hash").drop("hash")
         found = hits if found is None else found.unionByName(hits)
     found = stage(found.distinct(), "hits")
     holders = keys_hint(stage(found.select("k1", "k2").distinct(), "holders"))
-    texts = with_templates(rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), F.col("text")).select("k1", "k2", "tokens")
+    texts = rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", F.transform(tokens_of(F.col("text")), fold).alias("tokens"))
     runs = found.groupBy("k1", "k2", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(F.collect_list(F.struct("pos", "at")).alias("hits"))
     slim = runs.join(texts, ["k1", "k2"]).select("k1", "k2", "item", "shift", F.explode("hits").alias("h"), "tokens")
     slim = slim.select("k1", "k2", "item", "shift", F.col("h.at").alias("at"), F.slice("tokens", F.col("h.pos") + 1, F.lit(WIDTH)).alias("theirs"))
-    both = slim.join(hint(bench.select("item", "at", "words", "slots", "of")), ["item", "at"])
+    both = slim.join(hint(bench.select("item", "at", "words", "slots", "plain", "of", "of_template").distinct()), ["item", "at"])
     pairs = F.filter(F.arrays_zip("words", "theirs", "slots"), lambda p: p["slots"])
     keys = ["k1", "k2", "item", "shift"]
     slots = both.select(*keys, F.explode_outer(F.transform(pairs, lambda p: F.struct(p["words"].alias("w"), p["theirs"].alias("t")))).alias("p"))
     held = slots.groupBy(*keys).agg(F.count_distinct("p").alias("n"), F.count_distinct("p.w").alias("n_w"), F.count_distinct("p.t").alias("n_t"), F.coalesce(F.bool_and(F.col("p.w") == F.col("p.t")), F.lit(True)).alias("verbatim"))
     good = held.filter("n = n_w and n = n_t").select(*keys, "verbatim")
-    cover = both.select(*keys, "at", "of").join(good, keys).groupBy("k1", "k2", "item").agg(F.count_distinct("at").alias("n_windows"), F.first("of").alias("of"), F.bool_and("verbatim").alias("verbatim"))
-    cover = cover.withColumn("coverage", F.col("n_windows") / F.col("of")).filter(F.col("coverage") >= MIN_COVER)
+    shown = both.select(*keys, "at", "plain", "of", "of_template").join(good, keys)
+    cover = shown.groupBy("k1", "k2", "item").agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("plain"), F.col("at"))).alias("n_template"), F.first("of").alias("of"), F.first("of_template").alias("of_template"), F.bool_and("verbatim").alias("verbatim"))
+    share = F.greatest(F.col("n_windows") / F.col("of"), F.when(F.col("of_template") > 0, F.col("n_template") / F.col("of_template")))
+    cover = cover.withColumn("coverage", share).filter(F.col("coverage") >= MIN_COVER)
     return stage(cover.select("k1", "k2", "item", "n_windows", "coverage", "verbatim"), "cover")
 
 
@@ -109,7 +137,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The benchmark items that each text holds, word for word or re-parameterised.
 
     Returns one row per row of docs and item found in it: id_col, item_col, n_windows long (distinct windows of the item
-    found), coverage double (their share), verbatim boolean (all slots of the matches have the benchmark's own values).
+    found), coverage double (their share of the item's windows, or of those with a usable template if that is more), verbatim
+    boolean (all slots of the matches have the benchmark's own values, their case aside).
 
     Null and empty texts hold nothing; null ids are returned as null. Items without id, or of fewer than MIN_TOKENS
     tokens, are not looked for; items shorter than a window are one window. Items with equal id count together. Repeated
