@@ -144,6 +144,18 @@ def test_contaminated_in_any_case(spark):
     assert got == {(0, 7): (1.0, True), (1, 7): (1.0, True), (2, 7): (1.0, True), (3, 7): (1.0, False), (4, 8): (1.0, True), (5, 9): (1.0, True), (6, 9): (1.0, True)}
 
 
+def test_contaminated_despite_a_clash(spark):
+    q = "a farmer has 12 apples and gives 5 apples to Maria before she walks 3 km home with the rest of them"
+    torn = q.replace("12 apples", "8 apples").replace("5 apples", "8 apples")
+    twice = "the clerk counts 7 boxes in the hall and then finds 7 more of these in the yard behind it"
+    long = f"Anna said that {q} and then Maria went on to the market with the others as Anna had asked her to"
+    rows = [torn, twice.replace("7 boxes", "8 boxes").replace("7 more", "9 more"), long.replace("Anna said", "Petra said")]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate([q, twice, long])), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.coverage, r.verbatim) for r in contaminated(docs, bench).collect()}
+    assert got[0, 0] == (1.0, False) and got[1, 1][0] > 0.7 and got[2, 2][0] == 1.0
+
+
 def test_license_scan(spark):
     rows = [(1, "x y z Released under the MIT License. more"), (2, "All rights reserved"), (3, "the license of the work"), (4, None), (None, "word " * 50 + "licensed under cc by-nc 4.0")]
     got = {(r.doc_id, r.license) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -5,9 +5,11 @@ of a sentence) and a unit after a number become typed placeholders; other words
 tokens are hashed and joined with the benchmark's windows, so a question with other numbers, names or units still
 matches. As the placeholder of a name depends on the text's case, each window is hashed in two more forms without case:
 with placeholders for numbers and units alone, and word for word. So a copy in capitals or in lower case matches as well,
-but for those of its windows in which a name was changed too. Matches of one alignment are then held together: the slots' values must correspond one to one (the same name
-always became the same other name), which separates a re-parameterised question from a mere likeness of form. An item is
-found in a text if consistent matches cover MIN_COVER of its windows.
+but for those of its windows in which a name was changed too. A window whose slots have
+the benchmark's own values counts always. In any other the values must correspond: the same name or unit became the same
+other one and two never became one, and the same number the same other number, which separates a re-parameterised
+question from a mere likeness of form. The verdict is each window's own, so a clash costs only the windows that hold it.
+An item is found in a text if such windows cover MIN_COVER of its own.
 """
 
 from __future__ import annotations
@@ -84,7 +86,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
         by_width = by_width.when(F.col("width") == width, windows_of(width))
     out = items.select("item", "width", "tokens", "told", F.posexplode(by_width).alias("at", "form"))
     out = out.withColumn("words", F.transform(F.expr("slice(tokens, at + 1, width)"), fold)).withColumn("told", F.expr("slice(told, at + 1, width)"))
-    out = out.withColumn("slots", F.transform("told", lambda x: x["number"] | x["unit"] | x["name"]))
+    out = out.withColumn("slots", F.transform("told", lambda x: F.when(x["number"], "number").when(x["unit"] | x["name"], "name")))
     enough = lambda slot: F.size(F.filter("told", lambda x: ~slot(x))) >= F.least(F.lit(MIN_LITERAL), F.col("width") - 1)
     out = out.withColumn("plain", enough(lambda x: x["number"] | x["unit"] | x["name"]))
     usable = F.array(F.when(F.col("plain"), F.col("form.template")), F.when(enough(lambda x: x["number"] | x["unit"]), F.col("form.caseless")), F.col("form.literal"))
@@ -93,6 +95,18 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
     return out.drop("tokens", "told", "form").distinct().join(n, "item")
 
 
+def fits(pairs: str) -> Column:
+    """Whether a window's slots correspond: names and units one to one; a number always became the same number, but two
+    may have become equal. Other words must be the same."""
+    def one_to(column: str, kind: str) -> Column:
+        of = F.filter(pairs, lambda p: p["slots"] == kind)
+        distinct = lambda *names: F.size(F.array_distinct(F.transform(of, lambda p: F.struct(*[p[n].alias(n) for n in names]))))
+        return distinct("words", "theirs") == distinct(column)
+
+    words = F.forall(pairs, lambda p: p["slots"].isNotNull() | (p["words"] == p["theirs"]))
+    return words & one_to("words", "number") & one_to("words", "name") & one_to("theirs", "name")
+
+
 def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
     """(k1, k2, item, n_windows, coverage, verbatim) for every distinct text of rows (k1, k2, text) that holds an item."""
     bench = stage(benchmark_windows(benchmark, item_col, item_text_col), "bench")
@@ -116,12 +130,9 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
     slim = runs.join(texts, ["k1", "k2"]).select("k1", "k2", "item", "shift", F.explode("hits").alias("h"), "tokens")
     slim = slim.select("k1", "k2", "item", "shift", F.col("h.at").alias("at"), F.slice("tokens", F.col("h.pos") + 1, F.lit(WIDTH)).alias("theirs"))
     both = slim.join(hint(bench.select("item", "at", "words", "slots", "plain", "of", "of_template").distinct()), ["item", "at"])
-    pairs = F.filter(F.arrays_zip("words", "theirs", "slots"), lambda p: p["slots"])
-    keys = ["k1", "k2", "item", "shift"]
-    slots = both.select(*keys, F.explode_outer(F.transform(pairs, lambda p: F.struct(p["words"].alias("w"), p["theirs"].alias("t")))).alias("p"))
-    held = slots.groupBy(*keys).agg(F.count_distinct("p").alias("n"), F.count_distinct("p.w").alias("n_w"), F.count_distinct("p.t").alias("n_t"), F.coalesce(F.bool_and(F.col("p.w") == F.col("p.t")), F.lit(True)).alias("verbatim"))
-    good = held.filter("n = n_w and n = n_t").select(*keys, "verbatim")
-    shown = both.select(*keys, "at", "plain", "of", "of_template").join(good, keys)
+    pairs = F.arrays_zip("words", F.expr("slice(theirs, 1, size(words))").alias("theirs"), "slots")
+    both = both.select("k1", "k2", "item", "shift", "at", "plain", "of", "of_template", pairs.alias("pairs"))
+    shown = both.withColumn("verbatim", F.forall("pairs", lambda p: p["words"] == p["theirs"])).filter(F.col("verbatim") | fits("pairs"))
     cover = shown.groupBy("k1", "k2", "item").agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("plain"), F.col("at"))).alias("n_template"), F.first("of").alias("of"), F.first("of_template").alias("of_template"), F.bool_and("verbatim").alias("verbatim"))
     share = F.greatest(F.col("n_windows") / F.col("of"), F.when(F.col("of_template") > 0, F.col("n_template") / F.col("of_template")))
     cover = cover.withColumn("coverage", share).filter(F.col("coverage") >= MIN_COVER)
