@@ -156,6 +156,17 @@ def test_contaminated_despite_a_clash(spark):
     assert got[0, 0] == (1.0, False) and got[1, 1][0] > 0.7 and got[2, 2][0] == 1.0
 
 
+def test_contaminated_by_an_excerpt_of_a_long_item(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    words[210] = "12"
+    part = lambda n: " ".join(["other", "words", *words[200 : 200 + n], "go", "on"])
+    rows = [part(60), part(13), part(12), part(60).replace("12", "31"), " ".join(x for i in range(0, 390, 30) for x in [*words[i : i + 9], "gap"])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: (r.n_windows, r.verbatim) for r in contaminated(docs, bench).collect()}
+    assert got == {0: (53, True), 1: (6, True), 3: (53, False)}
+
+
 def test_license_scan(spark):
     rows = [(1, "x y z Released under the MIT License. more"), (2, "All rights reserved"), (3, "the license of the work"), (4, None), (None, "word " * 50 + "licensed under cc by-nc 4.0")]
     got = {(r.doc_id, r.license) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}

@@ -9,7 +9,8 @@ but for those of its windows in which a name was changed too. A window whose slo
 the benchmark's own values counts always. In any other the values must correspond: the same name or unit became the same
 other one and two never became one, and the same number the same other number, which separates a re-parameterised
 question from a mere likeness of form. The verdict is each window's own, so a clash costs only the windows that hold it.
-An item is found in a text if such windows cover MIN_COVER of its own.
+An item is found in a text if such windows cover MIN_COVER of its own, or if an unbroken run of them holds RUN tokens
+that are the benchmark's own, however long the item is.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import is_small, keys_hint, stage
 
-#: Tokens of a window; literal words that a window needs outside the literal form; tokens that an item needs; share of an item's windows.
-WIDTH, MIN_LITERAL, MIN_TOKENS, MIN_COVER = 8, 3, 4, 0.3
+#: Tokens of a window; literal words that a window needs outside the literal form; tokens that an item needs; share of an item's windows;
+#: or else tokens of an unbroken run of windows that stand word for word in the text.
+WIDTH, MIN_LITERAL, MIN_TOKENS, MIN_COVER, RUN = 8, 3, 4, 0.3, 13
 #: Benchmark windows (some 50 bytes each) up to which they are broadcast; beyond, the join is shuffled.
 BROADCAST_ROWS = 500_000
 #: Words that are a unit when they follow a number.
@@ -107,6 +109,17 @@ def fits(pairs: str) -> Column:
     return words & one_to("words", "number") & one_to("words", "name") & one_to("theirs", "name")
 
 
+def longest_run(windows: str) -> Column:
+    """The most tokens with the benchmark's own values that one run of consecutive windows (at, first: whether its first
+    token has it, same: how many have) holds. The tokens of a run are the first ones of its windows, and the last one's others."""
+    step = lambda s, w: F.struct(
+        w["at"].alias("at"), w["first"].alias("first"),
+        F.when(w["at"] == s["at"] + 1, s["ahead"] + s["first"]).otherwise(0).alias("ahead"),
+        F.greatest(s["most"], F.when(w["at"] == s["at"] + 1, s["ahead"] + s["first"]).otherwise(0) + w["same"]).alias("most"))
+    start = F.struct(F.lit(-9).alias("at"), F.lit(0).alias("first"), F.lit(0).alias("ahead"), F.lit(0).alias("most"))
+    return F.aggregate(F.array_sort(windows), start, step, lambda s: s["most"])
+
+
 def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
     """(k1, k2, item, n_windows, coverage, verbatim) for every distinct text of rows (k1, k2, text) that holds an item."""
     bench = stage(benchmark_windows(benchmark, item_col, item_text_col), "bench")
@@ -133,9 +146,16 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
     pairs = F.arrays_zip("words", F.expr("slice(theirs, 1, size(words))").alias("theirs"), "slots")
     both = both.select("k1", "k2", "item", "shift", "at", "plain", "of", "of_template", pairs.alias("pairs"))
     shown = both.withColumn("verbatim", F.forall("pairs", lambda p: p["words"] == p["theirs"])).filter(F.col("verbatim") | fits("pairs"))
-    cover = shown.groupBy("k1", "k2", "item").agg(F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("plain"), F.col("at"))).alias("n_template"), F.first("of").alias("of"), F.first("of_template").alias("of_template"), F.bool_and("verbatim").alias("verbatim"))
+    own = F.transform("pairs", lambda p: (p["words"] == p["theirs"]).cast("int"))
+    window = F.struct("at", F.get(own, F.lit(0)).alias("first"), F.size(F.filter(own, lambda x: x == 1)).alias("same"))
+    shown = shown.withColumn("window", window).groupBy("k1", "k2", "item", "shift", "of", "of_template").agg(
+        F.collect_set("at").alias("ats"), F.collect_set(F.when(F.col("plain"), F.col("at"))).alias("plain"),
+        F.collect_set("window").alias("windows"), F.bool_and("verbatim").alias("verbatim"))
+    shown = shown.withColumn("run", longest_run("windows"))
+    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))
+    cover = shown.groupBy("k1", "k2", "item").agg(distinct("ats").alias("n_windows"), distinct("plain").alias("n_template"), F.max("run").alias("run"), F.first("of").alias("of"), F.first("of_template").alias("of_template"), F.bool_and("verbatim").alias("verbatim"))
     share = F.greatest(F.col("n_windows") / F.col("of"), F.when(F.col("of_template") > 0, F.col("n_template") / F.col("of_template")))
-    cover = cover.withColumn("coverage", share).filter(F.col("coverage") >= MIN_COVER)
+    cover = cover.withColumn("coverage", share).filter((F.col("coverage") >= MIN_COVER) | (F.col("run") >= RUN))
     return stage(cover.select("k1", "k2", "item", "n_windows", "coverage", "verbatim"), "cover")
 
 
