@@ -1,5 +1,10 @@
 """Operator 4, line dedup: fuzzy lines by MinHash over character shingles; one line of each component stays.
 
+Lines are compared twice: those of at most SHORT characters by shingles of 3 characters, and all by shingles of 8. One
+replaced letter changes as many shingles as they are wide, so at width 8 it leaves a similarity of 0.8 only to lines of 79
+characters or more, at width 3 to those of 29 or more; but long unlike lines share too many shingles of 3. The links of
+both are joined into components.
+
 Equal lines (lower-cased, blanks folded) are one node by their hash. Each node's signature is a one-permutation MinHash:
 its shingles are dealt into ROWS * BANDS bins by hash, the least value of a bin is its entry, and an empty bin borrows
 from a bin chosen by hash. Bands of ROWS entries are the keys; 14 bands of 4 miss a pair of similarity 0.8 with a chance
@@ -18,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_rows, keys_hint, stage
+from .graph import connected_components
 from .hashing import STEP, mix
 from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link
 
 WIDTH, BANDS, ROWS = 8, 14, 4
+#: Characters of a line up to which shingles of SHORT_WIDTH characters are compared as well.
+SHORT, SHORT_WIDTH = 110, 3
 BINS = BANDS * ROWS
 NONE = np.uint32(0xFFFFFFFF)
 #: For an empty bin, the bins to borrow from, one try after the other.
@@ -36,27 +44,25 @@ def node_of(folded: bytes) -> int:
     return xxhash.xxh3_64_intdigest(folded) - (1 << 63)
 
 
-def char_shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the byte shingles of all lines, and where each line's begin. A shorter line is one shingle."""
-    short = [x if len(x) >= WIDTH else x + bytes(WIDTH - len(x)) for x in lines]
-    raw = np.frombuffer(b"".join(short), np.uint8).astype(np.uint64)
+def char_shingles(lines: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the character shingles of all lines, and where each line's begin. A shorter line is one shingle."""
+    full = [x.decode("utf-8", "surrogatepass").ljust(width, "\0") for x in lines]
+    raw = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h = np.zeros(len(raw) - width + 1, np.uint64)
     with np.errstate(over="ignore"):
-        h, p = raw, STEP
-        for span in (1, 2, 4):
-            h = h[:-span] * p + h[span:]
-            p = p * p
+        for k in range(width):
+            h = h * STEP + raw[k : k + len(h)]
         h = mix(h)
-    size = np.array([len(x) for x in short])
-    begin = np.r_[0, np.cumsum(size)[:-1]]
+    size = np.array([len(x) for x in full])
     last = np.zeros(len(raw), bool)
-    for back in range(1, WIDTH):  # these would run into the next line
+    for back in range(1, width):  # these would run into the next line
         last[np.cumsum(size) - back] = True
-    return h[~last[: len(h)]], np.r_[0, np.cumsum(size - WIDTH + 1)[:-1]]
+    return h[~last[: len(h)]], np.r_[0, np.cumsum(size - width + 1)[:-1]]
 
 
-def signatures(lines: list[bytes]) -> np.ndarray:
+def signatures(lines: list[bytes], width: int) -> np.ndarray:
     """A row of BINS entries for each line."""
-    h, begin = char_shingles(lines)
+    h, begin = char_shingles(lines, width)
     count = np.diff(np.r_[begin, len(h)])
     at = np.repeat(np.arange(len(lines), dtype=np.int64) * BINS, count) + (((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)).astype(np.int64)
     sig = np.full(len(lines) * BINS, NONE, np.uint32)
@@ -76,9 +82,9 @@ def signatures(lines: list[bytes]) -> np.ndarray:
     return out
 
 
-def band_keys(lines: list[bytes]) -> np.ndarray:
+def band_keys(lines: list[bytes], width: int) -> np.ndarray:
     """The keys of each line, a row of BANDS."""
-    bands = signatures(lines).reshape(len(lines), BANDS, ROWS).astype(np.uint64)
+    bands = signatures(lines, width).reshape(len(lines), BANDS, ROWS).astype(np.uint64)
     with np.errstate(over="ignore"):
         acc = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * STEP, bands.shape[:2])
         for r in range(ROWS):
@@ -86,38 +92,21 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return acc
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
-    """Keep one line of each component of similar lines (>= percent per cent of 8-byte shingles) in the whole corpus.
-
-    Returns one row per row of docs: id_col, n_lines long (\\n-split), n_dropped long, kept_bytes long (UTF-8 of the kept
-    lines joined by \\n), dropped array<int> (their line numbers from 0). The line that stays is the first by id, place
-    in the scan and line number. `without_lines` makes the texts.
-
-    Blank lines always stay and link nothing. Null text: no lines; empty text: one blank line. Null ids come last in the
-    order. Repeated rows keep their own result: the first keeps its lines, the others lose them. Lines shorter than a
-    shingle are one shingle. Other columns are ignored, whatever their names. An empty table gives an empty table.
-    """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = rows.schema["id"].dataType
-    schema = pa.schema([("row", pa.int64()), ("n_lines", pa.int64()), ("line_bytes", pa.list_(pa.int64())), ("nodes", pa.list_(pa.int64()))])
+def linked(rows: DataFrame, width: int, most: int | None, postings: int, percent: int) -> DataFrame:
+    """(node, root) of the lines of rows (text) with at most `most` characters that are similar by `width`-character shingles."""
+    buckets = buckets_for(postings)
 
-    def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 40
-        for t in batches:
-            split = [x.split("\n") if x is not None else [] for x in t.column("text").to_pylist()]
-            nodes = [[node_of(f) if (f := fold(x)) else None for x in lines] for lines in split]
-            out = as_rows({"row": range(at, at + len(split)), "n_lines": map(len, split), "line_bytes": [[len(x.encode("utf-8", "surrogatepass")) for x in lines] for lines in split], "nodes": nodes}, schema)
-            at += len(split)
-            yield pa.RecordBatch.from_arrays([t.column("id"), *out.columns], names=["id", *schema.names])
+    def wanted(folded: bytes) -> bool:
+        return most is None or len(folded) <= 4 * most and len(folded.decode("utf-8", "surrogatepass")) <= most
 
     def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
-        """Each line of the task once, some thousands at a time."""
+        """Each wanted line of the task once, some thousands at a time."""
         seen: set[int] = set()
         nodes, lines, held = [], [], 0
         for t in batches:
             for text in t.column("text").to_pylist():
                 for f in map(fold, text.split("\n") if text else ()):
-                    if f and (node := node_of(f)) not in seen:
+                    if f and wanted(f) and (node := node_of(f)) not in seen:
                         seen.add(node)
                         nodes.append(node)
                         lines.append(f)
@@ -131,13 +120,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Combiner(buckets)
         for nodes, lines in distinct_lines(batches):
-            for node, keys in zip(nodes, band_keys(lines), strict=True):
+            for node, keys in zip(nodes, band_keys(lines, width), strict=True):
                 out.add(node, keys)
             yield from out.batches()
         yield from out.batches(last=True)
 
     def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
-        h, begin = char_shingles(lines)
+        h, begin = char_shingles(lines, width)
         return [np.unique(x) for x in np.split(h, begin[1:])]
 
     def bitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,17 +151,48 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held: list[DataFrame] = []
 
     def bits_of(nodes: DataFrame) -> DataFrame:
-        found = rows.select("text").mapInArrow(texts, "node long, line binary").join(keys_hint(nodes), "node", "left_semi")
+        found = rows.mapInArrow(texts, "node long, line binary").join(keys_hint(nodes), "node", "left_semi")
         held.append(stage(found.groupBy("node").agg(F.first("line").alias("line")), "held"))
         return stage(held[0].mapInArrow(bitted, "node long, n long, bits binary"), "bits")
 
     def fetch(nodes: DataFrame) -> DataFrame:
         return held[0].join(keys_hint(nodes), "node", "left_semi").mapInArrow(itemised, ITEMS_DDL)
 
+    return link(rows.mapInArrow(posted, POSTINGS_DDL), bits_of, fetch, percent)
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """Keep one line of each component of similar lines in the whole corpus: >= percent per cent of
+    shingles of 8 characters, or of 3 for two lines of at most SHORT characters.
+
+    Returns one row per row of docs: id_col, n_lines long (\\n-split), n_dropped long, kept_bytes long (UTF-8 of the kept
+    lines joined by \\n), dropped array<int> (their line numbers from 0). The line that stays is the first by id, place
+    in the scan and line number. `without_lines` makes the texts.
+
+    Blank lines always stay and link nothing. Null text: no lines; empty text: one blank line. Null ids come last in the
+    order. Repeated rows keep their own result: the first keeps its lines, the others lose them. Lines shorter than a
+    shingle are one shingle. Other columns are ignored, whatever their names. An empty table gives an empty table.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    id_type = rows.schema["id"].dataType
+    schema = pa.schema([("row", pa.int64()), ("n_lines", pa.int64()), ("line_bytes", pa.list_(pa.int64())), ("nodes", pa.list_(pa.int64()))])
+
+    def occurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 40
+        for t in batches:
+            split = [x.split("\n") if x is not None else [] for x in t.column("text").to_pylist()]
+            nodes = [[node_of(f) if (f := fold(x)) else None for x in lines] for lines in split]
+            out = as_rows({"row": range(at, at + len(split)), "n_lines": map(len, split), "line_bytes": [[len(x.encode("utf-8", "surrogatepass")) for x in lines] for lines in split], "nodes": nodes}, schema)
+            at += len(split)
+            yield pa.RecordBatch.from_arrays([t.column("id"), *out.columns], names=["id", *schema.names])
+
     ddl = f"id {id_type.simpleString()}, row long, n_lines long, line_bytes array<long>, nodes array<long>"
     at = stage(rows.mapInArrow(occurring, ddl), "lines")
-    buckets = buckets_for(BANDS * (at.agg(F.sum(F.size("nodes")).alias("n")).first().n or 0))
-    roots = link(rows.select("text").mapInArrow(posted, POSTINGS_DDL), bits_of, fetch, percent)
+    links = []
+    for width, most in ((WIDTH, None), (SHORT_WIDTH, SHORT)):
+        of = F.size("nodes") if most is None else F.size(F.filter("line_bytes", lambda n: n <= 2 * most))
+        links.append(linked(rows.select("text"), width, most, BANDS * (at.agg(F.sum(of).alias("n")).first().n or 0), percent))
+    roots = stage(connected_components(stage(links[0].unionByName(links[1]).filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct(), "links")), "roots")
     lines = at.select("id", "row", F.posexplode("nodes").alias("line", "node")).filter("node is not null")
     lines = lines.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "line")
