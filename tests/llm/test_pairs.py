@@ -6,7 +6,7 @@ from itertools import combinations
 
 import __spark_entry__
 from tidemark.llm import setjoin
-from tidemark.llm.ngram_join import jaccard_groups
+from tidemark.llm.ngram_join import jaccard_groups, jaccard_links
 
 SF = "/root/testdata/sf0.01"
 
@@ -68,3 +68,27 @@ def test_every_key_through_tiles(spark, monkeypatch):
     want = components(sets, links)
     assert len(set(want.values())) < 200
     assert {r.doc_id: r.component_id for r in jaccard_groups(docs).collect()} == want
+
+
+def test_every_link(spark):
+    rng = random.Random(4)
+    rows, now = [(900, None), (901, " "), (None, "a b c d e f g")], []
+    for i in range(60):
+        if i % 20 == 0:
+            now = [f"w{rng.randrange(5_000)}" for _ in range((5, 60, 200)[i // 20])]
+        elif i % 3:
+            now = list(now)
+            now[rng.randrange(len(now))] = f"w{rng.randrange(5_000)}"
+        rows.append((i, " ".join(now)))
+    docs = spark.createDataFrame([*rows, rows[-1]], "doc_id long, text string")
+    sets = sets_of(docs.filter("doc_id is not null").collect())
+    least = {}
+    for i in sorted(sets):
+        least.setdefault(frozenset(sets[i]), i)
+    want = Counter()
+    for i, j in combinations(sorted(sets), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            want[tuple(sorted((least[frozenset(sets[i])], least[frozenset(sets[j])])))] += 1
+    got = {(r.a, r.b): r.links for r in jaccard_links(docs).collect()}
+    assert got == want and sum(a != b for a, b in got) > 50
+    assert jaccard_links(docs.limit(0)).count() == 0

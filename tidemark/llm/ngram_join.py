@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import as_rows, keys_hint, stage
 from .hashing import STEP, WordHashes, fingerprint, mix, word_shingles
-from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link
+from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link, need, overlap
 
 #: Empty parts that a tile allows for, besides a tenth of its parts.
 SPARE = 3
@@ -126,3 +126,49 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_node = rooted.join(least, "root").select("node", "component_id")
     out = sizes.join(by_node, "node", "left")
     return out.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.coalesce("component_id", "id").cast(kind).alias("component_id"))
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """Every link that `jaccard_groups` groups by: each candidate pair of different sets is intersected exactly, once.
+
+    Returns one row per pair of similar sets: a and b, the least ids of the documents that have them (a's set is that of
+    the smaller id), n_a, n_b, common (shingles), links long (pairs of documents that it stands for: ids of one times ids
+    of the other). A set of several ids has a row with itself, a = b, and the pairs of these as links. So the sum of links
+    is the number of similar pairs of ids. Sets of one id with different texts count as of different ids.
+
+    Rows without id or without words link nothing. Unlike the groups, the result, and the work, grows with the square of
+    the number of different sets in a group of near copies; exact copies cost nothing.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    schema = pa.schema([("id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("items", pa.binary()), ("keys", pa.list_(pa.int64()))])
+    pair_schema = pa.schema([(c, pa.int64()) for c in ("x", "y", "common")])
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for t in batches:
+            sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
+            held = [(i, s) for i, s in zip(t.column("id").to_pylist(), sets, strict=True) if len(s)]
+            keys = [np.unique(tile_keys(s, percent)).view(np.int64) for _, s in held]
+            yield as_rows({"id": [i for i, _ in held], "node": [fingerprint(s) for _, s in held], "n": [len(s) for _, s in held], "items": [s.tobytes() for _, s in held], "keys": keys}, schema)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            c = {k: t.column(k).to_pylist() for k in t.schema.names}
+            both = [overlap(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(c["items_x"], c["items_y"], strict=True)]
+            good = [i for i, common in enumerate(both) if common >= need(c["n_x"][i], c["n_y"][i], percent)]
+            yield as_rows({"x": [c["x"][i] for i in good], "y": [c["y"][i] for i in good], "common": [both[i] for i in good]}, pair_schema)
+
+    sets = stage(rows.mapInArrow(made, "id long, node long, n long, items binary, keys array<long>"), "sets")
+    known = stage(sets.groupBy("node").agg(F.min("id").alias("id"), F.count_distinct("id").alias("copies"), F.first("n").alias("n"), F.first("items").alias("items")), "nodes")
+    keys = stage(sets.select("node", "n", F.explode("keys").alias("key")).distinct(), "keys")
+    x, y = (keys.select("key", F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "xy")
+    pairs = x.join(y, "key").filter(f"x < y and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)").select("x", "y", "n_x", "n_y").distinct()
+    for c in "xy":
+        pairs = pairs.join(known.select(F.col("node").alias(c), F.col("items").alias(f"items_{c}")), c)
+    found = stage(pairs.mapInArrow(compared, "x long, y long, common long"), "links")
+    for c in "xy":
+        found = found.join(known.select(F.col("node").alias(c), F.struct("id", "n", "copies").alias(f"of_{c}")), c)
+    found = found.select(F.least("of_x", "of_y").alias("p"), F.greatest("of_x", "of_y").alias("q"), "common", (F.col("of_x.copies") * F.col("of_y.copies")).alias("links"))
+    found = found.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.n").alias("n_a"), F.col("q.n").alias("n_b"), "common", "links")
+    own = known.filter("copies > 1").select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("n").alias("n_a"), F.col("n").alias("n_b"), F.col("n").alias("common"), F.expr("copies * (copies - 1) div 2").alias("links"))
+    return found.unionByName(own)
