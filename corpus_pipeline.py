@@ -21,14 +21,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that of the smallest doc_id. Rows without doc_id or without words
-    belong to no group and stay. Of rows with the same doc_id and text one stays."""
-    groups = stage(jaccard_groups(docs), "groups")
-    drop = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    once = docs.join(drop.unionByName(again).distinct(), "doc_id", "left_anti").select(*docs.columns)
-    more = docs.join(again, "doc_id", "left_semi").join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(more.select(*docs.columns))
+    """One row of each group of similar ones: that of the smallest doc_id. Rows without doc_id or without words belong to
+    no group and stay. Of rows with the same doc_id and text one stays; different texts of one doc_id are told apart."""
+    row = ["doc_id", "k1", "k2"]
+    groups = stage(jaccard_groups(docs, by_text=True), "groups")
+    drop = groups.filter(~F.col("stays")).select(row).distinct()
+    again = groups.filter("doc_id is not null").groupBy(row).count().filter("count > 1").select(row)
+
+    def those(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select([F.col(c).alias(f"_{c}") for c in row])
+        return df.join(keys, (df["doc_id"] == keys["_doc_id"]) & (F.xxhash64(df["text"]) == keys["_k1"]) & (F.hash(df["text"]) == keys["_k2"]), how)
+
+    once = those(docs, drop.unionByName(again).distinct(), "left_anti")
+    more = those(those(docs, again, "left_semi"), drop, "left_anti").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(more)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,12 @@ def test_stages(spark):
         assert sorted(r.slot for r in shards if r.shard == s) == list(range(sum(r.shard == s for r in shards)))
     again = corpus_pipeline.run(spark, SF)
     assert Counter(map(tuple, again.select("doc_id", "size", "text_crc32").collect())) == Counter((r.doc_id, r.size, r.text_crc32) for r in shards)
+
+
+def test_two_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a + " end"), (5, b), (7, b + " end"), (8, c), (8, c + " end"), (8, c), (9, None), (9, None), (None, a), (10, b + " last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, SF).collect()))
+    eight = [r for r in got if r[0] == 8]
+    assert len(eight) == 1 and got == Counter([(3, a), (5, b), (9, None), (None, a), *eight])

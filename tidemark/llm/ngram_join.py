@@ -64,19 +64,25 @@ def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, by_text: bool = False) -> DataFrame:
     """Group documents that are connected by links of similarity >= percent per cent of `width`-word shingles.
 
     Returns one row per row of docs: id_col, n_shingles long, component_id (smallest id reachable by links, the
     document's own included). Words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z.
 
+    by_text: with k1 and k2, hashes of the text, and stays boolean: whether the row is the first of its group by id and
+    these, or of no group. Where an id has several texts, only this tells their groups apart.
+
     Null, empty or blank texts: no shingles, linked with nothing, component_id is the id itself. Fewer than `width`
     words: the whole sequence is the one shingle. A row with a null id links nothing and has a null component_id.
     Repeated rows come back as often as they stand in docs. Equal texts under one id count as one. Other columns are
     ignored, whatever their names. An empty table gives an empty table. Length of a text is bounded by memory of one
     task alone.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    extra = {"k1": F.xxhash64(F.col(text_col)), "k2": F.hash(F.col(text_col))} if by_text else {}
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[c.alias(k) for k, c in extra.items()])
+    carried = list(extra)
+    place = F.struct("id", *extra) if by_text else F.col("id")
     kind = dict(rows.dtypes)["id"]
     sized_schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
 
@@ -87,7 +93,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             ids = t.column("id")
             alive = [len(s) > 0 and i is not None for s, i in zip(sets, ids.to_pylist(), strict=True)]
             both = list(zip(sets, alive, strict=True))
-            yield as_rows({"id": ids, "n_shingles": [len(s) for s in sets], "node": [fingerprint(s) if a else None for s, a in both], "bits": [bitmap(s) if a else None for s, a in both]}, sized_schema)
+            out = as_rows({"id": ids, "n_shingles": [len(s) for s in sets], "node": [fingerprint(s) if a else None for s, a in both], "bits": [bitmap(s) if a else None for s, a in both]}, sized_schema)
+            yield pa.RecordBatch.from_arrays([*out.columns, *[t.column(k) for k in carried]], names=[*sized_schema.names, *carried])
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen, out = WordHashes(), set(), Combiner(buckets)
@@ -109,8 +116,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError(f"{id_col} must be an integer, not {kind}")
     rows = rows.withColumn("id", F.col("id").cast("long"))
-    sizes = stage(rows.mapInArrow(sized, "id long, n_shingles long, node long, bits binary"), "sizes")
-    known = sizes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    sizes = stage(rows.mapInArrow(sized, "id long, n_shingles long, node long, bits binary" + (", k1 long, k2 int" if by_text else "")), "sizes")
+    known = sizes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(place).alias("first"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     known = stage(known, "nodes")
     first = known.select("node", "id")
     buckets = buckets_for((known.agg(F.sum("n").alias("n")).first().n or 0) // 2)
@@ -121,11 +128,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     live = rows.filter("id is not null").select("text")
     roots = link(live.mapInArrow(posted, POSTINGS_DDL), lambda nodes: known.select("node", "n", "bits"), fetch, percent)
-    rooted = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_node = rooted.join(least, "root").select("node", "component_id")
+    rooted = known.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    by_node = rooted.drop("first").join(least, "root").select("node", "first", F.col("first.id" if by_text else "first").alias("component_id"))
     out = sizes.join(by_node, "node", "left")
-    return out.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.coalesce("component_id", "id").cast(kind).alias("component_id"))
+    return out.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.coalesce("component_id", "id").cast(kind).alias("component_id"), *extra, *([F.coalesce(place == F.col("first"), F.lit(True)).alias("stays")] if by_text else []))
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
