@@ -195,6 +195,13 @@ def test_license_scan(spark):
     assert got == {(1, "MIT"), (2, "reserved"), (None, "CC-BY-NC-4.0")}
 
 
+def test_license_scan_of_long_templates(spark):
+    body = " ".join(f"word{i}" for i in range(300))
+    rows = [(1, f"before {body} after"), (2, " ".join(body.split()[:200])), (3, "none of it")]
+    got = license_scan(spark.createDataFrame(rows, "doc_id long, text string"), {"long": body, "short": "all rights reserved"}).collect()
+    assert [(r.doc_id, r.license, r.containment > 0.99) for r in got] == [(1, "long", True)]
+
+
 def test_shard(spark, odd):
     many = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
     got = shard(many).collect()

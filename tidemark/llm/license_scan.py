@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, STRIDE, BANDS, MIN_CONTAINMENT = 6, 2, 10, 0.8
-MAX_TEMPLATES, MAX_WORDS = 200, 120
+MAX_TEMPLATES = 200
+#: Words on both sides of a hit that are looked at, or as many as the longest template has.
+REACH = 120
 #: Orders of the shingles: a hash is compared after an exclusive or with one of these.
 ORDERS = [(k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(1, BANDS + 1)]
 
@@ -56,19 +58,19 @@ def band_values(grams: Column, at: Column, n: int) -> Column:
 
 
 def template_bands(spark, templates: Mapping[str, str]) -> DataFrame:
-    """(value, license, shingles): every band value of every window of every template, with its distinct shingles."""
+    """(license, n, shingles, values): every template's number of shingles, its distinct ones, and the band values of its windows."""
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     rows = shingled(spark.createDataFrame(list(templates.items()), "license string, text string"), F.col("text"))
     n = F.size("grams") - (WINDOW - 1)  # what lies within the text; a single word has none
-    rows = rows.withColumn("own", F.slice("grams", F.lit(1), F.greatest(n - 1, F.lit(0)))).filter((F.size("own") >= 2) & (F.size("own") <= MAX_WORDS))
+    rows = rows.withColumn("own", F.slice("grams", F.lit(1), F.greatest(n - 1, F.lit(0)))).filter(F.size("own") >= 2)
     span = WINDOW - 1
     # a template shorter than a window: its own shingles only, the last one repeated
     padded = F.concat("own", F.array_repeat(F.element_at("own", -1), F.greatest(F.lit(span) - F.size("own"), F.lit(0)).cast("int")))
     rows = rows.withColumn("padded", padded)
     starts = F.sequence(F.lit(0), F.size("padded") - span)
     values = F.flatten(F.transform(starts, lambda i: band_values(F.col("padded"), i, span)))
-    return rows.select("license", F.array_distinct("own").alias("shingles"), F.explode(F.array_distinct(values)).alias("value"))
+    return rows.select("license", F.size("own").alias("n"), F.array_distinct("own").alias("shingles"), F.array_distinct(values).alias("values"))
 
 
 def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,17 +78,16 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_c
 
     Returns one row per id and license found: id_col, license, containment double (share of the template's word pairs in
     the text around the hit, MIN_CONTAINMENT or more), n_hits long (windows that retrieved and passed), first_word long
-    (the first such window's word number, from 0). Templates: at most MAX_TEMPLATES, each of 3 to MAX_WORDS words; others
-    of fewer or more words are not looked for.
+    (the first such window's word number, from 0). Templates: at most MAX_TEMPLATES, each of 3 words or more; those
+    of fewer words are not looked for.
 
     Null and empty texts hold none. Rows with equal ids, repeated rows and null ids among them, are counted as one
     document. Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    bands = template_bands(spark, templates)
-    known = bands.select("license", "shingles", "value").collect()  # bounded by MAX_TEMPLATES and MAX_WORDS
-    wanted = sorted({r.value for r in known}) or [0]
-    span, reach = WINDOW - 1, MAX_WORDS
+    known = template_bands(spark, templates).collect()  # some times as large as the templates given
+    wanted = sorted({v for r in known for v in r["values"]}) or [0]
+    span, reach = WINDOW - 1, max([REACH, *(r.n for r in known)])
     rows = shingled(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("text")).drop("text")
     # A band value stands for a shingle of its window. So a window without any of the templates' shingles matches no band,
     # and its values need not be made; this leaves out no window that the bands would retrieve.
@@ -102,8 +103,9 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_c
     around = F.transform("hits", lambda w: F.struct(w["at"].alias("at"), w["values"].alias("values"), near(w).alias("near")))
     # outer, since a filter on the array would be pushed down, and there compute the shingles anew for each window
     each = hits.select("id", F.explode_outer(around).alias("w")).select("id", "w.at", "w.near", F.explode_outer(F.array_distinct("w.values")).alias("value"))
-    table = spark.createDataFrame([(r.value, r.license, r.shingles) for r in known], "value long, license string, shingles array<bigint>")
+    table = spark.createDataFrame([(v, r.license) for r in known for v in r["values"]], "value long, license string")
+    sets = spark.createDataFrame([(r.license, r.shingles) for r in known], "license string, shingles array<bigint>")
     share = F.size(F.array_intersect("shingles", "near")) / F.size("shingles")
-    checked = each.join(F.broadcast(table), "value").withColumn("containment", share).filter(F.col("containment") >= MIN_CONTAINMENT)
+    checked = each.join(F.broadcast(table), "value").join(F.broadcast(sets), "license").withColumn("containment", share).filter(F.col("containment") >= MIN_CONTAINMENT)
     out = checked.groupBy("id", "license").agg(F.max("containment").alias("containment"), F.count_distinct("at").alias("n_hits"), F.min("at").cast("long").alias("first_word"))
     return out.withColumnRenamed("id", id_col)
