@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import catalogue
+from tidemark.plans import catalogue, cleaning  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 

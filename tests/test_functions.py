@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import nulls, presence, text
-from tidemark.functions.similarity import jaro
 
 
 def one(spark, column):
@@ -70,8 +69,3 @@ def test_null_rules(spark):
     got = {r.k: r.m for r in df.groupBy("k").agg(nulls.strict_max(F.col("x")).alias("m")).collect()}
     assert got == {1: None, 2: 3.0}
     assert df.filter(nulls.not_in(F.col("x"), [3.0])).count() == 2
-
-
-def test_jaro():
-    assert jaro("MARTHA", "MARHTA") == pytest.approx(0.944444, abs=1e-5)
-    assert jaro("", "a") == 0 and jaro("same", "same") == 1

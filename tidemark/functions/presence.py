@@ -34,6 +34,19 @@ def fill_end(x: Column) -> Column:
     return x
 
 
+def fill_start(x: Column) -> Column:
+    """Zeros after a one become ones, three, two or one of them, as long as another zero follows: such runs in three
+    passes, so a long run of zeros is filled from its start by six at most."""
+    for n in (3, 2, 1):
+        x = F.regexp_replace(x, f"(?<=1)0{{{n}}}(?=0)", "1" * n)
+    return x
+
+
+def looks_ahead(during: Column, after: Column) -> Column:
+    """Whether presence persists beyond a range: open at its last year, or open both within it and after it."""
+    return during.endswith("1") | (during.contains("1") & after.contains("1"))
+
+
 def n_ones(x: Column) -> Column:
     return F.length(F.replace(x, F.lit("0"), F.lit("")))
 

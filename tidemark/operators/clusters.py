@@ -6,42 +6,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import strict_max, strict_mean, strict_min
-from ..functions.similarity import jaro_similarity
-from ..sources.tables import staged
+from ..functions.similarity import jaro_bound, jaro_similarity, letter_counts
+from ..functions.text import normalise_address
+from ..sources.tables import staged, unstaged
+from .components import labelled
+
+#: Values of a block up to which all its pairs are made in one place; larger blocks are dealt into tiles.
+TILE = 2_000
 
 
 def similar_pairs(df: DataFrame, block: str, value: Column, threshold: float) -> DataFrame:
-    """(block, a, b): distinct values of a block, a < b, of Jaro distance below the threshold.
+    """(block, a, b, distance): distinct normalised values of a block, a < b, of Jaro distance below the threshold.
 
-    Values are made distinct first. Jaro similarity is at most (2 + shorter / longer) / 3, which leaves out pairs before
-    the function is called.
+    Values are normalised as addresses and made distinct first. A block of more than TILE values is dealt into parts by
+    hash, and each pair of parts is compared in a place of its own. Pairs are bounded by their letter counts, in
+    expressions, before the function is called. Null values have no pairs.
     """
-    rows = df.select(F.col(block), value.alias("v")).filter("v is not null").distinct()
-    a, b = rows.withColumnRenamed("v", "a"), rows.withColumnRenamed("v", "b")
-    pairs = a.join(b, block).filter("a < b")
-    short, long = F.least(F.length("a"), F.length("b")), F.greatest(F.length("a"), F.length("b"))
-    pairs = pairs.filter((2 + short / long) / 3 > 1 - threshold)
-    return pairs.withColumn("distance", 1 - jaro_similarity("a", "b")).filter(F.col("distance") < threshold)
+    rows = df.select(F.col(block).alias("block"), normalise_address(value).alias("v")).filter("v is not null").distinct()
+    rows = rows.withColumn("letters", letter_counts(F.col("v")))
+    parts = rows.groupBy(F.col("block").alias("of")).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    rows = rows.join(parts, F.col("block").eqNullSafe(F.col("of"))).withColumn("part", F.expr("pmod(xxhash64(v), parts)").cast("int"))
+    other = F.sequence(F.lit(0), F.col("parts") - 1)
+    tiles = F.transform(other, lambda q: F.struct(F.least("part", q).alias("p"), F.greatest("part", q).alias("q")))
+    rows = rows.withColumn("t", F.explode(tiles)).select("block", F.col("t.p").alias("p"), F.col("t.q").alias("q"), "part", "v", "letters")
+    x, y = (rows.toDF(*[f"{c}_{side}" for c in rows.columns]) for side in "xy")
+    same = F.col("block_x").eqNullSafe(F.col("block_y")) & (F.col("p_x") == F.col("p_y")) & (F.col("q_x") == F.col("q_y"))
+    across = (F.col("p_x") == F.col("q_x")) | (F.col("part_x") != F.col("part_y"))  # a diagonal tile holds one part
+    short, long = F.least(F.length("v_x"), F.length("v_y")), F.greatest(F.length("v_x"), F.length("v_y"))
+    pairs = x.join(y, same & (F.col("v_x") < F.col("v_y")) & across & (2 * long + short >= long * (3 - 3 * threshold - 1e-9)))
+    pairs = pairs.filter(jaro_bound(F.col("v_x"), F.col("v_y"), F.col("letters_x"), F.col("letters_y")) > 1 - threshold - 1e-9)
+    pairs = pairs.withColumn("distance", 1 - jaro_similarity("v_x", "v_y")).filter(F.col("distance") < threshold)
+    return pairs.select(F.col("block_x").alias(block), F.col("v_x").alias("a"), F.col("v_y").alias("b"), "distance")
 
 
 def clusters(df: DataFrame, block: str, value: str, threshold: float) -> DataFrame:
     """(block, value, cluster): connected components of similar values; cluster is its least value in binary order.
 
-    Labels move to the least neighbour and then to that one's label, until none changes; each round is written to the
-    shared folder. With threshold 0 every value is its own cluster.
+    Values are compared as normalised addresses, but the members are the values as they stand: those that differ in case
+    or blanks alone are one cluster. With threshold 0 nothing is similar, and every value is its own cluster.
     """
-    nodes = df.select(block, value).filter(F.col(value).isNotNull()).distinct()
-    pairs = staged(similar_pairs(df, block, F.col(value), threshold).select(block, "a", "b"), "pairs")
-    links = pairs.unionByName(pairs.select(block, F.col("b").alias("a"), F.col("a").alias("b")))
-    now = staged(nodes.withColumn("cluster", F.col(value)), "labels")
-    while True:
-        near = links.join(now.withColumnRenamed(value, "b"), [block, "b"]).groupBy(block, F.col("a").alias(value)).agg(F.min("cluster").alias("least"))
-        step = now.join(near, [block, value], "left").withColumn("to", F.least("cluster", "least"))
-        jump = now.select(block, F.col(value).alias("to"), F.col("cluster").alias("then"))
-        nxt = staged(step.join(jump, [block, "to"]).select(block, value, F.least("to", "then").alias("cluster"), (F.least("to", "then") < F.col("cluster")).alias("moved")), "labels")
-        if nxt.filter("moved").isEmpty():
-            return nxt.drop("moved")
-        now = nxt.drop("moved")
+    nodes = df.select(F.col(block).alias("block"), F.col(value).alias("value"), normalise_address(F.col(value)).alias("v")).filter("value is not null").distinct()
+    if threshold <= 0:
+        return nodes.select(F.col("block").alias(block), F.col("value").alias(value), F.col("value").alias("cluster"))
+    pairs = similar_pairs(nodes, "block", F.col("value"), threshold)
+    roots = labelled(pairs.select(F.col("block").alias("g"), "a", "b"))
+    rooted = nodes.join(roots, F.col("block").eqNullSafe(F.col("g")) & (F.col("v") == F.col("node")), "left").select("block", "value", F.coalesce("root", "v").alias("root"))
+    rooted = staged(rooted, "rooted")
+    unstaged(roots)
+    least = rooted.groupBy(F.col("block").alias("g"), F.col("root").alias("of")).agg(F.min("value").alias("cluster"))
+    out = rooted.join(least, F.col("block").eqNullSafe(F.col("g")) & (F.col("root") == F.col("of")))
+    return out.select(F.col("block").alias(block), F.col("value").alias(value), "cluster")
 
 
 def exact_versus_similar(similar: DataFrame, block: str) -> DataFrame:
@@ -50,6 +64,25 @@ def exact_versus_similar(similar: DataFrame, block: str) -> DataFrame:
     return out.withColumn("same_length", F.col("n_exact") == F.col("n_similar"))
 
 
+def associated(rows: DataFrame, key: str, raw: str, line: str, labels: DataFrame, value: str, how: str = "exact") -> DataFrame:
+    """rows with the cluster of the value each belongs to, from labels (key, value, cluster).
+
+    how: `exact` ties a row to the cluster of its own raw value, one for each row. The two others are for comparison with
+    older results, in which a row may land in several clusters. `regex`: in all clusters of the key with a member whose
+    text before the first comma stands anywhere in the row's line, taken as a pattern. `prefix`: in those with a member
+    that the row's raw value equals, or continues after a comma, whatever the case. Null lines and values have none.
+    """
+    inner = rows.select(F.col(key).alias("k"), F.col(raw).alias("raw"), F.col(line).alias("at_line"), F.struct("*").alias("row"))
+    members = labels.select(F.col(key).alias("of"), F.col(value).alias("member"), "cluster")
+    low, start = F.lower("raw"), F.lower("member")
+    fits = {
+        "exact": F.col("raw") == F.col("member"),
+        "regex": F.expr("at_line rlike split_part(member, ',', 1)"),
+        "prefix": (low == start) | F.startswith(low, F.concat(start, F.lit(","))),
+    }[how]
+    return inner.join(members, F.col("k").eqNullSafe(F.col("of")) & fits).select("row.*", "cluster").distinct()
+
+
 def collapse(rows: DataFrame, key: str, value: str, labels: DataFrame, x: str, flags: dict[str, Column], reach: float) -> DataFrame:
     """One row for each cluster: member and row counts, summed flags, mean and range test of x (null if a value is)."""
     joined = rows.join(labels, [key, value])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import staged
+from .components import labelled
 
 
 def gap_clusters(df: DataFrame, by: str, x: Column, row: str, eps: float) -> DataFrame:
@@ -19,34 +22,63 @@ def gap_clusters(df: DataFrame, by: str, x: Column, row: str, eps: float) -> Dat
 
 
 def density_clusters(df: DataFrame, by: str, row: str, x: Column, y: Column, eps: float) -> DataFrame:
-    """Density clusters of two points or more in the plane: (by, row, cluster), the least row of a component; noise is null.
+    """Density clusters of two points or more in the plane: (by, row, cluster, problem_geo). cluster is the least row of
+    its points, and 0 for noise. A group in which a coordinate lacks is one cluster, 1, with problem_geo.
+
+    Points fall into squares whose diagonal is eps, so all points of a square are one cluster; squares are joined if two
+    of their distinct points lie within eps. So a place that many rows share costs one point.
+    """
+    side = eps / 2**0.5
+    pts = df.select(F.col(by).alias("g"), F.col(row).alias("p"), x.alias("x"), y.alias("y"))
+    lacking = pts.groupBy("g").agg(F.bool_or(F.col("x").isNull() | F.col("y").isNull()).alias("lacking")).filter("lacking").select(F.col("g").alias("bad"))
+    good = pts.join(lacking, F.col("g").eqNullSafe(F.col("bad")), "left_anti")
+    cells = good.withColumns({"i": F.floor(F.col("x") / side), "j": F.floor(F.col("y") / side)})
+    cells = staged(cells.withColumn("cell", F.xxhash64("i", "j")), "cells")
+    spots = cells.select("g", "cell", "i", "j", "x", "y").distinct()
+    near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3) if (a, b) > (0, 0)]))
+    wide = spots.withColumn("o", near).select(F.col("g").alias("h"), F.col("cell").alias("d"), F.col("x").alias("u"), F.col("y").alias("v"), (F.col("i") + F.col("o.a")).alias("k"), (F.col("j") + F.col("o.b")).alias("l"))
+    links = spots.join(wide, F.col("g").eqNullSafe(F.col("h")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l")))
+    links = links.filter(F.hypot(F.col("x") - F.col("u"), F.col("y") - F.col("v")) <= eps).select("g", F.col("cell").alias("a"), F.col("d").alias("b")).distinct()
+    roots = labelled(links).select(F.col("g").alias("h"), "node", "root")
+    found = cells.join(roots, F.col("g").eqNullSafe(F.col("h")) & (F.col("cell") == F.col("node")), "left").select("g", "p", F.coalesce("root", "cell").alias("root"))
+    sizes = found.groupBy(F.col("g").alias("h"), F.col("root").alias("of")).agg(F.min("p").alias("least"), F.count(F.lit(1)).alias("n"))
+    told = found.join(sizes, F.col("g").eqNullSafe(F.col("h")) & (F.col("root") == F.col("of"))).select("g", "p", F.when(F.col("n") > 1, F.col("least")).otherwise(F.lit(0)).alias("cluster"), F.lit(False).alias("problem_geo"))
+    odd = pts.join(lacking, F.col("g").eqNullSafe(F.col("bad")), "left_semi").select("g", "p", F.lit(1).alias("cluster"), F.lit(True).alias("problem_geo"))
+    return told.unionByName(odd).select(F.col("g").alias(by), F.col("p").alias(row), "cluster", "problem_geo")
+
 
-    Points fall into squares of side eps, so each one is compared with those of nine squares of its group only.
+def in_polygons(points: DataFrame, x: str, y: str, edges: DataFrame, cell: float, within: str | None = None) -> DataFrame:
+    """points with `polygon`: one row for each polygon that holds the point, or null. edges: (polygon, x1, y1, x2, y2),
+    and for `within` a column of that name, which the point's must equal.
+
+    A polygon holds a point if a ray to the right crosses an odd number of its edges. Points and polygons meet by the
+    cells of a grid that a polygon's box covers, so a point is tested against near polygons alone, by an equi-join.
+    Points without coordinates get null.
     """
-    pts = df.select(by, F.col(row).alias("p"), x.alias("x"), y.alias("y")).filter("x is not null and y is not null")
-    pts = pts.withColumns({"i": F.floor(F.col("x") / eps), "j": F.floor(F.col("y") / eps)})
-    near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    wide = pts.withColumn("o", near).select(by, F.col("p").alias("q"), F.col("x").alias("u"), F.col("y").alias("v"), (F.col("i") + F.col("o.a")).alias("i"), (F.col("j") + F.col("o.b")).alias("j"))
-    links = pts.join(wide, [by, "i", "j"]).filter("p <> q").filter(F.hypot(F.col("x") - F.col("u"), F.col("y") - F.col("v")) <= eps)
-    links = staged(links.select(by, "p", "q"), "links")
-    now = staged(links.select(by, "p").distinct().withColumn("c", F.col("p")), "labels")
-    while True:
-        least = links.join(now.select(by, F.col("p").alias("q"), "c"), [by, "q"]).groupBy(by, "p").agg(F.min("c").alias("least"))
-        step = now.join(least, [by, "p"]).withColumn("to", F.least("c", "least"))
-        jump = now.select(by, F.col("p").alias("to"), F.col("c").alias("then"))
-        nxt = staged(step.join(jump, [by, "to"]).select(by, "p", F.least("to", "then").alias("n"), "c"), "labels")
-        if nxt.filter("n < c").isEmpty():
-            break
-        now = nxt.select(by, "p", F.col("n").alias("c"))
-    return df.select(by, F.col(row)).join(nxt.select(by, F.col("p").alias(row), F.col("n").alias("cluster")), [by, row], "left")
-
-
-def point_in_polygon(points: DataFrame, x: str, y: str, edges: DataFrame) -> DataFrame:
-    """points with the id of each polygon that holds them, or null: edges (polygon, x1, y1, x2, y2).
-
-    A polygon holds a point if a ray to the right crosses an odd number of its edges. Polygons are joined by their boxes.
+    own = [within] if within else []
+    box = edges.groupBy("polygon", *own).agg(F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"), F.min(F.least("y1", "y2")).alias("y_lo"), F.max(F.greatest("y1", "y2")).alias("y_hi"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    at = lambda c: F.floor(F.col(c) / cell)
+    box = box.withColumn("i", F.explode(F.sequence(at("x_lo"), at("x_hi")))).withColumn("j", F.explode(F.sequence(at("y_lo"), at("y_hi"))))
+    box = box.select("polygon", *[F.col(c).alias("of") for c in own], "i", "j", "x_lo", "x_hi", "y_lo", "y_hi", "edges")
+    inner = points.select(F.struct("*").alias("row"), F.col(x).alias("x"), F.col(y).alias("y"), *[F.col(c).alias("own") for c in own], at(x).alias("pi"), at(y).alias("pj"))
+    crosses = lambda e: ((e["y1"] > F.col("y")) != (e["y2"] > F.col("y"))) & (F.col("x") < (e["x2"] - e["x1"]) * (F.col("y") - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+    inside = F.col("x").between(F.col("x_lo"), F.col("x_hi")) & F.col("y").between(F.col("y_lo"), F.col("y_hi")) & (F.size(F.filter("edges", crosses)) % 2 == 1)
+    on = (F.col("pi") == F.col("i")) & (F.col("pj") == F.col("j")) & inside
+    return inner.join(box, on & (F.col("own") == F.col("of")) if within else on, "left").select("row.*", "polygon")
+
+
+def census_tracts(points: DataFrame, x: str, y: str, states: DataFrame, tracts: DataFrame, years: Sequence[int], cell: float) -> DataFrame:
+    """A row for each point and year in which a state and one of its tracts hold it: points' columns, year, State, Tract.
+
+    states: edges (year, polygon, x1, ..); tracts: edges (year, state, polygon, x1, ..), whose state is one of states'
+    polygons. A point is looked for in the states, then in the tracts of its state. Points without coordinates, or outside
+    all, have no row; a year's names of columns are the caller's to map onto these.
     """
-    box = edges.groupBy("polygon").agg(F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"), F.min(F.least("y1", "y2")).alias("y_lo"), F.max(F.greatest("y1", "y2")).alias("y_hi"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    crosses = lambda e: ((e["y1"] > F.col(y)) != (e["y2"] > F.col(y))) & (F.col(x) < (e["x2"] - e["x1"]) * (F.col(y) - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
-    inside = F.size(F.filter("edges", crosses)) % 2 == 1
-    return points.join(box, F.col(x).between(F.col("x_lo"), F.col("x_hi")) & F.col(y).between(F.col("y_lo"), F.col("y_hi")) & inside, "left").drop("x_lo", "x_hi", "y_lo", "y_hi", "edges")
+    found = None
+    for year in years:
+        of = lambda df: df.filter(F.col("year") == year).drop("year")  # noqa: E731, B023
+        placed = in_polygons(points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y, of(states), cell).withColumnRenamed("polygon", "State").filter("State is not null")
+        tract = in_polygons(placed, x, y, of(tracts).withColumnRenamed("state", "State"), cell, "State").filter("polygon is not null")
+        tract = tract.withColumnRenamed("polygon", "Tract").withColumn("year", F.lit(year))
+        found = tract if found is None else found.unionByName(tract)
+    return found

@@ -66,5 +66,5 @@ def proximity_audit(df: DataFrame, key: str, boxed: Column, row: str, x: Column,
     mine, others = rows.filter("boxed").select(key, "row", "x"), rows.filter(~F.col("boxed")).select(key, F.col("x").alias("y"))
     d = F.abs(F.col("x") - F.col("y"))
     far = F.when(d >= bound, d)
-    out = mine.join(others, key, "left").groupBy(key, "row").agg(F.count("y").alias("n_total"), F.count(far).alias("n_failed"), F.bool_or(d < bound).alias("near_any"), *[F.round(f(far), 3).alias(f"failed_{k}") for k, f in (("min", F.min), ("mean", F.avg), ("max", F.max))])
+    out = mine.join(others, key, "left").groupBy(key, "row").agg(F.count("y").alias("n_total"), F.count(far).alias("n_failed"), F.bool_or(d < bound).alias("near_any"), *[F.bround(f(far), 3).alias(f"failed_{k}") for k, f in (("min", F.min), ("mean", F.avg), ("max", F.max))])
     return out.withColumnRenamed("row", row)

@@ -7,25 +7,89 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import density_clusters
+
+NO_MATCH = "No address match found"
+#: Characters that two lines' lengths may differ by to count as alike.
+LENGTH_REACH = 2
+
 
 def introduced(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
-    """df with `introduced`: whether a flag that several rows of the key have is set on the row."""
-    group = Window.partitionBy(key)
+    """df with `introduced`: whether a flag that several rows of the key have is set on the row.
+
+    The sums are aggregated per key and joined back, so that a key's rows are not gathered in one place."""
+    inner = df.select(F.col(key).alias("k"), F.struct("*").alias("row"), *[f.alias(f"f{i}") for i, f in enumerate(flags.values())])
+    names = [f"f{i}" for i in range(len(flags))]
+    sums = inner.groupBy(F.col("k").alias("of")).agg(*[(F.sum(c) > 1).alias(f"over_{c}") for c in names])
+    joined = inner.join(sums, F.col("k").eqNullSafe(F.col("of")))
     hit = F.lit(False)
-    for f in flags.values():
-        hit = hit | ((F.sum(f).over(group) > 1) & (F.coalesce(f, F.lit(0)) == 1))
-    return df.withColumn("introduced", hit)
+    for c in names:
+        hit = hit | (F.coalesce(f"over_{c}", F.lit(False)) & (F.coalesce(c, F.lit(0)) == 1))
+    return joined.select("row.*", hit.alias("introduced"))
 
 
-def survivor_ladder(df: DataFrame, by: list[str], row: str, verified: Column, line: Column, extra: Column, is_city: Column) -> DataFrame:
-    """df with `decision`: Keep for one row of each group, Drop for the others, `needs_review` where all are unverified.
+def survivor_ladder(df: DataFrame, by: list[str], row: str, answer: Column, line: Column, extra: Column, is_city: Column, like_city: Column) -> DataFrame:
+    """df with `decision` (Keep for one row of each group, Drop for the others), `by_city` (the row was kept because its
+    city is like the gazetteer's, whose name it should get) and `needs_review` (no row of the group was verified).
 
-    In order: verified before not; with a second line before without; a first line with a digit; the longest first line;
-    a known city; the first row.
+    In order: rows without a validated answer go, unless all are so. If a row has a second line, those without go. If a
+    first line with a digit is the longest, only such stay; else if the longest shares a run of lengths, each within
+    LENGTH_REACH of the next, with one that has a digit, all with a digit stay; else the longest. Of several left, the first with a known
+    city stays, or else the first with a city like the gazetteer's, or else the first by `row`. A group is the records of
+    one id at one place, so a window over it is small.
     """
-    order = Window.partitionBy(*by).orderBy(verified.desc(), extra.isNotNull().desc(), line.rlike("[0-9]").desc(), F.length(line).desc(), is_city.desc(), F.col(row))
-    out = df.withColumn("nth", F.row_number().over(order)).withColumn("needs_review", ~F.max(verified).over(Window.partitionBy(*by)))
-    return out.withColumn("decision", F.when(F.col("nth") == 1, "Keep").otherwise("Drop")).drop("nth")
+    group = Window.partitionBy(*by)
+    any_ = lambda c: F.coalesce(F.max(c).over(group), F.lit(False))
+    inner = df.select("*", (answer == NO_MATCH).alias("_none"), extra.isNotNull().alias("_extra"), F.coalesce(F.length(line), F.lit(0)).alias("_len"), F.coalesce(line.rlike("[0-9]"), F.lit(False)).alias("_digit"), F.coalesce(is_city, F.lit(False)).alias("_city"), F.coalesce(like_city, F.lit(False)).alias("_like"))
+    inner = inner.withColumn("_none", F.coalesce("_none", F.lit(False)))
+    out = inner.withColumn("needs_review", F.min("_none").over(group)).withColumn("_live", ~F.col("_none") | F.col("needs_review"))
+    out = out.withColumn("_live", F.col("_live") & (F.col("_extra") | ~any_(F.col("_live") & F.col("_extra"))))
+    out = out.withColumn("_top", F.col("_live") & (F.col("_len") == F.max(F.when(F.col("_live"), F.col("_len"))).over(group)))
+    line_up = Window.partitionBy(*by, "_live").orderBy("_len")
+    out = out.withColumn("_new", F.coalesce((F.col("_len") - F.lag("_len").over(line_up) > LENGTH_REACH).cast("int"), F.lit(1)))
+    out = out.withColumn("_run", F.sum("_new").over(line_up.rangeBetween(Window.unboundedPreceding, 0)))  # equal lengths have one run
+    top_run = F.max(F.when(F.col("_top"), F.col("_run"))).over(group)
+    digit = F.col("_live") & F.col("_digit")
+    out = out.withColumns({"_both": any_(digit & F.col("_top")), "_near": any_(digit & (F.col("_run") == top_run))})
+    out = out.withColumn("_live", F.when(F.col("_both"), digit & F.col("_top")).when(F.col("_near"), digit).otherwise(F.col("_top")))
+    nth = F.row_number().over(group.orderBy(F.col("_live").desc(), F.col("_city").desc(), F.col("_like").desc(), row))
+    several = F.sum(F.col("_live").cast("int")).over(group) > 1
+    out = out.withColumn("decision", F.when(nth == 1, "Keep").otherwise("Drop"))
+    out = out.withColumn("by_city", (F.col("decision") == "Keep") & several & ~F.col("_city") & F.col("_like"))
+    return out.select(*df.columns, "decision", "by_city", "needs_review")
+
+
+def select_survivors(df: DataFrame, key: str, row: str, flags: Mapping[str, Column], x: Column, y: Column, eps: float, **ladder: Column) -> DataFrame:
+    """df with cluster, problem_geo, decision, by_city, needs_review: rows that no flag makes a duplicate are kept as they
+    are (cluster null); the others compete by the ladder with those of their key's density cluster, noise being one."""
+    marked = introduced(df, key, flags)
+    some = marked.filter("introduced").drop("introduced")
+    places = density_clusters(some, key, row, x, y, eps).select(F.col(key).alias("_key"), F.col(row).alias("_row"), "cluster", "problem_geo")
+    joined = some.join(places, (F.col(key) == F.col("_key")) & (F.col(row) == F.col("_row"))).drop("_key", "_row")
+    judged = survivor_ladder(joined, [key, "cluster"], row, **ladder)
+    alone = marked.filter(~F.col("introduced")).drop("introduced")
+    return judged.unionByName(alone.withColumn("decision", F.lit("Keep")), allowMissingColumns=True).na.fill(False, ["by_city", "needs_review", "problem_geo"])
+
+
+def compressed(judged: DataFrame, key: str, flags: Mapping[str, str]) -> DataFrame:
+    """judged with the flags of each kept row set where any row of its (key, cluster) has them; others as they are.
+    flags: column of judged by name of the result's column."""
+    group = judged.groupBy(F.col(key).alias("_key"), F.col("cluster").alias("_cluster")).agg(*[F.least(F.sum(c), F.lit(1)).alias(f"_{k}") for k, c in flags.items()])
+    joined = judged.join(group, (F.col(key) == F.col("_key")) & (F.col("cluster") == F.col("_cluster")), "left")
+    kept = (F.col("decision") == "Keep") & F.col("cluster").isNotNull()
+    return joined.withColumns({k: F.when(kept, F.col(f"_{k}")).otherwise(F.col(c)) for k, c in flags.items()}).drop("_key", "_cluster", *[f"_{k}" for k in flags])
+
+
+def survivor_checks(done: DataFrame, key: str, flags: list[str]) -> DataFrame:
+    """One row for each (key, cluster) of competing rows: whether each flag's sum over the dropped rows and over the kept
+    ones is 0 or 1, whether no flag's sum over both is 1 (what was dropped is on the kept row), whether coordinates lacked,
+    and whether one row is kept."""
+    kept = F.col("decision") == "Keep"
+    sums = [F.coalesce(F.sum(F.when(kept if k else ~kept, F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in flags for k in (0, 1)]
+    out = done.filter("cluster is not null").groupBy(key, "cluster").agg(*sums, F.max("problem_geo").alias("geo_na"), (F.count_if(kept) == 1).alias("one_kept"))
+    every = lambda k: F.forall(F.array(*[f"{c}_{k}" for c in flags]), lambda s: s.isin(0, 1))
+    total = F.forall(F.array(*[F.col(f"{c}_0") + F.col(f"{c}_1") for c in flags]), lambda s: s != 1)
+    return out.select(key, "cluster", every(0).alias("dropped_all_1"), every(1).alias("kept_all_1"), total.alias("consistent"), "geo_na", "one_kept")
 
 
 def gap_pairs(years: DataFrame, gap: int) -> DataFrame:

@@ -255,18 +255,44 @@ def acronym_or_city(spark, sf):
     return joined.select("n_nationkey", "name", text.acronym_or_city(F.col("name"), F.coalesce("hit", F.lit(False))).alias("kind"))
 
 
-PAIRS_SQL = f"SELECT a.b AS p_brand, a.v AS a, b.v AS b FROM (SELECT DISTINCT p_brand AS b, p_name AS v FROM part) a JOIN (SELECT DISTINCT p_brand AS b, p_name AS v FROM part) b ON a.b = b.b AND a.v < b.v WHERE 1 - jaro_similarity(a.v, b.v) < {CLUSTER_AT}"
-LABELS_SQL = f"""SELECT p_brand, p_name, min(c) AS cluster FROM (WITH RECURSIVE e AS (SELECT p_brand, a, b FROM ({PAIRS_SQL}) UNION SELECT p_brand, b, a FROM ({PAIRS_SQL})),
- r(p_brand, p_name, c) AS (SELECT DISTINCT p_brand, p_name, p_name FROM part UNION SELECT r.p_brand, e.b, r.c FROM r JOIN e ON e.p_brand = r.p_brand AND e.a = r.p_name) SELECT * FROM r) GROUP BY 1, 2"""
+#: Parts whose names differ in case, blanks and signs as well.
+NAMES_SQL = "(SELECT * REPLACE (CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, ' ', '  ') WHEN 2 THEN p_name || '.' ELSE p_name END AS p_name) FROM part)"
+
+
+def named_parts(spark, sf):
+    k, name = F.col("p_partkey") % 5, F.col("p_name")
+    return table(spark, sf, "part").withColumn("p_name", F.when(k == 0, F.upper(name)).when(k == 1, F.replace(name, F.lit(" "), F.lit("  "))).when(k == 2, F.concat(name, F.lit("."))).otherwise(name))
+
+
+def norm_sql(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(regexp_replace(lower({x}), '\\s*,\\s*', ', ', 'g'), '[^a-z0-9, ]', '', 'g'), ' +', ' ', 'g'))"
+
+
+def pairs_sql(rows: str, key: str, value: str, at: float) -> str:
+    """(key, a, b) of distinct normalised values below the distance."""
+    v = f"(SELECT DISTINCT {key} AS b, {norm_sql(value)} AS v FROM {rows} WHERE {value} IS NOT NULL)"
+    return f"SELECT a.b AS {key}, a.v AS a, b.v AS b FROM {v} a JOIN {v} b ON a.b = b.b AND a.v < b.v WHERE 1 - jaro_similarity(a.v, b.v) < {at}"
+
+
+def labels_sql(rows: str, key: str, value: str, at: float) -> str:
+    """(key, value, cluster): raw values whose normalised ones are connected, by the least raw one."""
+    given = f"(SELECT DISTINCT {key} AS gk, {value} AS gv, {norm_sql(value)} AS gn FROM {rows} WHERE {value} IS NOT NULL)"
+    return f"""SELECT gk AS {key}, gv AS {value}, min(gv) OVER (PARTITION BY gk, root) AS cluster FROM {given}
+ JOIN (SELECT rk, rn, min(rc) AS root FROM (WITH RECURSIVE p AS ({pairs_sql(rows, key, value, at)}), e AS (SELECT {key} AS ek, a, b FROM p UNION SELECT {key}, b, a FROM p),
+ r(rk, rn, rc) AS (SELECT DISTINCT gk, gn, gn FROM {given} UNION SELECT rk, e.b, rc FROM r JOIN e ON ek = rk AND e.a = rn) SELECT * FROM r) GROUP BY 1, 2) ON rk = gk AND rn = gn"""
+
+
+PAIRS_SQL = pairs_sql(NAMES_SQL, "p_brand", "p_name", CLUSTER_AT)
+LABELS_SQL = labels_sql(NAMES_SQL, "p_brand", "p_name", CLUSTER_AT)
 
 
 @query(f"SELECT p_brand, a, b, round(1 - jaro_similarity(a, b), 6) AS distance FROM ({PAIRS_SQL})")
 def jaro_pairs(spark, sf):
-    return clusters.similar_pairs(table(spark, sf, "part"), "p_brand", F.col("p_name"), CLUSTER_AT).withColumn("distance", F.round("distance", 6))
+    return clusters.similar_pairs(named_parts(spark, sf), "p_brand", F.col("p_name"), CLUSTER_AT).withColumn("distance", F.round("distance", 6))
 
 
 def labels(spark, sf):
-    return clusters.clusters(table(spark, sf, "part"), "p_brand", "p_name", CLUSTER_AT)
+    return clusters.clusters(named_parts(spark, sf), "p_brand", "p_name", CLUSTER_AT)
 
 
 @query(LABELS_SQL)
@@ -280,7 +306,7 @@ def exact_vs_similar(spark, sf):
 
 
 FLAG_SQL = ", ".join(f"count(*) FILTER (p_size % 5 = {k}) AS s{k}" for k in range(5))
-COLLAPSE_SQL = f"SELECT p_brand, cluster, count(*) AS n_rows, count(DISTINCT p_name) AS n_members, {FLAG_SQL}, round(avg(p_retailprice), 4) AS mean_x, CASE WHEN count(*) = 1 THEN true ELSE max(p_retailprice) - min(p_retailprice) < 120 END AS near_test FROM part JOIN ({LABELS_SQL}) USING (p_brand, p_name) GROUP BY 1, 2"
+COLLAPSE_SQL = f"SELECT p_brand, cluster, count(*) AS n_rows, count(DISTINCT p_name) AS n_members, {FLAG_SQL}, round(avg(p_retailprice), 4) AS mean_x, CASE WHEN count(*) = 1 THEN true ELSE max(p_retailprice) - min(p_retailprice) < 120 END AS near_test FROM {NAMES_SQL} JOIN ({LABELS_SQL}) USING (p_brand, p_name) GROUP BY 1, 2"
 
 
 def size_flags() -> dict[str, Column]:
@@ -288,7 +314,7 @@ def size_flags() -> dict[str, Column]:
 
 
 def collapsed(spark, sf):
-    part = table(spark, sf, "part")
+    part = named_parts(spark, sf)
     found = labels(spark, sf)
     return part, found, clusters.collapse(part, "p_brand", "p_name", found, "p_retailprice", size_flags(), 120.0)
 
@@ -304,24 +330,26 @@ def introduced_dups(spark, sf):
 
 
 @query(f"""WITH c AS ({COLLAPSE_SQL}), l AS ({LABELS_SQL}) SELECT p_brand, cluster, n_rows, CASE WHEN near_test THEN 'TRUE' ELSE 'FALSE' END AS status FROM c WHERE near_test
- UNION ALL SELECT p_brand, p_name, count(*), 'Expanded' FROM part WHERE (p_brand, p_name) IN (SELECT (l.p_brand, l.p_name) FROM l JOIN c ON c.p_brand = l.p_brand AND c.cluster = l.cluster WHERE NOT c.near_test) GROUP BY 1, 2""")
+ UNION ALL SELECT p_brand, p_name, count(*), 'Expanded' FROM {NAMES_SQL} WHERE (p_brand, p_name) IN (SELECT (l.p_brand, l.p_name) FROM l JOIN c ON c.p_brand = l.p_brand AND c.cluster = l.cluster WHERE NOT c.near_test) GROUP BY 1, 2""")
 def expand_failed_clusters(spark, sf):
     part, found, one = collapsed(spark, sf)
     return clusters.expand_failed(part, "p_brand", "p_name", found, one, "p_retailprice", size_flags(), 120.0).select("p_brand", "cluster", "n_rows", "status")
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS x, l_returnflag = 'R' AS boxed FROM lineitem), d AS (SELECT m.l_orderkey, m.id, abs(m.x - o.x) AS d FROM (SELECT *, l_linenumber::BIGINT * 1000000000 + l_partkey AS id FROM r WHERE boxed) m
- LEFT JOIN r o ON o.l_orderkey = m.l_orderkey AND NOT o.boxed) SELECT l_orderkey, id, count(d) AS n_total, count(d) FILTER (d >= 20000) AS n_failed, bool_or(d < 20000) AS near_any, round(min(d) FILTER (d >= 20000), 3) AS failed_min, round(avg(d) FILTER (d >= 20000), 3) AS failed_mean, round(max(d) FILTER (d >= 20000), 3) AS failed_max FROM d GROUP BY 1, 2""")
+ LEFT JOIN r o ON o.l_orderkey = m.l_orderkey AND NOT o.boxed) SELECT l_orderkey, id, count(d) AS n_total, count(d) FILTER (d >= 20000) AS n_failed, bool_or(d < 20000) AS near_any, round_even(min(d) FILTER (d >= 20000), 3) AS failed_min, round_even(avg(d) FILTER (d >= 20000), 3) AS failed_mean, round_even(max(d) FILTER (d >= 20000), 3) AS failed_max FROM d GROUP BY 1, 2""")
 def mailbox_proximity(spark, sf):
     rows = table(spark, sf, "lineitem").withColumn("id", F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey"))
     return profile.proximity_audit(rows, "l_orderkey", F.col("l_returnflag") == "R", "id", F.col("l_extendedprice"), 20000.0)
 
 
-@query("""WITH RECURSIVE p AS (SELECT label, vec_id, embedding[1]::double AS x, embedding[2]::double AS y FROM embeddings), e AS (SELECT a.label, a.vec_id AS a, b.vec_id AS b FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.03),
- r(label, vec_id, c) AS (SELECT DISTINCT label, a, a FROM e UNION SELECT r.label, e.b, r.c FROM r JOIN e ON e.label = r.label AND e.a = r.vec_id) SELECT p.label, p.vec_id, m.cluster FROM p LEFT JOIN (SELECT label, vec_id, min(c) AS cluster FROM r GROUP BY 1, 2) m ON m.vec_id = p.vec_id AND m.label = p.label""")
+@query("""WITH RECURSIVE q AS (SELECT label, vec_id, CASE WHEN vec_id % 251 <> 7 THEN round(embedding[1]::double, 2) END AS x, round(embedding[2]::double, 2) AS y FROM embeddings), bad AS (SELECT DISTINCT label FROM q WHERE x IS NULL OR y IS NULL), p AS (SELECT * FROM q WHERE label NOT IN (SELECT label FROM bad)),
+ e AS (SELECT a.label, a.vec_id AS a, b.vec_id AS b FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.035),
+ r(label, vec_id, c) AS (SELECT DISTINCT label, a, a FROM e UNION SELECT r.label, e.b, r.c FROM r JOIN e ON e.label = r.label AND e.a = r.vec_id) SELECT q.label, q.vec_id, CASE WHEN bad.label IS NOT NULL THEN 1 ELSE coalesce(m.cluster, 0) END AS cluster, bad.label IS NOT NULL AS problem_geo FROM q LEFT JOIN bad USING (label) LEFT JOIN (SELECT label, vec_id, min(c) AS cluster FROM r GROUP BY 1, 2) m ON m.vec_id = q.vec_id AND m.label = q.label""")
 def dbscan_2d(spark, sf):
     e = F.col("embedding")
-    return places.density_clusters(table(spark, sf, "embeddings"), "label", "vec_id", e[0].cast("double"), e[1].cast("double"), 0.03)
+    x = F.when(F.col("vec_id") % 251 != 7, F.round(e[0].cast("double"), 2))
+    return places.density_clusters(table(spark, sf, "embeddings"), "label", "vec_id", x, F.round(e[1].cast("double"), 2), 0.035)
 
 
 @query("""SELECT p_brand, p_partkey, x, CASE WHEN count(*) OVER (PARTITION BY p_brand, run) > 1 THEN run ELSE 0 END AS cluster FROM (SELECT p_brand, p_partkey, x, (sum(CASE WHEN x - lag <= 2 THEN 0 ELSE 1 END) OVER (PARTITION BY p_brand ORDER BY x, p_partkey ROWS UNBOUNDED PRECEDING))::BIGINT AS run
@@ -330,15 +358,6 @@ def length_gap_cluster(spark, sf):
     return places.gap_clusters(table(spark, sf, "part"), "p_brand", F.col("p_retailprice"), "p_partkey", 2.0)
 
 
-@query("""SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY p_brand, p_size ORDER BY (p_type <> 'ECONOMY') DESC, (p_partkey % 3 = 0) DESC, regexp_matches(p_brand, '[0-9]') DESC, length(p_name) DESC, (p_partkey % 2 = 0) DESC, p_partkey) = 1 THEN 'Keep' ELSE 'Drop' END AS decision,
- NOT max(p_type <> 'ECONOMY') OVER (PARTITION BY p_brand, p_size) AS needs_review FROM part""")
-def survivor_rank(spark, sf):
-    part = table(spark, sf, "part")
-    k = F.col("p_partkey")
-    ranked = survivors.survivor_ladder(part.withColumn("line", F.col("p_name")), ["p_brand", "p_size"], "p_partkey", F.col("p_type") != "ECONOMY", F.col("line"), F.when(k % 3 == 0, k), k % 2 == 0)
-    return ranked.select("p_partkey", "decision", "needs_review")
-
-
 @query(f"SELECT o_orderkey, y, n > 1 AS introduced FROM (SELECT o_orderkey, year(o_orderdate)::INT AS y, count(*) OVER (PARTITION BY o_custkey, year(o_orderdate)) AS n FROM orders) WHERE y BETWEEN {YEARS[0]} AND {YEARS[-1]}")
 def introduced_rows(spark, sf):
     return survivors.introduced(orders(spark, sf), "o_custkey", year_flags()).filter(F.col("y").between(YEARS[0], YEARS[-1])).select("o_orderkey", "y", "introduced")
@@ -368,7 +387,7 @@ def point_in_polygon(spark, sf):
     e = F.col("embedding")
     points = table(spark, sf, "embeddings").select("vec_id", (e[0].cast("double") * 4).alias("x"), (e[1].cast("double") * 4).alias("y"))
     edges = spark.createDataFrame(list(POLYGONS), "polygon int, x1 double, y1 double, x2 double, y2 double")
-    return places.point_in_polygon(points, "x", "y", edges).select("vec_id", "polygon")
+    return places.in_polygons(points, "x", "y", edges, 0.25).select("vec_id", "polygon")
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INT), 0) AS k, coalesce(json_extract_string(props, '$.name'), 'none') AS name FROM events")
@@ -390,13 +409,15 @@ def compile_address(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", nulls.join_strict(F.col("s_name"), n, F.col("s_suppkey")).alias("strict"), nulls.paste(F.col("s_name"), n).alias("pasted"), text.or_none_given(n).alias("given"))
 
 
-@query("SELECT page_id, url, regexp_matches(url, '(?i)PILLS|SPAM') AS flagged, contains(url, lang) AS has_lang, split_part(url, '/', 3) AS part FROM (SELECT page_id, url, '/en/' AS lang FROM pages)")
+@query("""SELECT page_id, url, regexp_matches(url, '(?i)PILLS|SPAM') AS flagged, regexp_matches(upper(url), 'EXAMPLE') AS in_capitals, contains(url, lang) AS has_lang, split_part(url, '/', 3) AS part
+ FROM (SELECT page_id, url, '/' || ['en', 'de', 'fr', 'es'][1 + page_id % 4] || '/' AS lang FROM pages)""")
 def regex_filters(spark, sf):
-    return table(spark, sf, "pages").select("page_id", "url", F.col("url").rlike("(?i)PILLS|SPAM").alias("flagged"), F.contains("url", F.lit("/en/")).alias("has_lang"), F.split_part("url", F.lit("/"), F.lit(3)).alias("part"))
+    lang = F.concat(F.lit("/"), F.element_at(F.array(*map(F.lit, ("en", "de", "fr", "es"))), (1 + F.col("page_id") % 4).cast("int")), F.lit("/"))
+    return table(spark, sf, "pages").select("page_id", "url", F.col("url").rlike("(?i)PILLS|SPAM").alias("flagged"), F.upper("url").rlike("EXAMPLE").alias("in_capitals"), F.contains(F.col("url"), lang).alias("has_lang"), F.split_part("url", F.lit("/"), F.lit(3)).alias("part"))
 
 
-@query("SELECT p_brand, p_size::BIGINT AS p_size, least((sum(p_size) OVER (PARTITION BY p_brand))::BIGINT, 1) AS capped, p_partkey FROM part")
+@query("""SELECT p_brand, p_partkey, least(s.n, 1) AS capped, s.n > 1 AS over FROM part JOIN (SELECT p_brand AS b, p_size % 7 AS k, count(*) FILTER (p_type = 'ECONOMY') AS n FROM part GROUP BY 1, 2) s ON s.b = p_brand AND s.k = p_size % 7""")
 def capped_sums(spark, sf):
-    from pyspark.sql import Window
-
-    return table(spark, sf, "part").select("p_brand", F.col("p_size").cast("long").alias("p_size"), F.least(F.sum("p_size").over(Window.partitionBy("p_brand")), F.lit(1).cast("long")).alias("capped"), "p_partkey")
+    part = table(spark, sf, "part").withColumn("k", F.col("p_size") % 7)
+    sums = part.groupBy("p_brand", "k").agg(F.count_if(F.col("p_type") == "ECONOMY").alias("n"))
+    return part.join(sums, ["p_brand", "k"]).select("p_brand", "p_partkey", F.least("n", F.lit(1).cast("long")).alias("capped"), (F.col("n") > 1).alias("over"))

@@ -2,27 +2,49 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, with_file: bool = False) -> DataFrame:
-    """CSV files (plain or gzip) with a header; NA is null. with_file adds a column `file` with each row's file name."""
-    df = spark.read.csv(list(paths) if not isinstance(paths, str) else paths, schema=schema, header=True, nullValue="NA")
-    return df.withColumn("file", F.col("_metadata.file_name")) if with_file else df
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, with_file: bool = False, numbered: bool = False) -> DataFrame:
+    """CSV files (plain or gzip) with a header; NA is null. numbered: the files begin with an unnamed column of row
+    numbers, which is left out. with_file adds a column `file` with each row's file name."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kind = StructType([StructField("_row", StringType()), *kind.fields]) if numbered else kind
+    df = spark.read.csv(list(paths) if not isinstance(paths, str) else paths, schema=kind, header=True, nullValue="NA", enforceSchema=True)
+    columns = [c for c in df.columns if not (numbered and c == "_row")]
+    return df.select(*columns, *([F.col("_metadata.file_name").alias("file")] if with_file else []))
 
 
-def write_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), compression: str = "none") -> None:
     """CSV with a header and nulls as NA, in a folder for each value of `by`."""
-    df.write.mode("overwrite").partitionBy(*by).csv(path, header=True, nullValue="NA")
+    df.write.mode("overwrite").partitionBy(*by).csv(path, header=True, nullValue="NA", compression=compression)
+
+
+def write_ranges(df: DataFrame, path: str, row: str, size: int) -> None:
+    """CSV in a folder for each range of `size` row numbers, named `rows=<first> to <last>`; numbers begin at 1."""
+    first = F.floor((F.col(row) - 1) / size) * size + 1
+    write_csv(df.withColumn("rows", F.concat_ws(" to ", first, first + size - 1)), path, ["rows"])
+
+
+def with_row_numbers(df: DataFrame, order: Sequence[str], into: str = "rowname") -> DataFrame:
+    """df with row numbers from 1 in the order of columns that tell all rows apart. Rows are dealt into ranges of the order,
+    whose counts are summed, so the table is not sorted in one place. A column of that name is replaced."""
+    ranged = df.drop(into).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    ranged = staged(ranged.withColumn("_part", F.shiftright("_id", 33)), "ranged")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sizes.select("_part", "least", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return ranged.join(F.broadcast(starts), "_part").withColumn(into, F.col("before") + F.col("_id") - F.col("least") + 1).drop("_part", "_id", "least", "before")
 
 
 def year_columns(df: DataFrame) -> list[str]:
@@ -61,14 +83,44 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     return df.groupBy(*keys).agg(F.min_by(columns, F.struct(*order)).alias("_r")).select("_r.*")
 
 
+_written: set[str] = set()
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the folder that all executors share (spark.checkpoint.dir; a fixed one on a local master)."""
+    """df written to the folder that all executors share (spark.checkpoint.dir; a fixed one on a local master), and read
+    again. `unstaged` deletes it; what is left is deleted when the driver ends."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "/tmp/checkpoints/tidemark"
+    if not _written:
+        atexit.register(_delete_all, spark)
     path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.add(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def unstaged(*frames: DataFrame) -> None:
+    """Delete tables of `staged` that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_tidemark_path", None)
+        if path in _written:
+            _written.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _delete_all(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    while _written:
+        _delete(spark, _written.pop())
