@@ -4,8 +4,11 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
+
 import __spark_entry__
 from tidemark.llm import setjoin
+from tidemark.llm.graph import connected_components
 from tidemark.llm.ngram_join import jaccard_groups, jaccard_links
 
 SF = "/root/testdata/sf0.01"
@@ -51,8 +54,9 @@ def test_ngram_jaccard_join(spark):
 
 def test_every_key_through_tiles(spark, monkeypatch):
     """The ways for large keys, with blocks of a few sets: chains of near copies whose ends are not similar."""
-    monkeypatch.setattr(setjoin, "FEW", 1)
     monkeypatch.setattr(setjoin, "BLOCK_ITEMS", 2_000)
+    monkeypatch.setattr(setjoin, "TOGETHER", 500)
+    monkeypatch.setattr(setjoin, "SMALL", 6)
     rng = random.Random(2)
     rows, now = [], []
     for i in range(240):
@@ -92,3 +96,31 @@ def test_every_link(spark):
     got = {(r.a, r.b): r.links for r in jaccard_links(docs).collect()}
     assert got == want and sum(a != b for a, b in got) > 50
     assert jaccard_links(docs.limit(0)).count() == 0
+
+
+def test_small_and_large_tiles_alike(monkeypatch):
+    """Pairs that pass within tiles, bounded together or a row at a time: the same, and all that are similar."""
+    rng = np.random.default_rng(3)
+    sets, now = [], None
+    for i in range(120):
+        if i % 12 == 0:
+            now = rng.integers(0, 1 << 63, rng.integers(40, 90), dtype=np.uint64)
+        sets.append(np.unique(np.r_[now[rng.integers(0, 9) :], rng.integers(0, 1 << 63, rng.integers(0, 9), dtype=np.uint64)]))
+    tile = np.repeat([0, 1], 60)
+    t = {"tile": tile, "side": np.tile(np.repeat([0, 1], 30), 2) * (tile == 0), "root": np.arange(120) // 2, "n": np.array([len(x) for x in sets]), "bits": np.array([setjoin.bitmap(x) for x in sets], object)}
+    got = []
+    for small in (64, 1):
+        monkeypatch.setattr(setjoin, "SMALL", small)
+        got.append({(min(a, b), max(a, b)) for i, j in setjoin.passing(t, 80, setjoin.Bitmaps) for a, b in zip(i.tolist(), j.tolist(), strict=True)})
+    may = {(a, b) for a, b in combinations(range(120), 2) if tile[a] == tile[b] and t["root"][a] != t["root"][b] and (tile[a] or t["side"][a] != t["side"][b])}
+    want = {(a, b) for a, b in may if setjoin.similar(sets[a], sets[b], 80)}
+    assert want <= got[0] <= got[1] <= may and len(want) > 100  # in a large tile bitmaps are folded to the least size
+
+
+def test_components_of_any_shape(spark):
+    rng = random.Random(9)
+    edges = [(i, i + 1) for i in range(400)] + [(1_000, 1_001 + i) for i in range(300)] + [(5_000 + rng.randrange(300), 5_000 + rng.randrange(300)) for _ in range(200)] + [(7, 7), (9_000, 9_000)]
+    df = spark.createDataFrame([(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges], "a long, b long").repartition(7)
+    ids = {x for a, b in edges if a != b for x in (a, b)}
+    assert {r.node: r.root for r in connected_components(df).collect()} == components(ids, [e for e in edges if e[0] != e[1]])
+    assert connected_components(df.limit(0)).count() == 0

@@ -2,69 +2,33 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import staged as stage  # noqa: F401  (the operators take it from here)
+from ..sources.tables import table, unstaged
+
 #: The bytes that part words, as every contract of this package states them.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Used where no spark.checkpoint.dir is set, on a local master only.
-LOCAL_SHARED = "/tmp/checkpoints/tidemark"
-
-_staged: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fixed one on a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return LOCAL_SHARED
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it again: a cut of the lineage that survives lost executors."""
-    spark = df.sparkSession
-    if not _staged:
-        atexit.register(_remove_all, spark)
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _staged.append(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidemark_path = path
-    return out
-
 
-def unstage(*tables: DataFrame | None) -> None:
-    """Delete stage tables that nothing reads any more."""
-    for df in tables:
-        path = getattr(df, "_tidemark_path", None)
-        if path in _staged:
-            _staged.remove(path)
-            _remove(df.sparkSession, path)
 
+#: Bytes of an Arrow batch between Spark and Python, of which both hold several: Spark's default of 64 MB is much for tasks
+#: that make several objects of each byte.
+BATCH_BYTES = "8m"
 
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of sf_dir. The session's Arrow batches are bounded by BATCH_BYTES from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return table(spark, sf_dir, name)
 
-def _remove_all(spark: SparkSession) -> None:
-    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
-        return
-    while _staged:
-        _remove(spark, _staged.pop())
 
-
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def unstage(*frames: DataFrame | None) -> None:
+    """Delete stage tables that nothing reads any more; None is none."""
+    unstaged(*[df for df in frames if df is not None])
 
 
 def ascii_lower(text: Column) -> Column:
@@ -84,6 +48,25 @@ def as_rows(columns: dict[str, Iterable], schema) -> "pyarrow.RecordBatch":
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+#: Bytes of texts that a task takes into Python objects at once, unless one text alone is larger.
+SLICE_BYTES = 4_000_000
+
+
+def in_slices(batches: Iterable, column: str, most: int = SLICE_BYTES) -> Iterator:
+    """The record batches cut into slices of at most `most` bytes of a string or binary column, or one row."""
+    import pyarrow.compute as pc
+
+    for t in batches:
+        if t.num_rows:
+            total = pc.fill_null(pc.binary_length(t.column(column)), 0).to_numpy(zero_copy_only=False).cumsum(dtype="int64")
+            lo = 0
+            while lo < t.num_rows:
+                before = int(total[lo - 1]) if lo else 0
+                hi = max(lo + 1, int(total.searchsorted(before + most, "right")))
+                yield t.slice(lo, hi - lo)
+                lo = hi
+
+
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; reads no more than it needs to tell."""
     return df.limit(rows + 1).count() <= rows

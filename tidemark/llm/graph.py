@@ -2,46 +2,77 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, unstage
+from .common import as_rows, stage, unstage
+
+#: Edges that one union-find takes at once: bounds a task's memory, whatever its share of the edges.
+CHUNK = 250_000
+
+
+def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of the edges a-b and the least node of each one's component, by pointer jumping."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    up = np.arange(len(nodes))
+    while len(x):
+        low, high = np.minimum(up[x], up[y]), np.maximum(up[x], up[y])
+        np.minimum.at(up, high, low)
+        while not np.array_equal(up, higher := up[up]):
+            up = higher
+        apart = up[x] != up[y]
+        x, y = x[apart], y[apart]
+    return nodes, nodes[up]
 
 
-def _neighbours_to_least(edges: DataFrame, both: bool) -> DataFrame:
-    """One star step. both: every node links its larger neighbours to the least of its neighbourhood;
-    else every node links its smaller neighbours, and itself, to the least of them."""
-    u_v = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if both:
-        u_v = u_v.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    else:
-        u_v = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = u_v.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    out = u_v.join(least, "u")
-    if both:
-        out = out.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = out.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of every chunk of edges."""
+    schema = pa.schema([("node", pa.int64()), ("root", pa.int64())])
+    a, b, held = [], [], 0
+
+    def out() -> pa.RecordBatch:
+        nodes, roots = local_roots(np.concatenate(a), np.concatenate(b))
+        return as_rows({"node": nodes, "root": roots}, schema)
+
+    for t in batches:
+        a.append(t.column("a").to_numpy(zero_copy_only=False))
+        b.append(t.column("b").to_numpy(zero_copy_only=False))
+        held += t.num_rows
+        if held >= CHUNK:
+            yield out()
+            a, b, held = [], [], 0
+    if held:
+        yield out()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of edges (a, b); root is the least node of its component.
+    """(node, root), written, for every node of edges (a, b); root is the least node of its component.
+
+    Each round contracts the edges of every chunk to a root for each node, and gathers each node's roots by one shuffle:
+    one row a node and chunk, so a node with any number of edges is no hot key. A node with several roots gives the edges
+    of the next round, whose nodes are roots only. Each edge is contracted in its chunk, so at least half of the nodes
+    vanish in a round; with few chunks, two rounds do. The rounds' tables are joined from the last to the first.
 
-    Alternating star contraction: each round is two joins and two aggregations over the edges, the number of rounds
-    grows with the logarithm of the longest path, and no step gathers a neighbourhood in one place (minima are
-    aggregated map-side first). Every round is written to the shared folder. Self loops and repeated edges do no
-    harm; a node that has only a self loop is not returned. Empty edges give an empty table.
+    Self loops, repeated and both ways' edges do no harm; a node that has only a self loop is not returned. Null ends are
+    no edges. Empty edges give an empty table.
     """
-    now = stage(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    mark = None
+    rounds, now = [], edges.select("a", "b").filter("a <> b")
     while True:
-        row = now.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
-        if (row.n, row.x) == mark or row.n == 0:
+        roots = now.mapInArrow(_contracted, "node long, root long").groupBy("node").agg(F.array_sort(F.collect_set("root")).alias("roots"))
+        rounds.append(stage(roots, "roots"))
+        torn = rounds[-1].filter(F.size("roots") > 1)
+        if torn.isEmpty():
             break
-        mark = (row.n, row.x)
-        nxt = stage(_neighbours_to_least(_neighbours_to_least(now, True), False), "edges")
-        unstage(now)
-        now = nxt
-    roots = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
-    return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        now = torn.select(F.col("roots")[0].alias("a"), F.explode("roots").alias("b")).filter("a <> b")
+    found = rounds[-1].select("node", F.col("roots")[0].alias("root"))
+    for before in reversed(rounds[:-1]):
+        to = found.select(F.col("node").alias("mid"), F.col("root").alias("top"))
+        found = before.select("node", F.col("roots")[0].alias("mid")).join(to, "mid", "left").select("node", F.coalesce("top", "mid").alias("root"))
+    out = stage(found, "components")
+    unstage(*rounds)
+    return out

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, keys_hint, stage
+from .common import as_rows, in_slices, keys_hint, stage
 from .hashing import STEP, WordHashes, fingerprint, mix, word_shingles
-from .setjoin import ITEMS_DDL, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link, need, overlap
+from .setjoin import ITEMS_DDL, POSTINGS, POSTINGS_DDL, Combiner, bitmap, buckets_for, item_rows, link, need, overlap
 
 #: Empty parts that a tile allows for, besides a tenth of its parts.
 SPARE = 3
+#: Sets that a task remembers, so as not to post them again; and bytes of text for each posting, to choose a number of buckets.
+SEEN, BYTES_PER_KEY = 200_000, 10
 
 
 @lru_cache(8)
@@ -84,50 +86,55 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     carried = list(extra)
     place = F.struct("id", *extra) if by_text else F.col("id")
     kind = dict(rows.dtypes)["id"]
-    sized_schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary())])
+    if kind not in ("bigint", "int", "smallint", "tinyint"):
+        raise TypeError(f"{id_col} must be an integer, not {kind}")
+    rows = rows.withColumn("id", F.col("id").cast("long"))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    buckets = buckets_for(size // BYTES_PER_KEY)
+    per_row = [("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("bits", pa.binary()), *[(k, pa.int64() if k == "k1" else pa.int32()) for k in carried]]
+    schema = pa.schema([*per_row, *zip(POSTINGS.names, POSTINGS.types, strict=True)])
+    ddl = "id long, n_shingles long, node long, bits binary, " + ("k1 long, k2 int, " if by_text else "") + POSTINGS_DDL
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each row of docs, and rows of postings, which have a bucket. A set is posted once a task, as far as
+        the task remembers."""
+        cache, seen, out = WordHashes(), set(), Combiner(buckets)
 
-    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for t in batches:
+        def widened(t: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([t.column(f.name) if f.name in t.schema.names else pa.nulls(t.num_rows, f.type) for f in schema], schema=schema)
+
+        for t in in_slices(batches, "text"):
             sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
             ids = t.column("id")
-            alive = [len(s) > 0 and i is not None for s, i in zip(sets, ids.to_pylist(), strict=True)]
-            both = list(zip(sets, alive, strict=True))
-            out = as_rows({"id": ids, "n_shingles": [len(s) for s in sets], "node": [fingerprint(s) if a else None for s, a in both], "bits": [bitmap(s) if a else None for s, a in both]}, sized_schema)
-            yield pa.RecordBatch.from_arrays([*out.columns, *[t.column(k) for k in carried]], names=[*sized_schema.names, *carried])
-
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, out = WordHashes(), set(), Combiner(buckets)
-        for t in batches:
-            for text in t.column("text").to_pylist():
-                s = word_shingles(text, width, cache)
-                if len(s) and (node := fingerprint(s)) not in seen:
+            nodes = [fingerprint(s) if len(s) and i is not None else None for s, i in zip(sets, ids.to_pylist(), strict=True)]
+            own = as_rows({"n_shingles": [len(s) for s in sets], "node": nodes, "bits": [None if n is None else bitmap(s) for s, n in zip(sets, nodes, strict=True)]}, pa.schema(per_row[1:4]))
+            yield widened(pa.RecordBatch.from_arrays([ids, *own.columns, *[t.column(k) for k in carried]], names=["id", *own.schema.names, *carried]))
+            if len(seen) > SEEN:
+                seen.clear()
+            for s, node in zip(sets, nodes, strict=True):
+                if node is not None and node not in seen:
                     seen.add(node)
-                    out.add(node, tile_keys(s, percent))
-                    yield from out.batches()
-        yield from out.batches(last=True)
+                    keys = tile_keys(s, percent)
+                    out.add(np.full(len(keys), node, np.int64), keys)
+                    yield from map(widened, out.batches())
+        yield from map(widened, out.batches(last=True))
 
     def itemised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for t in batches:
+        for t in in_slices(batches, "text"):
             sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
             yield item_rows([fingerprint(s) for s in sets], sets)
 
-    if kind not in ("bigint", "int", "smallint", "tinyint"):
-        raise TypeError(f"{id_col} must be an integer, not {kind}")
-    rows = rows.withColumn("id", F.col("id").cast("long"))
-    sizes = stage(rows.mapInArrow(sized, "id long, n_shingles long, node long, bits binary" + (", k1 long, k2 int" if by_text else "")), "sizes")
+    both = stage(rows.mapInArrow(hashed, ddl), "hashed")
+    sizes = both.filter("bucket is null").drop(*POSTINGS.names)
     known = sizes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.min(place).alias("first"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     known = stage(known, "nodes")
-    first = known.select("node", "id")
-    buckets = buckets_for((known.agg(F.sum("n").alias("n")).first().n or 0) // 2)
 
     def fetch(nodes: DataFrame) -> DataFrame:
-        wanted = keys_hint(stage(first.join(nodes, "node", "left_semi").select("id").distinct(), "wanted"))
+        wanted = keys_hint(stage(known.select("node", "id").join(nodes, "node", "left_semi").select("id").distinct(), "wanted"))
         return rows.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"]).select("text").mapInArrow(itemised, ITEMS_DDL)
 
-    live = rows.filter("id is not null").select("text")
-    roots = link(live.mapInArrow(posted, POSTINGS_DDL), lambda nodes: known.select("node", "n", "bits"), fetch, percent)
+    roots = link(both.filter("bucket is not null").select(*POSTINGS.names), lambda nodes: known.select("node", "n", "bits"), fetch, percent)
     rooted = known.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("first"))
     by_node = rooted.drop("first").join(least, "root").select("node", "first", F.col("first.id" if by_text else "first").alias("component_id"))
@@ -152,7 +159,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for t in batches:
+        for t in in_slices(batches, "text"):
             sets = [word_shingles(x, width, cache) for x in t.column("text").to_pylist()]
             held = [(i, s) for i, s in zip(t.column("id").to_pylist(), sets, strict=True) if len(s)]
             keys = [np.unique(tile_keys(s, percent)).view(np.int64) for _, s in held]

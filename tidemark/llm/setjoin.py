@@ -6,25 +6,26 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
   compared. A key that several nodes of one chunk hold is posted once; its other nodes go along as followers of the first
   and are dealt out by their own hash, so a key that a third of all rows hold reaches its bucket once per chunk;
 * bits_of(nodes): (node, n, bits) for a written table of nodes, more nodes do no harm: each one's size and hashed bitmap,
-  a few bits for every item;
-* fetch(nodes): (node, items) for a written table of nodes: their sorted distinct hashes.
+  a few bits for every item; or none, if the postings carry them (`Combiner.describe`);
+* fetch(nodes): (node, items) for a table of nodes: their sorted distinct hashes, or what else `kind` compares.
 
 `link` then finds the components of the graph whose edges are all similar pairs that share a key:
 
-1. Every node is compared with the lead it shares most keys with, by bitmaps and then exactly: one pair for each node.
-   Then the pairs of nodes and leads that lie in different components of these links are compared. Both are linear in
-   the postings, whatever the group sizes.
+1. Every node is compared with the leads of its keys, by bitmaps and then exactly. This is linear in the postings,
+   whatever the group sizes.
 2. Components of these links. A key whose members all lie in one component needs nothing more.
-3. Of the other keys, those of at most FEW members list their pairs across components, a bounded number for each member;
-   a pair that many keys share, or that was compared before, is compared once. Larger keys that have the same least node
-   are one group, so that a pair that shares hundreds of keys is compared once for each such node, not for each key. A
-   group is dealt into bands of sizes that grow by the similarity, of which only neighbours can match, a band into
-   blocks of bounded size; each pair of blocks is one tile, and inside it numpy bounds each pair across components by
-   its bitmaps. The members with a pair that passes get their items, and are dealt into tiles again for the exact
-   intersection. So no pair that shares a key is lost, and no group is gathered whole.
-
-A pair is first bounded from above: a bit that is set for one set only stands for at least one item of it alone, so
-overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly.
+3. The other keys that have the same least node are one group, so that a pair that shares hundreds of keys is compared
+   once for each such node, not for each key. A group is dealt into bands of sizes that grow by the similarity, of which
+   only neighbours can match, a band into blocks of bounded size; each pair of blocks is one tile, and inside it numpy
+   bounds each pair across components by its bitmaps. The members with a pair that passes get their items, and are dealt
+   into tiles again for the exact intersection. So no pair that shares a key is lost, and no group is gathered whole.
+   Small tiles go through a task together.
+4. The links of 3 are between components of 2, so only these are contracted once more.
+
+A pair is first bounded from above (`Bitmaps`): a bit that is set for one set only stands for at least one item of it
+alone, so overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly. Another
+class may take the place of `Bitmaps`, with an exact comparison of its own and a bound that holds with a chance that is
+good enough.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, stage, unstage
+from .common import as_rows, in_slices, stage, unstage
 from .graph import connected_components
 from .hashing import mix
 
@@ -45,13 +46,15 @@ ITEMS = pa.schema([("node", pa.int64()), ("items", pa.binary())])
 ITEMS_DDL = "node long, items binary"
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 POSTINGS_DDL = "bucket int, kind int, data binary"
-LED_DDL = "key long, node long, lead long"
+LED_DDL = "key long, node long, lead long, n long, bits binary"
 #: Postings that one chunk combines at once, and items (8 bytes each) that one block of a tile holds at most.
-CHUNK, BLOCK_ITEMS = 1_000_000, 500_000
-#: Members of a key up to which their pairs are listed: a few for each member. Larger keys go to tiles.
-FEW = 16
-#: Postings that a bucket holds on average (12 bytes each).
-BUCKET = 500_000
+CHUNK, BLOCK_ITEMS = 400_000, 500_000
+#: Postings that a bucket holds on average (12 bytes each), and items of small tiles that a task takes together.
+BUCKET, TOGETHER = 500_000, 2_000_000
+#: Rows of a tile up to which its pairs are bounded together with those of others, and how many pairs at once.
+SMALL, PAIRS_AT_ONCE = 64, 100_000
+#: Bytes of items that are made into sets at once, and items of the sets that a task holds.
+AT_ONCE, HELD = 1_000_000, 3_000_000
 
 
 def bitmap(items: np.ndarray) -> bytes:
@@ -89,6 +92,10 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    return bool(overlap(a, b) >= need(len(a), len(b), percent))
+
+
 def item_rows(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
     return as_rows({"node": nodes, "items": [x.tobytes() for x in sets]}, ITEMS)
 
@@ -101,17 +108,23 @@ class Combiner:
     """Collects postings of a task and gives them out in chunks, packed by bucket.
 
     Kind 0 holds the last 32 bits of keys and their nodes; the bucket stands for the first bits, and keys that differ in
-    the others are compared in vain at worst. Kind 1 holds followers: whole keys, nodes, and their leads.
+    the others are compared in vain at worst. Kind 1 holds followers: whole keys, nodes, and their leads. Kind 2 holds
+    nodes, their sizes and bits, dealt out by the nodes' hash.
     """
 
     def __init__(self, buckets: int) -> None:
-        self.buckets, self.keys, self.nodes, self.held = buckets, [], [], 0
+        self.buckets, self.keys, self.nodes, self.held, self.described = buckets, [], [], 0, []
 
-    def add(self, node: int, keys: np.ndarray) -> None:
+    def add(self, nodes: np.ndarray, keys: np.ndarray) -> None:
+        """Keys and the node of each."""
         self.keys.append(keys)
-        self.nodes.append(np.full(len(keys), node, np.int64))
+        self.nodes.append(nodes)
         self.held += len(keys)
 
+    def describe(self, nodes: np.ndarray, n: np.ndarray, bits: np.ndarray) -> None:
+        """Sizes and bits (a row of equal length for each) of nodes, which go along with the postings as kind 2."""
+        self.described.append((nodes, n, bits))
+
     def _bucket(self, hashed: np.ndarray) -> np.ndarray:
         return ((hashed >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
 
@@ -137,6 +150,14 @@ class Combiner:
             own, parts = own[order], [x[follow][order] for x in (keys.view(np.int64), nodes, lead)]
             for lo, hi in self._runs(own):
                 rows.append((int(own[lo]), 1, b"".join(x[lo:hi].tobytes() for x in parts)))
+        if self.described:
+            nodes, n, bits = (np.concatenate(x) for x in zip(*self.described, strict=True))
+            self.described = []
+            own = self._bucket(mix(nodes.view(np.uint64)))
+            order = np.argsort(own, kind="stable")
+            for lo, hi in self._runs(own[order]):
+                at = order[lo:hi]
+                rows.append((int(own[at[0]]), 2, nodes[at].tobytes() + n[at].astype(np.int64).tobytes() + bits[at].tobytes()))
         yield as_rows(dict(zip(POSTINGS.names, zip(*rows, strict=True), strict=True)), POSTINGS)
 
     @staticmethod
@@ -145,11 +166,18 @@ class Combiner:
         return zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
 
 
-def _led(rows: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: every node of a shared key with the key's least node as lead, and the followers as they are."""
-    keys, nodes, done = [], [], []
-    for bucket, kind, data in zip(rows["bucket"], rows["kind"], rows["data"], strict=True):
-        if kind:
+LED = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("lead", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+
+
+def _led(rows: pa.Table, width: int) -> pa.Table:
+    """One bucket: every node of a shared key with the key's least node as lead, the followers as they are, and each
+    described node once (bits of `width` bytes)."""
+    keys, nodes, done, told = [], [], [], []
+    for bucket, kind, data in zip(*(rows.column(c).to_pylist() for c in POSTINGS.names), strict=True):
+        if kind == 2:
+            n = len(data) // (16 + width)
+            told.append((np.frombuffer(data, np.int64, 2 * n).reshape(2, -1), np.frombuffer(data, np.uint8, offset=16 * n).reshape(n, width)))
+        elif kind:
             done.append(np.frombuffer(data, np.int64).reshape(3, -1))
         else:
             n = len(data) // 12
@@ -163,83 +191,150 @@ def _led(rows: pd.DataFrame) -> pd.DataFrame:
         lead = v[np.flatnonzero(first)[np.cumsum(first) - 1]]
         use = v != lead
         done.append(np.stack([k[use], v[use], lead[use]]))
-    return pd.DataFrame(np.concatenate(done, axis=1).T, columns=["key", "node", "lead"])
+    led = np.concatenate(done, axis=1) if done else np.empty((3, 0), np.int64)
+    out = [pa.Table.from_arrays([*map(pa.array, led), *(pa.nulls(led.shape[1], LED.field(c).type) for c in ("n", "bits"))], schema=LED)]
+    if told:
+        (node, n), bits = np.concatenate([x for x, _ in told], axis=1), np.concatenate([x for _, x in told])
+        node, at = np.unique(node, return_index=True)
+        ends = pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * width)
+        packed = pa.Array.from_buffers(pa.binary(), len(at), [None, ends, pa.py_buffer(np.ascontiguousarray(bits[at]))])
+        none = pa.nulls(len(at), pa.int64())
+        out.append(pa.Table.from_arrays([none, pa.array(node), none, pa.array(n[at]), packed], schema=LED))
+    return pa.concat_tables(out)
+
+
+class Bitmaps:
+    """Upper bounds of overlaps, from bitmaps of sets and their sizes n."""
 
+    def __init__(self, bits: list[bytes], n: np.ndarray, percent: int) -> None:
+        self.bits, self.n = bits, n
+
+    @staticmethod
+    def sets(items: list[bytes]) -> list[np.ndarray]:
+        """The sorted distinct items of each set."""
+        return [np.frombuffer(x, np.uint64) for x in items]
+
+    def upper(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """`bound` of the pairs i, j; those of equal bitmap sizes together."""
+        out = np.empty(len(i), np.int64)
+        length = np.array([len(x) for x in self.bits])
+        size = np.stack([length[i], length[j]], axis=1)
+        for sa, sb in np.unique(size, axis=0):
+            at = np.flatnonzero((size[:, 0] == sa) & (size[:, 1] == sb))
+            least = min(sa, sb)
+            a, b = (np.bitwise_or.reduce(np.frombuffer(b"".join([self.bits[k] for k in x[at]]), np.uint64).reshape(len(at), -1, least // 8), axis=1) for x in (i, j))
+            both = np.bitwise_count(a & b).sum(axis=1, dtype=np.int64)
+            alone = [self.n[x[at]] - np.bitwise_count(y).sum(axis=1, dtype=np.int64) for x, y in ((i, a), (j, b))]
+            out[at] = np.minimum(*alone) + both
+        return out
+
+    def among(self, at: np.ndarray) -> Callable[[int, np.ndarray], np.ndarray]:
+        """The same for a place of `at` and many others, all folded to one size."""
+        raw = [np.frombuffer(self.bits[x], np.uint8) for x in at]
+        bits = np.stack([folded(x, min(map(len, raw))) for x in raw]).view(np.uint64)
+        alone = self.n[at] - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        return lambda i, j: np.minimum(alone[i], alone[j]) + np.bitwise_count(bits[j] & bits[i]).sum(axis=1).astype(np.int64)
 
-def _pairs_that(passes: Callable[[dict, int, int], bool], percent: int) -> Callable:
-    """A function of Arrow batches that keeps the pairs (a, b, n_a, n_b, ..) that pass; it is given the least overlap."""
+
+PAIRS = pa.schema([(k, pa.int64()) for k in ("a", "b", "n_a", "n_b")])
+PAIRS_DDL = "a long, b long, n_a long, n_b long"
+
+
+def by_bits(percent: int, kind: type) -> Callable:
+    """A function of Arrow batches that keeps the pairs (a, b, n_a, n_b, bits_a, bits_b) that may be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(k, pa.int64()) for k in ("a", "b", "n_a", "n_b")])
-        for t in batches:
-            c = {k: t.column(k).to_pylist() for k in t.schema.names}
-            found = []
-            for i in range(t.num_rows):
-                least = need(c["n_a"][i], c["n_b"][i], percent)
-                if least <= min(c["n_a"][i], c["n_b"][i]) and passes(c, i, least):
-                    found.append(i)
-            yield as_rows({k: [c[k][i] for i in found] for k in schema.names}, schema)
+        for t in in_slices(in_slices(batches, "bits_a"), "bits_b"):
+            n_a, n_b = (t.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+            both = kind(t.column("bits_a").to_pylist() + t.column("bits_b").to_pylist(), np.r_[n_a, n_b], percent)
+            at = np.arange(t.num_rows)
+            good = pa.array(both.upper(at, at + t.num_rows) >= need(n_a, n_b, percent))
+            yield pa.RecordBatch.from_arrays([t.column(c).filter(good) for c in PAIRS.names], schema=PAIRS)
 
     return run
 
 
-def _by_bits(c: dict, i: int, least: int) -> bool:
-    return bound(np.frombuffer(c["bits_a"][i], np.uint8), c["n_a"][i], np.frombuffer(c["bits_b"][i], np.uint8), c["n_b"][i]) >= least
+def by_items(percent: int, kind: type) -> Callable:
+    """A function of Arrow batches that keeps the pairs (a, b, n_a, n_b, items_a, items_b) that are similar."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in in_slices(in_slices(batches, "items_a", AT_ONCE), "items_b", AT_ONCE):
+            x, y = t.column("items_a").to_pylist(), t.column("items_b").to_pylist()
+            every = list({*x, *y})
+            sets = dict(zip(every, kind.sets(every), strict=True))
+            good = pa.array([similar(sets[a], sets[b], percent) for a, b in zip(x, y, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([t.column(c).filter(good) for c in PAIRS.names], schema=PAIRS)
 
-def _by_items(c: dict, i: int, least: int) -> bool:
-    return overlap(np.frombuffer(c["items_a"][i], np.uint64), np.frombuffer(c["items_b"][i], np.uint64)) >= least
+    return run
+
+
+def _large(t: dict, maps, percent: int, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`passing` for the rows lo to hi, one tile: a whole row of pairs is bounded at a time. Rows of the tile's largest
+    component come last within their side and are not compared with each other."""
+    side, root = t["side"][lo:hi], t["root"][lo:hi]
+    of, times = np.unique(root, return_counts=True)
+    largest = root == of[times.argmax()]
+    at = np.lexsort((t["n"][lo:hi], largest, side)) + lo
+    largest, side, n, root = largest[at - lo], t["side"][at], t["n"][at], t["root"][at]
+    upper, one_block, other = maps.among(at), side[0] == side[-1], int((side == 0).sum())
+    stop = int(np.flatnonzero(~largest)[-1]) + 1  # after it, all are of the largest
+    for i in range(stop if one_block else other):
+        first, last = (i + 1 if one_block else other), (stop if largest[i] else len(at))
+        least = need(n[i], n[first:last], percent)
+        j = np.flatnonzero((least <= np.minimum(n[i], n[first:last])) & (root[first:last] != root[i])) + first
+        j = j[upper(i, j) >= least[j - first]]
+        if len(j):
+            yield np.full(len(j), at[i]), at[j]
 
 
-def _passing(rows: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The pairs of a tile that lie in different components and that the bitmaps let pass: a row's place and those of
-    its partners.
+def passing(t: dict, percent: int, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places of pairs in different components that the bitmaps let pass, within each tile of a task.
 
-    A tile's rows are of two blocks (side 0 and 1), which are compared with each other; a diagonal tile has one side
-    alone, which is compared with itself. A whole row of pairs is bounded at a time. Rows of the tile's largest
-    component, which come last within their side, are not compared with each other.
+    t: arrays of the task's rows, sorted by tile and side. A tile's rows are of two blocks (side 0 and 1), which are
+    compared with each other; a diagonal tile has one side alone, which is compared with itself. The pairs of many small
+    tiles are bounded together.
     """
-    n, root, raw = rows["n"].to_numpy(), rows["root"].to_numpy(), [np.frombuffer(x, np.uint8) for x in rows["bits"]]
-    size = min(map(len, raw))
-    bits = np.stack([folded(x, size) for x in raw]).view(np.uint64)
-    alone = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-    one_block = rows["side"].iloc[-1] == rows["side"].iloc[0]
-    other = int((rows["side"] == 0).sum())
-    largest = rows["largest"].to_numpy()
-    stop = int(np.flatnonzero(~largest)[-1]) + 1 if not largest.all() else 0  # after it, all are of the largest
-    for i in range(stop if one_block else other):
-        lo, hi = (i + 1 if one_block else other), (stop if largest[i] else len(rows))
-        if lo >= hi:
-            continue
-        least = need(n[i], n[lo:hi], percent)
-        at = np.flatnonzero((least <= np.minimum(n[i], n[lo:hi])) & (root[lo:hi] != root[i])) + lo
-        if not len(at):
-            continue
-        upper = np.minimum(alone[i], alone[at]) + np.bitwise_count(bits[at] & bits[i]).sum(axis=1).astype(np.int64)
-        at = at[upper >= least[at - lo]]
-        if len(at):
-            yield i, at
-
-
-def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    """By side; within it, the rows of the tile's largest component last."""
-    rows = rows.assign(largest=rows["root"] == rows["root"].value_counts().index[0])
-    return rows.sort_values(["side", "largest", "n", "node"], ignore_index=True)
-
-
-def tile_near(rows: pd.DataFrame, percent: int) -> set[int]:
-    """The nodes of a tile with a passing pair."""
-    rows = _in_order(rows)
-    node = rows["node"].to_numpy()
-    return {int(node[x]) for i, at in _passing(rows, percent) for x in (i, *at)}
-
-
-def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Links between the components of a tile whose rows have items. A link joins components at once, so that a pair
-    that is connected already is not intersected again."""
-    rows = _in_order(rows)
-    n, root, node = (rows[c].to_numpy() for c in ("n", "root", "node"))
-    sets = [np.frombuffer(x, np.uint64) for x in rows["items"]]
+    maps = kind(t["bits"].tolist(), t["n"], percent)
+    start = np.flatnonzero(np.r_[True, t["tile"][1:] != t["tile"][:-1]])
+    size = np.diff(np.r_[start, len(t["tile"])])
+    mixed = np.minimum.reduceat(t["root"], start) < np.maximum.reduceat(t["root"], start)
+    two = np.minimum.reduceat(t["side"], start) < np.maximum.reduceat(t["side"], start)
+    for k in np.flatnonzero(mixed & (size > SMALL)):
+        yield from _large(t, maps, percent, start[k], start[k] + size[k])
+    for s in np.unique(size[mixed & (size <= SMALL)]):
+        x, y = np.triu_indices(s, 1)
+        those = np.flatnonzero(mixed & (size == s))
+        for some in np.array_split(those, -(-len(those) * len(x) // PAIRS_AT_ONCE)):
+            i, j = (start[some][:, None] + x).ravel(), (start[some][:, None] + y).ravel()
+            n_i, n_j = t["n"][i], t["n"][j]
+            use = (t["root"][i] != t["root"][j]) & ((t["side"][i] != t["side"][j]) | ~np.repeat(two[some], len(x))) & (100 * np.minimum(n_i, n_j) >= percent * np.maximum(n_i, n_j))
+            i, j, n_i, n_j = i[use], j[use], n_i[use], n_j[use]
+            if len(i):
+                good = maps.upper(i, j) >= need(n_i, n_j, percent)
+                yield i[good], j[good]
+
+
+def task_rows(rows: pd.DataFrame) -> dict:
+    """The columns of a task's rows as arrays, sorted by tile, side and size, and the number of each row's tile."""
+    tile = rows.groupby(["lead", "band", "p", "q", "next"], sort=False).ngroup().to_numpy()
+    order = np.lexsort((rows["n"], rows["side"], tile))
+    return {c: rows[c].to_numpy()[order] for c in rows.columns} | {"tile": tile[order]}
+
+
+def near_nodes(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
+    """(lead, node) of the rows of a task with a passing pair in their tile."""
+    t = task_rows(rows)
+    hit = np.zeros(len(rows), bool)
+    for i, j in passing(t, percent, kind):
+        hit[i] = hit[j] = True
+    return pd.DataFrame({"lead": t["lead"][hit], "node": t["node"][hit]})
+
+
+def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
+    """Links (of roots a, b) between the components of a task's tiles, whose rows have items. A link joins components at
+    once, so that a pair that is connected already is not intersected again."""
+    t = task_rows(rows)
+    root = t["root"].tolist()
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -249,13 +344,30 @@ def tile_links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         return x
 
     links = []
-    for i, at in _passing(rows, percent):
-        for j in at:
-            a, b = find(int(root[i])), find(int(root[j]))
-            if a != b and overlap(sets[i], sets[j]) >= need(n[i], n[j], percent):
+    sets: dict[int, np.ndarray] = {}  # of the rows by place, and their bitmaps, up to HELD items
+    bits: dict[int, bytes] = {}
+    held = 0
+    for i, j in passing(t, percent, kind):
+        if held > HELD:
+            sets, bits, held = {}, {}, 0
+        at, back = np.unique(np.r_[i, j], return_inverse=True)
+        new = [k for k in at.tolist() if k not in sets]
+        for some in np.array_split(np.array(new, int), sum(len(t["items"][k]) for k in new) // AT_ONCE + 1):
+            for k, x in zip(some.tolist(), kind.sets([t["items"][k] for k in some]), strict=True):
+                sets[k] = x
+                held += len(x)
+                if kind is not Bitmaps:  # they bound more sharply than what let the pair pass
+                    bits[k] = bitmap(x)
+        good = np.ones(len(i), bool)
+        if bits:
+            x, y, n = back[: len(i)], back[len(i) :], np.array([len(sets[k]) for k in at])
+            good = Bitmaps([bits[k] for k in at], n, percent).upper(x, y) >= need(n[x], n[y], percent)
+        for x, y in zip(i[good].tolist(), j[good].tolist(), strict=True):
+            a, b = find(root[x]), find(root[y])
+            if a != b and similar(sets[x], sets[y], percent):
                 parent[max(a, b)] = min(a, b)
-                links.append((int(node[i]), int(node[j])))
-    return links
+                links.append((root[x], root[y]))
+    return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
@@ -278,78 +390,70 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     return out.drop("band", "blocks", "above", "below", "block", "t")
 
 
-def _across(sized: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links between members (lead, node, root, n, bits) of the same group and different components."""
+def _by_task(tiled: DataFrame, items: int) -> DataFrame:
+    """Tiles grouped into tasks, by hash, so that one holds TOGETHER of all items on average."""
+    task = F.pmod(F.xxhash64("lead", "tile"), F.lit(max(64, items // TOGETHER)))
+    return tiled.select("*", "tile.*").withColumn("task", task).drop("tile").groupBy("task")
+
 
-    def near(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(rows["lead"].iloc[0], x) for x in tile_near(rows, percent)], columns=["lead", "node"]).astype("int64")
+def _items_of(members: DataFrame) -> int:
+    return members.agg(F.sum("n").alias("n")).first().n or 0
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(tile_links(rows, percent), columns=["a", "b"]).astype("int64")
 
-    passed = stage(_tiled(sized, percent).groupBy("lead", "tile").applyInPandas(near, "lead long, node long").distinct(), "passed")
-    items = stage(fetch(stage(passed.select("node").distinct(), "nodes")), "items")
-    rest = _tiled(sized.join(passed, ["lead", "node"], "left_semi"), percent).join(items, "node")
-    out = stage(rest.groupBy("lead", "tile").applyInPandas(links, "a long, b long").distinct(), "links")
-    unstage(passed, items)
+def _across(sized: DataFrame, items: int, fetch: Callable[[DataFrame], DataFrame], percent: int, kind: type) -> DataFrame:
+    """Links (roots a, b) between members (lead, node, root, n, bits), of so many items in all, of the same group and
+    different components."""
+
+    passed = _by_task(_tiled(sized, percent), items // 16).applyInPandas(lambda rows: near_nodes(rows, percent, kind), "lead long, node long")
+    passed = stage(passed.distinct(), "passed")
+    fetched = stage(fetch(passed.select("node").distinct()), "items")
+    rest = sized.join(passed, ["lead", "node"], "left_semi")
+    found = _by_task(_tiled(rest, percent).join(fetched, "node"), _items_of(rest)).applyInPandas(lambda rows: new_links(rows, percent, kind), "a long, b long")
+    out = stage(found, "links")
+    unstage(passed, fetched)
     return out
 
 
-def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame], fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """(node, root) for every node that is similar to another, as the module's head tells. Empty postings: no rows."""
-    led = stage(postings.groupBy("bucket").applyInPandas(_led, LED_DDL), "led")
-    ends = [F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")]
-    pairs = stage(led.select("node", *ends).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("node").alias("node")), "pairs")
+def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame] | None, fetch: Callable[[DataFrame], DataFrame], percent: int, kind: type = Bitmaps, width: int = 0) -> DataFrame:
+    """(node, root) for every node that is similar to another, as the module's head tells. Empty postings: no rows.
 
-    bits = bits_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes"))
+    kind: what bounds overlaps from bits; width: bytes of each described node's bits, where postings carry these."""
+    every = stage(postings.groupBy("bucket").applyInArrow(lambda rows: _led(rows, width), LED_DDL), "led")
+    led = every.filter("key is not null").select("key", "node", "lead")
+    ends = [F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")]
+    pairs = stage(led.select(*ends).distinct(), "pairs")
+    bits = bits_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")) if bits_of else every.filter("bits is not null").select("node", "n", "bits")
 
     def with_both(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
         for side in "ab":
             df = df.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return df
 
-    def similar(candidates: DataFrame) -> DataFrame:
-        """The pairs (a, b) of candidates that are similar: by bitmaps, then exactly."""
-        ddl = "a long, b long, n_a long, n_b long"
-        passed = stage(with_both(candidates, bits, ["n", "bits"]).mapInArrow(_pairs_that(_by_bits, percent), ddl), "passed")
-        items = stage(fetch(stage(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")), "items")
-        out = stage(with_both(passed, items, ["items"]).mapInArrow(_pairs_that(_by_items, percent), ddl).select("a", "b").distinct(), "links")
-        unstage(items, passed)
-        return out
-
-    def across(df: DataFrame, components: DataFrame) -> DataFrame:
-        """The pairs (a, b) of df that lie in different components."""
-        for side in "ab":
-            df = df.join(components.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
-        return df.filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    near = with_both(pairs, bits, ["n", "bits"]).filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    passed = stage(near.mapInArrow(by_bits(percent, kind), PAIRS_DDL), "passed")
+    items = stage(fetch(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "items")
+    edges = with_both(passed, items, ["items"]).mapInArrow(by_items(percent, kind), PAIRS_DDL)
+    found = connected_components(edges)
+    unstage(items, passed)
 
-    likeliest = pairs.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("shared", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-    edges = similar(likeliest)
-    found = stage(connected_components(edges), "components")
-    tried = stage(across(pairs, found).join(likeliest, ["a", "b"], "left_anti"), "tried")
-    edges = edges.unionByName(similar(tried))
-    unstage(found, tried)
-    found = stage(connected_components(edges), "components")
-
-    def rooted(df: DataFrame, name: str, root: str) -> DataFrame:
-        return df.join(found.select(F.col("node").alias(name), F.col("root").alias(root)), name, "left").withColumn(root, F.coalesce(root, name))
-
-    open_pairs = across(pairs, found)
+    roots = {c: found.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b", "node")}
+    across = pairs.join(roots["a"], "a", "left").join(roots["b"], "b", "left").filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
     one = led.select("key", "node", "lead", *ends)
-    keys = one.join(open_pairs, ["a", "b"], "left_semi").select("key").distinct()
-    members = one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct()
-    members = stage(rooted(members, "node", "root").select("key", "node", "root"), "unsettled")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("lead"))
-    few = members.join(sizes.filter(F.col("c").between(3, FEW)), "key").drop("lead")  # with two members, the pair has been compared
-    many = stage(members.join(sizes.filter(F.col("c") > FEW), "key").select("lead", "node").distinct(), "many")
-    one, two = (few.select("key", F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
-    listed = one.join(two, "key").filter("a < b and ra <> rb").select("a", "b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    edges = edges.unionByName(similar(listed))
-
-    now = many.join(found, "node", "left").select("lead", "node", F.coalesce("root", "node").alias("root"))
-    groups = now.groupBy("lead").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("lead")
-    sized = stage(now.join(groups, "lead", "left_semi").join(bits, "node"), "members")
-    if not sized.isEmpty():
-        edges = edges.unionByName(_across(sized, fetch, percent))
-    unstage(led, pairs, members, many, sized)
-    return stage(connected_components(edges), "components")
+    keys = one.join(across, ["a", "b"], "left_semi").select("key").distinct()
+    members = stage(one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct(), "unsettled")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("lead")).filter("c > 2")  # of two members, the pair has been compared
+    groups = members.join(sizes, "key").select("lead", "node").distinct()
+    groups = groups.join(roots["node"], "node", "left").select("lead", "node", F.coalesce("rnode", "node").alias("root"))
+    sized = stage(groups.join(bits, "node"), "members")
+    n_items = _items_of(sized)
+    unstage(every, pairs, members)
+    if not n_items:
+        unstage(sized)
+        return found
+    more = connected_components(_across(sized, n_items, fetch, percent, kind))
+    unstage(sized)
+    joined = found.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = more.join(found.select(F.col("root").alias("node")).distinct(), "node", "left_anti")  # nodes that had no link before
+    out = stage(joined.unionByName(alone.select("node", "root")), "components")
+    unstage(found, more)
+    return out
