@@ -1,12 +1,11 @@
 """Operator 9, license scans: MinHash bands over overlapping windows retrieve templates, exact containment verifies.
 
 A text is lower-cased and split into words of letters and digits; a shingle is two words. Every second window of WINDOW
-words gets BANDS MinHash values (the least shingle hash under as many orders), one value to a band, and so does every
-window of each template. Any notice of three or more words lies whole in two of the text's windows at least, or fills
-one; a window that holds a whole notice of four words has similarity 0.6 with the template's window, of three words 0.4,
-of WINDOW or more words 1. With ten bands of one row a window of similarity 0.6 is missed with a chance of 0.0001, of
-0.4 with 0.006, and both windows with less. All is done per row, without a shuffle; only hits
-are verified and counted.
+words gets BANDS MinHash values (the least value under as many hash functions), one value to a band, and so does every
+window of each template. A notice of three words lies whole in two of the text's windows at least, each of which has two
+of its five shingles in common with the template: similarity 0.4. Ten bands of one row miss one such window with a chance
+of 0.6 ** 10 = 0.006, and both with less; of four words (0.6) with 0.0001; of WINDOW or more words a text's window equals
+one of the template's. All is done per row, without a shuffle; only hits are verified and counted.
 """
 
 from __future__ import annotations
@@ -20,8 +19,6 @@ WINDOW, STRIDE, BANDS, MIN_CONTAINMENT = 6, 2, 10, 0.8
 MAX_TEMPLATES = 200
 #: Words on both sides of a hit that are looked at, or as many as the longest template has.
 REACH = 120
-#: Orders of the shingles: a hash is compared after an exclusive or with one of these.
-ORDERS = [(k * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(1, BANDS + 1)]
 
 #: Public notices by the name of their license.
 TEMPLATES = {
@@ -45,16 +42,16 @@ TEMPLATES = {
 
 
 def shingled(df: DataFrame, text: Column) -> DataFrame:
-    """df with grams array<long>: hashes of word pairs, with WINDOW - 1 blank words behind the text, so that every word
-    starts a window."""
+    """df with grams array<long>: hashes of word pairs, with WINDOW blank words behind the text, so that every word starts a
+    window. A text of n words has n - 1 pairs of its own."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     df = df.withColumn("h", F.transform(F.concat(words, F.array_repeat(F.lit(""), WINDOW)), lambda w: F.xxhash64(w)))
-    return df.withColumn("grams", F.zip_with("h", F.slice("h", 2, F.size("h") - 1), lambda a, b: F.xxhash64(a, b))).drop("h")
+    return df.withColumn("grams", F.zip_with(F.slice("h", F.lit(1), F.size("h") - 1), F.slice("h", F.lit(2), F.size("h") - 1), lambda a, b: F.xxhash64(a, b))).drop("h")
 
 
 def band_values(grams: Column, at: Column, n: int) -> Column:
-    """BANDS MinHash values of the n shingles from `at` on."""
-    return F.array(*[F.least(*[F.get(grams, at + j).bitwiseXOR(F.lit(order)) for j in range(n)]) for order in ORDERS])
+    """BANDS MinHash values of the n shingles from `at` on, each under a hash function of its own."""
+    return F.array(*[F.least(*[F.xxhash64(F.get(grams, at + j), F.lit(band)) for j in range(n)]) for band in range(BANDS)])
 
 
 def template_bands(spark, templates: Mapping[str, str]) -> DataFrame:
@@ -62,11 +59,10 @@ def template_bands(spark, templates: Mapping[str, str]) -> DataFrame:
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     rows = shingled(spark.createDataFrame(list(templates.items()), "license string, text string"), F.col("text"))
-    n = F.size("grams") - (WINDOW - 1)  # what lies within the text; a single word has none
-    rows = rows.withColumn("own", F.slice("grams", F.lit(1), F.greatest(n - 1, F.lit(0)))).filter(F.size("own") >= 2)
+    rows = rows.withColumn("own", F.slice("grams", F.lit(1), F.greatest(F.size("grams") - WINDOW, F.lit(0))))
     span = WINDOW - 1
     # a template shorter than a window: its own shingles only, the last one repeated
-    padded = F.concat("own", F.array_repeat(F.element_at("own", -1), F.greatest(F.lit(span) - F.size("own"), F.lit(0)).cast("int")))
+    padded = F.concat("own", F.array_repeat(F.try_element_at("own", F.lit(-1)), F.greatest(F.lit(span) - F.size("own"), F.lit(0)).cast("int")))
     rows = rows.withColumn("padded", padded)
     starts = F.sequence(F.lit(0), F.size("padded") - span)
     values = F.flatten(F.transform(starts, lambda i: band_values(F.col("padded"), i, span)))
@@ -78,14 +74,16 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_c
 
     Returns one row per id and license found: id_col, license, containment double (share of the template's word pairs in
     the text around the hit, MIN_CONTAINMENT or more), n_hits long (windows that retrieved and passed), first_word long
-    (the first such window's word number, from 0). Templates: at most MAX_TEMPLATES, each of 3 words or more; those
-    of fewer words are not looked for.
+    (the first such window's word number, from 0). At most MAX_TEMPLATES templates, each of three words or more, else
+    ValueError.
 
     Null and empty texts hold none. Rows with equal ids, repeated rows and null ids among them, are counted as one
     document. Other columns are ignored, whatever their names. An empty table gives an empty table.
     """
     spark = docs.sparkSession
     known = template_bands(spark, templates).collect()  # some times as large as the templates given
+    if short := [r.license for r in known if r.n < 2]:
+        raise ValueError(f"templates of fewer than three words: {short}")
     wanted = sorted({v for r in known for v in r["values"]}) or [0]
     span, reach = WINDOW - 1, max([REACH, *(r.n for r in known)])
     rows = shingled(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.col("text")).drop("text")
