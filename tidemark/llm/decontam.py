@@ -1,6 +1,7 @@
 """Operator 8, benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-A text becomes tokens (numbers with their decimals, runs of letters). A number, a capitalised word (a name, or the start
+A text becomes tokens (numbers with their decimals, runs of letters, single letters of scripts that put no blanks
+between words). A number, a capitalised word (a name, or the start
 of a sentence) and a unit after a number become typed placeholders; other words are lower-cased. Windows of WIDTH such
 tokens are hashed and joined with the benchmark's windows, so a question with other numbers, names or units still
 matches. As the placeholder of a name depends on the text's case, each window is hashed in two more forms without case:
@@ -33,35 +34,41 @@ UNITS = (
 ).split()
 #: What a window is hashed by: with placeholders; with those for numbers and units alone; by its words and numbers.
 FORMS = ("template", "caseless", "literal")
-TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+"
+#: Scripts that put no blanks between words; each of their letters is a token.
+NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TOKEN = rf"[0-9]+(?:[.,][0-9]+)*|[\p{{L}}\p{{M}}&&[^{NO_BLANKS}]]+|[{NO_BLANKS}]"
+#: What stands for a slot of each kind, besides 0, a plain word.
+NUMBER, UNIT, NAME = 1, 2, 3
 
 
 def tokens_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), 0)
+    return F.regexp_extract_all(text, F.lit(TOKEN), 0)
 
 
 def is_number(token: Column) -> Column:
     return token < ":"  # tokens start with a digit or a letter
 
 
-def fold(token: Column) -> Column:
-    """A token without its case; by way of upper case, which joins letters (ß and ss, final sigma) that lower case parts.
-    Spark would take lower(upper(x)) for lower(x), hence the concat."""
-    return F.lower(F.concat(F.upper(token), F.lit("")))
+def fold(text: Column) -> Column:
+    """A text without its case; by way of upper case, which joins letters (ß and ss, final sigma) that lower case parts.
+    Letters become letters and marks, so the text keeps its number of tokens. Spark would take lower(upper(x)) for
+    lower(x), hence the concat."""
+    return F.lower(F.concat(F.upper(text), F.lit("")))
 
 
 def with_shapes(df: DataFrame, text: Column) -> DataFrame:
-    """df with tokens array<string>, told (for each token: number, unit after a number, name, hash of the word) and one
-    array<long> of hashes for each form."""
-    df = df.withColumn("tokens", tokens_of(text))
-    unit = lambda t, i: fold(t).isin(*UNITS) & F.coalesce(is_number(F.get("tokens", i - 1)), F.lit(False))
-    df = df.withColumn("told", F.transform("tokens", lambda t, i: F.struct(is_number(t).alias("number"), unit(t, i).alias("unit"), (F.lower(t) != t).alias("name"), F.xxhash64(fold(t)).alias("word"))))
-    fixed = lambda x: F.when(x["number"], F.xxhash64(F.lit("#number"))).when(x["unit"], F.xxhash64(F.lit("#unit")))
+    """df with words array<string> (tokens without case), kind array<int> (of each token: NUMBER, UNIT after a number, NAME
+    or 0) and one array<long> of hashes for each form. Case is folded for the whole text at once, not for each token."""
+    text = F.coalesce(text, F.lit(""))
+    df = df.withColumns({"words": tokens_of(fold(text)), "capital": F.zip_with(tokens_of(text), tokens_of(F.lower(text)), lambda t, low: t != low)})
+    after_number = lambda i: F.coalesce(is_number(F.get("words", i - 1)), F.lit(False))
+    df = df.withColumn("kind", F.transform("words", lambda w, i: F.when(is_number(w), NUMBER).when(after_number(i) & w.isin(*UNITS), UNIT).when(F.get("capital", i), NAME).otherwise(0)))
+    df = df.withColumn("literal", F.transform("words", lambda w: F.xxhash64(w)))
+    fixed = lambda k, h: F.when(k == 0, h).when(k == NUMBER, F.xxhash64(F.lit("#number"))).when(k == UNIT, F.xxhash64(F.lit("#unit")))
     return df.withColumns({
-        "template": F.transform("told", lambda x: fixed(x).when(x["name"], F.xxhash64(F.lit("#name"))).otherwise(x["word"])),
-        "caseless": F.transform("told", lambda x: fixed(x).otherwise(x["word"])),
-        "literal": F.transform("told", lambda x: x["word"]),
-    })
+        "template": F.zip_with("kind", "literal", lambda k, h: fixed(k, h).otherwise(F.xxhash64(F.lit("#name")))),
+        "caseless": F.zip_with("kind", "literal", lambda k, h: fixed(k, h).otherwise(h)),
+    }).drop("capital")
 
 
 def with_fours(df: DataFrame) -> DataFrame:
@@ -73,7 +80,7 @@ def with_fours(df: DataFrame) -> DataFrame:
 
 def windows_of(width: int) -> Column:
     """For each window of `width` tokens (MIN_TOKENS = 4 to 8): its hash in each form, made of those of its first and last four."""
-    count = F.greatest(F.size("tokens") - width + 1, F.lit(0))
+    count = F.greatest(F.size("words") - width + 1, F.lit(0))
     one = lambda f: F.slice(F.zip_with(f, F.slice(f, width - 3, F.size(f)), lambda a, b: F.xxhash64(a, b, F.lit(width))), F.lit(1), count).alias(f)
     return F.arrays_zip(*[one(f) for f in FORMS])
 
@@ -82,19 +89,19 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataF
     """(item, of, of_template, width, at, hash, words, slots, plain): every window of every item by the hash of each form
     that it is usable in, with its words, how many windows the item has, and how many usable templates (plain)."""
     items = with_fours(with_shapes(benchmark.select(F.col(id_col).alias("item"), F.col(text_col).alias("text")), F.col("text")))
-    items = items.filter((F.size("tokens") >= MIN_TOKENS) & F.col("item").isNotNull()).withColumn("width", F.least(F.size("tokens"), F.lit(WIDTH)))
+    items = items.filter((F.size("words") >= MIN_TOKENS) & F.col("item").isNotNull()).withColumn("width", F.least(F.size("words"), F.lit(WIDTH)))
     by_width = F.when(F.col("width") == WIDTH, windows_of(WIDTH))
     for width in range(MIN_TOKENS, WIDTH):
         by_width = by_width.when(F.col("width") == width, windows_of(width))
-    out = items.select("item", "width", "tokens", "told", F.posexplode(by_width).alias("at", "form"))
-    out = out.withColumn("words", F.transform(F.expr("slice(tokens, at + 1, width)"), fold)).withColumn("told", F.expr("slice(told, at + 1, width)"))
-    out = out.withColumn("slots", F.transform("told", lambda x: F.when(x["number"], "number").when(x["unit"] | x["name"], "name")))
-    enough = lambda slot: F.size(F.filter("told", lambda x: ~slot(x))) >= F.least(F.lit(MIN_LITERAL), F.col("width") - 1)
-    out = out.withColumn("plain", enough(lambda x: x["number"] | x["unit"] | x["name"]))
-    usable = F.array(F.when(F.col("plain"), F.col("form.template")), F.when(enough(lambda x: x["number"] | x["unit"]), F.col("form.caseless")), F.col("form.literal"))
+    out = items.select("item", "width", "words", "kind", F.posexplode(by_width).alias("at", "form"))
+    out = out.withColumn("words", F.expr("slice(words, at + 1, width)")).withColumn("kind", F.expr("slice(kind, at + 1, width)"))
+    out = out.withColumn("slots", F.transform("kind", lambda k: F.when(k == NUMBER, "number").when(k != 0, "name")))
+    enough = lambda plain: F.size(F.filter("kind", plain)) >= F.least(F.lit(MIN_LITERAL), F.col("width") - 1)
+    out = out.withColumn("plain", enough(lambda k: k == 0))
+    usable = F.array(F.when(F.col("plain"), F.col("form.template")), F.when(enough(lambda k: k.isin(0, NAME)), F.col("form.caseless")), F.col("form.literal"))
     n = out.groupBy("item").agg(F.count_distinct("at").alias("of"), F.count_distinct(F.when(F.col("plain"), F.col("at"))).alias("of_template"))
     out = out.withColumn("hash", F.explode(F.array_distinct(F.array_compact(usable))))
-    return out.drop("tokens", "told", "form").distinct().join(n, "item")
+    return out.drop("kind", "form").distinct().join(n, "item")
 
 
 def fits(pairs: str) -> Column:
@@ -126,7 +133,7 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
     small = is_small(bench, BROADCAST_ROWS)
     hint = F.broadcast if small else (lambda df: df)
     widths = sorted(r.width for r in bench.select("width").distinct().collect())  # MIN_TOKENS to WIDTH at most
-    shaped = with_fours(with_shapes(rows.filter("text is not null").select("k1", "k2", "text"), F.col("text"))).select("k1", "k2", "tokens", *FORMS)
+    shaped = with_fours(with_shapes(rows.filter("text is not null").select("k1", "k2", "text"), F.col("text"))).select("k1", "k2", "words", *FORMS)
     found = None
     x, y, z = (F.col(f"form.{f}") for f in FORMS)  # equal ones once
     differing = F.when((x == y) & (y == z), F.array(x)).when(x == y, F.array(x, z)).when(y == z, F.array(x, y)).otherwise(F.array(x, y, z))
@@ -138,7 +145,7 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
         found = hits if found is None else found.unionByName(hits)
     found = stage(found.distinct(), "hits")
     holders = keys_hint(stage(found.select("k1", "k2").distinct(), "holders"))
-    texts = rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", F.transform(tokens_of(F.col("text")), fold).alias("tokens"))
+    texts = rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", tokens_of(fold(F.col("text"))).alias("tokens"))
     runs = found.groupBy("k1", "k2", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(F.collect_list(F.struct("pos", "at")).alias("hits"))
     slim = runs.join(texts, ["k1", "k2"]).select("k1", "k2", "item", "shift", F.explode("hits").alias("h"), "tokens")
     slim = slim.select("k1", "k2", "item", "shift", F.col("h.at").alias("at"), F.slice("tokens", F.col("h.pos") + 1, F.lit(WIDTH)).alias("theirs"))
