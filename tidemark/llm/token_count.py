@@ -1,9 +1,11 @@
 """Operator 2, token counts: pieces are counted once per distinct pre-token and summed over each document's pre-tokens.
 
-The model writes a blank as a mark at the front of a piece, and no piece holds that mark, or a line feed, after another
-character. So no merge crosses such a place, and a text falls into pre-tokens (blanks and the non-blanks after them, a
-run of blanks, or a line feed) whose piece counts add up. `check_model` verifies this on the vocabulary and refuses
-another model.
+The model writes a blank as a mark (U+2581, which it takes for a blank in texts too) at the front of a piece, and no piece
+holds that mark, or a line feed, after another character. So no merge crosses such a place, and a text falls into
+pre-tokens (blanks and the non-blanks after them, a run of blanks, or a line feed) whose piece counts add up.
+`check_model` verifies this on the vocabulary and refuses another model. Pre-tokens of more than LONG characters go by
+their digest; their pieces are counted where they stand, once a task as far as it remembers, so that their texts are not
+shuffled.
 """
 
 from __future__ import annotations
@@ -13,16 +15,19 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_rows, stage
+from .common import as_rows, in_slices, stage
 
 PRE_TOKEN = re.compile(r" *[^ \n]+| +|\n")
-#: The most frequent pre-tokens are looked up in a broadcast map, at most this many of at most so many characters: some
-#: 20 MB whatever the corpus. All others are joined, so no hot pre-token reaches the join.
-FREQUENT, FREQUENT_CHARS, CHUNK = 200_000, 48, 300_000
+#: The most frequent pre-tokens are looked up in a broadcast map, at most this many: some 20 MB whatever the corpus. All
+#: others are joined, each of which is less than one in FREQUENT of all occurrences, so no hot one reaches the join.
+FREQUENT, CHUNK = 200_000, 300_000
+#: Characters of a pre-token that goes as it stands, and pieces of long ones that a task remembers.
+LONG, REMEMBERED = 48, 50_000
 
 
 def check_model(model_path: str) -> None:
@@ -37,9 +42,14 @@ def check_model(model_path: str) -> None:
         raise ValueError(f"{model_path} does not keep blanks as they stand")
 
 
-def pre_tokens(text: str) -> Iterator[str]:
+def pre_tokens(text: str) -> list[str]:
     """The pre-tokens of a text with the blank that the model puts in front of it."""
-    return PRE_TOKEN.findall(" " + text) if text else []
+    return PRE_TOKEN.findall(" " + text.replace("\u2581", " ")) if text else []
+
+
+def key_of(pre: str) -> str:
+    """What stands for a pre-token; no pre-token but a lone line feed begins with one."""
+    return pre if len(pre) <= LONG else "\n" + xxhash.xxh3_128_hexdigest(pre.encode("utf-8", "surrogatepass"))
 
 
 def count_pieces(sp, tokens: list[str]) -> list[int]:
@@ -63,30 +73,47 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     check_model(model_path)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    freq_schema = pa.schema([("pre", pa.string()), ("freq", pa.int64())])
+    schema_of_pieces = pa.schema([("pre", pa.string()), ("freq", pa.int64()), ("pieces", pa.int64())])
 
     def corpus_freqs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        for t in batches:
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        held, long = Counter(), {}
+
+        def out() -> pa.RecordBatch:
+            return as_rows({"pre": list(held), "freq": list(held.values()), "pieces": map(long.get, held)}, schema_of_pieces)
+
+        for t in in_slices(batches, "text"):
             for text in t.column("text").to_pylist():
-                held.update(pre_tokens(text))
-                if len(held) > CHUNK:
-                    yield as_rows({"pre": list(held), "freq": list(held.values())}, freq_schema)
+                found = pre_tokens(text)
+                if text and len(text) > LONG:
+                    wide = {x for x in found if len(x) > LONG}
+                    keys = {x: key_of(x) for x in wide}
+                    long.update(zip(new, count_pieces(sp, [x for x in wide if keys[x] in new]), strict=True) if (new := [keys[x] for x in wide if keys[x] not in long]) else ())
+                    found = [keys.get(x, x) for x in found] if wide else found
+                held.update(found)
+                if len(held) > CHUNK or len(long) > REMEMBERED:
+                    yield out()
                     held.clear()
-        yield as_rows({"pre": list(held), "freq": list(held.values())}, freq_schema)
+                    long.clear()
+        yield out()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        schema = pa.schema([("pre", pa.string()), ("freq", pa.int64()), ("pieces", pa.int64())])
         for t in batches:
-            pre = t.column("pre").to_pylist()
-            yield as_rows({"pre": pre, "freq": t.column("freq"), "pieces": count_pieces(sp, pre) if pre else []}, schema)
-
-    freqs = rows.select("text").mapInArrow(corpus_freqs, "pre string, freq long").groupBy("pre").agg(F.sum("freq").alias("freq"))
-    known = stage(freqs.mapInArrow(pieces, "pre string, freq long, pieces long"), "pieces")
-    frequent = known.filter(F.length("pre") <= FREQUENT_CHARS).orderBy(F.desc("freq"), "pre").limit(FREQUENT)
+            pre, done = t.column("pre").to_pylist(), t.column("pieces").to_pylist()
+            open_ = [i for i, n in enumerate(done) if n is None]
+            for i, n in zip(open_, count_pieces(sp, [pre[i] for i in open_]) if open_ else (), strict=True):
+                done[i] = n
+            yield as_rows({"pre": pre, "freq": t.column("freq"), "pieces": done}, schema_of_pieces)
+
+    ddl = "pre string, freq long, pieces long"
+    freqs = rows.select("text").mapInArrow(corpus_freqs, ddl).groupBy("pre").agg(F.sum("freq").alias("freq"), F.max("pieces").alias("pieces"))
+    known = stage(freqs.mapInArrow(pieces, ddl), "pieces")
+    frequent = known.orderBy(F.desc("freq"), "pre").limit(FREQUENT)
     lookup = spark.sparkContext.broadcast({r.pre: r.pieces for r in frequent.select("pre", "pieces").toLocalIterator()})
 
     id_type = rows.select("id").schema[0].dataType
@@ -95,12 +122,14 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, of = TaskContext.get().partitionId() << 40, lookup.value.get
-        for t in batches:
+        for t in in_slices(batches, "text"):
             texts = t.column("text").to_pylist()
             seen, other = [], []
             for text in texts:
                 total, odd = 0, []
                 for pre, n in Counter(pre_tokens(text)).items():
+                    if len(pre) > LONG:
+                        pre = key_of(pre)
                     if (k := of(pre)) is None:
                         odd.append({"pre": pre, "freq": n})
                     else:
