@@ -110,15 +110,15 @@ def mix_sources(docs: DataFrame, domain: Column, share: float = 0.8, epochs: int
     cuts = edge.join(last, [F.col(f"l_{c}").eqNullSafe(F.col(c)) for c in LEVELS], "left").select(*[F.col(f"l_{c}").alias(f"c_{c}") for c in LEVELS], F.coalesce("last", F.col("from") - 1).alias("cut"))
     # a leaf whose rest takes the whole next epoch has no edge: it is cut after its last row
     table = stage(plan.join(cuts, [F.col(f"l_{c}").eqNullSafe(F.col(f"c_{c}")) for c in LEVELS], "left").select(*[f"l_{c}" for c in LEVELS], F.col("whole").alias("_whole"), F.when(F.col("whole") >= epochs, F.lit(-1)).when(F.col("rest") <= 0, F.lit(-1)).otherwise(F.coalesce("cut", F.lit((1 << 62)))).alias("_cut")), "cuts")
-    tagged = docs.withColumns({f"_{k}": c for k, c in at.items()})
-    joined = leafed(tagged, table, {c: F.col(f"_{c}") for c in LEVELS})
-    place = _place(F.col(id_col), text_key, seed, F.col("_whole"))
-    times = F.col("_whole") + (place <= F.col("_cut")).cast("int")
-    return joined.select(*[c for c in docs.columns if c != into], times.alias(into))
+    tagged = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != into]).alias("row"), F.col(id_col).alias("id"), text_key.alias("key"), *[c.alias(k) for k, c in at.items()])
+    joined = leafed(tagged, table, own)
+    times = F.col("_whole") + (_place(F.col("id"), F.col("key"), seed, F.col("_whole")) <= F.col("_cut")).cast("int")
+    return joined.select("row.*", times.alias(into))
 
 
 def taken(mixed: DataFrame, into: str = "_times", epoch: str | None = None) -> DataFrame:
-    """The rows as often as they are taken; epoch names a column for the epoch's number, from 0."""
-    name = epoch or "_epoch"
-    out = mixed.filter(F.col(into) > 0).withColumn(name, F.explode(F.sequence(F.lit(0), F.col(into) - 1))).drop(into)
-    return out if epoch else out.drop(name)
+    """The rows as often as they are taken; epoch names a column for the epoch's number, from 0, which replaces one of
+    that name."""
+    row = F.struct(*[F.col(c) for c in mixed.columns if c not in (into, epoch)])
+    out = mixed.filter(F.col(into) > 0).select(row.alias("row"), F.explode(F.sequence(F.lit(0), F.col(into) - 1)).alias("n"))
+    return out.select("row.*", *([F.col("n").alias(epoch)] if epoch else []))
