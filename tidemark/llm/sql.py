@@ -1,5 +1,7 @@
 """SQL that states the results of this subpackage's queries, where SQL can."""
 
+from .url_filter import TWO_LABEL_SUFFIXES
+
 
 def _shrunk(name: str, counts: str, level: str, parent: str, up: str) -> str:
     """Common table expressions: `name` (level's columns, mean, upper) of counts (level, up, n, k) under parent (up, mean)."""
@@ -15,9 +17,10 @@ URL_FILTERS = f"""WITH seen AS (SELECT page_id, translate(coalesce(regexp_extrac
 outcome AS (SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS good FROM labels
   WHERE doc_id IS NOT NULL AND (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY doc_id),
 counted AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k FROM seen LEFT JOIN outcome ON page_id = doc_id GROUP BY host),
-labelled AS (SELECT *, regexp_extract(host, '[^.]*$') AS one, regexp_extract(host, '(?:[^.]*\\.)?[^.]*$') AS two, regexp_extract(host, '(?:[^.]*\\.){{0,2}}[^.]*$') AS three FROM counted),
-sorted AS (SELECT *, two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br', 'co.in', 'co.nz', 'co.za') AS pair FROM labelled),
-hosts AS (SELECT host, n, k, CASE WHEN pair THEN three ELSE two END AS domain, CASE WHEN pair THEN two ELSE one END AS suffix, 1 AS root FROM sorted),
+named AS (SELECT *, regexp_replace(host, '\\.?(:[0-9]*)?$', '') AS name FROM counted),
+labelled AS (SELECT *, regexp_extract(name, '[^.]*$') AS one, regexp_extract(name, '(?:[^.]*\\.)?[^.]*$') AS two, regexp_extract(name, '(?:[^.]*\\.){{0,2}}[^.]*$') AS three, regexp_matches(name, '^([0-9.]+|\\[.*\\])$') AS ip FROM named),
+sorted AS (SELECT *, list_contains({list(TWO_LABEL_SUFFIXES)}, two) AS pair FROM labelled),
+hosts AS (SELECT host, n, k, CASE WHEN ip THEN name WHEN pair THEN three ELSE two END AS domain, CASE WHEN ip THEN 'ip' WHEN pair THEN two ELSE one END AS suffix, 1 AS root FROM sorted),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, 1 AS root, sum(n) AS n, sum(k) AS k FROM domains GROUP BY suffix),
 top AS (SELECT root, (sum(k) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY root),
@@ -33,4 +36,44 @@ ruled AS (SELECT page_id, host, path, upper, CASE
   FROM seen LEFT JOIN by_host USING (host))
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN upper < 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM ruled"""
 
-SQL = {"op6_url_filters": URL_FILTERS}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: Documents with ids that are unique and not null, as all tables of this kind have.
+JACCARD_JOIN = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id GROUP BY 1, 2, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+e AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)"""
+
+#: (measure, bin width, least distance of quartiles, whether low values fail), as quality_rules has them.
+_RULES = "(VALUES ('symbol_share', 0.002, 0.01, false), ('repeat_share', 0.005, 0.05, false), ('dup_line_share', 0.005, 0.1, false), ('word_length', 0.05, 0.5, true)) v(measure, width, least, low)"
+
+
+def _fences(name: str, keys: str) -> str:
+    """(keys, measure, n, lo, hi) of each group with bins (keys, measure, bin, n)."""
+    by = f"{keys}, measure" if keys else "measure"
+    return f"""{name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {by}) AS total, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS upto FROM (SELECT {by}, bin, count(*) AS n FROM bins GROUP BY ALL)),
+{name}_q AS (SELECT {by}, min(bin) FILTER (upto >= 0.25 * total) AS q1, min(bin) FILTER (upto >= 0.75 * total) AS q3, any_value(total) AS rows FROM {name}_r GROUP BY ALL),
+{name} AS (SELECT {by}, rows, CASE WHEN low THEN q1 * width::DOUBLE - 3.0 * greatest((q3 - q1) * width::DOUBLE, least::DOUBLE) ELSE '-inf'::DOUBLE END AS lo, (q3 + 1) * width::DOUBLE + 3.0 * greatest((q3 - q1) * width::DOUBLE, least::DOUBLE) AS hi FROM {name}_q JOIN {_RULES} USING (measure))"""
+
+
+QUALITY_RULES = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+spots AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM d WHERE len(w) > 2),
+twice AS (SELECT r, i FROM spots QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) o(k) GROUP BY 1),
+c AS (SELECT d.r, doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines FROM d LEFT JOIN rep ON rep.r = d.r),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
+m AS (SELECT r, lang, source, unnest(['symbol_share', 'repeat_share', 'dup_line_share', 'word_length']) AS measure, unnest([coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0), coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0), coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0), coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)]) AS x FROM f WHERE NOT base_failed),
+bins AS (SELECT lang, source, measure, floor(x / width::DOUBLE)::BIGINT AS bin FROM m JOIN {_RULES} USING (measure)),
+{_fences("s", "lang, source")},
+{_fences("l", "lang")},
+{_fences("a", "")},
+bad AS (SELECT DISTINCT r FROM m JOIN s ON s.lang IS NOT DISTINCT FROM m.lang AND s.source IS NOT DISTINCT FROM m.source AND s.measure = m.measure JOIN l ON l.lang IS NOT DISTINCT FROM m.lang AND l.measure = m.measure JOIN a ON a.measure = m.measure
+ WHERE NOT CASE WHEN s.rows >= 100 THEN x BETWEEN s.lo AND s.hi WHEN l.rows >= 100 THEN x BETWEEN l.lo AND l.hi ELSE x BETWEEN a.lo AND a.hi END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.r IS NULL AS kept FROM f LEFT JOIN bad USING (r)"""
+
+SQL = {"op1_ngram_jaccard_join": JACCARD_JOIN, "op5_quality_rules": QUALITY_RULES, "op6_url_filters": URL_FILTERS}

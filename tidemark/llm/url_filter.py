@@ -13,10 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stage
+from .common import ascii_lower, keys_hint, stage
 
-#: Suffixes of two labels under which names are registered; other suffixes are the last label.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.in", "co.nz", "co.za")
+#: Suffixes of two labels under which names are registered; other suffixes are the last label.
+TWO_LABEL_SUFFIXES = tuple(
+    "ac.jp ac.kr ac.nz ac.uk ac.za co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.bd com.br com.cn com.co com.eg com.hk com.mx com.my com.ng com.pe com.ph com.pk com.pl "
+    "com.sg com.tr com.tw com.ua com.vn edu.au edu.cn go.jp gov.au gov.br gov.cn gov.in gov.uk ne.jp net.au net.br net.cn or.jp or.kr org.au org.br org.cn org.in org.uk org.za".split())
 #: Bounds of a prior's strength, the normal quantile of the bound, and the cutoff.
 STRENGTH, Z, CUTOFF = (2.0, 1000.0), 1.645, 0.5
 
@@ -31,15 +33,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def name_of(host: Column) -> Column:
+    """A host without its port and a dot at the end."""
+    return F.regexp_replace(host, r"\.?(:[0-9]*)?$", "")
+
+
+def is_address(name: Column) -> Column:
+    return name.rlike(r"^([0-9.]+|\[.*\])$")
+
+
 def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    """The public suffix of a host's name; `ip` for an address of numbers."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), F.lit("ip")).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(name, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
-    """The registered domain: one label before the suffix."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
+    """The registered domain: one label before the suffix; an address of numbers is its own."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(is_address(name), name).when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
@@ -108,5 +122,6 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     reputation = host_reputation(seen.select("id", "host"), outcomes)
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("upper") < CUTOFF, F.lit("block")).otherwise(F.lit("allow"))
-    out = seen.join(reputation.select("host", "upper"), "host", "left")
+    known = keys_hint(stage(reputation.select("host", "upper"), "reputation"))  # broadcast if small, so that a giant host is no hot key
+    out = seen.join(known, "host", "left")
     return out.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(action, own).alias("verdict"), F.col("upper").alias("good_bound"))
