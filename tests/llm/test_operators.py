@@ -1,6 +1,7 @@
 """The operators on small tables: odd rows, and brute force."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -11,13 +12,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import setjoin
 from tidemark.llm.decontam import contaminated
-from tidemark.llm.license_scan import license_scan
-from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.license_scan import TEMPLATES, license_scan
+from tidemark.llm.line_dedup import Sketches, fold, line_dedup, without_lines
 from tidemark.llm.mixing import mix_sources, taken
 from tidemark.llm.ngram_join import jaccard_groups, tile_keys
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.sharding import shard
-from tidemark.llm.token_count import token_counts
+from tidemark.llm.token_count import count_pieces, pre_tokens, token_counts
 from tidemark.llm.toxicity import Model
 from tidemark.llm.url_filter import url_filter
 
@@ -63,6 +64,8 @@ def test_similar_sets_share_a_key():
             assert np.intersect1d(tile_keys(a, 80), tile_keys(b, 80)).size
             bits = [np.frombuffer(setjoin.bitmap(x), np.uint8) for x in (a, b)]
             assert setjoin.bound(bits[0], len(a), bits[1], len(b)) >= both == setjoin.overlap(a, b)
+            maps = setjoin.Bitmaps([x.tobytes() for x in bits], np.array([len(a), len(b)]), 80)
+            assert maps.upper(np.array([0]), np.array([1]))[0] == maps.among(np.array([0, 1]))(0, np.array([1]))[0] == setjoin.bound(bits[0], len(a), bits[1], len(b))
 
 
 def test_token_counts(spark, odd):
@@ -75,6 +78,52 @@ def test_token_counts(spark, odd):
     assert token_counts(odd.limit(0), path).count() == 0
 
 
+def test_token_counts_of_any_text():
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(7)
+    alphabet = [" ", "\u2581", "\n", "a", "b", "the", " of", "<s>", "</s>", "<unk>", "\t", "é", "日", "\u00a0", "\u3000", "ﬁ", "12", ".", "--", "\r", "\u0301", "-" * 60]
+    for _ in range(20_000):
+        t = "".join(rng.choices(alphabet, k=rng.randrange(1, 12)))
+        assert sum(count_pieces(sp, pre_tokens(t))) == len(sp.encode(t)), t
+
+
+def test_token_counts_of_a_whole_table(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-i, x) for i, x in enumerate(["-" * 60, "a " + "-" * 60 + "\n" + "-" * 60, "=" * 5_000, "x\u2581 \u2581 y"], 1)], docs.schema)
+    docs = docs.unionByName(odd)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = token_counts(docs, path).collect()
+    assert len(got) == len(texts) and all((r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n := len(sp.encode(texts[r.doc_id])), n > 4096) for r in got)
+
+
+def test_toxicity_query(spark):
+    """Held-out rows are told by their id alone, and scores by the text alone: equal texts have equal ones."""
+    import zlib
+
+    import __spark_entry__
+
+    got = __spark_entry__.queries()["op3_toxicity"](spark, "/root/testdata/sf0.01").collect()
+    text = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    assert sorted(r.doc_id for r in got) == sorted(text)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    by_text = {}
+    assert all(by_text.setdefault(text[r.doc_id], r.score) == r.score for r in got)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Against the labels of the rows that the model has not seen."""
+    import __spark_entry__
+
+    got = __spark_entry__.queries()["op3_toxicity"](spark, "/root/testdata/sf0.1").filter("held_out")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = got.join(labels, "doc_id").select("predicted", "toxic").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    assert len(toxic) > 20 and sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
 def test_toxicity_learns_and_reads_misspellings():
     rng = random.Random(3)
     clean = [" ".join(rng.choices([f"word{i}" for i in range(60)], k=30)) for _ in range(300)]
@@ -101,6 +150,53 @@ def test_line_dedup(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_dedup_ties_and_texts(spark):
+    line = "a fairly long line of words that stands in many documents of the corpus, more or less as it is"
+    rows = [(1, f"x\n{line}", "p"), (1, f"{line}\ny", "q"), (2, f"{line}.", "r"), (3, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _dropped string")
+    sides = [sorted(map(str, line_dedup(docs.orderBy(F.desc("_dropped") if k else F.asc("_dropped")).coalesce(1)).collect())) for k in (0, 1)]
+    assert sides[0] == sides[1]
+    one = docs.filter("_dropped <> 'q'").withColumns({"_id": F.lit(5), "gone": F.lit("g"), "id": F.lit("i")})
+    got = {r.doc_id: r for r in without_lines(one, line_dedup(one)).collect()}
+    assert [got[k].text for k in (1, 2, 3)] == [f"x\n{line}", "", ""] and got[2]._dropped == "r" and got[2].gone == "g" and got[2]._id == 5
+
+
+def test_line_dedup_recall(spark):
+    """Over all lines of a whole small table, against every pair."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    lines = sorted({fold(x) for r in docs.collect() for x in (r.text or "").split("\n")} - {""})
+    sets = {w: dict(zip(lines, Sketches.sets([bytes([w]) + x.encode() for x in lines]), strict=True)) for w in (8, 3)}
+    links = set()
+    for w in (8, 3):
+        some = sorted((x for x in lines if w == 8 or len(x) <= 110), key=lambda x: len(sets[w][x]))
+        for j, b in enumerate(some):
+            for a in reversed(some[:j]):
+                if len(sets[w][a]) < 0.8 * len(sets[w][b]):
+                    break
+                if setjoin.similar(sets[w][a], sets[w][b], 80):
+                    links.add((a, b))
+    up = {x: x for x in lines}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in sorted(links):
+        a, b = sorted((top(a), top(b)))
+        up[b] = a
+    seen, want = set(), {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        for i, x in enumerate((r.text or "").split("\n")):
+            if f := fold(x):
+                if top(f) in seen:
+                    want.setdefault(r.doc_id, set()).add(i)
+                seen.add(top(f))
+    got = {r.doc_id: set(r.dropped) for r in line_dedup(docs).collect() if r.dropped}
+    flat = lambda d: {(k, i) for k, v in d.items() for i in v}
+    assert flat(got) <= flat(want) and len(flat(got)) >= 0.98 * len(flat(want)) > 20
+
+
 def test_line_dedup_of_short_lines(spark):
     rng = random.Random(5)
     letters = "abcdefghijklmnopqrstuvwxyzñéß"
@@ -143,6 +239,85 @@ def test_mixing(spark):
     assert mix_sources(docs.limit(0), F.lit("d")).count() == 0
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    rows = [(i, "w " * 10, "en", "s1", "MINE", "MINE", "MINE", "MINE", "MINE", "MINE") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, l_domain string, _lang string, _whole string, row string, _epoch string, tokens string")
+    mixed = taken(mix_sources(docs, F.lit("d"), share=0.5))
+    assert mixed.columns == docs.columns and 20 <= mixed.count() <= 25 and {tuple(r[4:]) for r in mixed.collect()} == {("MINE",) * 6}
+    assert taken(mix_sources(docs, F.lit("d")), epoch="_epoch").select("_epoch").distinct().count() == 1
+
+
+def test_mixing_by_brute_force(spark):
+    """Budgets over the tree, with a shortage that a sibling domain makes up, and the prefix that each leaf takes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    domain = F.when(F.col("source") == "src3", "scarce").when(F.col("source") < "src4", "a").otherwise("b")
+    weights = {"scarce": 40.0, "a": 2.0, "a/de": 3.0, "b/en/src5": 0.5}
+    share, epochs, seed = 0.6, 2, 11
+    rows = docs.select("doc_id", "text", domain.alias("d"), "lang", "source", *[F.expr(f"shiftrightunsigned(xxhash64({seed}, {e}, doc_id, xxhash64(text)), 2)").alias(f"p{e}") for e in range(epochs)]).collect()
+    leaf = {}
+    for r in rows:
+        leaf.setdefault((r.d, r.lang, r.source), []).append((r.p0, r.p1, r.doc_id, len((r.text or "").encode().split())))
+    tokens = {k: sum(x[3] for x in v) for k, v in leaf.items()}
+
+    def budgets(paths, depth, given):
+        if depth == 3:
+            return {paths[0]: given}
+        kids = {}
+        for p in paths:
+            kids.setdefault(p[: depth + 1], []).append(p)
+        room = {k: sum(tokens[p] for p in v) * epochs for k, v in kids.items()}
+        w = {k: weights.get("/".join(k), 1.0) for k in kids}
+        part, left, open_ = {}, given, set(kids)
+        while open_:
+            full = [k for k in open_ if room[k] <= left * w[k] / sum(w[x] for x in open_)]
+            if not full:
+                part.update({k: left * w[k] / sum(w[x] for x in open_) for k in open_})
+                break
+            k = min(full, key=lambda x: room[x] / w[x])
+            part[k] = room[k]
+            left -= room[k]
+            open_.remove(k)
+        return {p: b for k, v in kids.items() for p, b in budgets(v, depth + 1, part[k]).items()}
+
+    want = Counter()
+    for path, b in budgets(sorted(leaf), 0, share * sum(tokens.values())).items():
+        whole = min(epochs, int(b // tokens[path] + 1e-9))
+        for x in leaf[path]:
+            want[x[2]] += whole
+        left = b - whole * tokens[path]
+        for x in sorted(leaf[path], key=lambda x: x[min(whole, epochs - 1)]) if whole < epochs else ():
+            left -= x[3]
+            if left < -1e-6:
+                break
+            want[x[2]] += 1
+    got = Counter({r.doc_id: r.n for r in taken(mix_sources(docs, domain, share, epochs, weights, seed)).groupBy("doc_id").agg(F.count("*").alias("n")).collect()})
+    assert got == +want
+
+
+def test_contaminated_in_any_script(spark):
+    items = {1: "某农夫有十二个苹果他把五个苹果给了玛丽然后走了三公里回家去了", 2: "The Great War Of The Red Rose And The White Rose Began", 3: "Maria Petra Otto Karl Anna Berta Ida Max Paul Hugo Emil", 4: "10 20 30 40 50 60 70 80 90"}
+    docs = spark.createDataFrame([(k, f"so , {x} , it is") for k, x in items.items()] + [(9, "nothing of these")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.verbatim for r in contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()}
+    assert got == {(k, k): True for k in items}
+
+
+def test_contaminated_on_a_whole_table(spark):
+    """Every item of the benchmark that stands word for word in a document is found, whatever its case, and every item
+    with other numbers; what is found holds half of an item's words in order, or thirteen."""
+    sf = "/root/testdata/sf0.01"
+    docs, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    split = lambda t: re.findall(r"\d+(?:[.,]\d+)*|[^\W\d_]+", (t or "").upper().lower())
+    items = {r.item_id: split(r.text) for r in bench.collect()}
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    want = {(r.doc_id, i) for r in docs.collect() for whole in (f" {' '.join(split(r.text))} ",) for i, x in items.items() if f" {' '.join(x)} " in whole}
+    assert want and want <= found
+    rng = random.Random(8)
+    changed = bench.collect()
+    new = [(10_000 + r.item_id, re.sub(r"\d+", lambda m: str(int(m[0]) + rng.randrange(5, 90)), r.text)) for r in changed if r.text]
+    again = {(r.doc_id - 10_000, r.item_id) for r in contaminated(spark.createDataFrame(new, "doc_id long, text string"), bench).collect()}
+    assert {i for i, _ in again} >= {r.item_id for r in changed if r.text} and len({(i, j) for i, j in again if i == j}) >= 0.98 * len(new)
+
+
 def test_contaminated(spark):
     q = "a farmer has 12 apples and gives 5 apples to Maria before she walks 3 km home with the rest of them"
     other = q.replace("12", "31").replace("5", "9").replace("Maria", "Petra").replace("3 km", "7 miles")
@@ -195,6 +370,38 @@ def test_license_scan(spark):
     assert got == {(1, "MIT"), (2, "reserved"), (None, "CC-BY-NC-4.0")}
 
 
+def test_license_scan_finds_every_template_anywhere(spark):
+    rng = random.Random(6)
+    filler = lambda: " ".join(f"w{rng.randrange(9_000)}" for _ in range(rng.randrange(1, 60)))
+    rows = []
+    for name, notice in TEMPLATES.items():
+        for k in range(60):
+            rows.append((len(rows), name, (f"{notice} {filler()}", f"{filler()} {notice.upper()} {filler()}", f"{filler()} {notice}", notice)[k % 4]))
+    docs = spark.createDataFrame(rows, "doc_id long, name string, text string")
+    found = {(r.doc_id, r.license) for r in license_scan(docs).collect()}
+    missed = [(i, name) for i, name, _ in rows if (i, name) not in found]
+    assert len(missed) <= len(rows) // 100, missed
+    with pytest.raises(ValueError):
+        license_scan(docs, {"short": "two words"})
+
+
+def test_license_scan_on_a_whole_table(spark):
+    """Every notice that stands word for word is found, and whatever is found has four fifths of the template's pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    split = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+    found = {(r.doc_id, r.license): r.containment for r in license_scan(docs).collect()}
+    want, pairs = set(), {}
+    for r in docs.collect():
+        words = split(r.text)
+        whole = f" {' '.join(words)} "
+        for name, notice in TEMPLATES.items():
+            own = split(notice)
+            pairs[r.doc_id, name] = len({*zip(own, own[1:])} & {*zip(words, words[1:])}) / len({*zip(own, own[1:])})
+            if f" {' '.join(own)} " in whole:
+                want.add((r.doc_id, name))
+    assert want and want <= set(found) and all(share <= pairs[k] + 1e-9 and share >= 0.8 for k, share in found.items())
+
+
 def test_license_scan_of_long_templates(spark):
     body = " ".join(f"word{i}" for i in range(300))
     rows = [(1, f"before {body} after"), (2, " ".join(body.split()[:200])), (3, "none of it")]
@@ -202,6 +409,26 @@ def test_license_scan_of_long_templates(spark):
     assert [(r.doc_id, r.license, r.containment > 0.99) for r in got] == [(1, "long", True)]
 
 
+def test_shard_keeps_groups_of_equal_texts(spark):
+    import zlib
+
+    rows = [(i, f"text number {i} " + "x" * (i % 50)) for i in range(6_000)]
+    size = sum(len(t) + 1 for _, t in rows)
+    rows += [(10_000 + i, "seven tenths of a shard") for i in range(int(0.7 * size / 16 / 24))] + [(50_000 + i, "more than two shards of this") for i in range(int(2.5 * size / 16 / 29))]
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    total = sum(r.size for r in got)
+    text = dict(rows)
+    at, load = {}, Counter()
+    for r in got:
+        at.setdefault(text[r.doc_id], set()).add(r.shard)
+        load[r.shard] += r.size
+        assert r.size == len(text[r.doc_id]) + 1 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) and r.law == "bytes" and r.grown_shard is None
+    assert {t for t, s in at.items() if len(s) > 1} == {"more than two shards of this"} and len(at["more than two shards of this"]) == 3
+    assert max(load.values()) < 1.05 * total / 16 and min(load.values()) > 0.95 * total / 16
+    for k in range(16):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+
+
 def test_shard(spark, odd):
     many = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
     got = shard(many).collect()
