@@ -16,8 +16,8 @@ from tidemark.llm.toxicity import toxicity, train
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below 0.5. The model learns from the labelled rows of docs outside the held-out fold."""
-    scored = toxicity(docs, train(docs, read(spark, sf_dir, "labels")), into="_score")
-    return scored.filter(F.col("_score") < 0.5).select(*docs.columns)
+    inner = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return toxicity(inner, train(docs, read(spark, sf_dir, "labels"))).filter("score < 0.5").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
