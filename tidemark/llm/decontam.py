@@ -34,8 +34,9 @@ UNITS = (
 ).split()
 #: What a window is hashed by: with placeholders; with those for numbers and units alone; by its words and numbers.
 FORMS = ("template", "caseless", "literal")
-#: Scripts that put no blanks between words; each of their letters is a token.
-NO_BLANKS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: Code points of scripts that put no blanks between words (Thai and Lao, Burmese, Khmer, Japanese and Chinese),
+#: each of whose letters is a token. Ranges, since Java looks a script up by a search for each character.
+NO_BLANKS = r"\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 TOKEN = rf"[0-9]+(?:[.,][0-9]+)*|[\p{{L}}\p{{M}}&&[^{NO_BLANKS}]]+|[{NO_BLANKS}]"
 #: What stands for a slot of each kind, besides 0, a plain word.
 NUMBER, UNIT, NAME = 1, 2, 3
@@ -62,7 +63,9 @@ def with_shapes(df: DataFrame, text: Column) -> DataFrame:
     text = F.coalesce(text, F.lit(""))
     df = df.withColumns({"words": tokens_of(fold(text)), "capital": F.zip_with(tokens_of(text), tokens_of(F.lower(text)), lambda t, low: t != low)})
     after_number = lambda i: F.coalesce(is_number(F.get("words", i - 1)), F.lit(False))
-    df = df.withColumn("kind", F.transform("words", lambda w, i: F.when(is_number(w), NUMBER).when(after_number(i) & w.isin(*UNITS), UNIT).when(F.get("capital", i), NAME).otherwise(0)))
+    df = df.withColumn("kind", F.transform("words", lambda w, i: F.when(is_number(w), NUMBER).when(after_number(i) & w.isin(*UNITS), UNIT).otherwise(0)))
+    # not by the place in that function: Spark would put the whole making of `capital` there, for each token
+    df = df.withColumn("kind", F.zip_with("kind", "capital", lambda k, c: F.when((k == 0) & c, NAME).otherwise(k)))
     df = df.withColumn("literal", F.transform("words", lambda w: F.xxhash64(w)))
     fixed = lambda k, h: F.when(k == 0, h).when(k == NUMBER, F.xxhash64(F.lit("#number"))).when(k == UNIT, F.xxhash64(F.lit("#unit")))
     return df.withColumns({
