@@ -12,7 +12,7 @@ from tidemark.llm.queries import SQL
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_equals_sql(spark, name, sf):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf{sf}/{table}.parquet'")
     got = __spark_entry__.queries()[name](spark, f"/root/testdata/sf{sf}")
     columns = sorted(got.columns)

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .decontam import contaminated
+from .fill_middle import fill_middle, restored
 from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .mixing import mix_sources, n_words, taken
+from .neighbours import build_index, search_index
 from .ngram_join import jaccard_groups
 from .quality_rules import quality_rules
+from .resampling import resample
 from .sharding import shard
 from .sql import SQL  # noqa: F401  (the driver entry reads it here)
 from .token_count import token_counts
@@ -78,6 +81,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = F.sha2(F.col("output").cast("binary"), 256), F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digests[0].alias("output_sha256"), digests[1].alias("restored_sha256"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    index = build_index(rows, "vec_id", "embedding")
+    return search_index(index, rows.filter("vec_id % 50 = 0"), "vec_id", "embedding")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_ngram_jaccard_join, op2_token_counts, op3_toxicity, op4_line_dedup, op5_quality_rules, op6_url_filters, op7_source_mixing, op8_benchmark_decontamination, op9_license_scans, op10_sharding)
+    found = (op1_ngram_jaccard_join, op2_token_counts, op3_toxicity, op4_line_dedup, op5_quality_rules, op6_url_filters, op7_source_mixing, op8_benchmark_decontamination, op9_license_scans, op10_sharding, op11_importance_resampling, op12_fill_in_middle, op13_nearest_neighbours)
     return {f.__name__: f for f in found}

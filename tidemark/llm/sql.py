@@ -76,4 +76,31 @@ bad AS (SELECT DISTINCT r FROM m JOIN s ON s.lang IS NOT DISTINCT FROM m.lang AN
  WHERE NOT CASE WHEN s.rows >= 100 THEN x BETWEEN s.lo AND s.hi WHEN l.rows >= 100 THEN x BETWEEN l.lo AND l.hi ELSE x BETWEEN a.lo AND a.hi END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.r IS NULL AS kept FROM f LEFT JOIN bad USING (r)"""
 
-SQL = {"op1_ngram_jaccard_join": JACCARD_JOIN, "op5_quality_rules": QUALITY_RULES, "op6_url_filters": URL_FILTERS}
+#: (id, f): the features of a table, a row each.
+_FEATURES = r"""SELECT {id} AS id, w, unnest(CASE WHEN len(w) = 0 THEN [] ELSE list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END) AS f
+  FROM (SELECT {id}, list_filter(regexp_split_to_array({text}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM {table})"""
+#: CRC-32 by its definition, byte by byte, of each distinct feature.
+IMPORTANCE_RESAMPLING = f"""WITH RECURSIVE crc_step(i, b, c) AS (SELECT 0, range, range::UBIGINT FROM range(256) UNION ALL SELECT i + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM crc_step WHERE i < 8),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM crc_step WHERE i = 8),
+of_docs AS MATERIALIZED ({_FEATURES.format(id="doc_id", text=_LOWER, table="documents")}),
+of_target AS MATERIALIZED ({_FEATURES.format(id="item_id", text=_LOWER, table="benchmark")}),
+per_doc AS (SELECT doc_id, len(list_filter(regexp_split_to_array({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS n_words FROM documents),
+hashed AS MATERIALIZED (SELECT f, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(0, octet_length(encode(f))), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::UBIGINT)), lambda a, x: xor(a >> 8, t[((xor(a, x) & 255) + 1)::BIGINT])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM (SELECT f FROM of_docs UNION SELECT f FROM of_target), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM of_docs JOIN hashed USING (f) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS n FROM of_target JOIN hashed USING (f) GROUP BY 1),
+gain AS (SELECT range AS bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM range(10000) LEFT JOIN s ON s.bucket = range LEFT JOIN t ON t.bucket = range),
+sums AS (SELECT id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM of_docs JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY 1),
+scored AS (SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::UBIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM per_doc LEFT JOIN sums ON id = doc_id),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 5 * (SELECT count(*) FROM drawn) // 100 THEN rank END AS rank FROM scored LEFT JOIN drawn USING (doc_id)"""
+
+FILL_IN_MIDDLE = """WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, list_transform(range(4), lambda i: ('0x' || substr(sha256('1:' || doc_id), 8 * i + 1, 8))::BIGINT) AS h FROM documents),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(pre || mid || suf) AS restored_sha256 FROM p"""
+
+SQL = {"op11_importance_resampling": IMPORTANCE_RESAMPLING, "op12_fill_in_middle": FILL_IN_MIDDLE, "op1_ngram_jaccard_join": JACCARD_JOIN, "op5_quality_rules": QUALITY_RULES, "op6_url_filters": URL_FILTERS}
