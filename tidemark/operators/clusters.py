@@ -50,11 +50,11 @@ def clusters(df: DataFrame, block: str, value: str, threshold: float) -> DataFra
         return nodes.select(F.col("block").alias(block), F.col("value").alias(value), F.col("value").alias("cluster"))
     pairs = similar_pairs(nodes, "block", F.col("value"), threshold)
     roots = labelled(pairs.select(F.col("block").alias("g"), "a", "b"))
-    rooted = nodes.join(roots, F.col("block").eqNullSafe(F.col("g")) & (F.col("v") == F.col("node")), "left").select("block", "value", F.coalesce("root", "v").alias("root"))
-    rooted = staged(rooted, "rooted")
+    rooted = nodes.join(roots, F.col("block").eqNullSafe(F.col("g")) & (F.col("v") == F.col("node")), "left")
+    rooted = staged(rooted.select("block", "value", "root", F.when(F.col("root").isNull(), F.col("v")).alias("alone")), "rooted")
     unstaged(roots)
-    least = rooted.groupBy(F.col("block").alias("g"), F.col("root").alias("of")).agg(F.min("value").alias("cluster"))
-    out = rooted.join(least, F.col("block").eqNullSafe(F.col("g")) & (F.col("root") == F.col("of")))
+    least = rooted.groupBy(F.col("block").alias("g"), F.col("root").alias("of"), F.col("alone").alias("by")).agg(F.min("value").alias("cluster"))
+    out = rooted.join(least, F.col("block").eqNullSafe(F.col("g")) & F.col("root").eqNullSafe(F.col("of")) & F.col("alone").eqNullSafe(F.col("by")))
     return out.select(F.col("block").alias(block), F.col("value").alias(value), "cluster")
 
 
@@ -84,17 +84,21 @@ def associated(rows: DataFrame, key: str, raw: str, line: str, labels: DataFrame
 
 
 def collapse(rows: DataFrame, key: str, value: str, labels: DataFrame, x: str, flags: dict[str, Column], reach: float) -> DataFrame:
-    """One row for each cluster: member and row counts, summed flags, mean and range test of x (null if a value is)."""
-    joined = rows.join(labels, [key, value])
+    """One row for each cluster: member and row counts, summed flags, mean and range test of x (null if a value is). A null
+    key is a key like any other; rows without a value belong to no cluster."""
+    of = labels.select(F.col(key).alias("of_key"), F.col(value).alias("of_value"), F.col("cluster").alias("of_cluster"))
+    inner = rows.select(F.col(key), F.col(value), F.col(x), *[f.alias(k) for k, f in flags.items()])
+    joined = inner.join(of, F.col(key).eqNullSafe(F.col("of_key")) & (F.col(value) == F.col("of_value"))).withColumn("cluster", F.col("of_cluster"))
     near = F.when(F.count(F.lit(1)) == 1, F.lit(True)).otherwise(strict_max(F.col(x)) - strict_min(F.col(x)) < reach)
-    sums = [F.coalesce(F.sum(f), F.lit(0)).alias(k) for k, f in flags.items()]
+    sums = [F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in flags]
     return joined.groupBy(key, "cluster").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(value).alias("n_members"), *sums, strict_mean(F.col(x)).alias("mean_x"), near.alias("near_test"))
 
 
 def expand_failed(rows: DataFrame, key: str, value: str, labels: DataFrame, collapsed: DataFrame, x: str, flags: dict[str, Column], reach: float) -> DataFrame:
     """Collapsed rows with each failed cluster replaced by its exact values, tagged Expanded."""
-    failed = collapsed.filter(~F.coalesce("near_test", F.lit(True))).select(key, "cluster")
-    exact = labels.join(failed, [key, "cluster"], "left_semi").select(key, value, F.col(value).alias("cluster"))
+    failed = collapsed.filter(~F.coalesce("near_test", F.lit(True))).select(F.col(key).alias("of_key"), F.col("cluster").alias("of_cluster"))
+    same = F.col(key).eqNullSafe(F.col("of_key")) & (F.col("cluster") == F.col("of_cluster"))
+    exact = labels.join(failed, same, "left_semi").select(key, value, F.col(value).alias("cluster"))
     again = collapse(rows, key, value, exact, x, flags, reach).withColumn("near_test", F.when(F.col("n_rows") > 1, F.col("near_test"))).withColumn("status", F.lit("Expanded"))
-    kept = collapsed.join(failed, [key, "cluster"], "left_anti").withColumn("status", F.upper(F.col("near_test").cast("string")))
+    kept = collapsed.join(failed, same, "left_anti").withColumn("status", F.upper(F.col("near_test").cast("string")))
     return kept.unionByName(again)

@@ -54,7 +54,7 @@ def reductions(raw: DataFrame, final: DataFrame, key: str, address: str) -> Data
     many final keys are new (none may be), were dropped for a missing address (none may be left), or have none now."""
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias(f"rows_{name}"), F.count_distinct(key).alias(f"keys_{name}"))
     known = raw.select(F.col(key).alias("_known")).distinct()
-    new = final.join(known, F.col(key) == F.col("_known"), "left_anti").agg(F.count(F.lit(1)).alias("new_keys"))
+    new = final.join(known, F.col(key).eqNullSafe(F.col("_known")), "left_anti").agg(F.count(F.lit(1)).alias("new_keys"))
     missing = final.agg(F.count_if(F.col(address).isNull() | (F.col(address) == NONE_GIVEN)).alias("missing_left"))
     out = count(raw, "before").crossJoin(count(final, "after")).crossJoin(new).crossJoin(missing)  # one row each
     return out.withColumn("reduction", F.round(100 * (1 - F.try_divide("rows_after", "rows_before")), 2))

@@ -7,6 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import is_mailbox
+from ..sources.tables import staged
+from .cities import matched_cities
+from .nearest import nearest_offers
 from .places import density_clusters
 
 NO_MATCH = "No address match found"
@@ -28,68 +32,103 @@ def introduced(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFram
     return joined.select("row.*", hit.alias("introduced"))
 
 
-def survivor_ladder(df: DataFrame, by: list[str], row: str, answer: Column, line: Column, extra: Column, is_city: Column, like_city: Column) -> DataFrame:
+def survivor_ladder(df: DataFrame, by: list[str], row: str, answer: Column, line: Column, extra: Column, city: str, state: str, zip_: str, gazetteer: DataFrame, threshold: float) -> DataFrame:
     """df with `decision` (Keep for one row of each group, Drop for the others), `by_city` (the row was kept because its
-    city is like the gazetteer's, whose name it should get) and `needs_review` (no row of the group was verified).
+    city is like one of the gazetteer's, whose name its column `city` has now) and `needs_review` (no row of the group was
+    verified).
 
     In order: rows without a validated answer go, unless all are so. If a row has a second line, those without go. If a
     first line with a digit is the longest, only such stay; else if the longest shares a run of lengths, each within
-    LENGTH_REACH of the next, with one that has a digit, all with a digit stay; else the longest. Of several left, the first with a known
-    city stays, or else the first with a city like the gazetteer's, or else the first by `row`. A group is the records of
-    one id at one place, so a window over it is small.
+    LENGTH_REACH of the next, with one that has a digit, all with a digit stay; else the longest. Of several left, the
+    first whose city the gazetteer (city, state_id, zip) has stays, or else the one whose city is most similar to a place
+    of its state and ZIP (Jaro distance below the threshold), or else the first by `row`. A null in `by` is a value like
+    any other. A group is the records of one id at one place, so a window over it is small.
     """
-    group = Window.partitionBy(*by)
+    known = matched_cities(df, F.col(city), F.col(state), F.col(zip_), gazetteer, threshold).toDF("c", "s", "z", "known", "place", "far")
+    keys = [f"by{i}" for i in range(len(by))]
+    facts = df.select(F.struct(*df.columns).alias("r"), *[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(row).alias("nth"), F.coalesce(answer == NO_MATCH, F.lit(False)).alias("none"), extra.isNotNull().alias("extra"), F.coalesce(F.length(line), F.lit(0)).alias("len"), F.coalesce(line.rlike("[0-9]"), F.lit(False)).alias("digit"))
+    same = F.col(f"r.{city}").eqNullSafe(F.col("c")) & F.col(f"r.{state}").eqNullSafe(F.col("s")) & F.col(f"r.{zip_}").eqNullSafe(F.col("z"))
+    out = facts.join(known, same)
+    group = Window.partitionBy(*keys)
     any_ = lambda c: F.coalesce(F.max(c).over(group), F.lit(False))
-    inner = df.select("*", (answer == NO_MATCH).alias("_none"), extra.isNotNull().alias("_extra"), F.coalesce(F.length(line), F.lit(0)).alias("_len"), F.coalesce(line.rlike("[0-9]"), F.lit(False)).alias("_digit"), F.coalesce(is_city, F.lit(False)).alias("_city"), F.coalesce(like_city, F.lit(False)).alias("_like"))
-    inner = inner.withColumn("_none", F.coalesce("_none", F.lit(False)))
-    out = inner.withColumn("needs_review", F.min("_none").over(group)).withColumn("_live", ~F.col("_none") | F.col("needs_review"))
-    out = out.withColumn("_live", F.col("_live") & (F.col("_extra") | ~any_(F.col("_live") & F.col("_extra"))))
-    out = out.withColumn("_top", F.col("_live") & (F.col("_len") == F.max(F.when(F.col("_live"), F.col("_len"))).over(group)))
-    line_up = Window.partitionBy(*by, "_live").orderBy("_len")
-    out = out.withColumn("_new", F.coalesce((F.col("_len") - F.lag("_len").over(line_up) > LENGTH_REACH).cast("int"), F.lit(1)))
-    out = out.withColumn("_run", F.sum("_new").over(line_up.rangeBetween(Window.unboundedPreceding, 0)))  # equal lengths have one run
-    top_run = F.max(F.when(F.col("_top"), F.col("_run"))).over(group)
-    digit = F.col("_live") & F.col("_digit")
-    out = out.withColumns({"_both": any_(digit & F.col("_top")), "_near": any_(digit & (F.col("_run") == top_run))})
-    out = out.withColumn("_live", F.when(F.col("_both"), digit & F.col("_top")).when(F.col("_near"), digit).otherwise(F.col("_top")))
-    nth = F.row_number().over(group.orderBy(F.col("_live").desc(), F.col("_city").desc(), F.col("_like").desc(), row))
-    several = F.sum(F.col("_live").cast("int")).over(group) > 1
-    out = out.withColumn("decision", F.when(nth == 1, "Keep").otherwise("Drop"))
-    out = out.withColumn("by_city", (F.col("decision") == "Keep") & several & ~F.col("_city") & F.col("_like"))
-    return out.select(*df.columns, "decision", "by_city", "needs_review")
-
-
-def select_survivors(df: DataFrame, key: str, row: str, flags: Mapping[str, Column], x: Column, y: Column, eps: float, **ladder: Column) -> DataFrame:
-    """df with cluster, problem_geo, decision, by_city, needs_review: rows that no flag makes a duplicate are kept as they
-    are (cluster null); the others compete by the ladder with those of their key's density cluster, noise being one."""
-    marked = introduced(df, key, flags)
+    out = out.withColumn("review", F.min("none").over(group)).withColumn("live", ~F.col("none") | F.col("review"))
+    out = out.withColumn("live", F.col("live") & (F.col("extra") | ~any_(F.col("live") & F.col("extra"))))
+    out = out.withColumn("top", F.col("live") & (F.col("len") == F.max(F.when(F.col("live"), F.col("len"))).over(group)))
+    line_up = Window.partitionBy(*keys, "live").orderBy("len")
+    out = out.withColumn("new", F.coalesce((F.col("len") - F.lag("len").over(line_up) > LENGTH_REACH).cast("int"), F.lit(1)))
+    out = out.withColumn("run", F.sum("new").over(line_up.rangeBetween(Window.unboundedPreceding, 0)))  # equal lengths have one run
+    top_run = F.max(F.when(F.col("top"), F.col("run"))).over(group)
+    digit = F.col("live") & F.col("digit")
+    out = out.withColumns({"both": any_(digit & F.col("top")), "close": any_(digit & (F.col("run") == top_run))})
+    out = out.withColumn("live", F.when(F.col("both"), digit & F.col("top")).when(F.col("close"), digit).otherwise(F.col("top")))
+    order = group.orderBy(F.col("live").desc(), F.col("known").desc(), F.when(F.col("known"), None).otherwise(F.col("far")).asc_nulls_last(), "nth")
+    several = F.sum(F.col("live").cast("int")).over(group) > 1
+    out = out.withColumn("kept", F.row_number().over(order) == 1)
+    out = out.withColumn("by_city", F.col("kept") & several & ~F.col("known") & F.col("place").isNotNull())
+    named = [F.when(F.col("by_city"), F.col("place")).otherwise(F.col(f"r.{c}")).alias(c) if c == city else F.col(f"r.{c}") for c in df.columns]
+    return out.select(*named, F.when(F.col("kept"), "Keep").otherwise("Drop").alias("decision"), "by_city", F.col("review").alias("needs_review"))
+
+
+def select_survivors(df: DataFrame, key: str, row: str, flags: Mapping[str, Column], x: Column, y: Column, eps: float, answer: Column, address: Column, **ladder) -> DataFrame:
+    """df with cluster, is_noise, problem_geo, decision, by_city, needs_review and lender: rows that no flag makes a
+    duplicate are kept as they are (cluster and is_noise null); the others compete by the ladder with those of their key's
+    density cluster, noise being one.
+
+    Where no row of a group was verified, the one that the ladder would keep borrows: the nearest row of its key within
+    eps that stays, has an answer and whose address is no mailbox stands in for the group. lender names it, and the row goes.
+    Without such a row it stays, marked by needs_review alone. Rows without a key are rows of the null key.
+    """
+    marked = staged(introduced(df, key, flags), "marked")
     some = marked.filter("introduced").drop("introduced")
-    places = density_clusters(some, key, row, x, y, eps).select(F.col(key).alias("_key"), F.col(row).alias("_row"), "cluster", "problem_geo")
-    joined = some.join(places, (F.col(key) == F.col("_key")) & (F.col(row) == F.col("_row"))).drop("_key", "_row")
-    judged = survivor_ladder(joined, [key, "cluster"], row, **ladder)
+    places = density_clusters(some, key, row, x, y, eps).toDF("g", "p", "cluster", "is_noise", "problem_geo")
+    inner = some.select(F.struct(*some.columns).alias("r")).join(places, F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")))
+    joined = inner.select("r.*", "cluster", "is_noise", "problem_geo")
+    judged = staged(survivor_ladder(joined, [key, "cluster", "is_noise"], row, answer=answer, **ladder), "judged")
+    stay = judged.filter("decision = 'Keep' and not needs_review").select(*[c for c in marked.columns if c != "introduced"]).unionByName(marked.filter("not introduced").drop("introduced"))
+    offers = stay.filter((answer != NO_MATCH) & ~F.coalesce(is_mailbox(address), F.lit(False)))
+    lent = nearest_offers(judged.filter("decision = 'Keep' and needs_review"), offers, key, row, x, y, eps).filter("offer is not null")
+    lent = lent.select(F.col(key).alias("g"), F.col(row).alias("p"), "offer")
+    whole = judged.select(F.struct(*judged.columns).alias("r")).join(lent, F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")), "left")
+    whole = whole.select("r.*", F.col("offer").alias("lender")).withColumn("decision", F.when(F.col("lender").isNotNull(), "Drop").otherwise(F.col("decision")))
     alone = marked.filter(~F.col("introduced")).drop("introduced")
-    return judged.unionByName(alone.withColumn("decision", F.lit("Keep")), allowMissingColumns=True).na.fill(False, ["by_city", "needs_review", "problem_geo"])
+    return whole.unionByName(alone.withColumn("decision", F.lit("Keep")), allowMissingColumns=True).na.fill(False, ["by_city", "needs_review", "problem_geo"])
 
 
-def compressed(judged: DataFrame, key: str, flags: Mapping[str, str]) -> DataFrame:
-    """judged with the flags of each kept row set where any row of its (key, cluster) has them; others as they are.
-    flags: column of judged by name of the result's column."""
-    group = judged.groupBy(F.col(key).alias("_key"), F.col("cluster").alias("_cluster")).agg(*[F.least(F.sum(c), F.lit(1)).alias(f"_{k}") for k, c in flags.items()])
-    joined = judged.join(group, (F.col(key) == F.col("_key")) & (F.col("cluster") == F.col("_cluster")), "left")
-    kept = (F.col("decision") == "Keep") & F.col("cluster").isNotNull()
-    return joined.withColumns({k: F.when(kept, F.col(f"_{k}")).otherwise(F.col(c)) for k, c in flags.items()}).drop("_key", "_cluster", *[f"_{k}" for k in flags])
+def _group(key: str) -> list[Column]:
+    return [F.col(key).alias("g"), F.col("cluster").alias("h"), F.col("is_noise").alias("i")]
 
 
-def survivor_checks(done: DataFrame, key: str, flags: list[str]) -> DataFrame:
-    """One row for each (key, cluster) of competing rows: whether each flag's sum over the dropped rows and over the kept
-    ones is 0 or 1, whether no flag's sum over both is 1 (what was dropped is on the kept row), whether coordinates lacked,
-    and whether one row is kept."""
+def compressed(judged: DataFrame, key: str, row: str, flags: Mapping[str, str]) -> DataFrame:
+    """judged with the flags of each kept row set where any row of its group has them, or of a group that borrowed it;
+    others as they are. flags: column of judged by name of the result's column."""
+    names = {k: f"f{i}" for i, k in enumerate(flags)}
+    inner = judged.select(F.struct(*judged.columns).alias("r"), *_group(key), F.col(row).alias("p"), "decision", "lender", *[F.coalesce(F.col(c), F.lit(0)).alias(names[k]) for k, c in flags.items()])
+    sums = staged(inner.filter("i is not null").groupBy("g", "h", "i").agg(*[F.max(n).alias(n) for n in names.values()], F.max("lender").alias("lender")), "sums")
+    own = sums.toDF("g1", "h1", "i1", *[f"own_{n}" for n in names.values()], "lent")
+    lent = sums.filter("lender is not null").groupBy(F.col("g").alias("g2"), F.col("lender").alias("p2")).agg(*[F.max(n).alias(f"lent_{n}") for n in names.values()])
+    out = inner.join(own, F.col("g").eqNullSafe(F.col("g1")) & F.col("h").eqNullSafe(F.col("h1")) & F.col("i").eqNullSafe(F.col("i1")), "left")
+    out = out.join(lent, F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")), "left")
     kept = F.col("decision") == "Keep"
-    sums = [F.coalesce(F.sum(F.when(kept if k else ~kept, F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in flags for k in (0, 1)]
-    out = done.filter("cluster is not null").groupBy(key, "cluster").agg(*sums, F.max("problem_geo").alias("geo_na"), (F.count_if(kept) == 1).alias("one_kept"))
-    every = lambda k: F.forall(F.array(*[f"{c}_{k}" for c in flags]), lambda s: s.isin(0, 1))
-    total = F.forall(F.array(*[F.col(f"{c}_0") + F.col(f"{c}_1") for c in flags]), lambda s: s != 1)
-    return out.select(key, "cluster", every(0).alias("dropped_all_1"), every(1).alias("kept_all_1"), total.alias("consistent"), "geo_na", "one_kept")
+    made = {k: F.when(kept, F.least(F.greatest(F.col(n), F.coalesce(f"own_{n}", F.lit(0)), F.coalesce(f"lent_{n}", F.lit(0))), F.lit(1))).otherwise(F.col(n)) for k, n in names.items()}
+    return out.select(*[F.col(f"r.{c}") for c in judged.columns if c not in made], *[made[k].alias(k) for k in made])
+
+
+def survivor_checks(done: DataFrame, key: str, row: str, flags: list[str]) -> DataFrame:
+    """One row for each group of competing rows (key, cluster, is_noise): whether each flag's sum over the dropped rows and
+    over the kept ones is 0 or 1, whether no flag's sum over both is 1 (what was dropped is on the kept row), whether
+    coordinates lacked, and whether one row is kept. A borrowed row counts as kept in the group that borrowed it."""
+    names = [f"f{i}" for i in range(len(flags))]
+    facts = [*[F.col(c).alias(n) for c, n in zip(flags, names, strict=True)], (F.col("decision") == "Keep").alias("kept")]
+    rows = done.filter("is_noise is not null").select(*_group(key), *facts, F.col("problem_geo").alias("lacks"))
+    asks = done.filter("lender is not null").select(*_group(key), F.col("lender").alias("of"), F.col("problem_geo").alias("lacks"))
+    lenders = done.select(F.col(key).alias("lg"), F.col(row).alias("p"), *facts)
+    lent = asks.join(lenders, F.col("g").eqNullSafe(F.col("lg")) & (F.col("of") == F.col("p"))).select("g", "h", "i", *names, "kept", "lacks")
+    rows = rows.unionByName(lent.filter("kept"))
+    sums = [F.coalesce(F.sum(F.when(F.col("kept") if k else ~F.col("kept"), F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in names for k in (0, 1)]
+    out = rows.groupBy("g", "h", "i").agg(*sums, F.max("lacks").alias("geo_na"), (F.count_if("kept") == 1).alias("one_kept"))
+    every = lambda k: F.forall(F.array(*[f"{c}_{k}" for c in names]), lambda s: s.isin(0, 1))
+    total = F.forall(F.array(*[F.col(f"{c}_0") + F.col(f"{c}_1") for c in names]), lambda s: s != 1)
+    return out.select(F.col("g").alias(key), F.col("h").alias("cluster"), F.col("i").alias("is_noise"), every(0).alias("dropped_all_1"), every(1).alias("kept_all_1"), total.alias("consistent"), "geo_na", "one_kept")
 
 
 def gap_pairs(years: DataFrame, gap: int) -> DataFrame:

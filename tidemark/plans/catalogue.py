@@ -343,9 +343,9 @@ def mailbox_proximity(spark, sf):
     return profile.proximity_audit(rows, "l_orderkey", F.col("l_returnflag") == "R", "id", F.col("l_extendedprice"), 20000.0)
 
 
-@query("""WITH RECURSIVE q AS (SELECT label, vec_id, CASE WHEN vec_id % 251 <> 7 THEN round(embedding[1]::double, 2) END AS x, round(embedding[2]::double, 2) AS y FROM embeddings), bad AS (SELECT DISTINCT label FROM q WHERE x IS NULL OR y IS NULL), p AS (SELECT * FROM q WHERE label NOT IN (SELECT label FROM bad)),
+@query("""WITH RECURSIVE q AS (SELECT label, vec_id, CASE WHEN vec_id % 251 <> 7 THEN round(embedding[1]::double, 2) END AS x, round(embedding[2]::double, 2) AS y FROM embeddings), bad AS (SELECT label, min(vec_id) AS least FROM q WHERE label IN (SELECT label FROM q WHERE x IS NULL OR y IS NULL) GROUP BY 1), p AS (SELECT * FROM q WHERE label NOT IN (SELECT label FROM bad)),
  e AS (SELECT a.label, a.vec_id AS a, b.vec_id AS b FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.035),
- r(label, vec_id, c) AS (SELECT DISTINCT label, a, a FROM e UNION SELECT r.label, e.b, r.c FROM r JOIN e ON e.label = r.label AND e.a = r.vec_id) SELECT q.label, q.vec_id, CASE WHEN bad.label IS NOT NULL THEN 1 ELSE coalesce(m.cluster, 0) END AS cluster, bad.label IS NOT NULL AS problem_geo FROM q LEFT JOIN bad USING (label) LEFT JOIN (SELECT label, vec_id, min(c) AS cluster FROM r GROUP BY 1, 2) m ON m.vec_id = q.vec_id AND m.label = q.label""")
+ r(label, vec_id, c) AS (SELECT DISTINCT label, a, a FROM e UNION SELECT r.label, e.b, r.c FROM r JOIN e ON e.label = r.label AND e.a = r.vec_id) SELECT q.label, q.vec_id, coalesce(bad.least, m.cluster) AS cluster, bad.label IS NULL AND m.cluster IS NULL AS is_noise, bad.label IS NOT NULL AS problem_geo FROM q LEFT JOIN bad USING (label) LEFT JOIN (SELECT label, vec_id, min(c) AS cluster FROM r GROUP BY 1, 2) m ON m.vec_id = q.vec_id AND m.label = q.label""")
 def dbscan_2d(spark, sf):
     e = F.col("embedding")
     x = F.when(F.col("vec_id") % 251 != 7, F.round(e[0].cast("double"), 2))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import presence, text
-from ..operators import audit, clusters, consolidate, lookup, places, profile, survivors
-from ..sources.tables import align, keep_first, table, with_row_numbers, year_columns
+from ..operators import audit, clusters, consolidate, lookup, nearest, places, profile, survivors
+from ..sources import ranges
+from ..sources.tables import align, keep_first, shared_path, table, with_row_numbers, year_columns
 from .catalogue import CLUSTER_AT, NAMES_SQL, YEARS, labels_sql, named_parts, norm_sql, orders, query, year_flags
 
 # ---- from duplicated rows to one table
@@ -79,13 +80,20 @@ def top_orders(spark, sf):
 
 # ---- survivors
 
+#: Places (city, state_id, zip): five to a state and ZIP.
+PLACES_SQL = "(SELECT upper(n_name) AS city, 'S' || n_nationkey % 5 AS state_id, lpad((n_nationkey % 5)::VARCHAR, 5, '0') AS zip FROM nation)"
 _COMPETE = """(SELECT o_custkey AS k, o_orderkey AS r, year(o_orderdate) AS y, CASE WHEN o_custkey % 37 <> 5 OR o_orderkey % 4 <> 1 THEN round(o_totalprice / 50000, 1) END AS gx, (o_orderkey % 7) * 0.4 AS gy,
  CASE WHEN o_orderstatus = 'P' OR o_orderkey % 6 = 0 THEN 'No address match found' ELSE 'ok' END AS answer, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE substr(o_orderpriority, 3) END || repeat('x', (o_orderkey % 9)::INT) AS line,
- CASE WHEN o_orderkey % 5 = 0 THEN 'apt' END AS extra, o_orderkey % 3 = 0 AS city, o_orderkey % 4 = 0 AS alike FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001)"""
-SURVIVOR_SQL = f"""WITH RECURSIVE a AS (SELECT *, count(*) OVER (PARTITION BY k, y) > 1 AS dup FROM {_COMPETE}), d AS (SELECT * FROM a WHERE dup), bad AS (SELECT DISTINCT k FROM d WHERE gx IS NULL),
+ CASE WHEN o_orderkey % 5 = 0 THEN 'apt' END AS extra, CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'NATION_' || o_orderkey % 25 WHEN o_orderkey % 4 = 0 THEN 'NATIN_' || o_orderkey % 30 ELSE 'ELSEWHERE' END AS city, 'S' || o_custkey % 5 AS state, lpad((o_custkey % 5)::VARCHAR, 5, '0') AS zip,
+ CASE WHEN o_orderkey % 8 = 3 THEN 'PO BOX ' ELSE '' END || o_orderkey AS address FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001)"""
+_WINS = "ORDER BY known DESC, CASE WHEN NOT known THEN far END NULLS LAST, r"
+SURVIVOR_SQL = f"""WITH RECURSIVE a AS (SELECT *, count(*) OVER (PARTITION BY k, y) > 1 AS dup FROM {_COMPETE}), d AS (SELECT * FROM a WHERE dup), bad AS (SELECT k, min(r) AS c FROM d WHERE k IN (SELECT k FROM d WHERE gx IS NULL) GROUP BY 1),
  e AS (SELECT m.k, m.r AS a, o.r AS b FROM d m JOIN d o ON m.k = o.k AND m.r <> o.r AND sqrt((m.gx - o.gx) * (m.gx - o.gx) + (m.gy - o.gy) * (m.gy - o.gy)) <= 0.75 WHERE m.k NOT IN (SELECT k FROM bad)),
  c(k, r, c) AS (SELECT DISTINCT k, a, a FROM e UNION SELECT c.k, e.b, c.c FROM c JOIN e ON e.k = c.k AND e.a = c.r), lab AS (SELECT k, r, min(c) AS c FROM c GROUP BY 1, 2),
- g AS (SELECT d.*, CASE WHEN bad.k IS NOT NULL THEN 1 ELSE coalesce(lab.c, 0) END AS cluster, bad.k IS NOT NULL AS problem FROM d LEFT JOIN bad ON bad.k = d.k LEFT JOIN lab ON lab.k = d.k AND lab.r = d.r),
+ asked AS (SELECT DISTINCT city, state, zip FROM d), near AS (SELECT asked.*, p.city AS place, round(1 - jaro_similarity({norm_sql('asked.city')}, {norm_sql('p.city')}), 9) AS far FROM asked JOIN {PLACES_SQL} p ON p.state_id = asked.state AND p.zip = asked.zip),
+ places AS (SELECT city, state, zip, min(far) AS far, arg_min(place, (far, place)) AS place FROM near WHERE far < {CLUSTER_AT} GROUP BY 1, 2, 3),
+ g AS (SELECT d.*, coalesce(bad.c, lab.c) AS cluster, bad.k IS NULL AND lab.c IS NULL AS is_noise, bad.k IS NOT NULL AS problem, d.city IS NOT NULL AND d.city IN (SELECT city FROM {PLACES_SQL}) AS known, places.place, places.far
+ FROM d LEFT JOIN bad ON bad.k = d.k LEFT JOIN lab ON lab.k = d.k AND lab.r = d.r LEFT JOIN places ON places.city = d.city AND places.state = d.state AND places.zip = d.zip),
  s1 AS (SELECT *, bool_and(answer = 'No address match found') OVER w AS review FROM g WINDOW w AS (PARTITION BY k, cluster)),
  s2 AS (SELECT * FROM s1 WHERE review OR answer = 'ok'), s3 AS (SELECT *, bool_or(extra IS NOT NULL) OVER (PARTITION BY k, cluster) AS has_extra FROM s2),
  s4 AS (SELECT *, length(line) AS len, regexp_matches(line, '[0-9]') AS digit FROM s3 WHERE extra IS NOT NULL OR NOT has_extra),
@@ -93,49 +101,77 @@ SURVIVOR_SQL = f"""WITH RECURSIVE a AS (SELECT *, count(*) OVER (PARTITION BY k,
  s6 AS (SELECT *, sum(new) OVER (PARTITION BY k, cluster ORDER BY len, r ROWS UNBOUNDED PRECEDING) AS run FROM s5),
  s7 AS (SELECT *, bool_or(top AND digit) OVER w AS best, max(CASE WHEN top THEN run END) OVER w AS top_run FROM s6 WINDOW w AS (PARTITION BY k, cluster)),
  s8 AS (SELECT *, bool_or(digit AND run = top_run) OVER (PARTITION BY k, cluster) AS near FROM s7), s9 AS (SELECT * FROM s8 WHERE CASE WHEN best THEN top AND digit WHEN near THEN digit ELSE top END),
- s10 AS (SELECT *, row_number() OVER (PARTITION BY k, cluster ORDER BY city DESC, alike DESC, r) AS nth, count(*) OVER (PARTITION BY k, cluster) AS n FROM s9),
- j AS (SELECT a.k, a.r, a.y, s1.cluster, CASE WHEN a.dup AND NOT coalesce(s10.nth = 1, false) THEN 'Drop' ELSE 'Keep' END AS decision, coalesce(s10.nth = 1 AND n > 1 AND NOT s10.city AND s10.alike, false) AS by_city, coalesce(s1.review, false) AS needs_review, coalesce(s1.problem, false) AS problem_geo
- FROM a LEFT JOIN s1 ON s1.k = a.k AND s1.r = a.r LEFT JOIN s10 ON s10.k = a.k AND s10.r = a.r)"""
+ s10 AS (SELECT *, row_number() OVER (PARTITION BY k, cluster {_WINS}) AS nth, count(*) OVER (PARTITION BY k, cluster) AS n FROM s9),
+ won AS (SELECT *, n > 1 AND NOT known AND place IS NOT NULL AS by_city FROM s10 WHERE nth = 1),
+ offer AS (SELECT k, r, gx, gy FROM won WHERE NOT review AND NOT contains(address, 'PO BOX') UNION ALL SELECT k, r, gx, gy FROM a WHERE NOT dup AND answer = 'ok' AND NOT contains(address, 'PO BOX')),
+ lent AS (SELECT w.k, w.r, arg_min(o.r, (sqrt((w.gx - o.gx) * (w.gx - o.gx) + (w.gy - o.gy) * (w.gy - o.gy)), o.r)) AS lender FROM won w JOIN offer o ON o.k = w.k AND w.review AND sqrt((w.gx - o.gx) * (w.gx - o.gx) + (w.gy - o.gy) * (w.gy - o.gy)) <= 0.75 GROUP BY 1, 2),
+ j AS (SELECT a.k, a.r, a.y, g.cluster, g.is_noise, CASE WHEN a.dup AND (won.r IS NULL OR lent.r IS NOT NULL) THEN 'Drop' ELSE 'Keep' END AS decision, coalesce(won.by_city, false) AS by_city, CASE WHEN won.by_city THEN won.place ELSE a.city END AS city, coalesce(s1.review, false) AS needs_review, coalesce(g.problem, false) AS problem_geo, lender
+ FROM a LEFT JOIN g ON g.k = a.k AND g.r = a.r LEFT JOIN s1 ON s1.k = a.k AND s1.r = a.r LEFT JOIN won ON won.k = a.k AND won.r = a.r LEFT JOIN lent ON lent.k = a.k AND lent.r = a.r)"""
 
 
 def judged(spark, sf) -> DataFrame:
-    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    k, c, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
+    named = lambda text, number: F.concat(F.lit(text), number)
     rows = orders(spark, sf).filter(F.col("y").between(YEARS[0], YEARS[-1]))
     rows = rows.select(
-        F.col("o_custkey").alias("k"), k.alias("r"), "y", *[F.coalesce(f, F.lit(0)).alias(n) for n, f in year_flags().items()],
-        F.when((F.col("o_custkey") % 37 != 5) | (k % 4 != 1), F.round(price / 50000, 1)).alias("gx"), ((k % 7) * 0.4).alias("gy"),
+        c.alias("k"), k.alias("r"), "y", *[F.coalesce(f, F.lit(0)).alias(n) for n, f in year_flags().items()],
+        F.when((c % 37 != 5) | (k % 4 != 1), F.round(price / 50000, 1)).alias("gx"), ((k % 7) * 0.4).alias("gy"),
         F.when((F.col("o_orderstatus") == "P") | (k % 6 == 0), survivors.NO_MATCH).otherwise("ok").alias("answer"),
         F.concat(F.when(k % 2 == 0, F.col("o_orderpriority")).otherwise(F.substring("o_orderpriority", 3, 99)), F.repeat(F.lit("x"), (k % 9).cast("int"))).alias("line"),
-        F.when(k % 5 == 0, "apt").alias("extra"), (k % 3 == 0).alias("city"), (k % 4 == 0).alias("alike"))
+        F.when(k % 5 == 0, "apt").alias("extra"),
+        F.when(k % 17 == 0, None).when(k % 3 == 0, named("NATION_", k % 25)).when(k % 4 == 0, named("NATIN_", k % 30)).otherwise("ELSEWHERE").alias("city"),
+        named("S", c % 5).alias("state"), F.lpad((c % 5).cast("string"), 5, "0").alias("zip"), F.concat(F.when(k % 8 == 3, "PO BOX ").otherwise(""), k).alias("address"))
+    n = F.col("n_nationkey") % 5
+    gazetteer = table(spark, sf, "nation").select(F.upper("n_name").alias("city"), named("S", n).alias("state_id"), F.lpad(n.cast("string"), 5, "0").alias("zip"))
     flags = {n: F.col(n) for n in year_flags()}
-    return survivors.select_survivors(rows, "k", "r", flags, F.col("gx"), F.col("gy"), 0.75, answer=F.col("answer"), line=F.col("line"), extra=F.col("extra"), is_city=F.col("city"), like_city=F.col("alike"))
+    how = {"line": F.col("line"), "extra": F.col("extra"), "city": "city", "state": "state", "zip_": "zip", "gazetteer": gazetteer, "threshold": CLUSTER_AT}
+    return survivors.select_survivors(rows, "k", "r", flags, F.col("gx"), F.col("gy"), 0.75, F.col("answer"), F.col("address"), **how)
 
 
-@query(f"{SURVIVOR_SQL} SELECT k, r, cluster, decision, by_city, needs_review, problem_geo FROM j")
+@query(f"{SURVIVOR_SQL} SELECT k, r, cluster, is_noise, decision, by_city, city, needs_review, problem_geo, lender FROM j")
 def survivor_ladder(spark, sf):
-    return judged(spark, sf).select("k", "r", F.col("cluster").cast("long").alias("cluster"), "decision", "by_city", "needs_review", "problem_geo")
+    return judged(spark, sf).select("k", "r", "cluster", "is_noise", "decision", "by_city", "city", "needs_review", "problem_geo", "lender")
 
 
-_PACKED = ", ".join(f"CASE WHEN decision = 'Keep' AND cluster IS NOT NULL THEN least(count(*) FILTER (y = {y}) OVER (PARTITION BY k, cluster), 1) ELSE (y = {y})::INT END AS y{y}" for y in YEARS)
+_PACKED = ", ".join(f"CASE WHEN decision = 'Keep' THEN least(greatest((y = {y})::INT, CASE WHEN is_noise IS NOT NULL THEN count(*) FILTER (y = {y}) OVER (PARTITION BY k, cluster, is_noise) ELSE 0 END, coalesce(l{y}, 0)), 1) ELSE (y = {y})::INT END AS y{y}" for y in YEARS)
+_LENT = ", ".join(f"max(n{y}) AS l{y}" for y in YEARS)
+_SUMS = ", ".join(f"count(*) FILTER (y = {y}) OVER (PARTITION BY k, cluster, is_noise) AS n{y}" for y in YEARS)
+_PACKED_SQL = f"(SELECT k, r, cluster, is_noise, decision, problem_geo, lender, {_PACKED} FROM j LEFT JOIN (SELECT k AS lk, lender AS lr, {_LENT} FROM (SELECT k, lender, is_noise, {_SUMS} FROM j) WHERE lender IS NOT NULL GROUP BY 1, 2) ON lk = k AND lr = r)"
 
 
 def packed(spark, sf) -> DataFrame:
     names = list(year_flags())
-    return survivors.compressed(judged(spark, sf), "k", dict(zip(names, names, strict=True)))
+    return survivors.compressed(judged(spark, sf), "k", "r", dict(zip(names, names, strict=True)))
 
 
-@query(f"{SURVIVOR_SQL} SELECT * FROM (SELECT k, r, decision, {_PACKED} FROM j) WHERE decision = 'Keep'")
+@query(f"{SURVIVOR_SQL} SELECT k, r, decision, {', '.join(f'y{y}' for y in YEARS)} FROM {_PACKED_SQL} WHERE decision = 'Keep'")
 def compressed_survivors(spark, sf):
     return packed(spark, sf).filter("decision = 'Keep'").select("k", "r", "decision", *[F.col(n).cast("long").alias(n) for n in year_flags()])
 
 
 _CHECKS = ", ".join(f"coalesce(sum(y{y}) FILTER (decision = 'Drop'), 0) AS d{y}, coalesce(sum(y{y}) FILTER (decision = 'Keep'), 0) AS k{y}" for y in YEARS)
+_PLAIN = ", ".join(f"p.y{y}" for y in YEARS)
 
 
-@query(f"""{SURVIVOR_SQL} SELECT k, cluster, {' AND '.join(f'd{y} <= 1' for y in YEARS)} AS dropped_all_1, {' AND '.join(f'k{y} <= 1' for y in YEARS)} AS kept_all_1, {' AND '.join(f'd{y} + k{y} <> 1' for y in YEARS)} AS consistent, geo_na, one_kept
- FROM (SELECT k, cluster, {_CHECKS}, bool_or(problem_geo) AS geo_na, count(*) FILTER (decision = 'Keep') = 1 AS one_kept FROM (SELECT k, r, cluster, decision, problem_geo, {_PACKED} FROM j) WHERE cluster IS NOT NULL GROUP BY 1, 2)""")
+@query(f"""{SURVIVOR_SQL}, packed AS MATERIALIZED (SELECT * FROM {_PACKED_SQL}), summed AS (SELECT k, cluster, is_noise, decision, problem_geo, {', '.join(f'y{y}' for y in YEARS)} FROM packed WHERE is_noise IS NOT NULL
+ UNION ALL SELECT q.k, q.cluster, q.is_noise, 'Keep', q.problem_geo, {_PLAIN} FROM packed q JOIN packed p ON p.k = q.k AND p.r = q.lender AND p.decision = 'Keep')
+ SELECT k, cluster, is_noise, {' AND '.join(f'd{y} <= 1' for y in YEARS)} AS dropped_all_1, {' AND '.join(f'k{y} <= 1' for y in YEARS)} AS kept_all_1, {' AND '.join(f'd{y} + k{y} <> 1' for y in YEARS)} AS consistent, geo_na, one_kept
+ FROM (SELECT k, cluster, is_noise, {_CHECKS}, bool_or(problem_geo) AS geo_na, count(*) FILTER (decision = 'Keep') = 1 AS one_kept FROM summed GROUP BY 1, 2, 3)""")
 def survivor_quality(spark, sf):
-    return survivors.survivor_checks(packed(spark, sf), "k", list(year_flags())).withColumn("cluster", F.col("cluster").cast("long"))
+    return survivors.survivor_checks(packed(spark, sf), "k", "r", list(year_flags()))
+
+
+#: Offers and asking rows by customers modulo three: three large groups with many rows at one place.
+_POINTS = "(SELECT o_orderkey AS r, o_custkey % 3 AS g, CASE WHEN o_orderkey % 3 = 1 THEN 2.5 ELSE round(o_totalprice / 1000, 0) END AS x, CASE WHEN o_orderkey % 3 = 1 THEN 2.5 ELSE (o_custkey % 500)::DOUBLE END AS y, o_orderkey % 5 = 0 AS asks FROM orders)"
+
+
+@query(f"""SELECT a.g, a.r, arg_min(o.r, (sqrt((a.x - o.x) * (a.x - o.x) + (a.y - o.y) * (a.y - o.y)), o.r)) AS offer, round(min(sqrt((a.x - o.x) * (a.x - o.x) + (a.y - o.y) * (a.y - o.y))), 6) AS distance
+ FROM (SELECT * FROM {_POINTS} WHERE asks) a JOIN (SELECT g, x, y, min(r) AS r FROM {_POINTS} WHERE NOT asks GROUP BY 1, 2, 3) o ON o.g = a.g GROUP BY 1, 2""")
+def nearest_physical(spark, sf):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, sf, "orders").select(k.alias("r"), (c % 3).alias("g"), F.when(k % 3 == 1, 2.5).otherwise(F.round(F.col("o_totalprice") / 1000, 0)).alias("x"), F.when(k % 3 == 1, 2.5).otherwise((c % 500).cast("double")).alias("y"))
+    found = nearest.nearest_offers(rows.filter("r % 5 = 0"), rows.filter("r % 5 <> 0"), "g", "r", F.col("x"), F.col("y"))
+    return found.withColumn("distance", F.round("distance", 6))
 
 
 # ---- addresses and lookups
@@ -282,12 +318,32 @@ def group_facts_on_rows(spark, sf):
     return rows.join(facts, "c_nationkey").select("c_custkey", "c_mktsegment", "n", "names")
 
 
-@query("SELECT bucket, lo, hi, n, n_rows = n AS complete FROM (SELECT o_orderkey // 4000 AS bucket, min(o_orderkey) AS lo, max(o_orderkey) AS hi, count(*) AS n FROM orders GROUP BY 1) JOIN (SELECT o_orderkey // 4000 AS b, count(*) AS n_rows FROM orders GROUP BY 1) ON b = bucket")
+#: Order keys as row numbers from 1, some of which are missing, in ranges of 1,500.
+_NUMBERED = "(SELECT o_orderkey + 1 AS row, o_custkey FROM orders WHERE o_orderkey % 4001 <> 17)"
+_RANGED = f"SELECT (row - 1) // 1500 * 1500 + 1 AS first, (row - 1) // 1500 * 1500 + 1500 AS last, count(*) AS n_rows FROM {_NUMBERED} GROUP BY 1, 2"
+
+
+def ranged_orders(spark, sf) -> DataFrame:
+    return table(spark, sf, "orders").filter("o_orderkey % 4001 <> 17").select((F.col("o_orderkey") + 1).alias("row"), "o_custkey")
+
+
+@query(f"SELECT *, 'finished' AS state FROM ({_RANGED})")
+def range_ledger(spark, sf):
+    rows, path = ranged_orders(spark, sf), shared_path(spark, "ranges")
+    ranges.write_ranges(rows.filter("row <= 6000"), path, "row", 1500)  # a first run that ended early
+    ranges.write_ranges(rows, path, "row", 1500)
+    ranges.write_ranges(rows, path, "row", 1500, only=[1], again=True)
+    return ranges.range_ledger(spark, path).select("first", "last", "n_rows", "state")
+
+
+@query(f"""SELECT first, last, n_expected, n_rows, CASE WHEN n_rows IS NULL THEN 'missing' WHEN n_rows < n_expected THEN 'short' ELSE 'complete' END AS verdict
+ FROM (SELECT range AS first, range + 1499 AS last, least(1500, (SELECT max(o_orderkey) + 2 FROM orders) - range) AS n_expected FROM range(1, (SELECT max(o_orderkey) + 2 FROM orders), 1500)) LEFT JOIN (SELECT * FROM ({_RANGED}) WHERE first <> 3001) USING (first, last)""")
 def expected_ranges(spark, sf):
-    rows = table(spark, sf, "orders").withColumn("bucket", F.floor(F.col("o_orderkey") / 4000))
-    expected = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_rows"))
-    found = rows.groupBy("bucket").agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"), F.count(F.lit(1)).alias("n"))
-    return found.join(expected, "bucket").select("bucket", "lo", "hi", "n", (F.col("n") == F.col("n_rows")).alias("complete"))
+    rows, path = ranged_orders(spark, sf), shared_path(spark, "ranges")
+    ranges.write_ranges(rows.filter("row not between 3001 and 4500"), path, "row", 1500, only=range(1, 3001, 1500))
+    ranges.write_ranges(rows.filter("row > 4500"), path, "row", 1500)
+    total = table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0] + 1
+    return ranges.range_report(ranges.expected_ranges(spark, total, 1500), ranges.range_ledger(spark, path))
 
 
 _WIDE = ", ".join(f"count(*) FILTER (year(o_orderdate) = {y + 5}) AS \"{y + 5}\"" for y in range(1995, 1997))

@@ -30,21 +30,18 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), compression: str
     df.write.mode("overwrite").partitionBy(*by).csv(path, header=True, nullValue="NA", compression=compression)
 
 
-def write_ranges(df: DataFrame, path: str, row: str, size: int) -> None:
-    """CSV in a folder for each range of `size` row numbers, named `rows=<first> to <last>`; numbers begin at 1."""
-    first = F.floor((F.col(row) - 1) / size) * size + 1
-    write_csv(df.withColumn("rows", F.concat_ws(" to ", first, first + size - 1)), path, ["rows"])
-
-
 def with_row_numbers(df: DataFrame, order: Sequence[str], into: str = "rowname") -> DataFrame:
     """df with row numbers from 1 in the order of columns that tell all rows apart. Rows are dealt into ranges of the order,
     whose counts are summed, so the table is not sorted in one place. A column of that name is replaced."""
-    ranged = df.drop(into).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
-    ranged = staged(ranged.withColumn("_part", F.shiftright("_id", 33)), "ranged")
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    starts = sizes.select("_part", "least", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return ranged.join(F.broadcast(starts), "_part").withColumn(into, F.col("before") + F.col("_id") - F.col("least") + 1).drop("_part", "_id", "least", "before")
+    kept = [c for c in df.columns if c != into]
+    keys = [f"k{i}" for i in range(len(order))]
+    rows = df.select(F.struct(*kept).alias("row"), *[F.col(c).alias(k) for c, k in zip(order, keys, strict=True)])
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("row", F.monotonically_increasing_id().alias("id"))
+    ranged = staged(ranged.withColumn("part", F.shiftright("id", 33)), "ranged")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sizes.select("part", "least", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return ranged.join(F.broadcast(starts), "part").select("row.*", (F.col("before") + F.col("id") - F.col("least") + 1).alias(into))
 
 
 def year_columns(df: DataFrame) -> list[str]:
@@ -86,10 +83,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 _written: set[str] = set()
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """df written to the folder that all executors share (spark.checkpoint.dir; a fixed one on a local master), and read
-    again. `unstaged` deletes it; what is left is deleted when the driver ends."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share (spark.checkpoint.dir; a fixed one on a local master). What is
+    written there is deleted when the driver ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
@@ -98,9 +94,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     if not _written:
         atexit.register(_delete_all, spark)
     path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     _written.add(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """df written to a path of `shared_path`, and read again. `unstaged` deletes it earlier."""
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
 
