@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tidemark.llm import setjoin
+from tidemark.llm import setjoin, sharding
 from tidemark.llm.decontam import contaminated
 from tidemark.llm.license_scan import TEMPLATES, license_scan
 from tidemark.llm.line_dedup import Sketches, fold, line_dedup, without_lines
@@ -441,3 +442,53 @@ def test_shard(spark, odd):
     for k in range(16):
         assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
     assert shard(odd).count() == odd.count() and shard(odd.limit(0)).count() == 0
+
+
+def test_contaminated_by_short_items(spark):
+    items = ["Compute 12 + 7", "what is love", "Yes!", "?!", "the farmer sold five of her 3 brown cows to the man from the next village"]
+    rows = [
+        (1, "Compute 12 + 7"), (2, "So he said: \"What is love?\" and left."), (3, "First line.\nWHAT IS LOVE\nlast line"), (4, "what is love to him is not to me"),
+        (5, "compute 12 + 8"), (6, "(yes)"), (7, "yes and no"), (8, "The farmer sold 6 of her four brown cows to the man from the next village"), (9, "the farmer sold five of her 3 brown cows to the man from the next village"), (10, None), (11, ""), (None, "yes"), (6, "(yes)")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item long, text string")
+    got = Counter((r.doc_id, r.item, r.verbatim) for r in contaminated(docs, bench, item_col="item").collect())
+    assert got == Counter([(1, 0, True), (2, 1, True), (3, 1, True), (6, 2, True), (6, 2, True), (None, 2, True), (8, 4, False), (9, 4, True)])
+
+
+def test_contaminated_with_other_names_and_units(spark):
+    """Recall over the whole benchmark: every name (a capitalised word) and unit is replaced consistently."""
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()
+    rng = random.Random(9)
+    new = []
+    for r in bench:
+        other = {}
+        made = re.sub(r"\b[A-ZÄÖÜÉÈÊÀÇÑÁÍÓÚ][^\W\d_]*", lambda m: other.setdefault(m[0], "N" + "".join(rng.choices("bcdfg", k=9))), r.text)  # noqa: B023
+        made = re.sub(r"(?<=\d )(km|kg|miles|hours|dollars|euros)\b", lambda m: {"km": "miles", "kg": "pounds", "miles": "km", "hours": "days", "dollars": "euros", "euros": "dollars"}[m[0]], made)
+        new.append((r.item_id, made))
+    bench = spark.createDataFrame(bench)
+    got = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(new, "doc_id long, text string"), bench).collect()}
+    assert sum((i, i) in got for i, _ in new) >= 0.98 * len(new)
+
+
+def test_many_long_pre_tokens_in_one_text(spark):
+    rng = random.Random(10)
+    text = " ".join("".join(rng.choices("abcdefghij", k=120)) for _ in range(20_000))
+    start = time.time()
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    got = token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), path).first()
+    assert got.n_tokens == len(sentencepiece.SentencePieceProcessor(model_file=path).encode(text)) and time.time() - start < 60
+
+
+def test_shards_of_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST_RANGES", 4)
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 150)
+    rng = random.Random(11)
+    rows = [(i, "x" * rng.randrange(200), f"p{i}") for i in range(1500)]
+    assert sharding.n_ranges(sum(len(t) + 1 for _, t, _ in rows)) > 900
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string, p string"), shards=5, carry=("p", "text")).collect()
+    assert sorted((r.doc_id, r.p, r.text) for r in got) == sorted((i, p, t) for i, t, p in rows)
+    for k in range(5):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+    loads = [sum(r.size for r in got if r.shard == k) for k in range(5)]
+    assert max(loads) < 1.1 * min(loads)
+    assert all(len({r.shard for r in got if r.text == t}) == 1 for _, t, _ in rows)

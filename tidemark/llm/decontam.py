@@ -1,7 +1,7 @@
 """Operator 8, benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 A text becomes tokens (numbers with their decimals, runs of letters, single letters of scripts that put no blanks
-between words). A number, a capitalised word (a name, or the start
+between words). A number, in digits or as a word, a capitalised word (a name, or the start
 of a sentence) and a unit after a number become typed placeholders; other words are lower-cased. Windows of WIDTH such
 tokens are hashed and joined with the benchmark's windows, so a question with other numbers, names or units still
 matches. As the placeholder of a name depends on the text's case, each window is hashed in two more forms without case:
@@ -12,6 +12,9 @@ other one and two never became one, and the same number the same other number, w
 question from a mere likeness of form. The verdict is each window's own, so a clash costs only the windows that hold it.
 An item is found in a text if such windows cover MIN_COVER of its own, or if an unbroken run of them holds RUN tokens
 that are the benchmark's own, however long the item is.
+
+An item of fewer than MIN_TOKENS tokens has no form that tells it from ordinary speech. It is found where it stands by
+itself, word for word but for case: as the whole text, a line, a sentence, or between quotes or brackets.
 """
 
 from __future__ import annotations
@@ -19,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_small, keys_hint, stage
+from .common import is_small, keys_hint, stage, unstage
 
-#: Tokens of a window; literal words that a window needs outside the literal form; tokens that an item needs; share of an item's windows;
+#: Tokens of a window; literal words that a window needs outside the literal form; tokens below which an item must stand by itself; share of an item's windows;
 #: or else tokens of an unbroken run of windows that stand word for word in the text.
 WIDTH, MIN_LITERAL, MIN_TOKENS, MIN_COVER, RUN = 8, 3, 4, 0.3, 13
 #: Benchmark windows (some 50 bytes each) up to which they are broadcast; beyond, the join is shuffled.
@@ -32,6 +35,12 @@ UNITS = (
     "kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour "
     "hours day days week weeks month months year years k c f degree degrees percent dollar dollars euro euros cent cents mph kmh watt watts volt volts"
 ).split()
+#: Words that are a number. Those that are articles as well are left out.
+NUMBER_WORDS = (
+    "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty "
+    "sixty seventy eighty ninety hundred thousand million billion zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig dreißig hundert tausend "
+    "deux trois quatre cinq sept huit neuf dix onze douze quinze vingt trente cent mille dos tres cuatro cinco seis siete ocho nueve diez once doce veinte treinta cien mil"
+).split()
 #: What a window is hashed by: with placeholders; with those for numbers and units alone; by its words and numbers.
 FORMS = ("template", "caseless", "literal")
 #: Code points of scripts that put no blanks between words (Thai and Lao, Burmese, Khmer, Japanese and Chinese),
@@ -50,6 +59,11 @@ def is_number(token: Column) -> Column:
     return token < ":"  # tokens start with a digit or a letter
 
 
+def is_counted(token: Column) -> Column:
+    """Whether a folded token is a number, in digits or as a word."""
+    return is_number(token) | token.isin(*[w.upper().lower() for w in NUMBER_WORDS])  # folded as texts are
+
+
 def fold(text: Column) -> Column:
     """A text without its case; by way of upper case, which joins letters (ß and ss, final sigma) that lower case parts.
     Letters become letters and marks, so the text keeps its number of tokens. Spark would take lower(upper(x)) for
@@ -62,8 +76,8 @@ def with_shapes(df: DataFrame, text: Column) -> DataFrame:
     or 0) and one array<long> of hashes for each form. Case is folded for the whole text at once, not for each token."""
     text = F.coalesce(text, F.lit(""))
     df = df.withColumns({"words": tokens_of(fold(text)), "capital": F.zip_with(tokens_of(text), tokens_of(F.lower(text)), lambda t, low: t != low)})
-    after_number = lambda i: F.coalesce(is_number(F.get("words", i - 1)), F.lit(False))
-    df = df.withColumn("kind", F.transform("words", lambda w, i: F.when(is_number(w), NUMBER).when(after_number(i) & w.isin(*UNITS), UNIT).otherwise(0)))
+    after_number = lambda i: F.coalesce(is_counted(F.get("words", i - 1)), F.lit(False))
+    df = df.withColumn("kind", F.transform("words", lambda w, i: F.when(is_counted(w), NUMBER).when(after_number(i) & w.isin(*UNITS), UNIT).otherwise(0)))
     # not by the place in that function: Spark would put the whole making of `capital` there, for each token
     df = df.withColumn("kind", F.zip_with("kind", "capital", lambda k, c: F.when((k == 0) & c, NAME).otherwise(k)))
     df = df.withColumn("literal", F.transform("words", lambda w: F.xxhash64(w)))
@@ -130,6 +144,26 @@ def longest_run(windows: str) -> Column:
     return F.aggregate(F.array_sort(windows), start, step, lambda s: s["most"])
 
 
+#: Where a stretch of text that stands by itself ends: lines, sentences, quotes, brackets.
+STRETCH_END = r"[\n\r\x0B\x0C\u0085\u2028\u2029]+|[.?!:;\u2026]+(?=\s|$)|[\u3002\uFF01\uFF1F]+|[\"\u201C\u201D\u201E\u00AB\u00BB()\[\]{}]"
+#: As many tokens in a row as no short item has.
+_LONG_STRETCH = rf"(?:(?:{TOKEN.replace(']+', ']++').replace(')*', ')*+')})[^0-9\p{{L}}\p{{M}}]*+){{{MIN_TOKENS}}}"
+
+
+def short_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame | None:
+    """found_items for items of 1 to MIN_TOKENS - 1 tokens: those that a stretch of the text equals. None without any."""
+    line = lambda text: F.array_join(tokens_of(fold(text)), " ")
+    items = benchmark.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("t")).filter("item is not null")
+    items = stage(items.select("item", line(F.col("t")).alias("line"), F.size(tokens_of(F.col("t"))).alias("n")).filter(f"n between 1 and {MIN_TOKENS - 1}").select("item", "line").distinct(), "short")
+    if items.isEmpty():
+        return None
+    alone = F.filter(F.split("text", STRETCH_END), lambda s: ~s.rlike(_LONG_STRETCH))
+    lines = rows.filter("text is not null").select("k1", "k2", F.explode(F.array_distinct(F.transform(alone, line))).alias("line")).filter("line <> ''")
+    hint = F.broadcast if is_small(items, BROADCAST_ROWS) else (lambda df: df)
+    found = lines.join(hint(items), "line").groupBy("k1", "k2", "item").agg(F.count_distinct("line").cast("int").alias("n_windows"))
+    return found.select("k1", "k2", "item", "n_windows", F.lit(1.0).alias("coverage"), F.lit(True).alias("verbatim"))
+
+
 def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
     """(k1, k2, item, n_windows, coverage, verbatim) for every distinct text of rows (k1, k2, text) that holds an item."""
     bench = stage(benchmark_windows(benchmark, item_col, item_text_col), "bench")
@@ -147,7 +181,8 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
         hits = wide.join(hint(bench.filter(F.col("width") == width).select("hash", "item", "at").distinct()), "hash").drop("hash")
         found = hits if found is None else found.unionByName(hits)
     found = stage(found.distinct(), "hits")
-    holders = keys_hint(stage(found.select("k1", "k2").distinct(), "holders"))
+    marked = stage(found.select("k1", "k2").distinct(), "holders")
+    holders = keys_hint(marked)
     texts = rows.join(holders, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("k1", "k2", tokens_of(fold(F.col("text"))).alias("tokens"))
     runs = found.groupBy("k1", "k2", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(F.collect_list(F.struct("pos", "at")).alias("hits"))
     slim = runs.join(texts, ["k1", "k2"]).select("k1", "k2", "item", "shift", F.explode("hits").alias("h"), "tokens")
@@ -166,7 +201,13 @@ def found_items(rows: DataFrame, benchmark: DataFrame, item_col: str, item_text_
     cover = shown.groupBy("k1", "k2", "item").agg(distinct("ats").alias("n_windows"), distinct("plain").alias("n_template"), F.max("run").alias("run"), F.first("of").alias("of"), F.first("of_template").alias("of_template"), F.bool_and("verbatim").alias("verbatim"))
     share = F.greatest(F.col("n_windows") / F.col("of"), F.when(F.col("of_template") > 0, F.col("n_template") / F.col("of_template")))
     cover = cover.withColumn("coverage", share).filter((F.col("coverage") >= MIN_COVER) | (F.col("run") >= RUN))
-    return stage(cover.select("k1", "k2", "item", "n_windows", "coverage", "verbatim"), "cover")
+    cover = cover.select("k1", "k2", "item", "n_windows", "coverage", "verbatim")
+    short = short_items(rows, benchmark, item_col, item_text_col)
+    if short is not None:  # texts of one id may be of both kinds
+        cover = cover.unionByName(short).groupBy("k1", "k2", "item").agg(F.sum("n_windows").cast("int").alias("n_windows"), F.max("coverage").alias("coverage"), F.bool_and("verbatim").alias("verbatim"))
+    out = stage(cover, "cover")
+    unstage(bench, found, marked)
+    return out
 
 
 def keyed(text: Column) -> tuple[Column, Column]:
@@ -181,8 +222,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found), coverage double (their share of the item's windows, or of those with a usable template if that is more), verbatim
     boolean (all slots of the matches have the benchmark's own values, their case aside).
 
-    Null and empty texts hold nothing; null ids are returned as null. Items without id, or of fewer than MIN_TOKENS
-    tokens, are not looked for; items shorter than a window are one window. Items with equal id count together. Repeated
+    Null and empty texts hold nothing; null ids are returned as null. Items without id or without a token are not looked
+    for; items shorter than a window are one window, and those of fewer than MIN_TOKENS tokens must stand by themselves. Items with equal id count together. Repeated
     rows of docs give repeated rows of the result. Other columns are ignored, whatever their names. Empty tables give an
     empty table.
     """

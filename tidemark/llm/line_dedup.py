@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from .common import in_slices, keys_hint, stage
-from .graph import connected_components
 from .hashing import STEP, mix
 from .setjoin import POSTINGS_DDL, Combiner, buckets_for, link
 

@@ -3,7 +3,7 @@
 A sketch is a table of counts by bin of a measure's value, so merging is adding. It is made per (lang, source), merged
 into languages and into the whole corpus; a group of fewer than MIN_ROWS rows takes the thresholds of the next larger
 one. A quantile is exact to one bin. A document fails where a measure lies beyond its group's fence: the quartile plus
-or minus REACH times the quartiles' distance, of which FLOOR is the least that counts, so that a group that is all alike
+or minus REACH times the quartiles' distance, of which each measure has a least that counts, so that a group that is all alike
 rejects nothing for a small difference.
 """
 

@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import connected_components
 from .common import as_rows, in_slices, stage, unstage
-from .graph import connected_components
 from .hashing import mix
 
 ITEMS = pa.schema([("node", pa.int64()), ("items", pa.binary())])

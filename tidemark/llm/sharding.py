@@ -1,7 +1,8 @@
 """Operator 10, sharding by sampled splitters, with DataFrame functions only.
 
 Rows are ordered by a hash of their text, so equal texts lie side by side. A size-weighted sample of these keys gives
-quantile boundaries of RANGES ranges; rows are dealt into ranges, and ranges' sizes are summed. Copies of one text that
+quantile boundaries of ranges, LEAST_RANGES or as many as leave each RANGE_BYTES of texts, MOST_RANGES at most; rows are
+dealt into ranges, and ranges' sizes are summed. Texts stay out of all this and are joined to their places in the end. Copies of one text that
 together hold more than a WHOLE-th part of a shard would overfill a range; there are at most WHOLE * shards such texts.
 Each gets cells of its own, as small as a range, into which its rows are dealt by a hash of the row, and goes as a whole
 into the shard that has most room, largest first; only if its copies hold more than a shard their cells fill several. What
@@ -17,16 +18,23 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-RANGES, SAMPLE_PER_RANGE, WHOLE, PREFIX_BITS = 1024, 64, 50, 12
+#: A range is sorted in one task, without its texts. A range's bounds, and a row for each, pass through the driver.
+LEAST_RANGES, MOST_RANGES, RANGE_BYTES = 1024, 16_384, 1 << 30
+SAMPLE_PER_RANGE, WHOLE = 64, 50
+
+
+def n_ranges(total: int) -> int:
+    return min(max(LEAST_RANGES, -(-total // RANGE_BYTES)), MOST_RANGES)
 
 
 def splitters(rows: DataFrame, total: int, seed: int) -> list[int]:
-    """RANGES - 1 boundaries at most: quantiles of a sample of keys, each drawn with a chance in proportion to its size."""
-    rate = RANGES * SAMPLE_PER_RANGE / max(total, 1)
+    """Boundaries of the ranges: quantiles of a sample of keys, each drawn with a chance in proportion to its size."""
+    ranges = n_ranges(total)
+    rate = ranges * SAMPLE_PER_RANGE / max(total, 1)
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "key", "sub"), 11) / float(1 << 53)
     drawn = rows.filter(chance < F.col("size") * rate)
-    at = [i / RANGES for i in range(1, RANGES)]
-    found = drawn.agg(F.percentile_approx("key", F.array(*[F.lit(x) for x in at]), F.lit(20 * RANGES)).alias("b")).first().b
+    at = [i / ranges for i in range(1, ranges)]
+    found = drawn.agg(F.percentile_approx("key", F.lit(at), F.lit(20 * ranges)).alias("b")).first().b
     return sorted(set(found or []))
 
 
@@ -54,20 +62,20 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 5, id_col: str = "doc_i
     if shards < 1:
         raise ValueError("no shards")
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, kept = F.coalesce(F.col(text_col), F.lit("")), [f"c{i}" for i in range(len(carry))]
     rows = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), F.xxhash64(text).alias("key"), F.monotonically_increasing_id().alias("row"))
     rows = stage(rows.withColumn("sub", F.xxhash64("id", "row")), "rows")
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t")).first().t
-    mean, cell = max(total / shards, 1), max(total / RANGES, 1)
+    mean, cell = max(total / shards, 1), max(total / n_ranges(total), 1)
     heavy = rows.groupBy("key").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > mean / WHOLE)  # at most WHOLE * shards rows
     heavy = heavy.select("key", F.ceil(F.col("bytes") / cell).alias("cells"))
     cuts = splitters(rows, total, seed)
     low, high = -(1 << 63), (1 << 63) - 1
-    shift = 64 - PREFIX_BITS
+    shift = 64 - (n_ranges(total) - 1).bit_length() - 2  # prefixes of keys, four a range
     edges = [low, *cuts, high]
-    table = [(p, i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) for p in range(a >> shift, (b >> shift) + 1)]  # at most RANGES + 2 ** PREFIX_BITS rows
+    table = [(p, i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) for p in range(a >> shift, (b >> shift) + 1)]  # a row for each range and prefix
     ranges = spark.createDataFrame(table, "prefix long, range int, above long, upto long")
-    dealt = rows.withColumn("prefix", F.shiftright("key", shift)).join(F.broadcast(ranges), "prefix").filter(((F.col("key") > F.col("above")) | (F.col("key") == low) & (F.col("range") == 0)) & (F.col("key") <= F.col("upto")))
+    dealt = rows.drop(*kept).withColumn("prefix", F.shiftright("key", shift)).join(F.broadcast(ranges), "prefix").filter(((F.col("key") > F.col("above")) | (F.col("key") == low) & (F.col("range") == 0)) & (F.col("key") <= F.col("upto")))
     dealt = dealt.join(F.broadcast(heavy.withColumnRenamed("key", "own")), F.col("key") == F.col("own"), "left")
     within = F.when(F.col("own").isNotNull(), F.pmod(F.xxhash64("sub", F.lit(seed)), "cells") + 1).otherwise(0)  # 0 for keys that are not heavy
     dealt = dealt.withColumns({"own": F.coalesce("own", F.lit(low)), "cell": within}).drop("prefix", "above", "upto", "cells")
@@ -101,9 +109,11 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 5, id_col: str = "doc_i
     at = at.withColumn("middle", middle).join(F.broadcast(starts), place)
     stretch = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds[:-1]]).cast("array<double>"), lambda b: b <= F.col("b0") + F.col("middle")))
     at = at.withColumn("shard", F.coalesce("at", stretch).cast("int"))
-    at = stage(at.select("id", *[f"c{i}" for i in range(len(carry))], "size", "text_crc32", "shard", "nth", *place), "placed")
+    at = stage(at.select("id", "row", "size", "text_crc32", "shard", "nth", *place), "placed")
     ends = at.groupBy("shard", *place).agg(F.min("nth").alias("first"), F.count(F.lit(1)).alias("n"))  # a row for each range, and one for each border of shards
     earlier = Window.partitionBy("shard").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("shard", *place, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
     out = at.join(F.broadcast(ends), ["shard", *place])
+    if carry:
+        out = out.join(rows.select("row", *kept), "row")
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("nth") + F.col("shift")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)])

@@ -88,10 +88,10 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             for text in t.column("text").to_pylist():
                 found = pre_tokens(text)
                 if text and len(text) > LONG:
-                    wide = {x for x in found if len(x) > LONG}
-                    keys = {x: key_of(x) for x in wide}
-                    long.update(zip(new, count_pieces(sp, [x for x in wide if keys[x] in new]), strict=True) if (new := [keys[x] for x in wide if keys[x] not in long]) else ())
-                    found = [keys.get(x, x) for x in found] if wide else found
+                    keys = {x: key_of(x) for x in found if len(x) > LONG}
+                    wide = {k: x for x, k in keys.items() if k not in long}
+                    long.update(zip(wide, count_pieces(sp, list(wide.values())), strict=True) if wide else ())
+                    found = [keys.get(x, x) for x in found] if keys else found
                 held.update(found)
                 if len(held) > CHUNK or len(long) > REMEMBERED:
                     yield out()

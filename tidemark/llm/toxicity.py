@@ -1,6 +1,6 @@
 """Operator 3, toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its character n-grams (3 to 5, with word ends marked, hashed into a fixed number of
+A word is the mean of the vectors of its character n-grams (3 to 6, with word ends marked, hashed into a fixed number of
 buckets), so a misspelling shares most of its vector with the word that it hides. A window of words is the mean of its
 words. A document is judged by its worst window, because a long text can hold one short insult: its score is the softmax
 output of the window with the highest logit. Windows overlap by half, and cover the whole text.
@@ -176,8 +176,12 @@ class Scorer:
         """A text longer than a block is cut where a word ends; texts shorter than one are scored together."""
         out, held, size = [], [], 0
         for text in texts:
-            held.append(text or "")
-            size += len(held[-1])
+            text = text or ""
+            if held and len(text) > BLOCK:  # a long text is cut, so it must be alone
+                out += self._block(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
             if size > BLOCK:
                 out += self._block(held)
                 held, size = [], 0

@@ -3,7 +3,8 @@
 Outcomes are counted per host. The chance of a good page is shrunk level by level: the corpus to the suffix, that to the
 registered domain, that to the host. At each level the parent's mean is the centre of a beta prior; its strength is the
 method of moments' estimate over that level's groups. A host is blocked if even the upper posterior bound of its chance
-of good pages stays below the cutoff, so little evidence blocks nothing. Hosts without outcomes take their parents'.
+of good pages stays below the cutoff. Little evidence leaves a host near its parents' chance, with their bound: a host
+without outcomes is blocked where its domain's other hosts speak against it strongly enough, and so is the empty host.
 """
 
 from __future__ import annotations
