@@ -1,9 +1,7 @@
-"""Points: clusters by distance, gaps on a line, polygons."""
+"""Points: clusters by distance, gaps on a line."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,40 +47,3 @@ def density_clusters(df: DataFrame, by: str, row: str, x: Column, y: Column, eps
     whole = pts.join(lacking, F.col("g").eqNullSafe(F.col("bad")), "left_semi").groupBy(F.col("g").alias("h")).agg(F.min("p").alias("cluster"))
     odd = pts.join(whole, F.col("g").eqNullSafe(F.col("h"))).select("g", "p", "cluster", F.lit(False).alias("is_noise"), F.lit(True).alias("problem_geo"))
     return told.unionByName(odd).select(F.col("g").alias(by), F.col("p").alias(row), "cluster", "is_noise", "problem_geo")
-
-
-def in_polygons(points: DataFrame, x: str, y: str, edges: DataFrame, cell: float, within: str | None = None) -> DataFrame:
-    """points with `polygon`: one row for each polygon that holds the point, or null. edges: (polygon, x1, y1, x2, y2),
-    and for `within` a column of that name, which the point's must equal.
-
-    A polygon holds a point if a ray to the right crosses an odd number of its edges. Points and polygons meet by the
-    cells of a grid that a polygon's box covers, so a point is tested against near polygons alone, by an equi-join.
-    Points without coordinates get null.
-    """
-    own = [within] if within else []
-    box = edges.groupBy("polygon", *own).agg(F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"), F.min(F.least("y1", "y2")).alias("y_lo"), F.max(F.greatest("y1", "y2")).alias("y_hi"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    at = lambda c: F.floor(F.col(c) / cell)
-    box = box.withColumn("i", F.explode(F.sequence(at("x_lo"), at("x_hi")))).withColumn("j", F.explode(F.sequence(at("y_lo"), at("y_hi"))))
-    box = box.select("polygon", *[F.col(c).alias("of") for c in own], "i", "j", "x_lo", "x_hi", "y_lo", "y_hi", "edges")
-    inner = points.select(F.struct("*").alias("row"), F.col(x).alias("x"), F.col(y).alias("y"), *[F.col(c).alias("own") for c in own], at(x).alias("pi"), at(y).alias("pj"))
-    crosses = lambda e: ((e["y1"] > F.col("y")) != (e["y2"] > F.col("y"))) & (F.col("x") < (e["x2"] - e["x1"]) * (F.col("y") - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
-    inside = F.col("x").between(F.col("x_lo"), F.col("x_hi")) & F.col("y").between(F.col("y_lo"), F.col("y_hi")) & (F.size(F.filter("edges", crosses)) % 2 == 1)
-    on = (F.col("pi") == F.col("i")) & (F.col("pj") == F.col("j")) & inside
-    return inner.join(box, on & (F.col("own") == F.col("of")) if within else on, "left").select("row.*", "polygon")
-
-
-def census_tracts(points: DataFrame, x: str, y: str, states: DataFrame, tracts: DataFrame, years: Sequence[int], cell: float) -> DataFrame:
-    """A row for each point and year in which a state and one of its tracts hold it: points' columns, year, State, Tract.
-
-    states: edges (year, polygon, x1, ..); tracts: edges (year, state, polygon, x1, ..), whose state is one of states'
-    polygons. A point is looked for in the states, then in the tracts of its state. Points without coordinates, or outside
-    all, have no row; a year's names of columns are the caller's to map onto these.
-    """
-    found = None
-    for year in years:
-        of = lambda df: df.filter(F.col("year") == year).drop("year")  # noqa: E731, B023
-        placed = in_polygons(points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y, of(states), cell).withColumnRenamed("polygon", "State").filter("State is not null")
-        tract = in_polygons(placed, x, y, of(tracts).withColumnRenamed("state", "State"), cell, "State").filter("polygon is not null")
-        tract = tract.withColumnRenamed("polygon", "Tract").withColumn("year", F.lit(year))
-        found = tract if found is None else found.unionByName(tract)
-    return found

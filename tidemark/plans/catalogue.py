@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import nulls, presence, text
-from ..operators import clusters, lookup, places, profile, survivors
+from ..operators import clusters, lookup, places, polygons, profile, survivors
 from ..sources.tables import keep_first, replace_rows, same_keys, table, union_filled
 
 YEARS = list(range(1995, 2002))
@@ -387,7 +387,7 @@ def point_in_polygon(spark, sf):
     e = F.col("embedding")
     points = table(spark, sf, "embeddings").select("vec_id", (e[0].cast("double") * 4).alias("x"), (e[1].cast("double") * 4).alias("y"))
     edges = spark.createDataFrame(list(POLYGONS), "polygon int, x1 double, y1 double, x2 double, y2 double")
-    return places.in_polygons(points, "x", "y", edges, 0.25).select("vec_id", "polygon")
+    return polygons.in_polygons(points, "x", "y", edges).select("vec_id", "polygon")
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INT), 0) AS k, coalesce(json_extract_string(props, '$.name'), 'none') AS name FROM events")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import presence, text
-from ..operators import audit, clusters, consolidate, lookup, nearest, places, profile, survivors
+from ..operators import audit, clusters, consolidate, lookup, nearest, polygons, profile, survivors
 from ..sources import ranges
 from ..sources.tables import align, keep_first, shared_path, table, with_row_numbers, year_columns
 from .catalogue import CLUSTER_AT, NAMES_SQL, YEARS, labels_sql, named_parts, norm_sql, orders, query, year_flags
@@ -368,4 +368,4 @@ def census_tracts(spark, sf):
     square = lambda x, y, w, h: ((x, y, x + w, y), (x + w, y, x + w, y + h), (x + w, y + h, x, y + h), (x, y + h, x, y))
     states = spark.createDataFrame([(year, s, *edge) for year in (2000, 2010) for s, x in (("A", 0.0), ("B", 0.5)) for edge in square(x, 0.0, 0.5, 1.0)], "year int, polygon string, x1 double, y1 double, x2 double, y2 double")
     tracts = spark.createDataFrame([(year, s, t, *edge) for year, s, t, x, y in TRACTS for edge in square(x, y, 0.25, 0.5)], "year int, state string, polygon int, x1 double, y1 double, x2 double, y2 double")
-    return places.census_tracts(points, "x", "y", states, tracts, (2000, 2010), 0.25).select("vec_id", "year", "State", "Tract")
+    return polygons.census_tracts(points, "x", "y", states, tracts, (2000, 2010)).select("vec_id", "year", "State", "Tract")
