@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import staged
+from . import scan
 from .components import labelled
 
 
 def gap_clusters(df: DataFrame, by: str, x: Column, row: str, eps: float) -> DataFrame:
-    """Density clusters of two points or more on a line: runs without a gap above eps; noise is 0."""
-    line = Window.partitionBy(by).orderBy("x", row)
-    rows = df.select(by, F.col(row), x.alias("x"))
-    rows = rows.withColumn("new", F.coalesce((F.col("x") - F.lag("x").over(line) > eps).cast("int"), F.lit(1)))
-    rows = rows.withColumn("run", F.sum("new").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    size = F.count(F.lit(1)).over(Window.partitionBy(by, "run"))
-    return rows.withColumn("cluster", F.when(size > 1, F.col("run")).otherwise(0)).select(by, row, "x", "cluster")
+    """(by, row, x, cluster): density clusters of two points or more on a line, numbered from 1 in each group among the
+    runs without a gap above eps; noise is 0. Rows are scanned by ranges, so a group of any size uses many tasks. Null x
+    are noise; they come first, and each counts as a run."""
+    rows = scan.ranged(df.select(F.col(by).alias("g"), F.col(row).alias("p"), x.alias("x")), ["g"], ["x", "p"])
+    at = F.col("row.x")
+    rows = scan.scan(rows, {"before": ("prev", at)}).withColumn("new", F.coalesce((at - F.col("before") > eps).cast("int"), F.lit(1)))
+    rows = scan.scan(rows, {"run": ("sum", F.col("new")), "then": ("next", F.col("new"))})
+    paired = (F.col("new") == 0) | F.coalesce(F.col("then") == 0, F.lit(False))
+    return rows.select(F.col("row.g").alias(by), F.col("row.p").alias(row), at.alias("x"), F.when(paired, F.col("run")).otherwise(0).alias("cluster"))
 
 
 def density_clusters(df: DataFrame, by: str, row: str, x: Column, y: Column, eps: float) -> DataFrame:

@@ -336,8 +336,8 @@ def expand_failed_clusters(spark, sf):
     return clusters.expand_failed(part, "p_brand", "p_name", found, one, "p_retailprice", size_flags(), 120.0).select("p_brand", "cluster", "n_rows", "status")
 
 
-@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS x, l_returnflag = 'R' AS boxed FROM lineitem), d AS (SELECT m.l_orderkey, m.id, abs(m.x - o.x) AS d FROM (SELECT *, l_linenumber::BIGINT * 1000000000 + l_partkey AS id FROM r WHERE boxed) m
- LEFT JOIN r o ON o.l_orderkey = m.l_orderkey AND NOT o.boxed) SELECT l_orderkey, id, count(d) AS n_total, count(d) FILTER (d >= 20000) AS n_failed, bool_or(d < 20000) AS near_any, round_even(min(d) FILTER (d >= 20000), 3) AS failed_min, round_even(avg(d) FILTER (d >= 20000), 3) AS failed_mean, round_even(max(d) FILTER (d >= 20000), 3) AS failed_max FROM d GROUP BY 1, 2""")
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS x, l_returnflag = 'R' AS boxed FROM lineitem), d AS (SELECT m.l_orderkey, m.id, abs(m.x - o.x) AS d, o.x <= m.x - 20000 OR o.x >= m.x + 20000 AS far FROM (SELECT *, l_linenumber::BIGINT * 1000000000 + l_partkey AS id FROM r WHERE boxed) m
+ LEFT JOIN r o ON o.l_orderkey = m.l_orderkey AND NOT o.boxed) SELECT l_orderkey, id, count(d) AS n_total, count(d) FILTER (far) AS n_failed, bool_or(NOT far) AS near_any, round_even(min(d) FILTER (far), 3) AS failed_min, round_even(avg(d) FILTER (far), 3) AS failed_mean, round_even(max(d) FILTER (far), 3) AS failed_max FROM d GROUP BY 1, 2""")
 def mailbox_proximity(spark, sf):
     rows = table(spark, sf, "lineitem").withColumn("id", F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey"))
     return profile.proximity_audit(rows, "l_orderkey", F.col("l_returnflag") == "R", "id", F.col("l_extendedprice"), 20000.0)
