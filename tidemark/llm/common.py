@@ -49,11 +49,13 @@ def as_rows(columns: dict[str, Iterable], schema) -> "pyarrow.RecordBatch":
 
 
 #: Bytes of texts that a task takes into Python objects at once, unless one text alone is larger.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def in_slices(batches: Iterable, column: str, most: int = SLICE_BYTES) -> Iterator:
-    """The record batches cut into slices of at most `most` bytes of a string or binary column, or one row."""
+    """The record batches cut into slices of at most `most` bytes of a string or binary column, or one row. What a batch
+    took is given back to the system before the next one, since a worker that waits for its next task keeps the rest."""
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     for t in batches:
@@ -65,6 +67,7 @@ def in_slices(batches: Iterable, column: str, most: int = SLICE_BYTES) -> Iterat
                 hi = max(lo + 1, int(total.searchsorted(before + most, "right")))
                 yield t.slice(lo, hi - lo)
                 lo = hi
+        pa.default_memory_pool().release_unused()
 
 
 def is_small(df: DataFrame, rows: int) -> bool:
