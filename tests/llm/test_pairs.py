@@ -8,8 +8,8 @@ import numpy as np
 
 import __spark_entry__
 from tidemark.llm import setjoin
-from tidemark.llm.graph import connected_components
 from tidemark.llm.ngram_join import jaccard_groups, jaccard_links
+from tidemark.operators.components import connected_components
 
 SF = "/root/testdata/sf0.01"
 
