@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import presence, text
 from tidemark.functions.similarity import jaro
-from tidemark.operators import cities, clusters, consolidate, nearest, places, survivors
+from tidemark.operators import cities, clusters, consolidate, merged, nearest, places, survivors
 from tidemark.sources import ranges, tables
 
 
@@ -200,3 +200,38 @@ def test_presence_and_parts(spark):
     assert one(text.geocoder_parts(F.lit("1 A St, Apt 2, Town, MA 01301"))).asDict() == {"street": "1 A St, Apt 2", "city": "Town", "state": "MA", "zip": "01301"}
     assert one(text.geocoder_parts(F.lit("1 A St, Town"))) is None and one(text.geocoder_parts(F.lit("1 A St, Town, MA"))) is None and one(text.address_parts(F.lit("a, b, c"))) is None
     assert one(text.parse_address(F.lit("77 BROADWAY, CHELSEA, MA 02150-2607"))).asDict() == {"line_1": "77 BROADWAY", "line_2": None, "city": "CHELSEA", "state": "MA", "zip": "02150-2607"}
+
+
+AT = merged.Columns(key="k", line="a", city="c", state="s", zip="z", longitude="x", latitude="y", code="n", established="e", order="i", prefix="9")
+
+
+def raw_records(spark):
+    rows = [
+        (1, "12 Main St", 0.0, 0.0, "901", 1990, 1), (1, "12 main st", 0.0, 0.1, "902", None, 1), (1, "Oak", None, 0.0, "901", 1980, None),
+        (2, "5 Elm", 0.0, 0.0, "9", None, 1), (2, "5 Elm", 9.0, 0.0, "9", None, 1),  # the same address at two places
+        (3, "7 Long Road", 0.0, 0.0, "901", None, 1), (3, "7 Long Roads", 9.0, 0.0, "901", None, 1), (3, "7 Long Road", 0.0, 0.0, "901", None, 1),
+        (4, "Lone", 1.0, 1.0, "903", 2001, 1), (5, None, 1.0, 1.0, "903", 2001, 1), (6, "x", 1.0, 1.0, "903", 2001, 1), (6, None, 1.0, 1.0, "903", 2001, 1), (None, "Nil", 1.0, 2.0, "904", 2001, 1), (None, "nil", 1.0, 2.0, "904", 2001, 1)]
+    return spark.createDataFrame([(*r, i, "C", "S", "01") for i, r in enumerate(rows)], "k int, a string, x double, y double, n string, e int, f int, i int, c string, s string, z string")
+
+
+def test_merged_table(spark):
+    table, checks = merged.merged(raw_records(spark), AT, {"f": F.col("f")}, 0.15, 0.5)
+    got = {(r.k, r.compiled_address): (r.status, r.lonlat_test, r.same_num_clusters, r.n_rows, r.f) for r in table.collect()}
+    assert got == {
+        (1, "12 Main St, C, S, 01"): ("TRUE", True, None, 2, 2), (1, "Oak, C, S, 01"): (None, None, None, 1, 0), (2, "5 Elm, C, S, 01"): ("Overridden", False, True, 2, 2),
+        (3, "7 Long Road, C, S, 01"): ("Expanded", True, False, 2, 2), (3, "7 Long Roads, C, S, 01"): ("Expanded", None, False, 1, 1), (4, "Lone, C, S, 01"): (None, None, None, 1, 1), (None, "Nil, C, S, 01"): ("TRUE", True, None, 2, 2)}
+    one = table.filter("k = 1 and status is not null").first()
+    assert (one.year_established, one.extra_code, one.code, one.latitude, one.address_line_1) == ("1980, 1990", "01, 02", "9", 0.05, "12 Main St")
+    assert table.filter("k = 3").first().year_established == "None listed"
+    c = checks.first()
+    assert c.a and c.b and c.c and c.d and c.e and (c.rows_before, c.rows_after, c.keys_before) == (14, 7, 7)
+
+
+def test_merged_invariants_fail_when_keys_are_lost(spark, monkeypatch):
+    real = merged.clusters
+    monkeypatch.setattr(merged, "clusters", lambda *a: real(*a).filter("k <> 2 or k is null"))
+    c = merged.merged(raw_records(spark), AT, {"f": F.col("f")}, 0.15, 0.5)[1].first()
+    assert not (c.a or c.b or c.c or c.d or c.e)
+    monkeypatch.setattr(merged, "clusters", lambda *a: real(*a).withColumn("k", F.when(F.col("k") == 6, None).otherwise(F.col("k"))))
+    c = merged.merged(raw_records(spark), AT, {"f": F.col("f")}, 0.15, 0.5)[1].first()
+    assert not (c.a or c.c) and c.d and c.e  # a key without an address was lost: the final table is right

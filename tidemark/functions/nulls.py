@@ -39,9 +39,10 @@ def strict_sum(x: Column) -> Column:
     return F.when(_all_known(x), F.sum(x))
 
 
-def n_values(x: Column) -> Column:
-    """Distinct values, a null being one of them."""
-    return F.count_distinct(x) + F.max(x.isNull().cast("int"))
+def one_value(x: Column) -> Column:
+    """Whether the group has one value, a null being one; told by its extremes, so that no row is expanded."""
+    n = F.count(x)
+    return (n == 0) | (n == F.count(F.lit(1))) & F.coalesce(F.min(x) == F.max(x), F.lit(False))
 
 
 def paste(*parts: Column, sep: str = ", ") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nulls import n_values, strict_max, strict_min, strict_sum
+from ..functions.nulls import one_value, strict_max, strict_min, strict_sum
 from ..sources.tables import staged
 from . import scan
 
@@ -27,7 +27,7 @@ def duplicate_profile(df: DataFrame, key: str, flags: Mapping[str, Column], same
     for f in flags.values():
         exclusive = exclusive & (F.coalesce(F.sum(f), F.lit(0)) <= 1)
     aggs = [F.count(F.lit(1)).alias("n_rows"), exclusive.alias("exclusive")]
-    aggs += [(n_values(c) == 1).alias(k) for k, c in same.items()]
+    aggs += [one_value(c).alias(k) for k, c in same.items()]
     aggs += [(strict_max(c) - strict_min(c) < bound).alias(k) for k, (c, bound) in near.items()]
     return df.groupBy(key).agg(*aggs).filter("n_rows > 1")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import presence, text
-from ..operators import audit, clusters, consolidate, lookup, nearest, polygons, profile, survivors
+from ..operators import audit, clusters, consolidate, lookup, merged, nearest, polygons, profile, survivors
 from ..sources import ranges
 from ..sources.tables import align, keep_first, shared_path, table, with_row_numbers, year_columns
 from .catalogue import CLUSTER_AT, NAMES_SQL, YEARS, labels_sql, named_parts, norm_sql, orders, query, year_flags
@@ -53,6 +53,45 @@ def step_one_reductions(spark, sf):
     return consolidate.reductions(keyed(spark, sf), step_one(spark, sf), "k", "cluster")
 
 
+#: Parts as raw records: several to a key, places of five kinds, some without an address or coordinates.
+_RAW = f"""(SELECT k, p_partkey, name, coalesce(name, 'None Given') || ', CITY ' || k % 3 || ', S' || k % 2 || ', 0' || 1000 + k % 7 AS compiled, coalesce(name, 'None Given') AS line, CASE WHEN p_partkey % 43 <> 0 THEN x / 1000 END AS lon, (p_partkey % 4) * 0.2 AS lat,
+ lpad((p_partkey % 3)::VARCHAR, 2, '0') AS rest, CASE WHEN p_partkey % 5 > 1 THEN 1990 + p_partkey % 4 END AS year, {', '.join(f'(p_partkey % 3 = {i})::INT AS s{i}' for i in range(3))} FROM {KEYED_SQL})"""
+_TWICE = f"(SELECT * FROM {_RAW} WHERE k IN (SELECT k FROM {_RAW} GROUP BY 1 HAVING count(*) > 1))"
+_TESTED = "CASE WHEN count(lon) = count(*) THEN max(lon) - min(lon) < 0.7 AND max(lat) - min(lat) < 0.7 WHEN max(lat) - min(lat) >= 0.7 THEN false END"
+_MERGE = "count(*) AS n_rows, CASE WHEN count(lon) = count(*) THEN avg(lon) END AS longitude, avg(lat) AS latitude, sum(s0) AS s0, sum(s1) AS s1, sum(s2) AS s2, arg_min(line, compiled) AS address_line_1"
+MERGED_SQL = f"""WITH raw AS MATERIALIZED (SELECT * FROM {_RAW}), l AS MATERIALIZED ({labels_sql(_TWICE, 'k', 'compiled', CLUSTER_AT)}), d AS (SELECT raw.*, l.cluster FROM raw JOIN l ON l.k = raw.k AND l.compiled = raw.compiled),
+ c AS (SELECT k, cluster, {_TESTED} AS test, {_MERGE} FROM d GROUP BY 1, 2), n AS (SELECT k, count(*) = count(DISTINCT cluster) AS same FROM l WHERE k IN (SELECT k FROM c WHERE NOT test) GROUP BY 1),
+ t AS (SELECT c.*, n.same FROM c LEFT JOIN n ON n.k = c.k), gone AS (SELECT k, cluster FROM t WHERE NOT test AND NOT same),
+ every AS (SELECT k, cluster AS compiled_address, test AS lonlat_test, same AS same_num_clusters, CASE WHEN NOT test THEN 'Overridden' WHEN test THEN 'TRUE' END AS status, * EXCLUDE (k, cluster, test, same) FROM t WHERE (k, cluster) NOT IN (SELECT (k, cluster) FROM gone)
+ UNION ALL SELECT d.k, d.compiled, CASE WHEN count(*) > 1 THEN {_TESTED} END, false, 'Expanded', {_MERGE} FROM d JOIN gone ON gone.k = d.k AND gone.cluster = d.cluster GROUP BY 1, 2
+ UNION ALL SELECT k, compiled, NULL, NULL, NULL, 1, lon, lat, s0, s1, s2, line FROM raw WHERE k NOT IN (SELECT k FROM d)),
+ seed AS (SELECT k, coalesce(string_agg(DISTINCT year::VARCHAR, ', ' ORDER BY year::VARCHAR), 'None listed') AS year_established FROM raw GROUP BY 1), codes AS (SELECT k, string_agg(rest, ', ' ORDER BY nth) AS extra_code FROM (SELECT k, rest, min(p_partkey) AS nth FROM raw GROUP BY 1, 2) GROUP BY 1)
+ SELECT k, address_line_1, 'CITY ' || k % 3 AS city, 'S' || k % 2 AS state, '0' || 1000 + k % 7 AS zipcode, compiled_address, lonlat_test, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude, year_established, '813110' AS code, extra_code, s0, s1, s2, n_rows, same_num_clusters, status
+ FROM every JOIN seed USING (k) JOIN codes USING (k) WHERE k NOT IN (SELECT k FROM raw WHERE line = 'None Given')"""
+
+
+def merged_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    p, k = F.col("p_partkey"), F.col("k")
+    named = lambda text, number: F.concat(F.lit(text), number.cast("string"))
+    raw = keyed(spark, sf).select(k, p, "name", named("CITY ", k % 3).alias("city"), named("S", k % 2).alias("state"), named("0", 1000 + k % 7).alias("zip"), F.when(p % 43 != 0, F.col("x") / 1000).alias("lon"), ((p % 4) * 0.2).alias("lat"),
+                                  F.concat(F.lit("813110"), F.lpad((p % 3).cast("string"), 2, "0")).alias("code"), F.when(p % 5 > 1, 1990 + p % 4).alias("year"))
+    at = merged.Columns(key="k", line="name", city="city", state="state", zip="zip", longitude="lon", latitude="lat", code="code", established="year", order="p_partkey", prefix="813110")
+    return merged.merged(raw, at, thirds(), CLUSTER_AT, 0.7)
+
+
+@query(MERGED_SQL)
+def merged_table(spark, sf):
+    return merged_parts(spark, sf)[0].withColumns({"latitude": F.round("latitude", 9), "longitude": F.round("longitude", 9)})
+
+
+@query(f"""WITH m AS MATERIALIZED ({MERGED_SQL}), raw AS MATERIALIZED (SELECT * FROM {_RAW}), bare AS (SELECT DISTINCT k FROM raw WHERE line = 'None Given'), twice AS (SELECT k FROM raw GROUP BY 1 HAVING count(*) > 1)
+ SELECT (SELECT count(*) FROM twice JOIN bare USING (k)) + (SELECT count(DISTINCT k) FROM m WHERE k IN (SELECT k FROM twice)) = (SELECT count(*) FROM twice) AS a, (SELECT count(*) FROM m WHERE (status IS NULL AND n_rows = 1 AND lonlat_test IS NULL AND k NOT IN (SELECT k FROM twice)) AND k IN (SELECT k FROM twice)) = 0 AS b,
+ (SELECT count(*) FROM (SELECT k FROM raw EXCEPT SELECT k FROM m EXCEPT SELECT k FROM bare)) = 0 AS c, (SELECT count(*) FROM (SELECT k FROM m EXCEPT (SELECT k FROM raw EXCEPT SELECT k FROM bare))) = 0 AS d, (SELECT count(*) FROM ((SELECT k FROM raw EXCEPT SELECT k FROM m) EXCEPT SELECT k FROM bare)) = 0 AS e,
+ (SELECT count(*) FROM raw) AS rows_before, (SELECT count(*) FROM m) AS rows_after, (SELECT count(DISTINCT k) FROM raw) AS keys_before, round(100 * (1 - (SELECT count(*) FROM m)::DOUBLE / (SELECT count(*) FROM raw)), 2) AS reduction""")
+def merged_invariants(spark, sf):
+    return merged_parts(spark, sf)[1]
+
+
 _YEARS = ", ".join(f"CASE WHEN year(o_orderdate) = {y} AND o_orderkey % 11 <> 0 THEN 1 END AS y{y}" for y in YEARS)
 _FIRST = "CASE " + " ".join(f"WHEN y{y} = 1 THEN 'y{y}'" for y in YEARS) + " END"
 _ZERO = ", ".join(f"coalesce(y{y}, 0) AS y{y}" for y in YEARS)
