@@ -11,6 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from tidemark.llm import quality_rules as quality
 from tidemark.llm import setjoin, sharding
 from tidemark.llm.decontam import contaminated
 from tidemark.llm.license_scan import TEMPLATES, license_scan
@@ -492,3 +493,18 @@ def test_shards_of_many_ranges(spark, monkeypatch):
     loads = [sum(r.size for r in got if r.shard == k) for k in range(5)]
     assert max(loads) < 1.1 * min(loads)
     assert all(len({r.shard for r in got if r.text == t}) == 1 for _, t, _ in rows)
+
+
+def test_quantiles_of_sketches_at_any_scale(spark, monkeypatch):
+    """Quartiles of a measure over eight orders of magnitude, merged from groups, are off by the sketch's error at most."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([10 ** rng.uniform(-4, 4, 5000), np.zeros(50)])
+    monkeypatch.setattr(quality, "MEASURES", {"m": (0.0, True)})
+    df = spark.createDataFrame([(i % 7, float(v)) for i, v in enumerate(x)], "g int, m double")
+    merged = quality.sketches(df, ["g"]).groupBy("measure", "bin").agg(F.sum("n").alias("n")).withColumn("one", F.lit(1))
+    f = quality.fences(merged, ["one"]).first().fences["m"]
+    q1, q3 = np.quantile(x, [0.25, 0.75], method="inverted_cdf")
+    b_less_a = (f.high - f.low) / 7  # low is a - 3 (b - a), high b + 3 (b - a)
+    a, b = f.low + 3 * b_less_a, f.high - 3 * b_less_a
+    assert q1 / (1 + 2 * quality.ERROR) ** 2 <= a <= q1 * 1.0001 and q3 * 0.9999 <= b <= q3 * (1 + 2 * quality.ERROR) ** 2
+    assert merged.count() < 1000

@@ -1,30 +1,35 @@
 """Operator 5, quality rules: thresholds that adapt to each language and source, from mergeable quantile sketches.
 
-A sketch is a table of counts by bin of a measure's value, so merging is adding. It is made per (lang, source), merged
-into languages and into the whole corpus; a group of fewer than MIN_ROWS rows takes the thresholds of the next larger
-one. A quantile is exact to one bin. A document fails where a measure lies beyond its group's fence: the quartile plus
+A sketch counts a measure's values by the power of GAMMA that they reach, zeros by themselves. So it merges by adding, in
+any order, takes values of any scale in a number of bins that grows with the logarithm of their range, and gives every
+quantile to a relative error of ERROR; ranks at the bins' borders are exact. It is made per (lang, source), merged into
+languages and into the whole corpus; a group of fewer than MIN_ROWS rows takes the thresholds of the next larger one. A document fails where a measure lies beyond its group's fence: the quartile plus
 or minus REACH times the quartiles' distance, of which each measure has a least that counts, so that a group that is all alike
 rejects nothing for a small difference.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import as_rows, stage
+from .common import as_rows, in_slices, stage
 from .hashing import STEP, mix
 
 SYMBOLS = "#*$%&|<>"
 GAPS = " \t\n\x0b\x0c\r"
-#: Measure: (bin width, least distance of quartiles that counts, whether low values fail as well).
-MEASURES = {"symbol_share": (0.002, 0.01, False), "repeat_share": (0.005, 0.05, False), "dup_line_share": (0.005, 0.1, False), "word_length": (0.05, 0.5, True)}
+#: Measure: (least distance of quartiles that counts, whether low values fail as well).
+MEASURES = {"symbol_share": (0.01, False), "repeat_share": (0.05, False), "dup_line_share": (0.1, False), "word_length": (0.5, True)}
+#: Relative error of a quantile, and the factor between the borders of a bin; the bin of zeros.
+ERROR = 0.01
+GAMMA, ZERO = (1 + ERROR) / (1 - ERROR), -(1 << 40)
 REACH, MIN_ROWS = 3.0, 100
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -63,7 +68,7 @@ def counted(docs: DataFrame, carry: list[str], text_col: str) -> DataFrame:
         ddl = ddl.add(k, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+        for t in in_slices(batches, "text"):
             got = [measure(x) for x in t.column("text").to_pylist()]
             out = as_rows({k: [g[i] for g in got] for i, k in enumerate(COUNTS)}, schema)
             yield pa.RecordBatch.from_arrays([*t.columns[:-1], *out.columns], names=[*t.schema.names[:-1], *schema.names])
@@ -78,9 +83,18 @@ def with_measures(df: DataFrame) -> DataFrame:
     return df.withColumns({"symbol_share": share("n_symbols", "word_chars"), "repeat_share": share("n_repeat_words", "n_words"), "dup_line_share": share("n_dup_lines", "n_lines"), "word_length": share("word_chars", "n_words")})
 
 
+def bin_of(x: Column) -> Column:
+    """The least power of GAMMA that is not below a measure; measures are not negative."""
+    return F.when(x > 0, F.ceil(F.log(x) / math.log(GAMMA)).cast("long")).otherwise(ZERO)
+
+
+def border(power: Column, zero: Column) -> Column:
+    return F.when(zero, 0.0).otherwise(F.pow(F.lit(GAMMA), power.cast("double")))
+
+
 def sketches(measured: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, measure, bin, n): the sketch of each group. Sums of n merge sketches."""
-    bins = [F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) / width).cast("long").alias("bin")) for m, (width, _, _) in MEASURES.items()]
+    bins = [F.struct(F.lit(m).alias("measure"), bin_of(F.col(m)).alias("bin")) for m in MEASURES]
     return measured.select(*keys, F.explode(F.array(*bins)).alias("b")).groupBy(*keys, "b.measure", "b.bin").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -88,11 +102,12 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, rows, fences map<measure, struct<low, high>>) from the sketch of each group."""
     run = Window.partitionBy(*keys, "measure")
     ranked = sketch.withColumn("total", F.sum("n").over(run)).withColumn("upto", F.sum("n").over(run.orderBy("bin")))
-    rule = F.create_map(*chain.from_iterable((F.lit(m), F.struct(F.lit(w).alias("width"), F.lit(f).alias("floor"), F.lit(low).alias("low"))) for m, (w, f, low) in MEASURES.items()))
+    rule = F.create_map(*chain.from_iterable((F.lit(m), F.struct(F.lit(f).alias("floor"), F.lit(low).alias("low"))) for m, (f, low) in MEASURES.items()))
     at = {q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin"))) for q in (0.25, 0.75)}
     quart = ranked.groupBy(*keys, "measure").agg(at[0.25].alias("q1"), at[0.75].alias("q3"), F.first("total").alias("rows")).withColumn("r", rule[F.col("measure")])
-    reach = REACH * F.greatest((F.col("q3") - F.col("q1")) * F.col("r.width"), F.col("r.floor"))
-    pair = F.struct(F.when(F.col("r.low"), F.col("q1") * F.col("r.width") - reach).otherwise(float("-inf")).alias("low"), ((F.col("q3") + 1) * F.col("r.width") + reach).alias("high"))
+    low, high = border(F.col("q1") - 1, F.col("q1") == ZERO), border(F.col("q3"), F.col("q3") == ZERO)
+    reach = REACH * F.greatest(high - low, F.col("r.floor"))
+    pair = F.struct(F.when(F.col("r.low"), low - reach).otherwise(float("-inf")).alias("low"), (high + reach).alias("high"))
     return quart.groupBy(*keys).agg(F.max("rows").alias("rows"), F.map_from_entries(F.collect_list(F.struct("measure", pair.alias("fence")))).alias("fences"))
 
 

@@ -1,5 +1,8 @@
 """SQL that states the results of this subpackage's queries, where SQL can."""
 
+import math
+
+from .quality_rules import GAMMA, ZERO
 from .url_filter import TWO_LABEL_SUFFIXES
 
 
@@ -49,8 +52,10 @@ e AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)"""
 
-#: (measure, bin width, least distance of quartiles, whether low values fail), as quality_rules has them.
-_RULES = "(VALUES ('symbol_share', 0.002, 0.01, false), ('repeat_share', 0.005, 0.05, false), ('dup_line_share', 0.005, 0.1, false), ('word_length', 0.05, 0.5, true)) v(measure, width, least, low)"
+#: (measure, least distance of quartiles, whether low values fail), as quality_rules has them.
+_RULES = "(VALUES ('symbol_share', 0.01, false), ('repeat_share', 0.05, false), ('dup_line_share', 0.1, false), ('word_length', 0.5, true)) v(measure, least, low)"
+_BORDER = f"CASE WHEN {{0}} = {ZERO} THEN 0.0::DOUBLE ELSE pow({GAMMA!r}::DOUBLE, ({{0}} - {{1}})::DOUBLE) END"
+_LOW, _HIGH = _BORDER.format("q1", 1), _BORDER.format("q3", 0)
 
 
 def _fences(name: str, keys: str) -> str:
@@ -58,7 +63,7 @@ def _fences(name: str, keys: str) -> str:
     by = f"{keys}, measure" if keys else "measure"
     return f"""{name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {by}) AS total, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS upto FROM (SELECT {by}, bin, count(*) AS n FROM bins GROUP BY ALL)),
 {name}_q AS (SELECT {by}, min(bin) FILTER (upto >= 0.25 * total) AS q1, min(bin) FILTER (upto >= 0.75 * total) AS q3, any_value(total) AS rows FROM {name}_r GROUP BY ALL),
-{name} AS (SELECT {by}, rows, CASE WHEN low THEN q1 * width::DOUBLE - 3.0 * greatest((q3 - q1) * width::DOUBLE, least::DOUBLE) ELSE '-inf'::DOUBLE END AS lo, (q3 + 1) * width::DOUBLE + 3.0 * greatest((q3 - q1) * width::DOUBLE, least::DOUBLE) AS hi FROM {name}_q JOIN {_RULES} USING (measure))"""
+{name} AS (SELECT {by}, rows, CASE WHEN low THEN {_LOW} - 3.0 * greatest({_HIGH} - {_LOW}, least::DOUBLE) ELSE '-inf'::DOUBLE END AS lo, {_HIGH} + 3.0 * greatest({_HIGH} - {_LOW}, least::DOUBLE) AS hi FROM {name}_q JOIN {_RULES} USING (measure))"""
 
 
 QUALITY_RULES = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
@@ -68,7 +73,7 @@ rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2))
 c AS (SELECT d.r, doc_id, lang, source, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines FROM d LEFT JOIN rep ON rep.r = d.r),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
 m AS (SELECT r, lang, source, unnest(['symbol_share', 'repeat_share', 'dup_line_share', 'word_length']) AS measure, unnest([coalesce(n_symbols::DOUBLE / nullif(word_chars, 0), 0), coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0), coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0), coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0)]) AS x FROM f WHERE NOT base_failed),
-bins AS (SELECT lang, source, measure, floor(x / width::DOUBLE)::BIGINT AS bin FROM m JOIN {_RULES} USING (measure)),
+bins AS (SELECT lang, source, measure, CASE WHEN x > 0 THEN ceil(ln(x) / {math.log(GAMMA)!r}::DOUBLE)::BIGINT ELSE {ZERO} END AS bin FROM m),
 {_fences("s", "lang, source")},
 {_fences("l", "lang")},
 {_fences("a", "")},
