@@ -3,6 +3,7 @@
 import gzip
 import math
 import random
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import presence, text
 from tidemark.functions.similarity import jaro
 from tidemark.operators import cities, clusters, consolidate, merged, nearest, places, survivors
-from tidemark.sources import ranges, tables
+from tidemark.sources import ranges, tables, typed
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -235,3 +236,18 @@ def test_merged_invariants_fail_when_keys_are_lost(spark, monkeypatch):
     monkeypatch.setattr(merged, "clusters", lambda *a: real(*a).withColumn("k", F.when(F.col("k") == 6, None).otherwise(F.col("k"))))
     c = merged.merged(raw_records(spark), AT, {"f": F.col("f")}, 0.15, 0.5)[1].first()
     assert not (c.a or c.c) and c.d and c.e  # a key without an address was lost: the final table is right
+
+
+def test_types_and_rejects(spark):
+    rows = [(1, "01234", "7", "1.5", "2001-01-01", "true", None, "+3"), (2, "12345", " 8 ", "2", "NA", "FALSE", "", "-4"), (3, "99999", "x", "1e3", "2001-13-01", "yes", "NA", "5"), (4, "0", None, ".5", "2001-12-31", "", None, "99999999999999999999")]
+    names = ["zip", "whole", "number", "day", "truth", "none", "big"]
+    df = spark.createDataFrame([(*r, "x") for r in rows], f"r int, {', '.join(f'{n} string' for n in names)}, bad string")
+    strict = typed.inferred(df, names)
+    assert strict == {"zip": "string", "whole": "string", "number": "double", "day": "string", "truth": "string", "none": "string", "big": "double"}
+    loose = typed.inferred(df, names, 0.4)
+    assert loose == {**strict, "whole": "long", "day": "date", "truth": "boolean", "big": "long"}
+    good, rejects = typed.typed(df, loose, "r")
+    assert {(r.row, r.column, r.value) for r in rejects.collect()} == {(3, "whole", "x"), (3, "day", "2001-13-01"), (3, "truth", "yes"), (4, "big", "99999999999999999999")}
+    assert {r.reason for r in rejects.filter("column = 'big'").collect()} == {"number in a column of type long"}
+    assert [tuple(r)[:8] for r in good.orderBy("r").collect()] == [(1, "01234", 7, 1.5, date(2001, 1, 1), True, None, 3), (2, "12345", 8, 2.0, None, False, None, -4)]
+    assert typed.inferred(df.limit(0), names) == dict.fromkeys(names, "string") and typed.typed(df.limit(0), loose, "r")[0].count() == 0

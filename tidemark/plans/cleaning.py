@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import presence, text
 from ..operators import audit, clusters, consolidate, lookup, merged, nearest, polygons, profile, survivors
-from ..sources import ranges
+from ..sources import ranges, typed
 from ..sources.tables import align, keep_first, shared_path, table, with_row_numbers, year_columns
 from .catalogue import CLUSTER_AT, NAMES_SQL, YEARS, labels_sql, named_parts, norm_sql, orders, query, year_flags
 
@@ -385,6 +385,30 @@ def expected_ranges(spark, sf):
     return ranges.range_report(ranges.expected_ranges(spark, total, 1500), ranges.range_ledger(spark, path))
 
 
+#: Orders as text: a code with leading zeros, a whole number, a price and a date, some of which are no such thing.
+_TEXTS = """(SELECT o_orderkey AS r, lpad((o_custkey % 1000)::VARCHAR, 5, '0') AS zip, CASE WHEN o_orderkey % 211 = 3 THEN 'none' WHEN o_orderkey % 50 = 1 THEN 'NA' ELSE o_custkey::VARCHAR END AS cust, CASE WHEN o_orderkey % 307 = 5 THEN '12,50' WHEN o_orderkey % 10 = 0 THEN (o_orderkey * 3)::VARCHAR ELSE (o_orderkey % 900)::VARCHAR || '.5' END AS price,
+ CASE WHEN o_orderkey % 401 = 7 THEN '2001-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)"""
+_BAD = "r % 211 = 3, r % 307 = 5, r % 401 = 7".split(", ")
+
+
+def typed_orders(spark, sf) -> tuple[DataFrame, DataFrame]:
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(
+        k.alias("r"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 5, "0").alias("zip"), F.when(k % 211 == 3, "none").when(k % 50 == 1, "NA").otherwise(F.col("o_custkey").cast("string")).alias("cust"),
+        F.when(k % 307 == 5, "12,50").when(k % 10 == 0, (k * 3).cast("string")).otherwise(F.concat((k % 900).cast("string"), F.lit(".5"))).alias("price"), F.when(k % 401 == 7, "2001-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"))
+    return typed.typed(rows, typed.inferred(rows, ["zip", "cust", "price", "day"], 0.02), "r")
+
+
+@query(f"SELECT r, zip, try_cast(cust AS BIGINT) AS cust, price::DOUBLE AS price, day::DATE AS day FROM {_TEXTS} WHERE NOT ({' OR '.join(_BAD)})")
+def typed_rows(spark, sf):
+    return typed_orders(spark, sf)[0]
+
+
+@query(" UNION ALL ".join(f"SELECT r AS row, '{c}' AS column, {c} AS value, 'text in a column of type {t}' AS reason FROM {_TEXTS} WHERE {w}" for c, t, w in zip(("cust", "price", "day"), ("long", "double", "date"), _BAD, strict=True)))
+def rejected_cells(spark, sf):
+    return typed_orders(spark, sf)[1]
+
+
 _WIDE = ", ".join(f"count(*) FILTER (year(o_orderdate) = {y + 5}) AS \"{y + 5}\"" for y in range(1995, 1997))
 
 
