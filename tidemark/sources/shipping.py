@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -18,7 +20,9 @@ def ship(spark: SparkSession) -> None:
         return
     _shipped.add(app)
     root = Path(__file__).resolve().parents[1]
-    to = Path(tempfile.mkdtemp()) / "tidemark.zip"  # on the driver, from where Spark serves it
+    folder = tempfile.mkdtemp()  # on the driver, from where Spark serves it until the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    to = Path(folder) / "tidemark.zip"
     with zipfile.ZipFile(to, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
