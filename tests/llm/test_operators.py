@@ -508,3 +508,11 @@ def test_quantiles_of_sketches_at_any_scale(spark, monkeypatch):
     a, b = f.low + 3 * b_less_a, f.high - 3 * b_less_a
     assert q1 / (1 + 2 * quality.ERROR) ** 2 <= a <= q1 * 1.0001 and q3 * 0.9999 <= b <= q3 * (1 + 2 * quality.ERROR) ** 2
     assert merged.count() < 1000
+
+
+def test_suffixes_are_the_callers(spark):
+    pages = spark.createDataFrame([(1, "https://a.b.zz.yy/x"), (2, "https://c.b.zz.yy/x"), (3, "https://d.zz.yy/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 1) for i in (1, 2)] * 3, "doc_id long, quality int, toxic int")
+    means = lambda s: {r.page_id: round(r.good_bound, 9) for r in url_filter(pages, labels, (), suffixes=s).collect()}
+    apart, joint = means(("zz.yy",)), means(())
+    assert apart[1] == apart[2] and joint.keys() == apart.keys() and joint != apart

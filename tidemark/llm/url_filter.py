@@ -43,18 +43,18 @@ def is_address(name: Column) -> Column:
     return name.rlike(r"^([0-9.]+|\[.*\])$")
 
 
-def suffix_of(host: Column) -> Column:
-    """The public suffix of a host's name; `ip` for an address of numbers."""
+def suffix_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The public suffix of a host's name: one of two labels, or else the last label; `ip` for an address of numbers."""
     name = name_of(host)
     two = F.substring_index(name, ".", -2)
-    return F.when(is_address(name), F.lit("ip")).when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(name, ".", -1))
+    return F.when(is_address(name), F.lit("ip")).when(two.isin(*suffixes), two).otherwise(F.substring_index(name, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
     """The registered domain: one label before the suffix; an address of numbers is its own."""
     name = name_of(host)
     two = F.substring_index(name, ".", -2)
-    return F.when(is_address(name), name).when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
+    return F.when(is_address(name), name).when(two.isin(*suffixes), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
@@ -73,7 +73,8 @@ def shrink(counts: DataFrame, level: str, parent: DataFrame, up: str) -> DataFra
     Strength by moments: with p the groups' shares about their parents' means m, the variance between groups is what
     sum n (p - m)^2 / sum n holds beyond the binomial part; strength = m (1 - m) / variance - 1, within STRENGTH.
     """
-    with_mean = counts.join(parent.select(up, F.col("mean").alias("m")), up)
+    means = keys_hint(stage(parent.select(up, F.col("mean").alias("m")), "means"))  # broadcast if small: a parent of most groups is no hot key
+    with_mean = counts.join(means, up)
     seen = with_mean.filter("n > 0")
     noise = F.sum(F.col("m") * (1 - F.col("m")))  # the expected sum of n (p - m)^2 without spread between groups
     moments = seen.agg(F.sum("n").alias("n"), F.sum(F.pow(F.col("k") - F.col("n") * F.col("m"), 2) / F.col("n")).alias("ss"), noise.alias("noise"), (F.sum(F.col("n") * F.col("m") * (1 - F.col("m"))) / F.sum("n")).alias("v"))
@@ -84,7 +85,7 @@ def shrink(counts: DataFrame, level: str, parent: DataFrame, up: str) -> DataFra
     return out.select(*[c for c in counts.columns if c not in ("n", "k")], a.alias("a"), b.alias("b"), (a / (a + b)).alias("mean"))
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """(host, mean, upper) for every host of pages (id, host), from outcomes (id, good 0/1).
 
     Hosts without outcomes take their domain's mean. An id with several outcomes is good only if all are. Pages with the
@@ -93,24 +94,24 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     one = outcomes.groupBy("id").agg(F.min("good").alias("good"))
     joined = pages.join(one, "id", "left")
     hosts = joined.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
-    hosts = hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host")), "root": F.lit(1)})
+    hosts = hosts.withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes), "root": F.lit(1)})
     hosts = stage(hosts, "hosts")  # every level reads it
     domains = hosts.groupBy("domain", "suffix", "root").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    suffixes = domains.groupBy("suffix", "root").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    top = suffixes.groupBy("root").agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("mean"))
-    s = shrink(suffixes, "suffix", top, "root")
+    tops = domains.groupBy("suffix", "root").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+    top = tops.groupBy("root").agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("mean"))
+    s = shrink(tops, "suffix", top, "root")
     d = shrink(domains, "domain", s, "suffix")
     h = shrink(hosts, "host", d, "domain")
     upper = F.col("mean") + Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("a") + F.col("b") + 1))
     return h.select("host", "mean", upper.alias("upper"))
 
 
-def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", label_id_col: str = "doc_id") -> DataFrame:
+def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", label_id_col: str = "doc_id", suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """Judge every url: by the longest rule that fits its host (or a parent) and path, else by its host's reputation.
 
     A page's outcome is good if its label has quality 1 and toxic 0. Returns one row per row of pages: id_col, host,
     path, rule (null if none), verdict (allow or block), good_bound double (the host's upper bound). rules is a short
-    configuration list (at most 1,000).
+    configuration list (at most 1,000), and so is suffixes: those of two labels, such as co.uk.
 
     Null urls, or urls without ://, have an empty host and path: no rule fits, and the empty host is judged like others.
     Null labels are no outcome; null ids have none. Repeated rows come back as often. Other columns are ignored. An
@@ -120,7 +121,7 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         raise ValueError("more than 1,000 rules")
     seen = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     outcomes = labels.select(F.col(label_id_col).alias("id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good")).filter("id is not null and good is not null")
-    reputation = host_reputation(seen.select("id", "host"), outcomes)
+    reputation = host_reputation(seen.select("id", "host"), outcomes, suffixes)
     rule, action = rule_of(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("upper") < CUTOFF, F.lit("block")).otherwise(F.lit("allow"))
     known = keys_hint(stage(reputation.select("host", "upper"), "reputation"))  # broadcast if small, so that a giant host is no hot key
