@@ -16,6 +16,7 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -207,23 +208,30 @@ def held_out(id_col: Column, fold: int = 5) -> Column:
     return F.crc32(id_col.cast("string")) % fold == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[int]]:
-    """At most PER_CLASS texts of the labelled rows in the learning folds, by hash order."""
+def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(id, text, y): at most PER_CLASS texts of the labelled rows in the learning folds, by hash order."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).filter(F.col("y").isin(0, 1) & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text").between(1, SAMPLE_BYTES))
     # four times the bound, since some labelled rows have no such text
     chosen = reduce(DataFrame.unionByName, [known.filter(F.col("y") == k).orderBy(F.xxhash64("id"), "id").limit(4 * PER_CLASS[k]) for k in (0, 1)])
     both = text.join(F.broadcast(chosen), "id")
-    picked = reduce(DataFrame.unionByName, [both.filter(F.col("y") == k).orderBy(F.xxhash64("id"), "id", "text").limit(PER_CLASS[k]) for k in (0, 1)])
-    rows = picked.select("id", "text", "y").collect()
-    rows.sort(key=lambda r: (r.y, r.id, r.text))
-    return [r.text for r in rows], [r.y for r in rows]
+    return reduce(DataFrame.unionByName, [both.filter(F.col("y") == k).orderBy(F.xxhash64("id"), "id", "text").limit(PER_CLASS[k]) for k in (0, 1)])
+
+
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The scorer of a model fitted to all rows (id, text, y) of a task, in an order that does not depend on theirs."""
+    rows = sorted(row for t in batches for row in zip(t.column("y").to_pylist(), t.column("id").to_pylist(), t.column("text").to_pylist(), strict=True))
+    scorer = Model().fit([text for _, _, text in rows], [y for y, _, _ in rows]).scorer()
+    yield pa.RecordBatch.from_pydict({"part": [scorer.part.tobytes()], "bias": [scorer.bias]})
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Scorer:
-    """Fit on the learning folds. Without rows of both classes the model is left as initialised."""
-    return Model().fit(*training_sample(docs, labels, id_col, text_col, label_col)).scorer()
+    """Fit on the learning folds. Without rows of both classes the model is left as initialised. The fit is one task, whose
+    rows PER_CLASS bounds; the driver gets one number for each bucket."""
+    sample = training_sample(docs, labels, id_col, text_col, label_col)
+    found = sample.coalesce(1).mapInArrow(_fitted, "part binary, bias double").collect()
+    return Scorer(np.frombuffer(found[0].part, np.float32), found[0].bias) if found else Model().scorer()
 
 
 def toxicity(docs: DataFrame, scorer: Scorer, text_col: str = "text", into: str = "score") -> DataFrame:
