@@ -248,10 +248,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = at.select("id", "key", "row", F.posexplode("nodes").alias("line", "node")).filter("node is not null")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "key", "row", "line")
     firsts = lines.groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    firsts = stage(firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "firsts")
+    # a node that stands once and is linked with nothing stays: most are so, and they go no further
+    firsts = firsts.join(roots, "node", "left").filter("times > 1 or root is not null").withColumn("root", F.coalesce("root", "node"))
+    firsts = stage(firsts, "firsts")
     kept = firsts.groupBy("root").agg(F.min("first").alias("kept"), F.sum("times").alias("of")).filter("of > 1")
     again = stage(firsts.join(kept, "root").select("node", "times", F.col("kept.row").alias("r0"), F.col("kept.line").alias("l0")), "again")
-    total = firsts.agg(F.sum("times").alias("n")).first().n or 0
+    total = at.agg(F.sum("n_lines").alias("n")).first().n or 0
     hot = again.filter(F.col("times") * HOT > total)  # fewer than HOT rows
     slim = lines.select("row", "line", "node")
     later = slim.join(F.broadcast(hot), "node").unionByName(slim.join(F.broadcast(hot.select("node")), "node", "left_anti").join(again, "node"))
