@@ -18,7 +18,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word (bytes) to 64-bit hash; emptied when it grows past its bound, so memory stays bounded."""
 
-    BOUND = 150_000  # some 200 bytes each
+    BOUND = 60_000  # some 200 bytes each
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
