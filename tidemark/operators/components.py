@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import staged, unstaged
+from ..sources.tables import by_rows, staged, unstaged
 
 #: Edges that one union-find takes at once: bounds a task's memory, whatever its share of the edges.
 CHUNK = 250_000
@@ -74,7 +74,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     found = rounds[-1].select("node", F.col("roots")[0].alias("root"))
     for before in reversed(rounds[:-1]):
         to = found.select(F.col("node").alias("mid"), F.col("root").alias("top"))
-        found = before.select("node", F.col("roots")[0].alias("mid")).join(to, "mid", "left").select("node", F.coalesce("top", "mid").alias("root"))
+        found = before.select("node", F.col("roots")[0].alias("mid")).join(by_rows(to), "mid", "left").select("node", F.coalesce("top", "mid").alias("root"))
     out = staged(found, "components")
     unstaged(*rounds)
     return out
@@ -92,10 +92,10 @@ def labelled(pairs: DataFrame) -> DataFrame:
 
     def numbered(df: DataFrame, end: str) -> DataFrame:
         of = nodes.select(F.col("g").alias("h"), F.col("node").alias("of"), F.col("id").alias(f"{end}_id"))
-        return df.join(of, F.col("g").eqNullSafe(F.col("h")) & (F.col(end) == F.col("of"))).drop("h", "of")
+        return df.join(by_rows(of), F.col("g").eqNullSafe(F.col("h")) & (F.col(end) == F.col("of"))).drop("h", "of")
 
     edges = numbered(numbered(pairs, "a"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     roots = connected_components(edges)
-    out = staged(nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("g", "node", F.coalesce("root", "id").alias("root")), "labels")
+    out = staged(nodes.join(by_rows(roots.withColumnRenamed("node", "id")), "id", "left").select("g", "node", F.coalesce("root", "id").alias("root")), "labels")
     unstaged(pairs, nodes, roots)
     return out

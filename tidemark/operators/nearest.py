@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import staged, unstaged
+from ..sources.tables import by_rows, staged, unstaged
 
 #: Pairs of a group up to which all are measured at once, and points of a cell up to which its points are measured.
 SMALL_GROUP, LEAF = 10_000, 64
@@ -48,7 +48,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
         far = F.hypot(F.greatest(F.abs(F.col("qx") - F.col("x_lo")), F.abs(F.col("qx") - F.col("x_hi"))), F.greatest(F.abs(F.col("qy") - F.col("y_lo")), F.abs(F.col("qy") - F.col("y_hi"))))
         told = pairs.select("g", "ask", "qx", "qy", "bound", "ci", "cj", "n", near.alias("near"), far.alias("far"))
         best = told.groupBy(F.col("ask").alias("of")).agg(F.least(F.min("far") * _SLACK, F.min("bound")).alias("best"))  # a few cells a question
-        return told.join(best, F.col("ask") == F.col("of")).filter("near <= best").select("g", "ask", "qx", "qy", F.col("best").alias("bound"), "ci", "cj", "n")
+        return told.join(by_rows(best), F.col("ask") == F.col("of")).filter("near <= best").select("g", "ask", "qx", "qy", F.col("best").alias("bound"), "ci", "cj", "n")
 
     root = cells(0)
     front = staged(bounded(asks.join(root, F.col("g").eqNullSafe(F.col("h"))).withColumn("bound", F.lit(float(reach)))), "front")
@@ -56,7 +56,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
     while True:
         leaf = F.col("n") <= LEAF if level < DEPTH else F.lit(True)
         of = inner.select("h", "x", "y", "offer", *at(level))
-        hit = front.filter(leaf).withColumnsRenamed({"ci": "a", "cj": "b"}).join(of, F.col("g").eqNullSafe(F.col("h")) & (F.col("a") == F.col("ci")) & (F.col("b") == F.col("cj")))
+        hit = front.filter(leaf).withColumnsRenamed({"ci": "a", "cj": "b"}).join(by_rows(of), F.col("g").eqNullSafe(F.col("h")) & (F.col("a") == F.col("ci")) & (F.col("b") == F.col("cj")))
         hit = hit.select("ask", F.struct(_distance("qx", "qy", "x", "y").alias("distance"), "offer").alias("pair"), "bound")
         found.append(staged(hit.filter("pair.distance <= bound").groupBy("ask").agg(F.min("pair").alias("best")), "found"))
         held.append(front)
@@ -89,14 +89,14 @@ def nearest_offers(asks: DataFrame, offers: DataFrame, by: str, row: str, x: Col
     places = told(asks).filter(real).select("g", F.col("x").alias("qx"), F.col("y").alias("qy")).distinct()
     places = staged(places.withColumn("ask", F.monotonically_increasing_id()), "asks")
     n_spots, n_asks = spots.groupBy("h").agg(F.count(F.lit(1)).alias("s")), places.groupBy("g").agg(F.count(F.lit(1)).alias("a"))
-    large = staged(n_asks.join(n_spots, F.col("g").eqNullSafe(F.col("h"))).filter(F.col("a") * F.col("s") > SMALL_GROUP).select(F.col("g").alias("large")), "large")
+    large = staged(n_asks.join(by_rows(n_spots), F.col("g").eqNullSafe(F.col("h"))).filter(F.col("a") * F.col("s") > SMALL_GROUP).select(F.col("g").alias("large")), "large")
     of = lambda df, g, how: df.join(large, F.col(g).eqNullSafe(F.col("large")), how)
-    pairs = of(places, "g", "left_anti").join(of(spots, "h", "left_anti"), F.col("g").eqNullSafe(F.col("h")))
+    pairs = of(places, "g", "left_anti").join(by_rows(of(spots, "h", "left_anti")), F.col("g").eqNullSafe(F.col("h")))
     pairs = pairs.select("ask", F.struct(_distance("qx", "qy", "x", "y").alias("distance"), "offer").alias("pair")).filter(F.col("pair.distance") <= reach)
     best = pairs.groupBy("ask").agg(F.min("pair").alias("best"))
     if not large.isEmpty():
         best = best.unionByName(_descended(of(places, "g", "left_semi"), of(spots, "h", "left_semi"), reach))
-    answers = places.join(best, "ask").select(F.col("g").alias("h"), "qx", "qy", "best")
+    answers = places.join(by_rows(best), "ask").select(F.col("g").alias("h"), "qx", "qy", "best")
     same = F.col("g").eqNullSafe(F.col("h")) & (F.col("x") == F.col("qx")) & (F.col("y") == F.col("qy"))
-    out = told(asks).join(answers, same, "left").select(F.col("g").alias(by), F.col("r").alias(row), F.col("best.offer").alias("offer"), F.col("best.distance").alias("distance"))
+    out = told(asks).join(by_rows(answers), same, "left").select(F.col("g").alias(by), F.col("r").alias(row), F.col("best.offer").alias("offer"), F.col("best.distance").alias("distance"))
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import staged
+from ..sources.tables import by_rows, staged
 from . import scan
 from .components import labelled
 
@@ -33,20 +33,20 @@ def density_clusters(df: DataFrame, by: str, row: str, x: Column, y: Column, eps
     side = eps / 2**0.5
     pts = df.select(F.col(by).alias("g"), F.col(row).alias("p"), x.alias("x"), y.alias("y"))
     lacking = pts.groupBy("g").agg(F.bool_or(F.col("x").isNull() | F.col("y").isNull()).alias("lacking")).filter("lacking").select(F.col("g").alias("bad"))
-    good = pts.join(lacking, F.col("g").eqNullSafe(F.col("bad")), "left_anti")
+    good = pts.join(by_rows(lacking), F.col("g").eqNullSafe(F.col("bad")), "left_anti")
     cells = good.withColumns({"i": F.floor(F.col("x") / side), "j": F.floor(F.col("y") / side)})
     cells = staged(cells.withColumn("cell", F.struct("i", "j")), "cells")
     spots = cells.select("g", "cell", "i", "j", "x", "y").distinct()
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3) if (a, b) > (0, 0)]))
     wide = spots.withColumn("o", near).select(F.col("g").alias("h"), F.col("cell").alias("d"), F.col("x").alias("u"), F.col("y").alias("v"), (F.col("i") + F.col("o.a")).alias("k"), (F.col("j") + F.col("o.b")).alias("l"))
-    links = spots.join(wide, F.col("g").eqNullSafe(F.col("h")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l")))
+    links = spots.join(by_rows(wide), F.col("g").eqNullSafe(F.col("h")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l")))
     links = links.filter(F.hypot(F.col("x") - F.col("u"), F.col("y") - F.col("v")) <= eps).select("g", F.col("cell").alias("a"), F.col("d").alias("b")).distinct()
     roots = labelled(links).select(F.col("g").alias("h"), "node", "root")
-    found = cells.join(roots, F.col("g").eqNullSafe(F.col("h")) & (F.col("cell") == F.col("node")), "left")
+    found = cells.join(by_rows(roots), F.col("g").eqNullSafe(F.col("h")) & (F.col("cell") == F.col("node")), "left")
     found = found.select("g", "p", "root", F.when(F.col("root").isNull(), F.col("cell")).alias("alone"))
     sizes = found.groupBy(F.col("g").alias("h"), F.col("root").alias("of"), F.col("alone").alias("by")).agg(F.min("p").alias("least"), F.count(F.lit(1)).alias("n"))
     same = F.col("g").eqNullSafe(F.col("h")) & F.col("root").eqNullSafe(F.col("of")) & F.col("alone").eqNullSafe(F.col("by"))
-    told = found.join(sizes, same).select("g", "p", F.when(F.col("n") > 1, F.col("least")).alias("cluster"), (F.col("n") == 1).alias("is_noise"), F.lit(False).alias("problem_geo"))
-    whole = pts.join(lacking, F.col("g").eqNullSafe(F.col("bad")), "left_semi").groupBy(F.col("g").alias("h")).agg(F.min("p").alias("cluster"))
-    odd = pts.join(whole, F.col("g").eqNullSafe(F.col("h"))).select("g", "p", "cluster", F.lit(False).alias("is_noise"), F.lit(True).alias("problem_geo"))
+    told = found.join(by_rows(sizes), same).select("g", "p", F.when(F.col("n") > 1, F.col("least")).alias("cluster"), (F.col("n") == 1).alias("is_noise"), F.lit(False).alias("problem_geo"))
+    whole = pts.join(by_rows(lacking), F.col("g").eqNullSafe(F.col("bad")), "left_semi").groupBy(F.col("g").alias("h")).agg(F.min("p").alias("cluster"))
+    odd = pts.join(by_rows(whole), F.col("g").eqNullSafe(F.col("h"))).select("g", "p", "cluster", F.lit(False).alias("is_noise"), F.lit(True).alias("problem_geo"))
     return told.unionByName(odd).select(F.col("g").alias(by), F.col("p").alias(row), "cluster", "is_noise", "problem_geo")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_mailbox
-from ..sources.tables import staged
+from ..sources.tables import by_rows, staged
 from .cities import matched_cities
 from .nearest import nearest_offers
 from .places import density_clusters
@@ -25,7 +25,7 @@ def introduced(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFram
     inner = df.select(F.col(key).alias("k"), F.struct("*").alias("row"), *[f.alias(f"f{i}") for i, f in enumerate(flags.values())])
     names = [f"f{i}" for i in range(len(flags))]
     sums = inner.groupBy(F.col("k").alias("of")).agg(*[(F.sum(c) > 1).alias(f"over_{c}") for c in names])
-    joined = inner.join(sums, F.col("k").eqNullSafe(F.col("of")))
+    joined = inner.join(by_rows(sums), F.col("k").eqNullSafe(F.col("of")))
     hit = F.lit(False)
     for c in names:
         hit = hit | (F.coalesce(f"over_{c}", F.lit(False)) & (F.coalesce(c, F.lit(0)) == 1))
@@ -81,14 +81,14 @@ def select_survivors(df: DataFrame, key: str, row: str, flags: Mapping[str, Colu
     marked = staged(introduced(df, key, flags), "marked")
     some = marked.filter("introduced").drop("introduced")
     places = density_clusters(some, key, row, x, y, eps).toDF("g", "p", "cluster", "is_noise", "problem_geo")
-    inner = some.select(F.struct(*some.columns).alias("r")).join(places, F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")))
+    inner = some.select(F.struct(*some.columns).alias("r")).join(by_rows(places), F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")))
     joined = inner.select("r.*", "cluster", "is_noise", "problem_geo")
     judged = staged(survivor_ladder(joined, [key, "cluster", "is_noise"], row, answer=answer, **ladder), "judged")
     stay = judged.filter("decision = 'Keep' and not needs_review").select(*[c for c in marked.columns if c != "introduced"]).unionByName(marked.filter("not introduced").drop("introduced"))
     offers = stay.filter((answer != NO_MATCH) & ~F.coalesce(is_mailbox(address), F.lit(False)))
     lent = nearest_offers(judged.filter("decision = 'Keep' and needs_review"), offers, key, row, x, y, eps).filter("offer is not null")
     lent = lent.select(F.col(key).alias("g"), F.col(row).alias("p"), "offer")
-    whole = judged.select(F.struct(*judged.columns).alias("r")).join(lent, F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")), "left")
+    whole = judged.select(F.struct(*judged.columns).alias("r")).join(by_rows(lent), F.col(f"r.{key}").eqNullSafe(F.col("g")) & (F.col(f"r.{row}") == F.col("p")), "left")
     whole = whole.select("r.*", F.col("offer").alias("lender")).withColumn("decision", F.when(F.col("lender").isNotNull(), "Drop").otherwise(F.col("decision")))
     alone = marked.filter(~F.col("introduced")).drop("introduced")
     return whole.unionByName(alone.withColumn("decision", F.lit("Keep")), allowMissingColumns=True).na.fill(False, ["by_city", "needs_review", "problem_geo"])
@@ -106,8 +106,8 @@ def compressed(judged: DataFrame, key: str, row: str, flags: Mapping[str, str])
     sums = staged(inner.filter("i is not null").groupBy("g", "h", "i").agg(*[F.max(n).alias(n) for n in names.values()], F.max("lender").alias("lender")), "sums")
     own = sums.toDF("g1", "h1", "i1", *[f"own_{n}" for n in names.values()], "lent")
     lent = sums.filter("lender is not null").groupBy(F.col("g").alias("g2"), F.col("lender").alias("p2")).agg(*[F.max(n).alias(f"lent_{n}") for n in names.values()])
-    out = inner.join(own, F.col("g").eqNullSafe(F.col("g1")) & F.col("h").eqNullSafe(F.col("h1")) & F.col("i").eqNullSafe(F.col("i1")), "left")
-    out = out.join(lent, F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")), "left")
+    out = inner.join(by_rows(own), F.col("g").eqNullSafe(F.col("g1")) & F.col("h").eqNullSafe(F.col("h1")) & F.col("i").eqNullSafe(F.col("i1")), "left")
+    out = out.join(by_rows(lent), F.col("g").eqNullSafe(F.col("g2")) & (F.col("p") == F.col("p2")), "left")
     kept = F.col("decision") == "Keep"
     made = {k: F.when(kept, F.least(F.greatest(F.col(n), F.coalesce(f"own_{n}", F.lit(0)), F.coalesce(f"lent_{n}", F.lit(0))), F.lit(1))).otherwise(F.col(n)) for k, n in names.items()}
     return out.select(*[F.col(f"r.{c}") for c in judged.columns if c not in made], *[made[k].alias(k) for k in made])
@@ -122,7 +122,7 @@ def survivor_checks(done: DataFrame, key: str, row: str, flags: list[str]) -> Da
     rows = done.filter("is_noise is not null").select(*_group(key), *facts, F.col("problem_geo").alias("lacks"))
     asks = done.filter("lender is not null").select(*_group(key), F.col("lender").alias("of"), F.col("problem_geo").alias("lacks"))
     lenders = done.select(F.col(key).alias("lg"), F.col(row).alias("p"), *facts)
-    lent = asks.join(lenders, F.col("g").eqNullSafe(F.col("lg")) & (F.col("of") == F.col("p"))).select("g", "h", "i", *names, "kept", "lacks")
+    lent = asks.join(by_rows(lenders), F.col("g").eqNullSafe(F.col("lg")) & (F.col("of") == F.col("p"))).select("g", "h", "i", *names, "kept", "lacks")
     rows = rows.unionByName(lent.filter("kept"))
     sums = [F.coalesce(F.sum(F.when(F.col("kept") if k else ~F.col("kept"), F.col(c))), F.lit(0)).alias(f"{c}_{k}") for c in names for k in (0, 1)]
     out = rows.groupBy("g", "h", "i").agg(*sums, F.max("lacks").alias("geo_na"), (F.count_if("kept") == 1).alias("one_kept"))

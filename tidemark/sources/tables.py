@@ -116,6 +116,12 @@ def unstaged(*frames: DataFrame) -> None:
             _delete(df.sparkSession, path)
 
 
+def by_rows(df: DataFrame) -> DataFrame:
+    """df, as many rows as the input or its groups: joins sort it. Spark would guess its size from compressed files, take a
+    table of a million rows for a small one, and gather it in the driver to broadcast it."""
+    return df.hint("merge")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
