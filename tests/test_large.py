@@ -1,8 +1,10 @@
 """What grows with the input: nothing of it goes through the driver or in one task."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
-from tidemark.operators import places, survivors
+from tidemark.operators import nearest, places, survivors
 
 
 def test_tables_of_rows_are_not_broadcast(spark):
@@ -15,3 +17,13 @@ def test_tables_of_rows_are_not_broadcast(spark):
     ]
     for df in made:
         assert df.count() == 300 and "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nearest_ties_of_tenths_go_to_the_least_row(spark, monkeypatch):
+    spots = [(1, 1.0, 5), (2, 1.3, 6), (3, 0.5, 5), (4, 1.3, 4), *[(9 + i, 50.0 + i, i % 7) for i in range(150)]]  # 2, 3 and 4 are 0.5 from 1
+    df = spark.createDataFrame(spots, "r int, x double, i int").withColumn("g", F.lit(1))
+    y = (F.col("i") * F.lit(Decimal("0.4"))).cast("decimal(3, 1)")
+    for small in (10_000, 10):
+        monkeypatch.setattr(nearest, "SMALL_GROUP", small)
+        got = nearest.nearest_offers(df.filter("r = 1"), df.filter("r <> 1"), "g", "r", F.col("x"), y).first()
+        assert (got.offer, got.distance) == (2, 0.5)

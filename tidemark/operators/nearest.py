@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import by_rows, staged, unstaged
+from .places import distance
 
 #: Pairs of a group up to which all are measured at once, and points of a cell up to which its points are measured.
 SMALL_GROUP, LEAF = 10_000, 64
@@ -14,10 +15,6 @@ STEP, DEPTH = 3, 24
 _SLACK = 1 + 1e-9  # bounds and distances are rounded on different ways
 
 
-def _distance(ax: str, ay: str, bx: str, by: str) -> Column:
-    return F.hypot(F.col(ax) - F.col(bx), F.col(ay) - F.col(by))
-
-
 def _beyond(q: str, lo: str, hi: str) -> Column:
     """How far a coordinate lies outside of an interval."""
     return F.greatest(F.col(lo) - F.col(q), F.col(q) - F.col(hi), F.lit(0.0))
@@ -48,7 +45,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
         far = F.hypot(F.greatest(F.abs(F.col("qx") - F.col("x_lo")), F.abs(F.col("qx") - F.col("x_hi"))), F.greatest(F.abs(F.col("qy") - F.col("y_lo")), F.abs(F.col("qy") - F.col("y_hi"))))
         told = pairs.select("g", "ask", "qx", "qy", "bound", "ci", "cj", "n", near.alias("near"), far.alias("far"))
         best = told.groupBy(F.col("ask").alias("of")).agg(F.least(F.min("far") * _SLACK, F.min("bound")).alias("best"))  # a few cells a question
-        return told.join(by_rows(best), F.col("ask") == F.col("of")).filter("near <= best").select("g", "ask", "qx", "qy", F.col("best").alias("bound"), "ci", "cj", "n")
+        return told.join(by_rows(best), F.col("ask") == F.col("of")).filter(F.col("near") <= F.col("best") * _SLACK).select("g", "ask", "qx", "qy", F.col("best").alias("bound"), "ci", "cj", "n")
 
     root = cells(0)
     front = staged(bounded(asks.join(root, F.col("g").eqNullSafe(F.col("h"))).withColumn("bound", F.lit(float(reach)))), "front")
@@ -57,7 +54,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
         leaf = F.col("n") <= LEAF if level < DEPTH else F.lit(True)
         of = inner.select("h", "x", "y", "offer", *at(level))
         hit = front.filter(leaf).withColumnsRenamed({"ci": "a", "cj": "b"}).join(by_rows(of), F.col("g").eqNullSafe(F.col("h")) & (F.col("a") == F.col("ci")) & (F.col("b") == F.col("cj")))
-        hit = hit.select("ask", F.struct(_distance("qx", "qy", "x", "y").alias("distance"), "offer").alias("pair"), "bound")
+        hit = hit.select("ask", F.struct(distance(hit, ("qx", "qy"), ("x", "y")).alias("distance"), "offer").alias("pair"), "bound")
         found.append(staged(hit.filter("pair.distance <= bound").groupBy("ask").agg(F.min("pair").alias("best")), "found"))
         held.append(front)
         down = front.filter(~leaf)
@@ -81,9 +78,9 @@ def nearest_offers(asks: DataFrame, offers: DataFrame, by: str, row: str, x: Col
     Ties go to the least row; beyond `reach`, in a group without offers and for rows without coordinates both are null.
     by, row, x and y are of both tables; rows must tell asks apart within a group. A null group is a group. Points at one
     place count once on both sides, so neither a place that many share nor a crowded cell makes all pairs: groups of few
-    pairs are measured at once, larger ones by going down a grid.
+    pairs are measured at once, larger ones by going down a grid. Decimal coordinates are measured exactly, others as doubles.
     """
-    told = lambda df: df.select(F.col(by).alias("g"), F.col(row).alias("r"), x.cast("double").alias("x"), y.cast("double").alias("y"))
+    told = lambda df: df.select(F.col(by).alias("g"), F.col(row).alias("r"), x.alias("x"), y.alias("y"))
     real = "x is not null and y is not null and not isnan(x) and not isnan(y)"
     spots = staged(told(offers).filter(real).groupBy(F.col("g").alias("h"), "x", "y").agg(F.min("r").alias("offer")), "spots")
     places = told(asks).filter(real).select("g", F.col("x").alias("qx"), F.col("y").alias("qy")).distinct()
@@ -92,7 +89,7 @@ def nearest_offers(asks: DataFrame, offers: DataFrame, by: str, row: str, x: Col
     large = staged(n_asks.join(by_rows(n_spots), F.col("g").eqNullSafe(F.col("h"))).filter(F.col("a") * F.col("s") > SMALL_GROUP).select(F.col("g").alias("large")), "large")
     of = lambda df, g, how: df.join(large, F.col(g).eqNullSafe(F.col("large")), how)
     pairs = of(places, "g", "left_anti").join(by_rows(of(spots, "h", "left_anti")), F.col("g").eqNullSafe(F.col("h")))
-    pairs = pairs.select("ask", F.struct(_distance("qx", "qy", "x", "y").alias("distance"), "offer").alias("pair")).filter(F.col("pair.distance") <= reach)
+    pairs = pairs.select("ask", F.struct(distance(pairs, ("qx", "qy"), ("x", "y")).alias("distance"), "offer").alias("pair")).filter(F.col("pair.distance") <= reach)
     best = pairs.groupBy("ask").agg(F.min("pair").alias("best"))
     if not large.isEmpty():
         best = best.unionByName(_descended(of(places, "g", "left_semi"), of(spots, "h", "left_semi"), reach))

@@ -10,6 +10,15 @@ from . import scan
 from .components import labelled
 
 
+def distance(df: DataFrame, a: tuple[str, str], b: tuple[str, str]) -> Column:
+    """The distance of two points by their columns of df. Decimals are subtracted and squared as such (exactly up to 17
+    digits), so points as far on one side as on the other are tied as well, which binary tenths are not; and the root is
+    of the sum as SQL would state it, not by hypot, which rounds otherwise."""
+    kinds = dict(df.dtypes)
+    gaps = [F.col(p) - F.col(q) if kinds[p].startswith("decimal") and kinds[q].startswith("decimal") else F.col(p).cast("double") - F.col(q).cast("double") for p, q in zip(a, b, strict=True)]
+    return F.sqrt((gaps[0] * gaps[0]).cast("double") + (gaps[1] * gaps[1]).cast("double"))
+
+
 def gap_clusters(df: DataFrame, by: str, x: Column, row: str, eps: float) -> DataFrame:
     """(by, row, x, cluster): density clusters of two points or more on a line, numbered from 1 in each group among the
     runs without a gap above eps; noise is 0. Rows are scanned by ranges, so a group of any size uses many tasks. Null x
@@ -40,7 +49,7 @@ def density_clusters(df: DataFrame, by: str, row: str, x: Column, y: Column, eps
     near = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3) if (a, b) > (0, 0)]))
     wide = spots.withColumn("o", near).select(F.col("g").alias("h"), F.col("cell").alias("d"), F.col("x").alias("u"), F.col("y").alias("v"), (F.col("i") + F.col("o.a")).alias("k"), (F.col("j") + F.col("o.b")).alias("l"))
     links = spots.join(by_rows(wide), F.col("g").eqNullSafe(F.col("h")) & (F.col("i") == F.col("k")) & (F.col("j") == F.col("l")))
-    links = links.filter(F.hypot(F.col("x") - F.col("u"), F.col("y") - F.col("v")) <= eps).select("g", F.col("cell").alias("a"), F.col("d").alias("b")).distinct()
+    links = links.filter(distance(links, ("x", "y"), ("u", "v")) <= eps).select("g", F.col("cell").alias("a"), F.col("d").alias("b")).distinct()
     roots = labelled(links).select(F.col("g").alias("h"), "node", "root")
     found = cells.join(by_rows(roots), F.col("g").eqNullSafe(F.col("h")) & (F.col("cell") == F.col("node")), "left")
     found = found.select("g", "p", "root", F.when(F.col("root").isNull(), F.col("cell")).alias("alone"))

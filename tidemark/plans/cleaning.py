@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -154,7 +156,7 @@ def judged(spark, sf) -> DataFrame:
     rows = orders(spark, sf).filter(F.col("y").between(YEARS[0], YEARS[-1]))
     rows = rows.select(
         c.alias("k"), k.alias("r"), "y", *[F.coalesce(f, F.lit(0)).alias(n) for n, f in year_flags().items()],
-        F.when((c % 37 != 5) | (k % 4 != 1), F.round(price / 50000, 1)).alias("gx"), ((k % 7) * 0.4).alias("gy"),
+        F.when((c % 37 != 5) | (k % 4 != 1), F.round(price / 50000, 1)).alias("gx"), ((k % 7) * F.lit(Decimal("0.4"))).cast("decimal(3, 1)").alias("gy"),
         F.when((F.col("o_orderstatus") == "P") | (k % 6 == 0), survivors.NO_MATCH).otherwise("ok").alias("answer"),
         F.concat(F.when(k % 2 == 0, F.col("o_orderpriority")).otherwise(F.substring("o_orderpriority", 3, 99)), F.repeat(F.lit("x"), (k % 9).cast("int"))).alias("line"),
         F.when(k % 5 == 0, "apt").alias("extra"),
