@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidemark.operators import nearest, places, survivors
+from tidemark.sources import ranges
 
 
 def test_tables_of_rows_are_not_broadcast(spark):
@@ -27,3 +28,18 @@ def test_nearest_ties_of_tenths_go_to_the_least_row(spark, monkeypatch):
         monkeypatch.setattr(nearest, "SMALL_GROUP", small)
         got = nearest.nearest_offers(df.filter("r = 1"), df.filter("r <> 1"), "g", "r", F.col("x"), y).first()
         assert (got.offer, got.distance) == (2, 0.5)
+
+
+def test_ranges_are_listed_once(spark, tmp_path, monkeypatch):
+    listed = []
+    real = ranges._listed
+    monkeypatch.setattr(ranges, "_listed", lambda s, p, folders, k: listed.extend(folders) or real(s, p, folders, k))
+    monkeypatch.setattr(ranges, "AT_ONCE", 2)
+    monkeypatch.setattr(ranges, "JOBS", 3)
+    df = spark.range(1, 101).select(F.col("id").alias("n")).filter("n not between 41 and 50")
+    assert ranges.write_ranges(df, f"{tmp_path}/out", "n", 10) == 10
+    assert len(listed) == len(set(listed)) == 9
+    ledger = ranges.range_ledger(spark, f"{tmp_path}/out").collect()
+    assert {r.first: r.n_rows for r in ledger} == {i: 10 * (i != 41) for i in range(1, 101, 10)}
+    assert ranges._entries(spark, f"{tmp_path}/out").agg(F.max("step")).first()[0] == 6  # three jobs
+    assert all(len([f for f in p.iterdir() if f.name.startswith("part-")]) == 1 for p in (tmp_path / "out").glob("rows=*"))

@@ -16,8 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .tables import _delete
+from .tables import _delete, _exists, by_rows
 
+#: Jobs of a run at most, where ranges are so many that a job takes more than AT_ONCE.
+AT_ONCE, JOBS = 64, 16
+#: Tasks that write or list the ranges of a job.
+PARTS = 64
 _ENTRY = "first long, last long, step long, state string, n_rows long, fingerprint long"
 
 
@@ -44,6 +48,20 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], _ENTRY)
 
 
+def _listed(spark: SparkSession, path: str, folders: list[str], schema: StructType) -> DataFrame:
+    """The rows of these folders of path, and of no other: listing all of them for each job would grow with their square.
+    Folders are listed by a few tasks, not by one each, as every task's outcome goes to the driver."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, PARTS)
+    try:
+        return spark.read.schema(schema).option("basePath", path).csv(folders, header=True, nullValue="NA")
+    finally:
+        spark.conf.set(name, before)
+
+
 def range_ledger(spark: SparkSession, path: str) -> DataFrame:
     """(first, last, state, n_rows, fingerprint) of every range that was ever begun: its last entry. n_rows and the
     fingerprint, in which order plays no part, are those of the folder as it was read back; null while `begun`."""
@@ -54,11 +72,12 @@ def range_ledger(spark: SparkSession, path: str) -> DataFrame:
 def read_ranges(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The rows of all finished ranges and their range, `rows`; folders that a dead job left half-way are passed over."""
     done = range_ledger(spark, path).filter("state = 'finished'").select(_label(F.col("first"), F.col("last")).alias("rows"))
-    return spark.read.schema(f"{schema}, rows string").csv(path, header=True, nullValue="NA").join(done, "rows", "left_semi")
+    return spark.read.schema(f"{schema}, rows string").csv(path, header=True, nullValue="NA").join(by_rows(done), "rows", "left_semi")
 
 
-def write_ranges(df: DataFrame, path: str, row: str, size: int, at_once: int = 64, only: Sequence[int] | None = None, again: bool = False) -> int:
-    """Write the ranges of df that the ledger doesn't have as finished, `at_once` of them a job; how many were written.
+def write_ranges(df: DataFrame, path: str, row: str, size: int, at_once: int | None = None, only: Sequence[int] | None = None, again: bool = False) -> int:
+    """Write the ranges of df that the ledger doesn't have as finished, `at_once` of them a job (by default AT_ONCE, or so
+    many more that JOBS jobs do: each reads df); how many were written.
 
     df has a column `row` of numbers from 1, which is written with the others; rows whose number is null or below 1 raise
     an error, as no range would hold them, and so does a path with ranges of another size, which would overlap. `only` names ranges by any row number in them; with `again`, finished ones are
@@ -82,6 +101,7 @@ def write_ranges(df: DataFrame, path: str, row: str, size: int, at_once: int = 6
     columns = [c for c in df.columns if c != "rows"]
     schema = StructType([*df.select(*columns).schema.fields, StructField("rows", StringType())])
     step = (_entries(spark, path).agg(F.max("step")).first()[0] or 0) + 1
+    at_once = at_once or max(AT_ONCE, -(-len(left) // JOBS))
 
     def note(entries: DataFrame) -> None:
         entries.select(*[F.col(c.split()[0]) for c in _ENTRY.split(", ")]).coalesce(1).write.mode("append").parquet(_beside(path))
@@ -91,16 +111,19 @@ def write_ranges(df: DataFrame, path: str, row: str, size: int, at_once: int = 6
         of = [(i * size + 1, (i + 1) * size) for i in group]
         within = F.col(row).between(of[0][0], of[-1][1])
         first, last = bounds(F.col(row), size)
-        chosen = df.filter(within & first.isin([a for a, _ in of])).select(*columns, _label(first, last).alias("rows"))
         begun = spark.createDataFrame(of, "first long, last long")
+        whole = group[-1] - group[0] + 1 == len(group)
+        chosen = df.filter(within if whole else within & first.isin([a for a, _ in of])).select(*columns, _label(first, last).alias("rows"))
+        chosen = chosen.repartition(min(len(group), PARTS), "rows")  # one file a range, whatever the source's order
         note(begun.select("first", "last", F.lit(step).alias("step"), F.lit("begun").alias("state"), F.lit(None).cast("long").alias("n_rows"), F.lit(None).cast("long").alias("fingerprint")))
-        for a, b in of:  # a range that has no rows any more must not keep its old ones
-            _delete(spark, f"{path}/rows={a} to {b}")
+        folders = [f"{path.rstrip('/')}/rows={a} to {b}" for a, b in of]
+        for folder in folders:  # a range that has no rows any more must not keep its old ones
+            _delete(spark, folder)
         chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("rows").csv(path, header=True, nullValue="NA")
         names = begun.withColumn("rows", _label(F.col("first"), F.col("last")))
-        read = spark.read.schema(schema).csv(path, header=True, nullValue="NA")
-        found = read.filter(F.col("rows").isin([f"{a} to {b}" for a, b in of])).groupBy("rows").agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(F.xxhash64(*columns)).alias("fingerprint"))
-        note(names.join(found, "rows", "left").select("first", "last", F.lit(step + 1).alias("step"), F.lit("finished").alias("state"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "fingerprint"))
+        read = _listed(spark, path, [f for f in folders if _exists(spark, f)], schema)
+        found = read.groupBy("rows").agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(F.xxhash64(*columns)).alias("fingerprint"))
+        note(names.join(by_rows(found), "rows", "left").select("first", "last", F.lit(step + 1).alias("step"), F.lit("finished").alias("state"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "fingerprint"))
         step += 2
     return len(left)
 

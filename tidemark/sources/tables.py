@@ -127,6 +127,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def _delete_all(spark: SparkSession) -> None:
     if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
         return
