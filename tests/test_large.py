@@ -1,10 +1,12 @@
 """What grows with the input: nothing of it goes through the driver or in one task."""
 
+import random
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import nearest, places, survivors
+from tidemark.operators.components import labelled
 from tidemark.sources import ranges
 
 
@@ -43,3 +45,19 @@ def test_ranges_are_listed_once(spark, tmp_path, monkeypatch):
     assert {r.first: r.n_rows for r in ledger} == {i: 10 * (i != 41) for i in range(1, 101, 10)}
     assert ranges._entries(spark, f"{tmp_path}/out").agg(F.max("step")).first()[0] == 6  # three jobs
     assert all(len([f for f in p.iterdir() if f.name.startswith("part-")]) == 1 for p in (tmp_path / "out").glob("rows=*"))
+
+
+def test_points_of_small_groups_are_not_copied(spark, monkeypatch):
+    monkeypatch.setattr(places, "SMALL_GROUP", 20)
+    rng = random.Random(5)
+    rows = [(g, i, rng.randrange(30) * 0.3, rng.randrange(30) * 0.3) for i, g in enumerate([None, *range(1, 9)] * 12 + [0] * 150)]
+    df = spark.createDataFrame(rows, "g int, p int, x double, y double")
+    cluster = lambda: sorted(map(str, places.density_clusters(df, "g", "p", F.col("x"), F.col("y"), 0.75).collect()))
+    both = cluster()
+    for n in (0, 1000):
+        monkeypatch.setattr(places, "SMALL_GROUP", n)
+        assert cluster() == both
+    sent = []
+    monkeypatch.setattr(places, "labelled", lambda links: sent.append(links._jdf.queryExecution().optimizedPlan().toString()) or labelled(links))
+    cluster()
+    assert "n_group" in sent[0]  # only larger groups come to the copies
