@@ -61,3 +61,19 @@ def test_points_of_small_groups_are_not_copied(spark, monkeypatch):
     monkeypatch.setattr(places, "labelled", lambda links: sent.append(links._jdf.queryExecution().optimizedPlan().toString()) or labelled(links))
     cluster()
     assert "n_group" in sent[0]  # only larger groups come to the copies
+
+
+def test_descent_is_dealt_over_tasks(spark, monkeypatch):
+    files = []
+    real = nearest.staged
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "front":
+            files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(nearest, "staged", counted)
+    rows = spark.range(4000).select(F.col("id").alias("r"), F.lit(1).alias("g"), (F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 91 % 103).cast("double").alias("y"))
+    got = nearest.nearest_offers(rows.filter("r % 5 = 0"), rows.filter("r % 5 <> 0"), "g", "r", F.col("x"), F.col("y"))
+    assert got.count() == 800 and len(files) > 1 and min(files[1:]) == 4

@@ -50,6 +50,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
     root = cells(0)
     front = staged(bounded(asks.join(root, F.col("g").eqNullSafe(F.col("h"))).withColumn("bound", F.lit(float(reach)))), "front")
     found, level, held = [], 0, []
+    parts = int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while True:
         leaf = F.col("n") <= LEAF if level < DEPTH else F.lit(True)
         of = inner.select("h", "x", "y", "offer", *at(level))
@@ -63,6 +64,7 @@ def _descended(asks: DataFrame, spots: DataFrame, reach: float) -> DataFrame:
         level += STEP
         below = cells(level).withColumns({"pi": F.shiftright("ci", STEP), "pj": F.shiftright("cj", STEP)})
         down = down.select("g", "ask", "qx", "qy", "bound", F.col("ci").alias("a"), F.col("cj").alias("b"))
+        down = down.repartition(parts, "ask")  # a small file otherwise, whose one task would make 64 rows of each
         front = staged(bounded(down.join(below, F.col("g").eqNullSafe(F.col("h")) & (F.col("a") == F.col("pi")) & (F.col("b") == F.col("pj")))), "front")
     every = found[0]
     for df in found[1:]:
