@@ -15,7 +15,7 @@ from tidemark.llm import quality_rules as quality
 from tidemark.llm import setjoin, sharding
 from tidemark.llm.decontam import contaminated
 from tidemark.llm.license_scan import TEMPLATES, license_scan
-from tidemark.llm.line_dedup import Sketches, fold, line_dedup, without_lines
+from tidemark.llm.line_dedup import Sketches, char_shingles, fold, folded_lines, line_dedup, without_lines
 from tidemark.llm.mixing import mix_sources, taken
 from tidemark.llm.ngram_join import jaccard_groups, tile_keys
 from tidemark.llm.quality_rules import quality_rules
@@ -154,6 +154,20 @@ def test_line_dedup(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_lines_are_folded_and_hashed_alike():
+    """A text's lines at once as each by itself: case at the ends of words, blanks of all kinds; shingles of each line once."""
+    rng = random.Random(8)
+    for letters in ("aB \n ", "aB \n\t\x1f\r\v", "aAΣσςİßǅ' .\n\t\x1c\x85\xa0\u2003\u3000\u0345\ud800"):
+        for _ in range(2_000):
+            text = "".join(rng.choices(letters, k=rng.randrange(15)))
+            assert folded_lines(text) == [fold(x) for x in text.split("\n")]
+    lines = ["", "a", "a" * 30, *("".join(rng.choices("abc ", k=rng.randrange(150))) for _ in range(900))]
+    widths = [rng.choice([3, 8]) for _ in lines]
+    got = Sketches.sets([bytes([w]) + x.encode() for w, x in zip(widths, lines, strict=True)])
+    for w, x, have in zip(widths, lines, got, strict=True):
+        assert np.array_equal(np.unique(char_shingles([x], w)[0]), have)
+
+
 def test_line_dedup_ties_and_texts(spark):
     line = "a fairly long line of words that stands in many documents of the corpus, more or less as it is"
     rows = [(1, f"x\n{line}", "p"), (1, f"{line}\ny", "q"), (2, f"{line}.", "r"), (3, "", "s")]

@@ -8,6 +8,7 @@ import numpy as np
 
 import __spark_entry__
 from tidemark.llm import setjoin
+from tidemark.llm.hashing import mix
 from tidemark.llm.ngram_join import jaccard_groups, jaccard_links
 from tidemark.operators.components import connected_components
 
@@ -117,6 +118,53 @@ def test_small_and_large_tiles_alike(monkeypatch):
     assert want <= got[0] <= got[1] <= may and len(want) > 100  # in a large tile bitmaps are folded to the least size
 
 
+def test_small_groups_are_single_tiles(spark):
+    """No member of a group that fits one tile is given out again for each band beside its own, and nothing is joined."""
+    rng = random.Random(5)
+    rows = [(lead, 100 * lead + i, i % 3, rng.randrange(50, 200), b"") for lead in range(30) for i in range(rng.randrange(2, 20))]
+    rows += [(99, 10_000 + i, i, 9_000 if i % 2 else 10_000, b"") for i in range(150)] + [(98, 20_000 + i, i, 10 + i, b"") for i in range(80)]
+    tiled = setjoin._tiled(spark.createDataFrame(rows, setjoin.MEMBERS_DDL), 80)
+    got = Counter(r.lead for r in tiled.collect())
+    of = Counter(r[0] for r in rows)
+    assert {k: n for k, n in got.items() if k < 98} == {k: n for k, n in of.items() if k < 98}
+    assert got[99] > of[99] and got[98] > of[98]  # too large, or of unlike sizes
+    small = setjoin._tiled(spark.createDataFrame(rows, setjoin.MEMBERS_DDL).filter("lead < 98"), 80)
+    assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stars_hold_every_pair_of_a_key(spark, monkeypatch):
+    """Postings in many chunks, some nodes given out twice: each member of a key meets one lead, with `more` unless the key
+    has these two members alone, so that a group holds each pair of its keys that has not been compared with the lead."""
+    monkeypatch.setattr(setjoin, "CHUNK", 50)
+    rng = np.random.default_rng(6)
+    key = mix(np.r_[rng.integers(0, 150, 400), rng.integers(1_000, 1_004, 200), np.repeat(np.arange(2_000, 2_100), 2)].astype(np.uint64))
+    node = np.r_[rng.integers(0, 80, 600), rng.integers(100, 140, 200)]
+    order = rng.permutation(len(key))
+    batches, out = [], setjoin.Combiner(8)
+    for at in np.array_split(order, 60):
+        out.add(node[at], key[at])
+        batches += out.batches()
+    batches += out.batches(last=True)
+    assert len(batches) > 5
+    postings = spark.createDataFrame([tuple(r.values()) for b in batches for r in b.to_pylist()], setjoin.POSTINGS_DDL)
+    every = postings.groupBy("bucket").applyInArrow(lambda rows: setjoin._led(rows, 0), setjoin.LED_DDL)
+    rows = [(r.a, r.b, r.more) for r in setjoin._stars(every).collect()]
+    got = {(a, b): more for a, b, more in rows}
+    assert len(got) == len(rows) and all(a != b for a, b in got)
+    members = defaultdict(set)
+    for k, n in zip(key.tolist(), node.tolist(), strict=True):
+        members[k].add(n)
+    pairs = {(min(p), max(p)) for m in members.values() for p in combinations(m, 2)}
+    assert {(min(p), max(p)) for p in got} <= pairs
+    for m in members.values():
+        if len(m) == 2:
+            a, b = m
+            assert (a, b) in got or (b, a) in got
+        elif len(m) > 2:
+            assert any(all(got.get((lead, x)) for x in m - {lead}) for lead in m)
+    assert not all(got.values())
+
+
 def test_components_of_any_shape(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(400)] + [(1_000, 1_001 + i) for i in range(300)] + [(5_000 + rng.randrange(300), 5_000 + rng.randrange(300)) for _ in range(200)] + [(7, 7), (9_000, 9_000)]

@@ -14,6 +14,7 @@ are told (`Sketches`); `setjoin` verifies exact Jaccard similarity of the others
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,12 +43,23 @@ SKETCH, SIGMAS, SIZE = -(-BINS // 8) * 4 + 1, 4.0, 200
 SEEN, AT_ONCE = 300_000, 60_000
 #: A line is hot with more than one in so many of all lines: there are fewer than this of them.
 HOT = 2_000
+#: What ASCII texts may have between words other than one space.
+ODD_BLANKS = ["  ", *"\t\v\f\r\x1c\x1d\x1e\x1f"]
 
 
 def fold(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def folded_lines(text: str) -> list[str]:
+    """`fold` of each line. Lower case never depends on what stands beyond a line's end, so the text is lowered at once; in
+    ASCII texts whose only blanks are single spaces, the ends of lines are all there is to fold."""
+    lines = text.lower().split("\n")
+    if text.isascii() and not any(x in text for x in ODD_BLANKS):
+        return [x.strip(" ") for x in lines]
+    return [" ".join(x.split()) for x in lines]
+
+
 def node_of(folded: str) -> int:
     """A line's node, which is even; the next odd number is that of its shingles of SHORT_WIDTH."""
     return (xxhash.xxh3_64_intdigest(folded.encode("utf-8", "surrogatepass")) - (1 << 63)) & ~1
@@ -143,8 +155,13 @@ class Sketches:
             at = [i for i, x in enumerate(items) if x[0] == width]
             for some, lines in parts(at, [items[i][1:].decode("utf-8", "surrogatepass") for i in at]):
                 h, begin = char_shingles(lines, width)
-                for i, x in zip(some, np.split(h, begin[1:]), strict=True):
-                    out[i] = np.unique(x)
+                edge = np.r_[begin, len(h)].tolist()
+                for lo, hi in itertools.pairwise(edge):
+                    h[lo:hi].sort()
+                new = np.r_[True, h[1:] != h[:-1]]
+                new[begin] = True
+                for i, x in zip(some, np.split(h[new], np.add.reduceat(new, begin).cumsum()[:-1]), strict=True):
+                    out[i] = x
         return out
 
     def upper(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -170,8 +187,8 @@ def parts(nodes: list[int], lines: list[str]) -> Iterator[tuple[list[int], list[
 
 
 def linked(lines: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of lines (node, line) that are similar; lines may repeat."""
-    count = lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.length("line") <= SHORT).alias("short")).first()
+    """Links (a, b) of lines (node, line, short: of at most SHORT characters) that are similar; lines may repeat."""
+    count = lines.agg(F.count("short").alias("n"), F.count_if("short").alias("short")).first()
     buckets = buckets_for(BANDS * (count.n + count.short))
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +212,7 @@ def linked(lines: DataFrame, percent: int) -> DataFrame:
         width = F.when(F.expr("node & 1L") == 0, F.lit(bytes([WIDTH]))).otherwise(F.lit(bytes([SHORT_WIDTH])))
         return found.select("node", F.concat(width, F.col("line").cast("binary")).alias("items"))
 
-    roots = link(lines.mapInArrow(posted, POSTINGS_DDL), None, fetch, percent, Sketches, SKETCH)
+    roots = link(lines.select("node", "line").mapInArrow(posted, POSTINGS_DDL), None, fetch, percent, Sketches, SKETCH)
     even = lambda c: F.expr(f"{c} & ~1L")
     return roots.select(even("node").alias("a"), even("root").alias("b"))
 
@@ -215,7 +232,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     per_row = [("row", pa.int64()), ("n_lines", pa.int64()), ("line_bytes", pa.list_(pa.int32())), ("nodes", pa.list_(pa.int64()))]
-    per_line = [("node", pa.int64()), ("line", pa.string())]
+    per_line = [("node", pa.int64()), ("line", pa.string()), ("short", pa.bool_())]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each row of docs, and one for each line, once a task as far as the task remembers."""
@@ -223,7 +240,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for t in in_slices(batches, "text"):
             split = [x.split("\n") if x is not None else [] for x in t.column("text").to_pylist()]
             flat = [x for of in split for x in of]
-            folded = [fold(x) for x in flat]
+            folded = [f for x in t.column("text").to_pylist() if x is not None for f in folded_lines(x)]
             nodes = [node_of(f) if f else None for f in folded]
             offsets = np.cumsum([0, *map(len, split)]).astype(np.int32)
             sizes = pa.array([len(x) if x.isascii() else len(x.encode("utf-8", "surrogatepass")) for x in flat], pa.int32())
@@ -237,12 +254,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             names = [*t.schema.names[:2], *[k for k, _ in (*per_row, *per_line)]]
             yield pa.RecordBatch.from_arrays([t.column("id"), t.column("key"), *own, *[pa.nulls(t.num_rows, k) for _, k in per_line]], names=names)
             empty = [pa.nulls(len(new), c.type) for c in (t.column("id"), t.column("key"), *own)]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(new, pa.int64()), pa.array(new.values(), pa.string())], names=names)
+            short = pa.array([len(f) <= SHORT for f in new.values()], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(new, pa.int64()), pa.array(new.values(), pa.string()), short], names=names)
 
-    ddl = f"id {rows.schema['id'].dataType.simpleString()}, key long, row long, n_lines long, line_bytes array<int>, nodes array<long>, node long, line string"
+    ddl = f"id {rows.schema['id'].dataType.simpleString()}, key long, row long, n_lines long, line_bytes array<int>, nodes array<long>, node long, line string, short boolean"
     both = stage(rows.mapInArrow(scanned, ddl), "lines")
-    at = both.filter("row is not null").drop("node", "line")
-    links = linked(both.filter("node is not null").select("node", "line"), percent)
+    at = both.filter("row is not null").drop(*[k for k, _ in per_line])
+    links = linked(both.filter("node is not null").select(*[k for k, _ in per_line]), percent)
     roots = connected_components(links)
 
     lines = at.select("id", "key", "row", F.posexplode("nodes").alias("line", "node")).filter("node is not null")

@@ -13,15 +13,18 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
 
 1. Every node is compared with the leads of its keys, by bitmaps and then exactly. This is linear in the postings,
    whatever the group sizes.
-2. Components of these links. A key whose members all lie in one component needs nothing more.
-3. The other keys that have the same least node are one group, so that a pair that shares hundreds of keys is compared
-   once for each such node, not for each key. A group is dealt into bands of sizes that grow by the similarity, of which
-   only neighbours can match, a band into blocks of bounded size; each pair of blocks is one tile, and inside it numpy
-   bounds each pair across components by its bitmaps. The members with a pair that passes get their items, and are dealt
-   into tiles again for the exact intersection. So no pair that shares a key is lost, and no group is gathered whole.
-   Small tiles go through a task together.
+2. Components of these links. A key of two members needs nothing more.
+3. The members beside their lead of all keys that have the same lead are one group, so that a pair that shares hundreds of
+   keys is compared once for each such node, not for each key. A group of at most BLOCK_ITEMS is one tile, unless it has many
+   members of unlike sizes. Another is dealt into bands of sizes that grow by the similarity, of which only neighbours can match, a band into blocks of bounded
+   size; each pair of blocks is one tile. Inside a tile numpy bounds each pair across components by its bitmaps. The
+   members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
+   that shares a key is lost, and no group is gathered whole. Small tiles go through a task together.
 4. The links of 3 are between components of 2, so only these are contracted once more.
 
+What 3 needs of a node, its size and bits, goes along from 1, where both ends' bits meet: joining the table of all nodes
+once more would shuffle most of them in vain.
+
 A pair is first bounded from above (`Bitmaps`): a bit that is set for one set only stands for at least one item of it
 alone, so overlap <= min(|a| - bits only in a, |b| - bits only in b). Only pairs that pass are intersected exactly. Another
 class may take the place of `Bitmaps`, with an exact comparison of its own and a bound that holds with a chance that is
@@ -39,14 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import as_rows, in_slices, stage, unstage
+from .common import as_rows, in_slices, keys_hint, stage, unstage
 from .hashing import mix
 
 ITEMS = pa.schema([("node", pa.int64()), ("items", pa.binary())])
 ITEMS_DDL = "node long, items binary"
 POSTINGS = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 POSTINGS_DDL = "bucket int, kind int, data binary"
-LED_DDL = "key long, node long, lead long, n long, bits binary"
+LED_DDL = "kind int, key long, node long, lead long, n long, bits binary"
 #: Postings that one chunk combines at once, and items (8 bytes each) that one block of a tile holds at most.
 CHUNK, BLOCK_ITEMS = 400_000, 500_000
 #: Postings that a bucket holds on average (12 bytes each), and items of small tiles that a task takes together.
@@ -108,8 +111,8 @@ class Combiner:
     """Collects postings of a task and gives them out in chunks, packed by bucket.
 
     Kind 0 holds the last 32 bits of keys and their nodes; the bucket stands for the first bits, and keys that differ in
-    the others are compared in vain at worst. Kind 1 holds followers: whole keys, nodes, and their leads. Kind 2 holds
-    nodes, their sizes and bits, dealt out by the nodes' hash.
+    the others are compared in vain at worst. Kind 3 holds the same of keys with followers. Kind 1 holds followers: whole
+    keys, nodes, and their leads. Kind 2 holds nodes, their sizes and bits, dealt out by the nodes' hash.
     """
 
     def __init__(self, buckets: int) -> None:
@@ -141,9 +144,11 @@ class Combiner:
         lead = nodes[np.flatnonzero(first)[np.cumsum(first) - 1]]
         follow = ~first & (nodes != lead)  # a node may have a key twice
         rows: list[tuple[int, int, bytes]] = []
-        k, v, b = keys[first].astype(np.uint32), nodes[first], bucket[first]
-        for lo, hi in self._runs(b):
-            rows.append((int(b[lo]), 0, k[lo:hi].tobytes() + v[lo:hi].tobytes()))
+        led = np.logical_or.reduceat(follow, np.flatnonzero(first))
+        for kind, those in ((0, ~led), (3, led)):
+            k, v, b = (x[first][those] for x in (keys.astype(np.uint32), nodes, bucket))
+            for lo, hi in self._runs(b):
+                rows.append((int(b[lo]), kind, k[lo:hi].tobytes() + v[lo:hi].tobytes()))
         if follow.any():
             own = self._bucket(mix(nodes[follow].view(np.uint64)))
             order = np.argsort(own, kind="stable")
@@ -162,44 +167,57 @@ class Combiner:
 
     @staticmethod
     def _runs(of: np.ndarray) -> Iterator[tuple[int, int]]:
-        edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+        edge = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True]) if len(of) else np.empty(0, int)
         return zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
 
 
-LED = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("lead", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+LED = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("node", pa.int64()), ("lead", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+#: Kinds of rows: a node and its lead, the only members of a key that is known to have no more; a node and its lead; a
+#: follower and its chunk's lead; a described node.
+PAIR, MEMBER, FOLLOWER, TOLD = range(4)
 
 
 def _led(rows: pa.Table, width: int) -> pa.Table:
-    """One bucket: every node of a shared key with the key's least node as lead, the followers as they are, and each
-    described node once (bits of `width` bytes)."""
-    keys, nodes, done, told = [], [], [], []
+    """One bucket: every node of a shared key with the key's least node as lead (the key beside it if the node has
+    followers), the followers as they are, and each described node once (bits of `width` bytes)."""
+    keys, nodes, many, done, told = [], [], [], [], []
     for bucket, kind, data in zip(*(rows.column(c).to_pylist() for c in POSTINGS.names), strict=True):
         if kind == 2:
             n = len(data) // (16 + width)
             told.append((np.frombuffer(data, np.int64, 2 * n).reshape(2, -1), np.frombuffer(data, np.uint8, offset=16 * n).reshape(n, width)))
-        elif kind:
+        elif kind == 1:
             done.append(np.frombuffer(data, np.int64).reshape(3, -1))
         else:
             n = len(data) // 12
             keys.append(np.frombuffer(data, np.uint32, n).astype(np.int64) | (int(bucket) << 32))
             nodes.append(np.frombuffer(data, np.int64, n, 4 * n))
+            many.append(np.full(n, kind == 3))
+    none = lambda n, c: pa.nulls(n, LED.field(c).type)
+    out = []
     if keys:
-        k, v = np.concatenate(keys), np.concatenate(nodes)
+        k, v, m = np.concatenate(keys), np.concatenate(nodes), np.concatenate(many)
         order = np.lexsort((v, k))
-        k, v = k[order], v[order]
-        first = np.r_[True, k[1:] != k[:-1]]
-        lead = v[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        use = v != lead
-        done.append(np.stack([k[use], v[use], lead[use]]))
-    led = np.concatenate(done, axis=1) if done else np.empty((3, 0), np.int64)
-    out = [pa.Table.from_arrays([*map(pa.array, led), *(pa.nulls(led.shape[1], LED.field(c).type) for c in ("n", "bits"))], schema=LED)]
+        k, v, m = k[order], v[order], m[order]
+        new = np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]  # a node may have been given out by several chunks
+        m = np.logical_or.reduceat(m, np.flatnonzero(new))
+        k, v = k[new], v[new]
+        start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        size = np.diff(np.r_[start, len(k)])
+        lead, more = np.repeat(v[start], size), np.repeat((size > 2) | np.logical_or.reduceat(m, start), size)
+        use = np.ones(len(k), bool)
+        use[start] = False
+        kind = pa.array(np.where(more[use], MEMBER, PAIR).astype(np.int32))
+        out.append(pa.Table.from_arrays([kind, pa.array(k[use], mask=~m[use]), pa.array(v[use]), pa.array(lead[use]), none(use.sum(), "n"), none(use.sum(), "bits")], schema=LED))
+    if done:
+        led = np.concatenate(done, axis=1)
+        n = led.shape[1]
+        out.append(pa.Table.from_arrays([pa.array(np.full(n, FOLLOWER, np.int32)), *map(pa.array, led), none(n, "n"), none(n, "bits")], schema=LED))
     if told:
         (node, n), bits = np.concatenate([x for x, _ in told], axis=1), np.concatenate([x for _, x in told])
         node, at = np.unique(node, return_index=True)
         ends = pa.py_buffer(np.arange(len(at) + 1, dtype=np.int32) * width)
         packed = pa.Array.from_buffers(pa.binary(), len(at), [None, ends, pa.py_buffer(np.ascontiguousarray(bits[at]))])
-        none = pa.nulls(len(at), pa.int64())
-        out.append(pa.Table.from_arrays([none, pa.array(node), none, pa.array(n[at]), packed], schema=LED))
+        out.append(pa.Table.from_arrays([pa.array(np.full(len(at), TOLD, np.int32)), none(len(at), "key"), pa.array(node), none(len(at), "lead"), pa.array(n[at]), packed], schema=LED))
     return pa.concat_tables(out)
 
 
@@ -238,18 +256,22 @@ class Bitmaps:
 
 PAIRS = pa.schema([(k, pa.int64()) for k in ("a", "b", "n_a", "n_b")])
 PAIRS_DDL = "a long, b long, n_a long, n_b long"
+NEAR_DDL = f"{PAIRS_DDL}, bits_b binary, more boolean, may boolean"
 
 
 def by_bits(percent: int, kind: type) -> Callable:
-    """A function of Arrow batches that keeps the pairs (a, b, n_a, n_b, bits_a, bits_b) that may be similar."""
+    """A function of Arrow batches that tells of the pairs (a, b, n_a, n_b, bits_a, bits_b, more) whether they may be
+    similar, and keeps those that may and those with more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in in_slices(in_slices(batches, "bits_a"), "bits_b"):
             n_a, n_b = (t.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
             both = kind(t.column("bits_a").to_pylist() + t.column("bits_b").to_pylist(), np.r_[n_a, n_b], percent)
             at = np.arange(t.num_rows)
-            good = pa.array(both.upper(at, at + t.num_rows) >= need(n_a, n_b, percent))
-            yield pa.RecordBatch.from_arrays([t.column(c).filter(good) for c in PAIRS.names], schema=PAIRS)
+            may = (need(n_a, n_b, percent) <= np.minimum(n_a, n_b)) & (both.upper(at, at + t.num_rows) >= need(n_a, n_b, percent))
+            use = pa.array(may | t.column("more").to_numpy(zero_copy_only=False))
+            names = [*PAIRS.names, "bits_b", "more"]
+            yield pa.RecordBatch.from_arrays([*(t.column(c).filter(use) for c in names), pa.array(may).filter(use)], names=[*names, "may"])
 
     return run
 
@@ -321,13 +343,16 @@ def task_rows(rows: pd.DataFrame) -> dict:
     return {c: rows[c].to_numpy()[order] for c in rows.columns} | {"tile": tile[order]}
 
 
+MEMBERS_DDL = "lead long, node long, root long, n long, bits binary"
+
+
 def near_nodes(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
-    """(lead, node) of the rows of a task with a passing pair in their tile."""
+    """The members of a task with a passing pair in their tile."""
     t = task_rows(rows)
     hit = np.zeros(len(rows), bool)
     for i, j in passing(t, percent, kind):
         hit[i] = hit[j] = True
-    return pd.DataFrame({"lead": t["lead"][hit], "node": t["node"][hit]})
+    return pd.DataFrame({c: t[c][hit] for c in ("lead", "node", "root", "n", "bits")})
 
 
 def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
@@ -371,9 +396,24 @@ def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
 
 
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
-    """members (lead, node, root, n, ..) of groups by lead, dealt into bands of sizes and these into blocks, each with
-    every block of its own band and of the next: columns tile and side. The sizes of two similar sets differ at most by
-    a factor of 100 / percent, which is a band's width, so they lie in the same band or in neighbouring ones."""
+    """members (lead, node, root, n, ..) of groups by lead, dealt into tiles: columns tile and side.
+
+    A group of at most BLOCK_ITEMS is one tile, if its sizes are within one band or its pairs are bounded one by one (a
+    larger tile's bitmaps are folded to the least size). Only the others are dealt into bands of sizes and blocks."""
+    of = members.groupBy("lead").agg(F.sum("n").alias("items"), F.count(F.lit(1)).alias("c"), F.min("n").alias("least"), F.max("n").alias("most"))
+    large = stage(of.filter(f"items > {BLOCK_ITEMS} or c > {SMALL} and 100 * least < {percent} * most").select("lead"), "large")
+    one_tile = F.struct(*[F.lit(0).alias(c) for c in ("band", "p", "q", "next")])
+    whole = lambda df: df.withColumn("tile", one_tile).withColumn("side", F.lit(0))
+    if large.isEmpty():
+        return whole(members)
+    large = keys_hint(large)
+    return whole(members.join(large, "lead", "left_anti")).unionByName(_banded(members.join(large, "lead", "left_semi"), percent))
+
+
+def _banded(members: DataFrame, percent: int) -> DataFrame:
+    """members dealt into bands of sizes and these into blocks, each with every block of its own band and of the next. The
+    sizes of two similar sets differ at most by a factor of 100 / percent, which is a band's width, so they lie in the same
+    band or in neighbouring ones."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)) * (1 + 1e-9))).cast("int")  # a bit wider
     members = members.withColumn("band", band)
     blocks = members.groupBy("lead", "band").agg(F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
@@ -404,49 +444,52 @@ def _across(sized: DataFrame, items: int, fetch: Callable[[DataFrame], DataFrame
     """Links (roots a, b) between members (lead, node, root, n, bits), of so many items in all, of the same group and
     different components."""
 
-    passed = _by_task(_tiled(sized, percent), items // 16).applyInPandas(lambda rows: near_nodes(rows, percent, kind), "lead long, node long")
-    passed = stage(passed.distinct(), "passed")
-    fetched = stage(fetch(passed.select("node").distinct()), "items")
-    rest = sized.join(passed, ["lead", "node"], "left_semi")
+    near = _by_task(_tiled(sized, percent), items // 16).applyInPandas(lambda rows: near_nodes(rows, percent, kind), MEMBERS_DDL)
+    rest = stage(near.dropDuplicates(["lead", "node"]), "near")  # a member may lie in several tiles
+    fetched = stage(fetch(rest.select("node").distinct()), "items")
     found = _by_task(_tiled(rest, percent).join(fetched, "node"), _items_of(rest)).applyInPandas(lambda rows: new_links(rows, percent, kind), "a long, b long")
     out = stage(found, "links")
-    unstage(passed, fetched)
+    unstage(rest, fetched)
     return out
 
 
+def _stars(every: DataFrame) -> DataFrame:
+    """(a, b, more): every node b with the leads a of its keys, once; more: the keys may have other members."""
+    heads = every.filter(f"kind <= {MEMBER} and key is not null").select("key", F.col("node").alias("first"), F.col("lead").alias("least"))
+    followers = every.filter(f"kind = {FOLLOWER}").select("key", "node", F.col("lead").alias("first"))
+    led = followers.join(heads, ["key", "first"], "left").select(F.coalesce("least", "first").alias("a"), F.col("node").alias("b"), F.lit(1).alias("more"))
+    own = every.filter(f"kind <= {MEMBER}").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.col("kind").alias("more"))
+    stars = own.unionByName(led).filter("a <> b").groupBy("a", "b").agg(F.max("more").alias("more"))
+    return stars.select("a", "b", (F.col("more") == MEMBER).alias("more"))
+
+
 def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame] | None, fetch: Callable[[DataFrame], DataFrame], percent: int, kind: type = Bitmaps, width: int = 0) -> DataFrame:
     """(node, root) for every node that is similar to another, as the module's head tells. Empty postings: no rows.
 
     kind: what bounds overlaps from bits; width: bytes of each described node's bits, where postings carry these."""
     every = stage(postings.groupBy("bucket").applyInArrow(lambda rows: _led(rows, width), LED_DDL), "led")
-    led = every.filter("key is not null").select("key", "node", "lead")
-    ends = [F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")]
-    pairs = stage(led.select(*ends).distinct(), "pairs")
-    bits = bits_of(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")) if bits_of else every.filter("bits is not null").select("node", "n", "bits")
+    stars = stage(_stars(every), "stars")
+    bits = bits_of(stage(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")) if bits_of else every.filter(f"kind = {TOLD}").select("node", "n", "bits")
 
     def with_both(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
         for side in "ab":
             df = df.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
         return df
 
-    near = with_both(pairs, bits, ["n", "bits"]).filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    passed = stage(near.mapInArrow(by_bits(percent, kind), PAIRS_DDL), "passed")
+    near = with_both(stars, bits, ["n", "bits"]).filter(f"more or 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    near = stage(near.select(*PAIRS.names, "bits_a", "bits_b", "more").mapInArrow(by_bits(percent, kind), NEAR_DDL), "near")
+    passed = near.filter("may").select(*PAIRS.names)
     items = stage(fetch(passed.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "items")
     edges = with_both(passed, items, ["items"]).mapInArrow(by_items(percent, kind), PAIRS_DDL)
     found = connected_components(edges)
-    unstage(items, passed)
-
-    roots = {c: found.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("a", "b", "node")}
-    across = pairs.join(roots["a"], "a", "left").join(roots["b"], "b", "left").filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-    one = led.select("key", "node", "lead", *ends)
-    keys = one.join(across, ["a", "b"], "left_semi").select("key").distinct()
-    members = stage(one.join(keys, "key", "left_semi").select("key", F.explode(F.array("node", "lead")).alias("node")).distinct(), "unsettled")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("lead")).filter("c > 2")  # of two members, the pair has been compared
-    groups = members.join(sizes, "key").select("lead", "node").distinct()
-    groups = groups.join(roots["node"], "node", "left").select("lead", "node", F.coalesce("rnode", "node").alias("root"))
-    sized = stage(groups.join(bits, "node"), "members")
+    unstage(every, stars, items)
+
+    # each pair with the lead has been compared: the other members of a group are left, unless they are of one component
+    members = near.filter("more").select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.col("bits_b").alias("bits"))
+    members = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sized = stage(members.select("lead", "node", "root", "n", "bits"), "members")
     n_items = _items_of(sized)
-    unstage(every, pairs, members)
+    unstage(near)
     if not n_items:
         unstage(sized)
         return found
