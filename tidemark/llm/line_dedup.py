@@ -33,12 +33,12 @@ WIDTH, BANDS, ROWS = 8, 12, 5
 #: Characters of a line up to which shingles of SHORT_WIDTH characters are compared as well.
 SHORT, SHORT_WIDTH = 110, 3
 BINS = BANDS * ROWS
-NONE, SCRAMBLE = np.uint32(0xFFFFFFFF), np.uint64(0xBF58476D1CE4E5B9)
+NONE, SCRAMBLE, FOURTH = np.uint32(0xFFFFFFFF), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x1111111111111111)
 #: For an empty bin, the bins to borrow from, one try after the other.
 BORROW = np.stack([np.random.default_rng(t).integers(0, BINS, BINS) for t in range(400)])
-#: Bytes of a sketch (half a byte for each bin, up to a multiple of four, and a number), deviations that a similar pair may be off, and the size that
+#: Bytes of a sketch (half a byte for each bin, up to a multiple of eight, and a number), deviations that a similar pair may be off, and the size that
 #: stands for that of any line: a tile's blocks hold 1 / SIZE of BLOCK_ITEMS lines.
-SKETCH, SIGMAS, SIZE = -(-BINS // 8) * 4 + 1, 4.0, 200
+SKETCH, SIGMAS, SIZE = -(-BINS // 16) * 8 + 1, 4.0, 200
 #: Lines that a task remembers, so as not to give them out again; characters that are hashed at once.
 SEEN, AT_ONCE = 300_000, 60_000
 #: A line is hot with more than one in so many of all lines: there are fewer than this of them.
@@ -73,11 +73,12 @@ def char_shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray]
     with np.errstate(over="ignore"):
         while True:  # raw: hashes of `span` characters, a power of two; h: of the first `done` ones of a shingle
             if width & span:
-                h = h[: len(raw) - done] * STEP + raw[done : done + len(h)]
+                h = h[: len(raw) - done] * STEP + raw[done : done + len(h)] if done else raw
                 done += span
             if done == width:
                 break
-            raw = raw[:-span] * (STEP + np.uint64(2 * span)) + raw[span:]
+            before, raw = raw, raw[:-span] * (STEP + np.uint64(2 * span))
+            raw += before[span:]
             span *= 2
         h = h[:rows]
         h ^= h >> np.uint64(29)
@@ -144,7 +145,7 @@ class Sketches:
 
     def __init__(self, bits: list[bytes], n: np.ndarray, percent: int) -> None:
         x = np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), SKETCH)
-        self.x, self.n = np.ascontiguousarray(x[:, :-1]).view(np.uint32), n
+        self.x, self.n = np.ascontiguousarray(np.ascontiguousarray(x[:, :-1]).view(np.uint64).T), n
         self.deviation = SIGMAS * np.sqrt(percent * (100 - percent)) / 100 / np.sqrt(x[:, -1])
 
     @staticmethod
@@ -165,15 +166,22 @@ class Sketches:
         return out
 
     def upper(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        d = self.x[i] ^ self.x[j]
-        d |= d >> np.uint32(1)
-        d |= d >> np.uint32(2)
-        apart = np.bitwise_count(d & np.uint32(0x11111111)).sum(axis=-1, dtype=np.int64)
+        apart = np.zeros(len(j), np.uint8)
+        for at in range(0, len(self.x), 4):  # a bit for each of 16 entries, of four words side by side
+            unlike = np.zeros(len(j), np.uint64)
+            for k, word in enumerate(self.x[at : at + 4]):
+                d = word[i] ^ word[j]
+                d |= d >> np.uint64(1)
+                d |= d >> np.uint64(2)
+                d &= FOURTH
+                d <<= np.uint64(k)
+                unlike |= d
+            apart += np.bitwise_count(unlike)
         like = np.minimum(1 - apart / BINS + np.maximum(self.deviation[i], self.deviation[j]), 1)
         return np.ceil(like / (1 + like) * (self.n[i] + self.n[j])).astype(np.int64)
 
     def among(self, at: np.ndarray):
-        return lambda i, j: self.upper(np.full(len(j), at[i]), at[j])
+        return lambda i, j: self.upper(at[i], at[j])
 
 
 def parts(nodes: list[int], lines: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -238,9 +246,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """A row for each row of docs, and one for each line, once a task as far as the task remembers."""
         at, seen = TaskContext.get().partitionId() << 40, set()
         for t in in_slices(batches, "text"):
-            split = [x.split("\n") if x is not None else [] for x in t.column("text").to_pylist()]
+            texts = t.column("text").to_pylist()
+            split = [x.split("\n") if x is not None else [] for x in texts]
             flat = [x for of in split for x in of]
-            folded = [f for x in t.column("text").to_pylist() if x is not None for f in folded_lines(x)]
+            folded = [f for x in texts if x is not None for f in folded_lines(x)]
             nodes = [node_of(f) if f else None for f in folded]
             offsets = np.cumsum([0, *map(len, split)]).astype(np.int32)
             sizes = pa.array([len(x) if x.isascii() else len(x.encode("utf-8", "surrogatepass")) for x in flat], pa.int32())

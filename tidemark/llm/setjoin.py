@@ -56,6 +56,8 @@ CHUNK, BLOCK_ITEMS = 400_000, 500_000
 BUCKET, TOGETHER = 500_000, 2_000_000
 #: Rows of a tile up to which its pairs are bounded together with those of others, and how many pairs at once.
 SMALL, PAIRS_AT_ONCE = 64, 100_000
+#: Pairs of large tiles, found a row at a time, whose sets are made together.
+TAKEN = 1_000
 #: Bytes of items that are made into sets at once, and items of the sets that a task holds.
 AT_ONCE, HELD = 1_000_000, 3_000_000
 
@@ -138,7 +140,7 @@ class Combiner:
         self.keys, self.nodes, self.held = [], [], 0
         bucket = self._bucket(keys)
         keys = (bucket << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
-        order = np.argsort(keys, kind="stable")  # by bucket as well
+        order = np.argsort(keys)  # by bucket as well
         keys, nodes, bucket = keys[order], nodes[order], bucket[order]
         first = np.r_[True, keys[1:] != keys[:-1]]
         lead = nodes[np.flatnonzero(first)[np.cumsum(first) - 1]]
@@ -193,9 +195,14 @@ def _led(rows: pa.Table, width: int) -> pa.Table:
             nodes.append(np.frombuffer(data, np.int64, n, 4 * n))
             many.append(np.full(n, kind == 3))
     none = lambda n, c: pa.nulls(n, LED.field(c).type)
-    out = []
+    out = [LED.empty_table()]
     if keys:
         k, v, m = np.concatenate(keys), np.concatenate(nodes), np.concatenate(many)
+        order = np.argsort(k)
+        twice = np.flatnonzero(np.diff(k[order]) == 0)
+        order = order[np.union1d(twice, twice + 1)]  # most keys are held once
+        k, v, m = k[order], v[order], m[order]
+    if keys and len(k):
         order = np.lexsort((v, k))
         k, v, m = k[order], v[order], m[order]
         new = np.r_[True, (k[1:] != k[:-1]) | (v[1:] != v[:-1])]  # a node may have been given out by several chunks
@@ -336,6 +343,19 @@ def passing(t: dict, percent: int, kind: type) -> Iterator[tuple[np.ndarray, np.
                 yield i[good], j[good]
 
 
+def gathered(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, some TAKEN at once."""
+    some, held = [], 0
+    for ij in pairs:
+        some.append(ij)
+        held += len(ij[0])
+        if held >= TAKEN:
+            yield tuple(map(np.concatenate, zip(*some, strict=True)))
+            some, held = [], 0
+    if some:
+        yield tuple(map(np.concatenate, zip(*some, strict=True)))
+
+
 def task_rows(rows: pd.DataFrame) -> dict:
     """The columns of a task's rows as arrays, sorted by tile, side and size, and the number of each row's tile."""
     tile = rows.groupby(["lead", "band", "p", "q", "next"], sort=False).ngroup().to_numpy()
@@ -372,7 +392,7 @@ def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
     sets: dict[int, np.ndarray] = {}  # of the rows by place, and their bitmaps, up to HELD items
     bits: dict[int, bytes] = {}
     held = 0
-    for i, j in passing(t, percent, kind):
+    for i, j in gathered(passing(t, percent, kind)):
         if held > HELD:
             sets, bits, held = {}, {}, 0
         at, back = np.unique(np.r_[i, j], return_inverse=True)
