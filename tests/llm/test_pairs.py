@@ -172,3 +172,56 @@ def test_components_of_any_shape(spark):
     ids = {x for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.root for r in connected_components(df).collect()} == components(ids, [e for e in edges if e[0] != e[1]])
     assert connected_components(df.limit(0)).count() == 0
+
+
+def family(rng, base, n, edits):
+    """n texts of base's words with so many of them replaced, each in its own places."""
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for k in rng.sample(range(len(words)), edits):
+            words[k] = f"x{rng.randrange(1 << 40)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_copies_stand_once_not_for_each_lead(spark, monkeypatch):
+    """A family whose sets share keys of many leads: rows that are dealt into tiles, for two sizes of it."""
+    rng, seen = random.Random(7), []
+    across = setjoin._across
+    monkeypatch.setattr(setjoin, "_across", lambda sized, *rest: seen.append((sized.count(), sized.select("node").distinct().count())) or across(sized, *rest))
+    base = [f"w{i}" for i in range(150)]
+    for n in (200, 400):
+        texts = family(rng, base, n, 5)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        sets = sets_of(docs.collect())
+        links = [(a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+        assert {r.doc_id: r.component_id for r in jaccard_groups(docs).collect()} == components(sets, links)
+    assert all(rows < 4 * nodes for rows, nodes in seen) and len(seen) == 2, seen
+
+
+def test_absorbed_groups_keep_every_pair(spark):
+    """Nested, overlapping and unlike groups: each old pair is within a new group, and pairs do not get more."""
+    rng = random.Random(8)
+    groups = {}
+    for k in range(5):
+        pool = range(1_000 * k, 1_000 * k + 300)
+        groups[10 * k] = set(rng.sample(pool, 250))
+        for j in range(1, 8):
+            some = rng.sample(sorted(groups[10 * k]), rng.choice([20, 100, 200]))
+            groups[10 * k + j] = {*some, *rng.sample(range(100_000), rng.choice([0, 0, 1, 3, 60]))}
+    hub = set(range(200_000, 200_100))  # many groups, each with other new ones
+    groups[900] = hub
+    for j in range(1, 40):
+        groups[900 + j] = {*rng.sample(sorted(hub), 60), *range(300_000 + 10 * j, 300_000 + 10 * j + 9)}
+    members = spark.createDataFrame([(g, x, 5) for g, xs in groups.items() for x in xs], "lead long, node long, n long")
+    new = defaultdict(set)
+    for r in setjoin._absorbed(members).collect():
+        assert r.n == 5
+        new[r.lead].add(r.node)
+    pairs = lambda gs: {p for xs in gs.values() for p in combinations(sorted(xs), 2)}
+    work = lambda gs: sum(len(xs) * (len(xs) - 1) // 2 for xs in gs.values())
+    assert pairs(groups) <= pairs(new)
+    assert work(new) < work(groups) and len(new) < len(groups) - 10
+    empty = setjoin._absorbed(members.limit(0))
+    assert empty.count() == 0 and set(empty.columns) == {"lead", "node", "n"}

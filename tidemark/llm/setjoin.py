@@ -15,7 +15,8 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
    whatever the group sizes.
 2. Components of these links. A key of two members needs nothing more.
 3. The members beside their lead of all keys that have the same lead are one group, so that a pair that shares hundreds of
-   keys is compared once for each such node, not for each key. A group of at most BLOCK_ITEMS is one tile, unless it has many
+   keys is compared once for each such node, not for each key; and a group most of which lies in a larger one becomes a
+   part of it (`_absorbed`), so that a pair is not compared again for each lead. A group of at most BLOCK_ITEMS is one tile, unless it has many
    members of unlike sizes. Another is dealt into bands of sizes that grow by the similarity, of which only neighbours can match, a band into blocks of bounded
    size; each pair of blocks is one tile. Inside a tile numpy bounds each pair across components by its bitmaps. The
    members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
@@ -56,6 +57,8 @@ CHUNK, BLOCK_ITEMS = 400_000, 500_000
 BUCKET, TOGETHER = 500_000, 2_000_000
 #: Rows of a tile up to which its pairs are bounded together with those of others, and how many pairs at once.
 SMALL, PAIRS_AT_ONCE = 64, 100_000
+#: Members of a group from which it is worth asking whether most of it lies in a larger one.
+WORTH = 16
 #: Pairs of large tiles, found a row at a time, whose sets are made together.
 TAKEN = 1_000
 #: Bytes of items that are made into sets at once, and items of the sets that a task holds.
@@ -415,6 +418,31 @@ def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
+def _absorbed(members: DataFrame) -> DataFrame:
+    """members (lead, node, ..) with a group most of which lies in a larger one as part of that one. A node may then be
+    there several times under one lead. All pairs of the old groups are within the new ones, and these have no more pairs.
+
+    The sets of a large family of near copies share many keys of different leads, whose groups are much the same nodes: each
+    node would be there once for each lead, and each pair be compared as often. Every node names its largest group, and a
+    group goes to the one that most of its members name, if at least half do and that one stays itself. Where a group would
+    have more pairs with all that come than they and it had before, only those come that bring no new nodes.
+    """
+    sizes = stage(members.groupBy("lead").agg(F.count(F.lit(1)).alias("c")).filter(f"c >= {WORTH}"), "sizes")
+    of = members.select("lead", "node").join(keys_hint(sizes), "lead").groupBy("node").agg(F.collect_list(F.struct("c", "lead")).alias("of"))
+    of = stage(of.select("node", F.array_max("of").alias("hub"), "of"), "of")
+    each = of.select("node", "hub", F.explode("of").alias("own"))
+    named = each.groupBy("own", "hub").agg(F.count(F.lit(1)).alias("times")).groupBy("own").agg(F.max(F.struct("times", "hub")).alias("most"))
+    may = named.select("own.lead", "own.c", F.col("most.hub.lead").alias("to"), F.col("most.hub.c").alias("s"), (F.col("own.c") - F.col("most.times")).alias("new"))
+    may = stage(may.filter("to <> lead and 2 * new <= c"), "may")
+    go = may.join(may.select(F.col("lead").alias("to")), "to", "left_anti")
+    new = each.join(go, (F.col("own.lead") == F.col("lead")) & (F.col("hub.lead") != F.col("to"))).select("to", "node").distinct().groupBy("to").agg(F.count(F.lit(1)).alias("more"))
+    full = go.groupBy("to").agg(F.sum(F.expr("double(c) * c")).alias("pairs"), F.first("s").alias("s")).join(new, "to").filter("double(s + more) * (s + more) > pairs + double(s) * s")
+    go = go.join(full.select("to", F.lit(True).alias("full")), "to", "left").filter("full is null or new = 0")
+    go = stage(go.select("lead", "to"), "absorbed")
+    unstage(sizes, of, may)
+    return members.join(keys_hint(go), "lead", "left").withColumn("lead", F.coalesce("to", "lead")).drop("to")
+
+
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
     """members (lead, node, root, n, ..) of groups by lead, dealt into tiles: columns tile and side.
 
@@ -506,8 +534,8 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame] | None,
 
     # each pair with the lead has been compared: the other members of a group are left, unless they are of one component
     members = near.filter("more").select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.col("bits_b").alias("bits"))
-    members = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sized = stage(members.select("lead", "node", "root", "n", "bits"), "members")
+    members = _absorbed(members).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sized = stage(members.select("lead", "node", "root", "n", "bits").dropDuplicates(["lead", "node"]), "members")
     n_items = _items_of(sized)
     unstage(near)
     if not n_items:
