@@ -419,8 +419,9 @@ def new_links(rows: pd.DataFrame, percent: int, kind: type) -> pd.DataFrame:
 
 
 def _absorbed(members: DataFrame) -> DataFrame:
-    """members (lead, node, ..) with a group most of which lies in a larger one as part of that one. A node may then be
-    there several times under one lead. All pairs of the old groups are within the new ones, and these have no more pairs.
+    """members (lead, node) with a group most of which lies in a larger one as part of that one, and its lead as a member. A
+    node may then be there several times under one lead. All pairs of the old groups, with their leads, are within the new
+    ones, and these have no more pairs, but for the leads that come along.
 
     The sets of a large family of near copies share many keys of different leads, whose groups are much the same nodes: each
     node would be there once for each lead, and each pair be compared as often. Every node names its largest group, and a
@@ -440,7 +441,7 @@ def _absorbed(members: DataFrame) -> DataFrame:
     go = go.join(full.select("to", F.lit(True).alias("full")), "to", "left").filter("full is null or new = 0")
     go = stage(go.select("lead", "to"), "absorbed")
     unstage(sizes, of, may)
-    return members.join(keys_hint(go), "lead", "left").withColumn("lead", F.coalesce("to", "lead")).drop("to")
+    return members.join(keys_hint(go), "lead", "left").withColumn("lead", F.coalesce("to", "lead")).drop("to").unionByName(go.select(F.col("to").alias("lead"), F.col("lead").alias("node")))
 
 
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
@@ -516,7 +517,11 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame] | None,
 
     kind: what bounds overlaps from bits; width: bytes of each described node's bits, where postings carry these."""
     every = stage(postings.groupBy("bucket").applyInArrow(lambda rows: _led(rows, width), LED_DDL), "led")
-    stars = stage(_stars(every), "stars")
+    told = stage(_stars(every), "told")
+    groups = _absorbed(told.filter("more").select(F.col("a").alias("lead"), F.col("b").alias("node"))).filter("lead <> node")
+    stars = told.filter("not more").unionByName(groups.select(F.col("lead").alias("a"), F.col("node").alias("b"), F.lit(True).alias("more")))
+    stars = stage(stars.groupBy("a", "b").agg(F.max("more").alias("more")), "stars")
+    unstage(told)
     bits = bits_of(stage(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")) if bits_of else every.filter(f"kind = {TOLD}").select("node", "n", "bits")
 
     def with_both(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
@@ -534,8 +539,8 @@ def link(postings: DataFrame, bits_of: Callable[[DataFrame], DataFrame] | None,
 
     # each pair with the lead has been compared: the other members of a group are left, unless they are of one component
     members = near.filter("more").select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("n_b").alias("n"), F.col("bits_b").alias("bits"))
-    members = _absorbed(members).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sized = stage(members.select("lead", "node", "root", "n", "bits").dropDuplicates(["lead", "node"]), "members")
+    members = members.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sized = stage(members.select("lead", "node", "root", "n", "bits"), "members")
     n_items = _items_of(sized)
     unstage(near)
     if not n_items:
