@@ -15,8 +15,8 @@ A *node* is a distinct set (its 64-bit fingerprint), so copies cost nothing beyo
    whatever the group sizes.
 2. Components of these links. A key of two members needs nothing more.
 3. The members beside their lead of all keys that have the same lead are one group, so that a pair that shares hundreds of
-   keys is compared once for each such node, not for each key; and a group most of which lies in a larger one becomes a
-   part of it (`_absorbed`), so that a pair is not compared again for each lead. A group of at most BLOCK_ITEMS is one tile, unless it has many
+   keys is compared once for each such node, not for each key; and a group most of which lies in a larger one has become
+   a part of it before 1 (`_absorbed`), so that a pair is not compared again for each lead. A group of at most BLOCK_ITEMS is one tile, unless it has many
    members of unlike sizes. Another is dealt into bands of sizes that grow by the similarity, of which only neighbours can match, a band into blocks of bounded
    size; each pair of blocks is one tile. Inside a tile numpy bounds each pair across components by its bitmaps. The
    members with a pair that passes get their items, and are dealt into tiles again for the exact intersection. So no pair
